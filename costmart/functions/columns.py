@@ -52,7 +52,8 @@ def normalize_key(c: ColumnOrName, all_whitespace: bool = True) -> Column:
     ``False`` strips spaces only (Spark ``trim``).
     """
     col = _c(c)
-    stripped = F.regexp_replace(col, r"^\s+|\s+$", "") if all_whitespace else F.trim(col)
+    edge_ws = "^" + WHITESPACE_RUN + "|" + WHITESPACE_RUN + "$"
+    stripped = F.regexp_replace(col, edge_ws, "") if all_whitespace else F.trim(col)
     return F.lower(stripped)
 
 
