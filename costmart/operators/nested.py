@@ -93,3 +93,20 @@ def collect_distinct(df: DataFrame, keys: Sequence[str], value_cols: Sequence[st
 def flatten_groups(nested: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """Back from chunked arrays to one row per member (for checks and renderers)."""
     return nested.select(*keys, F.explode(out).alias("_m")).select(*keys, "_m.*")
+
+
+def summarise_groups(nested: DataFrame, keys: Sequence[str], out: str, id_field: str,
+                     prefix: str | None = None) -> DataFrame:
+    """Per key: member count and id sum / min / max over all chunks.
+
+    A compact, order-free fingerprint of nested groups, used to compare
+    nested results with a flat SQL oracle without shipping whole arrays.
+    """
+    p = prefix if prefix is not None else out
+    ids = F.transform(out, lambda m: m[id_field].cast("long"))
+    n = F.sum(F.size(out)).cast("long")
+    s = F.sum(F.aggregate(ids, F.lit(0).cast("long"), lambda a, x: a + x))
+    return (nested.groupBy(*keys)
+                  .agg(n.alias(f"{p}_n"), s.alias(f"{p}_id_sum"),
+                       F.min(F.array_min(ids)).alias(f"{p}_id_min"), F.max(F.array_max(ids)).alias(f"{p}_id_max"))
+                  .withColumn(f"{p}_id_sum", F.when(F.col(f"{p}_n") > 0, F.col(f"{p}_id_sum"))))

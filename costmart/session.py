@@ -79,3 +79,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="costmart-ckpt-")
     sc.setCheckpointDir(local)
     return local
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never a machine-local temp dir)."""
+    import uuid
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/costmart-scratch/{name}-{uuid.uuid4().hex}"

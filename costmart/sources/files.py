@@ -81,10 +81,13 @@ def sink_table_truncate_load(df: DataFrame, url: str, table: str, columns: Seque
 
 
 def docs_to_json(df: DataFrame, cols: Sequence[str] | None = None, out: str = "json",
-                 ts_format: str = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX") -> DataFrame:
+                 ts_format: str = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
+                 ts_ntz_format: str = "yyyy-MM-dd'T'HH:mm:ss.SSS") -> DataFrame:
     """Render rows (nested arrays and structs included) as JSON text.
 
-    Ids are expected as text already; timestamps are written in ISO-8601.
+    Ids are expected as text already; timestamps are written in ISO-8601
+    (with the zone offset for zoned timestamps, without for local ones).
     """
     cols = list(cols) if cols else df.columns
-    return df.select(F.to_json(F.struct(*cols), {"timestampFormat": ts_format}).alias(out))
+    opts = {"timestampFormat": ts_format, "timestampNTZFormat": ts_ntz_format}
+    return df.select(F.to_json(F.struct(*cols), opts).alias(out))

@@ -1,3 +1,158 @@
-"""Registered queries: documents."""
+"""Registered queries: the company queries in document and graph form.
+
+Stand-ins: employees are customers (company = nation), policies are orders
+(type = priority, claim = total price with every 5th null, vendor id from
+the customer key with every 13th null), vendors are suppliers (every 17th
+has a null id). Graph: Employee = customer, Insurance = order, Vendor =
+supplier, HAS_EMPLOYEE = order -> customer, HAS_VENDOR = line -> supplier.
+
+Each registered result is one row per returned group holding the query
+name, the group key and a fingerprint of the collected members (count, id
+sum / min / max), so nested output is compared with a flat oracle.
+"""
 
 from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from ..catalog import register
+from ..operators import nested as N
+from ..plans import companies as CO
+from . import frames as fr
+
+CLAIM = "case when o_orderkey % 5 = 0 then null else o_totalprice end"
+VENDOR_REF = "case when o_orderkey % 13 = 0 then null else cast(o_custkey % 100 as string) end"
+VENDOR_ID = "case when s_suppkey % 17 = 0 then null else cast(s_suppkey as string) end"
+
+
+def employee_docs(t):
+    return t.customer.select(F.col("c_custkey").cast("string").alias("_id"), F.col("c_custkey").alias("emp_no"),
+                             F.col("c_nationkey").cast("string").alias("AGENT_ID"), F.col("c_name").alias("name"))
+
+
+def vendor_docs(t):
+    return t.supplier.select(F.col("s_suppkey").cast("string").alias("_id"), F.col("s_suppkey").alias("vendor_no"),
+                             F.expr(VENDOR_ID).alias("VENDOR_ID"), F.col("s_name").alias("name"))
+
+
+def insurance_docs(t):
+    o, c = t.orders, t.customer.select("c_custkey", "c_nationkey")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
+    return j.select(F.col("o_orderkey").cast("string").alias("_id"), F.col("o_orderkey").alias("policy_no"),
+                    F.col("c_nationkey").cast("string").alias("AGENT_ID"), F.expr(VENDOR_REF).alias("VENDOR_ID"),
+                    F.col("o_orderpriority").alias("INSURANCE_TYPE"), F.expr(CLAIM).alias("CLAIM_AMOUNT"))
+
+
+def _tag(df, query, company, category, prefix="m"):
+    return df.select(F.lit(query).alias("query"), F.col(company).alias("company"),
+                     (F.col(category) if category else F.lit(None).cast("string")).alias("category"),
+                     f"{prefix}_n", f"{prefix}_id_sum", f"{prefix}_id_min", f"{prefix}_id_max")
+
+
+def _union(parts):
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+SUMMARY = "count({id}) as m_n, sum({id}) as m_id_sum, min({id}) as m_id_min, max({id}) as m_id_max"
+
+DOC_CTES = f"""with emp as (select cast(c_nationkey as varchar) as AGENT_ID, c_custkey as emp_no from customer),
+ven as (select s_suppkey as vendor_no, {VENDOR_ID} as VENDOR_ID from supplier),
+ins as (select o_orderkey as policy_no, cast(c_nationkey as varchar) as AGENT_ID, {VENDOR_REF} as VENDOR_ID,
+               o_orderpriority as INSURANCE_TYPE, {CLAIM} as CLAIM_AMOUNT
+        from orders join customer on o_custkey = c_custkey),
+ge as (select distinct AGENT_ID from emp order by AGENT_ID nulls first limit 20),
+gi as (select distinct AGENT_ID from ins order by AGENT_ID nulls first limit 20),
+gp as (select distinct AGENT_ID, INSURANCE_TYPE from ins
+       order by AGENT_ID nulls first, INSURANCE_TYPE nulls first limit 20),
+lk as (select i.policy_no, i.AGENT_ID,
+              coalesce(list(v.vendor_no order by v.vendor_no) filter (where v.vendor_no is not null), []) as arr
+       from ins i left join ven v on i.VENDOR_ID is not distinct from v.VENDOR_ID
+       where i.AGENT_ID in (select AGENT_ID from gi) group by i.policy_no, i.AGENT_ID),
+ds as (select distinct AGENT_ID, arr from lk),
+top as (select * from (select *, row_number() over (partition by AGENT_ID, INSURANCE_TYPE
+                                                    order by CLAIM_AMOUNT desc nulls last, policy_no) as rk from ins)
+        where rk <= 5)
+"""
+
+DOC_SQL = DOC_CTES + f"""
+select 'employees' as query, AGENT_ID as company, cast(null as varchar) as category, {SUMMARY.format(id='emp_no')}
+from emp where AGENT_ID in (select AGENT_ID from ge) group by AGENT_ID
+union all
+select 'vendors', AGENT_ID, null, cast(sum(len(arr)) as bigint),
+       case when sum(len(arr)) > 0 then sum(list_sum(arr)) end, min(list_min(arr)), max(list_max(arr))
+from ds group by AGENT_ID
+union all
+select 'policies', AGENT_ID, INSURANCE_TYPE, {SUMMARY.format(id='policy_no')}
+from ins where (AGENT_ID, INSURANCE_TYPE) in (select (AGENT_ID, INSURANCE_TYPE) from gp) group by AGENT_ID, INSURANCE_TYPE
+union all
+select 'top_claims', AGENT_ID, INSURANCE_TYPE, {SUMMARY.format(id='policy_no')} from top group by AGENT_ID, INSURANCE_TYPE
+"""
+
+
+@register("company_doc_queries", DOC_SQL)
+def q_company_doc_queries(spark, sf_dir):
+    t = fr.Tables(spark, sf_dir)
+    emp, ven, ins = employee_docs(t), vendor_docs(t), insurance_docs(t)
+    e = N.summarise_groups(CO.employees_by_company(emp, "emp_no"), ["company"], "employees", "emp_no", "m")
+    v_nested = CO.vendors_by_company(ins, ven, "vendor_no")
+    v_arrays = v_nested.select("company", F.explode("vendors").alias("_s")).select("company", F.col("_s.vendor_info").alias("arr"))
+    v = N.summarise_groups(v_arrays, ["company"], "arr", "vendor_no", "m")
+    p = N.summarise_groups(CO.policies_by_company_and_type(ins, "policy_no"), ["company", "insurance_type"],
+                           "policies", "policy_no", "m")
+    k = N.summarise_groups(CO.top_claims_by_company_and_type(ins, "policy_no"), ["company", "insurance_type"],
+                           "top_claims", "policy_no", "m")
+    return _union([_tag(e, "employees", "company", None), _tag(v, "vendors", "company", None),
+                   _tag(p, "policies", "company", "insurance_type"), _tag(k, "top_claims", "company", "insurance_type")])
+
+
+# ---------------------------------------------------------------- graph form
+
+def graph_frames(t):
+    employee = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("string").alias("agentId"),
+                                 F.col("c_name").alias("agentName"))
+    insurance = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("insuranceType"),
+                                F.expr(CLAIM).alias("claimAmount"))
+    vendor = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    has_employee = t.orders.select(F.col("o_orderkey").alias("src"), F.col("o_custkey").alias("dst"))
+    has_vendor = t.lineitem.select(F.col("l_orderkey").alias("src"), F.col("l_suppkey").alias("dst"))
+    return employee, insurance, vendor, has_employee, has_vendor
+
+
+GRAPH_SQL = f"""with emp as (select c_custkey as id, cast(c_nationkey as varchar) as agentId, c_name as agentName from customer),
+pol as (select o_orderkey as id, o_orderpriority as insuranceType, {CLAIM} as claimAmount, o_custkey as emp_id from orders),
+ge as (select distinct agentId from emp order by agentId nulls first limit 20),
+vp as (select distinct e.agentId as agent, e.agentName as employeeName, l_suppkey as vendor_id
+       from emp e join orders on o_custkey = e.id join lineitem on l_orderkey = o_orderkey join supplier on l_suppkey = s_suppkey),
+gv as (select distinct agent, employeeName from vp order by agent nulls first, employeeName nulls first limit 20),
+pp as (select p.*, e.agentId as company from pol p join emp e on p.emp_id = e.id),
+gp as (select distinct company, insuranceType from pp order by company nulls first, insuranceType nulls first limit 20),
+top as (select * from (select *, row_number() over (partition by company, insuranceType
+                                                    order by claimAmount desc, id) as rk
+                       from pp where claimAmount is not null) where rk <= 5)
+select 'employees' as query, agentId as company, cast(null as varchar) as category, {SUMMARY.format(id='id')}
+from emp where agentId in (select agentId from ge) group by agentId
+union all
+select 'vendors', agent, employeeName, {SUMMARY.format(id='vendor_id')}
+from vp where (agent, employeeName) in (select (agent, employeeName) from gv) group by agent, employeeName
+union all
+select 'policies', company, insuranceType, {SUMMARY.format(id='id')}
+from pp where (company, insuranceType) in (select (company, insuranceType) from gp) group by company, insuranceType
+union all
+select 'top_claims', company, insuranceType, {SUMMARY.format(id='id')} from top group by company, insuranceType
+"""
+
+
+@register("company_graph_queries", GRAPH_SQL)
+def q_company_graph_queries(spark, sf_dir):
+    employee, insurance, vendor, has_employee, has_vendor = graph_frames(fr.Tables(spark, sf_dir))
+    e = N.summarise_groups(CO.employees_by_company_graph(employee), ["company"], "employees", "id", "m")
+    v = N.summarise_groups(CO.vendors_by_company_graph(employee, has_employee, insurance, has_vendor, vendor),
+                           ["agent", "employeeName"], "vendors", "v_id", "m")
+    p = N.summarise_groups(CO.policies_by_company_and_type_graph(insurance, has_employee, employee),
+                           ["company", "category"], "policies", "p_id", "m")
+    k = N.summarise_groups(CO.top_claims_graph(insurance, has_employee, employee), ["company", "category"],
+                           "top_claims", "p_id", "m")
+    return _union([_tag(e, "employees", "company", None), _tag(v, "vendors", "agent", "employeeName"),
+                   _tag(p, "policies", "company", "category"), _tag(k, "top_claims", "company", "category")])
