@@ -1,3 +1,70 @@
-"""Registered queries: pricing."""
+"""Registered queries: fuzzy matching, imputation and the two price lists."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..catalog import register
+from ..operators import similarity as SIM
+from . import frames as fr
+
+WS = "[ \\t\\n\\x0B\\f\\r]+"
+
+ALTERED = """case p_partkey % 5 when 0 then p_name
+     when 1 then split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1)
+     when 2 then replace(p_name, 'e', 'a')
+     when 3 then p_name || ' ' || lower(p_type)
+     else substr(p_name, 2) end"""
+
+
+def _tokset(c):
+    return f"list_sort(list_distinct(list_filter(string_split_regex({c}, '{WS}'), lambda t: t <> '')))"
+
+
+def _lcs(x, y):
+    return f"""(case when length({x}) = 0 or length({y}) = 0 then 0 else list_reduce(
+   list_transform(range(1, length({x}) + 1), lambda i: substr({x}, i, 1)),
+   lambda prev, ch: list_reduce(range(1, length({y}) + 1),
+        lambda acc, j: list_append(acc, case when ch = substr({y}, j, 1) then prev[j] + 1
+                                        else greatest(prev[j + 1], acc[j]) end), [0]),
+   list_transform(range(0, length({y}) + 1), lambda i: 0))[length({y}) + 1] end)"""
+
+
+def brute_force_best_sql(left_sql: str, right_sql: str, threshold: float) -> str:
+    """Oracle: every pair scored, best per left name (score >= threshold, ties -> lowest choice)."""
+    return f"""l as ({left_sql}), r as ({right_sql}),
+lt as (select name, {_tokset('name')} as ta from l where name is not null),
+rt as (select name as rname, {_tokset('name')} as tb from r where name is not null),
+pr as (select lt.name as lname, rname, ta, tb, list_intersect(ta, tb) as i,
+              list_filter(ta, lambda t: not list_contains(tb, t)) as xa,
+              list_filter(tb, lambda t: not list_contains(ta, t)) as yb
+       from lt cross join rt),
+pv as (select *, array_to_string(xa, ' ') as x, array_to_string(yb, ' ') as y,
+              length(array_to_string(i, ' ')) as s from pr),
+pw as (select *, case when s > 0 then 1 else 0 end as p, {_lcs('x', 'y')} as lcs from pv),
+sc as (select lname, rname,
+              case when len(ta) = 0 or len(tb) = 0 then 0.0
+                   when len(i) > 0 and (len(xa) = 0 or len(yb) = 0) then 100.0
+                   else greatest(
+                     cast(100 as double) - cast(100 as double) * (length(x) + length(y) - 2 * lcs) / (s * 2 + p * 2 + length(x) + length(y)),
+                     case when s > 0 then cast(100 as double) - cast(100 as double) * (p + length(x)) / (s * 2 + p + length(x)) else 0.0 end,
+                     case when s > 0 then cast(100 as double) - cast(100 as double) * (p + length(y)) / (s * 2 + p + length(y)) else 0.0 end)
+              end as score
+       from pw),
+best as (select lname, rname, score from (
+           select *, row_number() over (partition by lname order by score desc, rname) as rn
+           from sc where score >= {threshold}) where rn = 1)"""
+
+
+@register("fuzzy_best_match", "with " + brute_force_best_sql(
+    f"select distinct {ALTERED} as name from part",
+    "select distinct p_name as name from part union select distinct lower(p_type) from part", 80.0) + """
+select l.name, best.rname as match, round(best.score, 6) as score
+from (select distinct name from l) l left join best on l.name = best.lname""")
+def q_fuzzy_best_match(spark, sf_dir):
+    """Altered part names matched to the part-name and type vocabulary (threshold 80)."""
+    p = fr.Tables(spark, sf_dir).part
+    left = p.select(F.expr(ALTERED).alias("name")).distinct()
+    right = p.select(F.col("p_name").alias("name")).union(p.select(F.lower("p_type"))).distinct()
+    best = SIM.best_match_names(left, right, 80.0)
+    return best.withColumn("score", F.round("score", 6))
