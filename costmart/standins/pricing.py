@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from ..catalog import register
 from ..operators import similarity as SIM
 from . import frames as fr
+from .sql import CTE
+
+CTE_LAB_ITEMS = CTE["lab_items"]
 
 WS = "[ \\t\\n\\x0B\\f\\r]+"
 
@@ -68,3 +71,97 @@ def q_fuzzy_best_match(spark, sf_dir):
     right = p.select(F.col("p_name").alias("name")).union(p.select(F.lower("p_type"))).distinct()
     best = SIM.best_match_names(left, right, 80.0)
     return best.withColumn("score", F.round("score", 6))
+
+
+KNN_SIZE = "case when p_partkey % 10 = 3 then null else cast(p_size as double) end"
+KNN_COST = "case when p_partkey % 4 = 0 then null else p_retailprice end"
+
+
+@register("knn_impute", f"""
+with x as (select p_partkey as k, {KNN_SIZE} as package_size, {KNN_COST} as cost from part),
+d as (select * from x where cost is not null and package_size is not null),
+cm as (select avg(cost) as m from x)
+select x.k as p_partkey, x.package_size,
+       round(case when x.cost is not null then x.cost
+                  when x.package_size is null then (select m from cm)
+                  else coalesce((select avg(cost) from (select cost from d
+                                  order by abs(d.package_size - x.package_size), d.k limit 3)),
+                                (select m from cm)) end, 6) as cost
+from x""")
+def q_knn_impute(spark, sf_dir):
+    """Part prices with every 4th missing, imputed from the 3 parts nearest in size."""
+    from ..operators.impute import knn_impute
+
+    p = fr.Tables(spark, sf_dir).part.select(F.col("p_partkey"), F.expr(KNN_SIZE).alias("package_size"),
+                                             F.expr(KNN_COST).alias("cost"))
+    out = knn_impute(p, "cost", "package_size", "p_partkey", k=3, buckets=8)
+    return out.withColumn("cost", F.round("cost", 6))
+
+
+def trade_names(t):
+    p = t.part
+    return p.select("p_partkey",
+                    F.expr("case when p_partkey % 2 = 0 then upper(p_name) else p_name || ' ' end").alias("brand_name"),
+                    F.expr("lower(p_type) || ' ' || split_part(p_name, ' ', 2)").alias("active_ingredients"))
+
+
+def medicine_prices(t):
+    p = t.part.where(F.col("p_partkey") % 3 == 0)
+    return p.select("p_partkey",
+                    F.expr("p_name || ' ' || cast(p_size as string) || "
+                           "case when p_partkey % 2 = 0 then ' tab' else ' ml' end").alias("Medication_Name"),
+                    F.expr("case when p_partkey % 7 = 0 then 'n/a' when p_partkey % 5 = 0 then null "
+                           "else cast(p_size as string) end").alias("Package_Size"),
+                    F.expr("case when p_partkey % 11 = 0 then 'bad' when p_partkey % 13 = 0 then null "
+                           "else cast(round(p_retailprice / 3, 2) as string) end").alias("Max_Consumer_VAT_Price"))
+
+
+@register("drug_price_list")
+def q_drug_price_list(spark, sf_dir):
+    """Prescribed drugs priced through both matchers, imputation, cap and redraw (rows-only:
+    the redraw is a Spark hash; each step has its own oracle-checked query)."""
+    from ..plans import pricing as PR
+
+    t = fr.Tables(spark, sf_dir)
+    mapping = PR.medicine_mapping(medicine_prices(t), trade_names(t), "p_partkey").checkpoint(eager=True)
+    return PR.drug_price_list(fr.prescriptions(t), mapping, "p_partkey")
+
+
+FEE_CATEGORY = """case n_nationkey % 3 when 0 then lower(n_name) when 1 then replace(lower(n_name), '_', ' ')
+     else 'panel ' || lower(n_name) end"""
+FEE_PRICE = "case when n_nationkey % 4 = 0 then 0.0 else (n_nationkey + 1) * 1.5 end"
+
+
+def lab_fees(t):
+    return t.nation.select("n_nationkey", F.expr(FEE_CATEGORY).alias("category"), F.expr(FEE_PRICE).alias("price"))
+
+
+@register("lab_price_list", "with " + CTE_LAB_ITEMS + ", " + brute_force_best_sql(
+    f"select distinct lower(trim({FEE_CATEGORY})) as name from nation",
+    "select distinct lower(trim(label)) as name from lab_items", 80.0) + f"""
+, fees as (select n_nationkey, lower(trim({FEE_CATEGORY})) as fee_category, {FEE_PRICE} as price from nation),
+priced as (select best.rname as label, cast(fees.price as double) as price, fees.n_nationkey
+           from fees join best on fees.fee_category = best.lname),
+items as (select itemid, lower(trim(label)) as label, category from lab_items),
+j as (select items.*, priced.price, priced.n_nationkey from items left join priced on items.label = priced.label),
+f as (select label, category, price from (
+        select *, row_number() over (partition by label order by itemid, n_nationkey nulls last) as rn
+        from j where label is not null) where rn = 1),
+d as (select * from (values ('blood gas', 8.0), ('chemistry', 75.0), ('hematology', 100.0)) v(k, dp))
+select label, category,
+       case when price is null or price = 0 then coalesce(d.dp, price) else price end as price
+from f left join d on lower(f.category) = d.k""")
+def q_lab_price_list(spark, sf_dir):
+    from ..plans import pricing as PR
+
+    t = fr.Tables(spark, sf_dir)
+    return PR.lab_price_list(fr.lab_items(t), lab_fees(t), "itemid", "n_nationkey")
+
+
+@register("medicine_mapping")
+def q_medicine_mapping(spark, sf_dir):
+    """Medicine price rows matched to trade names for their ingredients (rows-only)."""
+    from ..plans import pricing as PR
+
+    t = fr.Tables(spark, sf_dir)
+    return PR.medicine_mapping(medicine_prices(t), trade_names(t), "p_partkey")
