@@ -128,9 +128,13 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return one.selectExpr(f"stack({len(cols) ** 2}, {pairs}) as (row_col, col_col, corr)")
 
 
-def share_of_total(df: DataFrame, cols: Sequence[str], by: Sequence[str] | None = None) -> DataFrame:
-    """Sums of ``cols`` and each one's percentage of their combined sum (per group if ``by``)."""
-    sums = [F.sum(F.col(c).cast("double")).alias(f"{c}_sum") for c in cols]
+def share_of_total(df: DataFrame, cols: Sequence[str], by: Sequence[str] | None = None,
+                   money: bool = False) -> DataFrame:
+    """Sums of ``cols`` and each one's percentage of their combined sum (per group if ``by``).
+
+    ``money`` sums in ``decimal(18,2)`` (exact, independent of partitioning).
+    """
+    sums = [(money_sum(c) if money else F.sum(F.col(c).cast("double"))).alias(f"{c}_sum") for c in cols]
     out = df.groupBy(*by).agg(*sums) if by else df.agg(*sums)
     total = sum((F.coalesce(F.col(f"{c}_sum"), F.lit(0.0)) for c in cols[1:]),
                 F.coalesce(F.col(f"{cols[0]}_sum"), F.lit(0.0)))
