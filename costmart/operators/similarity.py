@@ -44,6 +44,9 @@ from ..functions.columns import WHITESPACE_RUN
 
 # Fixed value: the matchers accept a best match scoring at least 80.
 MATCH_THRESHOLD = 80.0
+# Slack for the pruning bounds: 1 - 0.8 is 0.19999999999999996 in binary
+# floating point, and a bound must never cut a pair sitting exactly on it.
+EPS = 1e-6
 
 
 def token_set(c: Column | str) -> Column:
@@ -102,7 +105,7 @@ def _prefixes(names: DataFrame, threshold: float) -> dict[str, DataFrame]:
     d = 1.0 - threshold / 100.0
     tok_budget = 2.0 * d / (1.0 + d)                      # share of l the non-shared tokens may weigh
     bi_coef = (0.5 - 1.5 * d) * 2.0 / (1.0 + d)           # kept bigrams >= bi_coef * l - 1
-    short_sum = math.floor(1.0 / (0.5 - 1.5 * d)) if 0.5 - 1.5 * d > 0 else None
+    short_sum = math.floor(1.0 / (0.5 - 1.5 * d) + EPS) if 0.5 - 1.5 * d > EPS else None
     ch_coef = (1.0 - d) / (1.0 + d)                       # shared characters >= ch_coef * l
 
     base = names.select("side", "name", "toks", "l")
@@ -130,13 +133,13 @@ def _prefixes(names: DataFrame, threshold: float) -> dict[str, DataFrame]:
             cum = F.aggregate("fs", F.array().cast("array<int>"),
                               lambda acc, e: F.array_append(acc, F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + e["w"]))
             keep = F.filter(F.arrays_zip(F.col("fs").alias("e"), cum.alias("c")),
-                            lambda z: (z["c"] - z["e"]["w"]).cast("double") <= F.col("l") * F.lit(tok_budget))
+                            lambda z: (z["c"] - z["e"]["w"]).cast("double") <= F.col("l") * F.lit(tok_budget) + F.lit(EPS))
             pref = F.transform(keep, lambda z: z["e"]["f"])
         elif kind == "bi":
-            m = F.greatest(F.lit(0), F.ceil(F.col("l") * F.lit(bi_coef) - F.lit(1) - F.lit(1e-9)))
+            m = F.greatest(F.lit(0), F.ceil(F.col("l") * F.lit(bi_coef) - F.lit(1) - F.lit(EPS)))
             pref = F.transform(F.slice("fs", 1, F.greatest(n - m + 1, F.lit(1)).cast("int")), lambda e: e["f"])
         else:
-            m = F.greatest(F.lit(0), F.ceil(F.col("l") * F.lit(ch_coef) - F.lit(1e-9)))
+            m = F.greatest(F.lit(0), F.ceil(F.col("l") * F.lit(ch_coef) - F.lit(EPS)))
             pref = F.transform(F.slice("fs", 1, F.greatest(n - m + 1, F.lit(1)).cast("int")), lambda e: e["f"])
         out[kind + "_pref"] = ranked.select("side", "name", "l", F.explode(pref).alias("f"))
         if kind == "tok":
@@ -149,7 +152,7 @@ def _pairs(lf: DataFrame, rf: DataFrame, d: float | None) -> DataFrame:
     rsel = rf.where(F.col("side") == "R").select(F.col("name").alias("rname"), F.col("l").alias("lb"), "f")
     j = lsel.join(rsel, "f")
     if d is not None:
-        j = j.where(F.abs(F.col("la") - F.col("lb")).cast("double") <= (F.col("la") + F.col("lb")) * F.lit(d))
+        j = j.where(F.abs(F.col("la") - F.col("lb")).cast("double") <= (F.col("la") + F.col("lb")) * F.lit(d) + F.lit(EPS))
     return j.select("lname", "rname")
 
 
