@@ -56,31 +56,68 @@ def token_set(c: Column | str) -> Column:
     return F.array_sort(F.array_distinct(toks))
 
 
-def _lcs_sql(x: str, y: str) -> str:
-    return f"""(CASE WHEN length({x}) = 0 OR length({y}) = 0 THEN 0 ELSE element_at(aggregate(
+def _lcs_dp_sql(x: str, y: str) -> str:
+    """LCS length by the textbook dynamic program (one row folded per character of x)."""
+    return f"""element_at(aggregate(
         transform(sequence(1, length({x})), i -> substr({x}, i, 1)),
         array_repeat(0, length({y}) + 1),
         (prev, ch) -> aggregate(sequence(1, length({y})), array(0),
             (acc, j) -> array_append(acc, CASE WHEN ch = substr({y}, j, 1) THEN element_at(prev, j) + 1
                                            ELSE greatest(element_at(prev, j + 1), element_at(acc, j)) END))),
-        length({y}) + 1) END)"""
-
-
-def token_set_ratio(a: str, b: str) -> Column:
-    """Native token-set ratio of two ``token_set`` array columns named ``a`` and ``b``."""
-    i, xa, yb = f"array_intersect({a}, {b})", f"array_except({a}, {b})", f"array_except({b}, {a})"
-    x, y = f"array_join({xa}, ' ')", f"array_join({yb}, ' ')"
-    s = f"length(array_join({i}, ' '))"
-    p = f"(CASE WHEN {s} > 0 THEN 1 ELSE 0 END)"
-    lx, ly = f"length({x})", f"length({y})"
-    lcs = _lcs_sql(x, y)
-    hundred = "CAST(100 AS DOUBLE)"
-    r1 = f"{hundred} - {hundred} * ({lx} + {ly} - 2 * {lcs}) / ({s} * 2 + {p} * 2 + {lx} + {ly})"
-    r2 = f"(CASE WHEN {s} > 0 THEN {hundred} - {hundred} * ({p} + {lx}) / ({s} * 2 + {p} + {lx}) ELSE 0D END)"
-    r3 = f"(CASE WHEN {s} > 0 THEN {hundred} - {hundred} * ({p} + {ly}) / ({s} * 2 + {p} + {ly}) ELSE 0D END)"
-    return F.expr(f"""CASE WHEN size({a}) = 0 OR size({b}) = 0 THEN 0D
-        WHEN size({i}) > 0 AND (size({xa}) = 0 OR size({yb}) = 0) THEN 100D
-        ELSE greatest({r1}, {r2}, {r3}) END""")
+        length({y}) + 1)"""
+
+
+def _lcs_bits_sql(x: str, y: str) -> str:
+    """LCS length by the bit-parallel recurrence ``V = (V + U) | (V - U)``, ``U = V & match(ch)``.
+
+    One bit per character of y; kept to ``length(y)`` bits (<= 62), so the
+    sum never overflows a long. LCS = the zero bits of V.
+    """
+    mask = f"(shiftleft(1L, length({y})) - 1L)"
+    match = (f"aggregate(sequence(1, length({y})), 0L, (m, j) -> m | "
+             f"CASE WHEN substr({y}, j, 1) = ch THEN shiftleft(1L, j - 1) ELSE 0L END)")
+    step = f"(((v + (v & {match})) | (v - (v & {match}))) & {mask})"
+    return f"""(length({y}) - bit_count(aggregate(
+        transform(sequence(1, length({x})), i -> substr({x}, i, 1)), {mask}, (v, ch) -> {step})))"""
+
+
+def _lcs_sql(x: str, y: str) -> str:
+    return f"""(CASE WHEN length({x}) = 0 OR length({y}) = 0 THEN 0
+        WHEN length({y}) <= 62 THEN {_lcs_bits_sql(x, y)}
+        ELSE {_lcs_dp_sql(x, y)} END)"""
+
+
+def score_pairs(df: DataFrame, a: str, b: str, out: str = "score") -> DataFrame:
+    """Add the token-set ratio of the ``token_set`` array columns ``a`` and ``b``.
+
+    Intermediate values are columns computed once per pair; the LCS runs
+    only where its upper bound (LCS <= the shorter text) could beat the two
+    intersection ratios.
+    """
+    hundred = F.lit(100.0)
+    parts = df.withColumns({
+        "_i": F.array_intersect(a, b), "_xa": F.array_except(a, b), "_yb": F.array_except(b, a)})
+    parts = parts.withColumns({
+        "_x": F.array_join("_xa", " "), "_y": F.array_join("_yb", " "),
+        "_s": F.length(F.array_join("_i", " ")).cast("double")})
+    parts = parts.withColumns({
+        "_lx": F.length("_x").cast("double"), "_ly": F.length("_y").cast("double"),
+        "_p": F.when(F.col("_s") > 0, F.lit(1.0)).otherwise(F.lit(0.0))})
+    lensum = F.col("_s") * 2 + F.col("_p") * 2 + F.col("_lx") + F.col("_ly")
+    sect = F.when(F.col("_s") > 0, F.greatest(
+        hundred - hundred * (F.col("_p") + F.col("_lx")) / (F.col("_s") * 2 + F.col("_p") + F.col("_lx")),
+        hundred - hundred * (F.col("_p") + F.col("_ly")) / (F.col("_s") * 2 + F.col("_p") + F.col("_ly")))
+    ).otherwise(F.lit(0.0))
+    parts = parts.withColumns({"_sect": sect, "_bound": hundred - hundred * F.abs(F.col("_lx") - F.col("_ly")) / lensum})
+    whole = (F.size(a) > 0) & (F.size(b) > 0)
+    contained = (F.size("_i") > 0) & ((F.size("_xa") == 0) | (F.size("_yb") == 0))
+    need_lcs = whole & ~contained & (F.col("_bound") > F.col("_sect"))
+    parts = parts.withColumn("_lcs", F.when(need_lcs, F.expr(_lcs_sql("_x", "_y"))).cast("double"))
+    r1 = hundred - hundred * (F.col("_lx") + F.col("_ly") - F.col("_lcs") * 2) / lensum
+    score = (F.when(~whole, F.lit(0.0)).when(contained, hundred)
+              .when(F.col("_lcs").isNull(), F.col("_sect")).otherwise(F.greatest(r1, F.col("_sect"))))
+    return parts.withColumn(out, score).drop("_i", "_xa", "_yb", "_x", "_y", "_s", "_lx", "_ly", "_p",
+                                              "_sect", "_bound", "_lcs")
 
 
 def _numbered(arr: Column) -> Column:
@@ -169,7 +206,11 @@ def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: fl
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.distinct()
+    # Scoring is CPU-heavy and its input is small in bytes, so AQE would coalesce it into
+    # very few tasks. One hash exchange on the left name with an explicit partition count
+    # (kept by AQE) spreads it, and also serves the dedupe and the best-per-name aggregate.
+    n = int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return out.repartition(n, "lname").dropDuplicates(["lname", "rname"])
 
 
 def best_match_names(left_names: DataFrame, right_names: DataFrame,
@@ -178,13 +219,15 @@ def best_match_names(left_names: DataFrame, right_names: DataFrame,
     if threshold is None or threshold <= 0:
         raise ValueError("an exact similarity join needs a positive threshold")
     cand = candidate_pairs(left_names, right_names, threshold)
-    scored = (cand.withColumn("ta", token_set("lname")).withColumn("tb", token_set("rname"))
-                  .withColumn("score", token_set_ratio("ta", "tb"))
-                  .where(F.col("score") >= F.lit(float(threshold))))
+    scored = score_pairs(cand.withColumn("ta", token_set("lname")).withColumn("tb", token_set("rname")), "ta", "tb")
+    # The threshold is applied to the best score per name, after the aggregate: a filter on
+    # the pair score alone would only reference the candidate columns, and Catalyst would
+    # push it below the dedupe into every candidate join (scoring duplicates there).
     best = scored.groupBy("lname").agg(
         F.min_by(F.struct(F.col("rname").alias("match"), F.col("score").alias("score")),
                  F.struct((-F.col("score")).alias("neg"), F.col("rname").alias("r"))).alias("b"))
-    best = best.select(F.col("lname").alias("name"), "b.match", "b.score")
+    best = (best.select(F.col("lname").alias("name"), "b.match", "b.score")
+                .where(F.col("score") >= F.lit(float(threshold))))
     return left_names.select("name").join(best, "name", "left")
 
 

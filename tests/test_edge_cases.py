@@ -63,8 +63,8 @@ def test_parse_ratio(spark):
 def test_similarity_examples(spark):
     df = spark.createDataFrame([("red bolt", "bolt red"), ("red bolt", "red bolt 5"), ("", "a"), ("abc", "abd")],
                                "a string, b string")
-    out = df.select(SIM.token_set("a").alias("ta"), SIM.token_set("b").alias("tb")).select(
-        SIM.token_set_ratio("ta", "tb").alias("s")).collect()
+    out = SIM.score_pairs(df.select(SIM.token_set("a").alias("ta"), SIM.token_set("b").alias("tb")),
+                          "ta", "tb", "s").collect()
     assert [round(r.s, 6) for r in out] == [100.0, 100.0, 0.0, round(100 - 100 * 2 / 6, 6)]
 
 
