@@ -15,15 +15,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import AGE_LABELS, bin_labels, derive_total, labor_cost, month_period, nurse_hours, parse_ratio
 from ..functions.frames import assign_random_category, suffix_columns
 from ..operators import aggregates as A
-from ..operators.joins import join_star
+from ..operators.joins import broadcast_if_small, join_star
 
 NUMERIC = ("total_icu_days", "lab_tests_cost", "medicine_cost", "total_cost")
+# Largest staffing table (rows per state) joined by broadcast.
+MAX_STATES = 10_000
 
 
 def stay_mart(fact: DataFrame, dim_patient: DataFrame, dim_admission: DataFrame, dim_icu_unit: DataFrame,
@@ -49,13 +51,16 @@ def stay_mart(fact: DataFrame, dim_patient: DataFrame, dim_admission: DataFrame,
     else:
         states = nurse_wages.select("State").where(F.col("State").isNotNull()).distinct()
         n = states.count()
-        from pyspark.sql import Window
+        if n > MAX_STATES:
+            raise ValueError(f"{n} states: expected a bounded state list (<= {MAX_STATES})")
         states = states.withColumn("_ord", F.row_number().over(Window.orderBy("State")) - 1)
         df = df.withColumn("_ord", F.pmod(state_pick, F.lit(n))).join(F.broadcast(states), "_ord", "left").drop("_ord")
-    wages = nurse_wages.select("State", "hourly_wage")
-    ratios = nurse_ratios.select(F.trim(F.col("State")).alias("State"), "nurse_patient_ratio")
+    # staffing tables are one row per state: broadcast only behind a row-count check
+    wages = broadcast_if_small(nurse_wages.select("State", "hourly_wage"), MAX_STATES)
+    ratios = broadcast_if_small(nurse_ratios.select(F.trim(F.col("State")).alias("State"), "nurse_patient_ratio"),
+                                MAX_STATES)
     nurses, patients = parse_ratio("nurse_patient_ratio")
-    df = (df.join(F.broadcast(wages), "State", "left").join(F.broadcast(ratios), "State", "left")
+    df = (df.join(wages, "State", "left").join(ratios, "State", "left")
             .withColumns({"icu_nurses": nurses, "icu_patients": patients}))
     return df.withColumns({
         "age_group": bin_labels("age"),
