@@ -43,10 +43,22 @@ def group_stats(df: DataFrame, keys: Sequence[str], col: str,
             src = src.where(F.col(k).isNotNull())
     c = F.col(col)
     exprs = {
-        "mean": F.avg(c), "median": F.median(c), "count": F.count(c), rows_as: F.count(F.lit(1)),
+        "mean": F.avg(c), "count": F.count(c), rows_as: F.count(F.lit(1)),
         "sum": F.sum(c), "min": F.min(c), "max": F.max(c), "std": F.stddev_samp(c),
     }
-    return src.groupBy(*keys).agg(*[exprs[s].alias(s if s != "rows" else rows_as) for s in stats])
+    simple = [s for s in stats if s != "median"]
+    out = src.groupBy(*keys).agg(*[exprs[s].alias(s if s != "rows" else rows_as) for s in simple]) if simple else \
+        src.select(*keys).distinct()
+    if "median" in stats:
+        from .quantiles import exact_quantiles
+        med = exact_quantiles(src, col, [0.5], keys, names=["median"])
+        med = med.select(*[F.col(k).alias("_m_" + k) for k in keys], "median")
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & out[k].eqNullSafe(med["_m_" + k])
+        out = out.join(med, cond, "left").drop(*["_m_" + k for k in keys])
+    order = [s if s != "rows" else rows_as for s in stats]
+    return out.select(*keys, *order)
 
 
 def group_mean_all_labels(df: DataFrame, label: str, col: str, labels: Sequence[str],
@@ -68,18 +80,28 @@ def _stat_rows(stats: DataFrame, cols: Sequence[str], names: Sequence[str]) -> D
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """count, mean, std (sample), min, 25/50/75 % (exact, linear), max, one row each."""
+    """count, mean, std (sample), min, 25/50/75 % (exact, linear), max, one row each.
+
+    The quartiles come from ``exact_quantiles`` over all columns at once
+    (column name as the group); their 3 x len(cols) values are read back as
+    scalars and placed beside the one-row aggregate.
+    """
+    from .quantiles import exact_quantiles
+
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
         aggs += [F.count(x).cast("double").alias(f"count__{c}"), F.avg(x).alias(f"mean__{c}"),
-                 F.stddev_samp(x).alias(f"std__{c}"), F.min(x).alias(f"min__{c}"),
-                 q.alias(f"_q__{c}"), F.max(x).alias(f"max__{c}")]
+                 F.stddev_samp(x).alias(f"std__{c}"), F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}")]
     one = df.agg(*aggs)
+    stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_x"))
+                                            for c in cols])).alias("_s")).select("_s.*")
+    qs = {r["_col"]: r for r in exact_quantiles(stacked, "_x", [0.25, 0.5, 0.75], ["_col"],
+                                                names=["q25", "q50", "q75"]).collect()}
     for c in cols:
-        one = one.withColumns({f"25%__{c}": F.col(f"_q__{c}")[0], f"50%__{c}": F.col(f"_q__{c}")[1],
-                               f"75%__{c}": F.col(f"_q__{c}")[2]})
+        r = qs.get(c)
+        one = one.withColumns({f"{lab}__{c}": F.lit(r[q] if r else None).cast("double")
+                               for lab, q in (("25%", "q25"), ("50%", "q50"), ("75%", "q75"))})
     names = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
     out = _stat_rows(one, cols, names)
     order = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("statistic")).cast("int")

@@ -147,3 +147,30 @@ def test_scan_prunes_columns_and_pushes_filters(spark, sf_dir):
     plan = _plan(QUERIES["scan_parquet"](spark, sf_dir))
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_returnflag:string>" in plan
+
+
+def test_exact_quantiles_equal_brute_force(spark):
+    from costmart.operators.quantiles import exact_quantiles
+
+    rng = random.Random(11)
+    rows = []
+    for i in range(6000):
+        g = "hot" if i % 3 else rng.choice(["a", "b", "c"])
+        v = None if rng.random() < 0.05 else (float(rng.randint(0, 50)) if rng.random() < 0.5 else rng.uniform(-1e3, 1e3))
+        rows.append((g, v))
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+
+    def brute(vals, p):
+        vals = sorted(vals)
+        h = p * (len(vals) - 1)
+        lo, hi = int(h // 1), int(-(-h // 1))
+        return vals[lo] if lo == hi else (hi - h) * vals[lo] + (h - lo) * vals[hi]
+
+    got = {r.g: [r[f"q{p}"] for p in probs]
+           for r in exact_quantiles(df, "v", probs, ["g"], buckets=4, small=20).collect()}
+    for g in got:
+        vals = [v for gg, v in rows if gg == g and v is not None]
+        assert [round(x, 9) for x in got[g]] == [round(brute(vals, p), 9) for p in probs], g
+    one = exact_quantiles(df, "v", [0.5], buckets=8, small=10).first()["q0.5"]
+    assert round(one, 9) == round(brute([v for _, v in rows if v is not None], 0.5), 9)
