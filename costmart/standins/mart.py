@@ -158,3 +158,43 @@ def q_reconcile_fact(spark, sf_dir):
     t = fr.Tables(spark, sf_dir)
     fact = fact_from(t)
     return mart.reconcile_fact(fact, fr.admissions(t), fr.icustays(t), fr.prescriptions(t), fr.drug_price(t))
+
+
+DIAG_SQL = """diagnoses_icd as (select l_orderkey as hadm_id, cast(l_partkey % 97 as varchar) as icd_code,
+                         case when l_linenumber % 2 = 0 then '10' else '9' end as icd_version from lineitem),
+d_icd_diagnoses as (select cast(p_partkey % 97 as varchar) as icd_code,
+                           case when p_partkey % 2 = 0 then '10' else '9' end as icd_version,
+                           arg_min(p_name, p_partkey) as long_title
+                    from part group by 1, 2)"""
+
+
+def diagnoses_icd(t):
+    return t.lineitem.select(F.col("l_orderkey").alias("hadm_id"), (F.col("l_partkey") % 97).cast("string").alias("icd_code"),
+                             F.when(F.col("l_linenumber") % 2 == 0, "10").otherwise("9").alias("icd_version"))
+
+
+def d_icd_diagnoses(t):
+    """One title per (code, version): the name of the lowest part key mapping to it."""
+    from ..operators.aggregates import first_per_key
+
+    p = t.part.select((F.col("p_partkey") % 97).cast("string").alias("icd_code"),
+                      F.when(F.col("p_partkey") % 2 == 0, "10").otherwise("9").alias("icd_version"),
+                      F.col("p_name").alias("long_title"), "p_partkey")
+    return first_per_key(p, ["icd_code", "icd_version"], ["p_partkey"]).drop("p_partkey")
+
+
+@register("dim_diagnosis", "with " + DIAG_SQL + """
+select distinct d.icd_code, dd.long_title as description, d.icd_version
+from diagnoses_icd d left join d_icd_diagnoses dd on d.icd_code = dd.icd_code and d.icd_version = dd.icd_version""")
+def q_dim_diagnosis(spark, sf_dir):
+    t = fr.Tables(spark, sf_dir)
+    return mart.dim_diagnosis(diagnoses_icd(t), d_icd_diagnoses(t))
+
+
+@register("dim_hcpcs", """
+select distinct p_brand as hcpcs_code, p_name || ' service' as service_description, p_type as category from part""")
+def q_dim_hcpcs(spark, sf_dir):
+    p = fr.Tables(spark, sf_dir).part
+    codes = p.select(F.col("p_brand").alias("code"), F.concat("p_name", F.lit(" service")).alias("long_description"),
+                     F.col("p_type").alias("category"))
+    return mart.dim_hcpcs(codes)
