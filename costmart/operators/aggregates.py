@@ -51,7 +51,7 @@ def group_stats(df: DataFrame, keys: Sequence[str], col: str,
         src.select(*keys).distinct()
     if "median" in stats:
         from .quantiles import exact_quantiles
-        med = exact_quantiles(src, col, [0.5], keys, names=["median"])
+        med = exact_quantiles(src, col, [0.5], keys, names=["median"], cache_input=not df.is_cached)
         med = med.select(*[F.col(k).alias("_m_" + k) for k in keys], "median")
         cond = F.lit(True)
         for k in keys:
@@ -97,7 +97,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_x"))
                                             for c in cols])).alias("_s")).select("_s.*")
     qs = {r["_col"]: r for r in exact_quantiles(stacked, "_x", [0.25, 0.5, 0.75], ["_col"],
-                                                names=["q25", "q50", "q75"]).collect()}
+                                                names=["q25", "q50", "q75"], cache_input=not df.is_cached).collect()}
     for c in cols:
         r = qs.get(c)
         one = one.withColumns({f"{lab}__{c}": F.lit(r[q] if r else None).cast("double")

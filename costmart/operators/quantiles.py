@@ -18,7 +18,8 @@ narrowed pass by pass:
 Passes shrink intervals ~``buckets``-fold, so 1e12 rows need about three.
 The driver reads one scalar per pass (how many targets remain open).
 Targets are joined to rows on the group key (a broadcast of the target
-table behind a row-count check, else a shuffle join).
+table when its row count, known from the group count, is small; else a
+shuffle join).
 """
 
 from __future__ import annotations
@@ -30,16 +31,17 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
 
 BUCKETS = 4096
 SMALL = 50_000
 MAX_PASSES = 16
+# Largest target table (groups x ranks) joined to the rows by broadcast.
+MAX_BROADCAST_TARGETS = 1_000_000
 
 
-def _join_targets(src: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    t = broadcast_if_small(targets, 1_000_000)
-    t = t.select(*[F.col(k).alias("_t_" + k) for k in keys], *[c for c in t.columns if c not in keys])
+def _join_targets(src: DataFrame, targets: DataFrame, keys: Sequence[str], broadcast: bool) -> DataFrame:
+    t = F.broadcast(targets) if broadcast else targets
+    t = t.select(*[F.col(k).alias("_t_" + k) for k in keys], *[c for c in targets.columns if c not in keys])
     cond = reduce(lambda a, b: a & b, [src[k].eqNullSafe(t["_t_" + k]) for k in keys])
     j = src.join(t, cond, "inner").drop(*["_t_" + k for k in keys])
     return j.where((F.col("_x") >= F.col("_a")) & (F.col("_x") <= F.col("_b")))
@@ -47,48 +49,65 @@ def _join_targets(src: DataFrame, targets: DataFrame, keys: Sequence[str]) -> Da
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[str] = (),
                     names: Sequence[str] | None = None, buckets: int = BUCKETS, small: int = SMALL,
-                    max_passes: int = MAX_PASSES) -> DataFrame:
+                    max_passes: int = MAX_PASSES, cache_input: bool = True) -> DataFrame:
     """``keys..., <name per prob>``: exact quantiles of ``col`` per group (nulls ignored).
 
     Interpolation matches Spark's ``percentile``: position ``h = p(n-1)``,
     ``(ceil(h) - h) * v[floor(h)] + (h - floor(h)) * v[ceil(h)]``.
+    ``cache_input=False`` when ``df`` is cheap to re-read (derived from a
+    cached frame): each pass then scans it instead of a cached copy.
     """
     names = list(names) if names else [f"q{p}" for p in probs]
     gkeys = list(keys) or ["_g"]
     x = F.col(col).cast("double")
     base = df if keys else df.withColumn("_g", F.lit(0))
-    src = base.where(x.isNotNull()).select(*gkeys, x.alias("_x")).persist(StorageLevel.MEMORY_AND_DISK)
-    stats = src.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    src = base.where(x.isNotNull()).select(*gkeys, x.alias("_x"))
+    if cache_input:
+        src = src.persist(StorageLevel.MEMORY_AND_DISK)
+    # one row per group, read by every later step: computed once
+    stats = (src.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    info = stats.agg(F.count(F.lit(1)).alias("groups"), F.max("_n").alias("nmax")).first()
+    # the target table has at most 2 * len(probs) rows per group: broadcast it when that is small
+    bcast = info["groups"] * 2 * len(probs) <= MAX_BROADCAST_TARGETS
     pos = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
     ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(h), F.ceil(h)) for h in pos])))
     targets = (stats.select(*gkeys, F.explode(ranks).alias("_r"), "_lo", "_hi", "_n")
                     .select(*gkeys, F.col("_r").cast("long").alias("_r"), F.col("_lo").alias("_a"),
-                            F.col("_hi").alias("_b"), F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_cnt"))
-                    .checkpoint(eager=True))
+                            F.col("_hi").alias("_b"), F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_cnt")))
 
     open_ = (F.col("_a") < F.col("_b")) & (F.col("_cnt") > F.lit(small))
+    probe_cols = [*gkeys, "_a", "_b", "_below"]
+    largest_open = info["nmax"] or 0
     for _ in range(max_passes):
-        active = targets.where(open_)
-        if active.limit(1).count() == 0:
+        if largest_open <= small:
             break
-        j = _join_targets(src, active, gkeys)
+        active = targets.where(open_)
+        # ranks sharing an interval share one histogram: each row is counted once per pass
+        probes = active.select(*probe_cols).distinct()
+        j = _join_targets(src, probes, gkeys, bcast)
         bucket = F.least(F.floor((F.col("_x") - F.col("_a")) / (F.col("_b") - F.col("_a")) * F.lit(buckets)),
                          F.lit(buckets - 1)).cast("int")
-        h = (j.groupBy(*gkeys, "_r", "_below", bucket.alias("_k"))
+        h = (j.groupBy(*probe_cols, bucket.alias("_k"))
               .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")))
-        w = Window.partitionBy(*gkeys, "_r").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
-        h = h.withColumn("_cum", F.sum("_c").over(w))
-        start = F.col("_below") + F.col("_cum") - F.col("_c")
-        hit = h.where((start <= F.col("_r")) & (F.col("_r") < start + F.col("_c")))
+        w = Window.partitionBy(*gkeys, "_a", "_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
+        h = h.withColumn("_start", F.col("_below") + F.sum("_c").over(w) - F.col("_c"))
+        hit = active.select(*probe_cols, "_r").join(h, probe_cols)
+        hit = hit.where((F.col("_start") <= F.col("_r")) & (F.col("_r") < F.col("_start") + F.col("_c")))
         narrowed = hit.select(*gkeys, "_r", F.col("_bmin").alias("_a"), F.col("_bmax").alias("_b"),
-                              start.alias("_below"), F.col("_c").alias("_cnt"))
+                              F.col("_start").alias("_below"), F.col("_c").alias("_cnt"))
+        # an iterative loop: cut the lineage each pass (reliable checkpoint, shared folder)
         targets = targets.where(~open_).unionByName(narrowed).checkpoint(eager=True)
+        largest_open = targets.where(open_).agg(F.max("_cnt")).first()[0] or 0
 
     done = targets.where(F.col("_a") == F.col("_b")).select(*gkeys, "_r", F.col("_a").alias("_v"))
     rest = targets.where(F.col("_a") < F.col("_b"))
-    vals = (_join_targets(src, rest, gkeys)
-            .groupBy(*gkeys, "_r", "_below").agg(F.sort_array(F.collect_list("_x")).alias("_xs"))
-            .select(*gkeys, "_r", F.element_at("_xs", (F.col("_r") - F.col("_below") + 1).cast("int")).alias("_v")))
+    # each remaining interval holds at most `small` rows: collect it once, sorted
+    rest_probes = rest.select(*probe_cols).distinct()
+    sorted_vals = (_join_targets(src, rest_probes, gkeys, bcast)
+                   .groupBy(*probe_cols).agg(F.sort_array(F.collect_list("_x")).alias("_xs")))
+    vals = (rest.select(*probe_cols, "_r").join(sorted_vals, probe_cols)
+                .select(*gkeys, "_r", F.element_at("_xs", (F.col("_r") - F.col("_below") + 1).cast("int")).alias("_v")))
     values = done.unionByName(vals)
 
     by_rank = values.groupBy(*gkeys).agg(F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_m"))
@@ -99,7 +118,10 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Seque
         lo, hi = F.floor(h), F.ceil(h)
         vlo, vhi = F.element_at("_m", lo.cast("long")), F.element_at("_m", hi.cast("long"))
         cols.append(F.when(lo == hi, vlo).otherwise((hi - h) * vlo + (h - lo) * vhi).alias(name))
-    # the result is one row per group: materialise it, then release the cached column
-    result = out.select(*gkeys, *cols).checkpoint(eager=True)
-    src.unpersist()
+    result = out.select(*gkeys, *cols)
+    if cache_input:
+        # one row per group: materialise it, then release the cached column
+        result = result.checkpoint(eager=True)
+        src.unpersist()
+        stats.unpersist()
     return result if keys else result.drop("_g")
