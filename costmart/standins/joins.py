@@ -143,7 +143,7 @@ def q_path_two_hop(spark, sf_dir):
 
 EITHER_KEYS = """keys as (select p_name as k from part
                  union select p_brand from part
-                 union select p_name || '#' from part where p_partkey % 500 = 0)"""
+                 union select p_name || ' / ' || p_brand from part)"""
 
 
 @register("lookup_either_column", f"""
@@ -156,7 +156,7 @@ def q_lookup_either_column(spark, sf_dir):
     p = t.part
     keys = (p.select(F.col("p_name").alias("drug"))
              .union(p.select("p_brand"))
-             .union(p.where(F.col("p_partkey") % 500 == 0).select(F.concat("p_name", F.lit("#"))))
+             .union(p.select(F.concat("p_name", F.lit(" / "), "p_brand")))
              .distinct())
     ref = p.select("p_partkey", "p_name", "p_brand", "p_retailprice")
     return J.lookup_either_column(keys, "drug", ref, ["p_name", "p_brand"], "p_partkey")
