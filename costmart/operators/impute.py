@@ -8,7 +8,7 @@ takes the mean of every present target (duplicates included).
 Exact and shuffle-based, with no pair list and no single global sort:
 
 1. donors are reduced to one row per distinct feature value holding its k
-   lowest-key donors (a partially aggregated group-by);
+   lowest-key donors (a rank filter, limited per group before the shuffle);
 2. distinct values are range-bucketed by approximate quantiles (the only
    values read back are the bucket bounds);
 3. inside a bucket, a window over values supplies the k nearest donor
@@ -41,9 +41,12 @@ def knn_impute(df: DataFrame, target: str, feature: str, key: str, k: int = 3,
     entry_type = f"struct<feature:double,key:{dict(df.dtypes)[key]},target:double>"
     col_mean = df.agg(F.avg(t).alias("m")).first()["m"]
 
-    donors = df.where(t.isNotNull() & f.isNotNull()).select(
-        f.alias("v"), F.struct(F.col(key).alias("key"), t.alias("target")).alias("d"))
-    per_value = donors.groupBy("v").agg(F.slice(F.array_sort(F.collect_list("d")), 1, k).alias("ds"))
+    donors = df.where(t.isNotNull() & f.isNotNull()).select(f.alias("v"), F.col(key).alias("key"), t.alias("target"))
+    # the k lowest-key donors per value: a rank filter Spark runs as a WindowGroupLimit before the
+    # shuffle too, so a value shared by a third of the rows never reaches one task whole
+    ranked = donors.withColumn("_rk", F.row_number().over(Window.partitionBy("v").orderBy("key", "target")))
+    per_value = (ranked.where(F.col("_rk") <= k)
+                       .groupBy("v").agg(F.array_sort(F.collect_list(F.struct("key", "target"))).alias("ds")))
     wanted = df.where(t.isNull() & f.isNotNull()).select(f.alias("v")).distinct()
     values = (per_value.join(wanted.withColumn("recipient", F.lit(True)), "v", "full_outer")
                        .withColumn("recipient", F.coalesce("recipient", F.lit(False))))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 4096
 SMALL = 50_000
-MAX_PASSES = 16
+MAX_PASSES = 64
 # Largest target table (groups x ranks) joined to the rows by broadcast.
 MAX_BROADCAST_TARGETS = 1_000_000
 
@@ -100,6 +100,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Seque
         targets = targets.where(~open_).unionByName(narrowed).checkpoint(eager=True)
         largest_open = targets.where(open_).agg(F.max("_cnt")).first()[0] or 0
 
+    if largest_open > small:
+        # never fall through to collecting an interval larger than `small`
+        raise RuntimeError(f"exact_quantiles: an interval still holds {largest_open} rows after {max_passes} passes")
     done = targets.where(F.col("_a") == F.col("_b")).select(*gkeys, "_r", F.col("_a").alias("_v"))
     rest = targets.where(F.col("_a") < F.col("_b"))
     # each remaining interval holds at most `small` rows: collect it once, sorted
