@@ -60,7 +60,7 @@ def q_group_mean_all_labels(spark, sf_dir):
 
 
 @register("nested_group", """
-select c_nationkey, count(*) as members_n, sum(c_custkey) as members_id_sum, min(c_custkey) as members_id_min,
+select c_nationkey, count(*) as members_n, cast(sum(c_custkey) as bigint) as members_id_sum, min(c_custkey) as members_id_min,
        max(c_custkey) as members_id_max
 from customer group by c_nationkey""")
 def q_nested_group(spark, sf_dir):
@@ -89,7 +89,7 @@ def q_first_per_key(spark, sf_dir):
 
 @register("collect_distinct", """
 with p as (select distinct o_custkey, l_suppkey from lineitem join orders on l_orderkey = o_orderkey)
-select o_custkey, count(*) as vendors_n, sum(l_suppkey) as vendors_id_sum, min(l_suppkey) as vendors_id_min,
+select o_custkey, count(*) as vendors_n, cast(sum(l_suppkey) as bigint) as vendors_id_sum, min(l_suppkey) as vendors_id_min,
        max(l_suppkey) as vendors_id_max
 from p group by o_custkey""")
 def q_collect_distinct(spark, sf_dir):

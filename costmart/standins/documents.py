@@ -55,7 +55,7 @@ def _union(parts):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-SUMMARY = "count({id}) as m_n, sum({id}) as m_id_sum, min({id}) as m_id_min, max({id}) as m_id_max"
+SUMMARY = "count({id}) as m_n, cast(sum({id}) as bigint) as m_id_sum, min({id}) as m_id_min, max({id}) as m_id_max"
 
 DOC_CTES = f"""with emp as (select cast(c_nationkey as varchar) as AGENT_ID, c_custkey as emp_no from customer),
 ven as (select s_suppkey as vendor_no, {VENDOR_ID} as VENDOR_ID from supplier),
@@ -81,7 +81,7 @@ select 'employees' as query, AGENT_ID as company, cast(null as varchar) as categ
 from emp where AGENT_ID in (select AGENT_ID from ge) group by AGENT_ID
 union all
 select 'vendors', AGENT_ID, null, cast(sum(len(arr)) as bigint),
-       case when sum(len(arr)) > 0 then sum(list_sum(arr)) end, min(list_min(arr)), max(list_max(arr))
+       case when sum(len(arr)) > 0 then cast(sum(list_sum(arr)) as bigint) end, min(list_min(arr)), max(list_max(arr))
 from ds group by AGENT_ID
 union all
 select 'policies', AGENT_ID, INSURANCE_TYPE, {SUMMARY.format(id='policy_no')}

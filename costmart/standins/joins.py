@@ -98,7 +98,7 @@ SUPP_LK = "case when s_suppkey % 17 = 0 then null else s_nationkey end"
 @register("lookup_nested", f"""
 with l as (select n_nationkey, n_name, {NATION_LK} as lk from nation),
 r as (select s_suppkey, s_name, {SUPP_LK} as rk from supplier)
-select n_nationkey, n_name, count(s_suppkey) as vendors_n, sum(s_suppkey) as vendors_id_sum,
+select n_nationkey, n_name, count(s_suppkey) as vendors_n, cast(sum(s_suppkey) as bigint) as vendors_id_sum,
        min(s_suppkey) as vendors_id_min, max(s_suppkey) as vendors_id_max
 from l left join r on l.lk is not distinct from r.rk group by n_nationkey, n_name""")
 def q_lookup_nested(spark, sf_dir):

@@ -113,7 +113,7 @@ def q_filter_equals(spark, sf_dir):
 
 
 @register("const_columns", """
-select l_orderkey, l_linenumber, l_partkey, 'LAB' as event_type, 0.0 as cost,
+select l_orderkey, l_linenumber, l_partkey, 'LAB' as event_type, cast(0 as double) as cost,
        cast(null as varchar) as location_id, cast(null as varchar) as med_id
 from lineitem""")
 def q_const_columns(spark, sf_dir):

@@ -58,7 +58,7 @@ CTE = {
   from supplier join nation on s_nationkey = n_nationkey)""",
     "lab_price": """lab_price as (
   select n_name as label, (n_nationkey + 1) * 0.75 as price from nation where n_nationkey % 7 <> 0)""",
-    "nurse_wages": """nurse_wages as (select n_name as "State", 40.0 + n_nationkey as hourly_wage from nation)""",
+    "nurse_wages": """nurse_wages as (select n_name as "State", cast(40.0 + n_nationkey as double) as hourly_wage from nation)""",
     "nurse_ratios": """nurse_ratios as (
   select ' ' || n_name || ' ' as "State",
          cast(n_regionkey + 1 as varchar) || ':' || cast(n_nationkey % 3 + 2 as varchar) as nurse_patient_ratio

@@ -37,8 +37,8 @@ def _claims(t):
 
 @register("top_k_per_group", f"""
 with {CLAIMS_SQL}
-select * from (select *, row_number() over (partition by c_nationkey, o_orderpriority
-                                            order by claim desc nulls last, o_orderkey) as rank from claims)
+select * from (select *, cast(row_number() over (partition by c_nationkey, o_orderpriority
+                                            order by claim desc nulls last, o_orderkey) as int) as rank from claims)
 where rank <= 5""")
 def q_top_k_per_group(spark, sf_dir):
     return W.top_k_per_group(_claims(_t(spark, sf_dir)), ["c_nationkey", "o_orderpriority"], "claim", 5,
