@@ -11,22 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..fixed import (AGE_EDGES, AGE_LABELS, COST_CAP, DEFAULT_CODE, REDRAW_HIGH,  # noqa: F401
+                     REDRAW_LOW, TABLET_WORD, UNIT_TYPE_PATTERN)
+
 ColumnOrName = Column | str
 
-# Fixed values that must equal the reference's for equal results.
-# ICU unit names carry their type in the first parenthesised part.
-UNIT_TYPE_PATTERN = r"\((.*?)\)"
-# Age bands: right-closed bins (0,18], (18,40], (40,65], (65,999].
-AGE_EDGES = (0, 18, 40, 65, 999)
-AGE_LABELS = ("child", "adult", "senior", "elderly")
-# Package sizes are read from names that mention tablets.
-TABLET_WORD = "tab"
-# Medicine costs are capped at 400; values at the cap are redrawn in [100, 400).
-COST_CAP = 400.0
-REDRAW_LOW = 100.0
-REDRAW_HIGH = 400.0
-# Code used when a prescription carries no usable code.
-DEFAULT_CODE = "00000"
 # ASCII whitespace run, spelled out so every regex engine reads it alike.
 WHITESPACE_RUN = r"[ \t\n\x0B\f\r]+"
 

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from .columns import DEFAULT_CODE, code_tokens, hashed_id
 
-# Default lab price per category when the matched price is
-# missing or zero (other categories keep their price).
-DEFAULT_LAB_PRICES = (("blood gas", 8.0), ("chemistry", 75.0), ("hematology", 100.0))
+from ..fixed import DEFAULT_LAB_PRICES
+
 # Largest choice list assign_random_category numbers in one window and broadcasts.
 MAX_CHOICES = 100_000
 

@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import WHITESPACE_RUN
 
-# Fixed value: the matchers accept a best match scoring at least 80.
-MATCH_THRESHOLD = 80.0
+from ..fixed import MATCH_THRESHOLD
+
 # Slack for the pruning bounds: 1 - 0.8 is 0.19999999999999996 in binary
 # floating point, and a bound must never cut a pair sitting exactly on it.
 EPS = 1e-6

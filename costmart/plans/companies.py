@@ -21,9 +21,7 @@ from ..operators import joins as J
 from ..operators import nested as N
 from ..operators import windows as W
 
-# The interactive queries return 20 groups and 5 claims per group.
-GROUP_LIMIT = 20
-TOP_CLAIMS = 5
+from ..fixed import GROUP_LIMIT, TOP_CLAIMS
 
 
 def employees_by_company(employee: DataFrame, order: str, limit: int | None = GROUP_LIMIT) -> DataFrame:

@@ -25,8 +25,7 @@ from ..operators.impute import knn_impute
 from ..operators.joins import lookup_either_column
 from ..operators.similarity import MATCH_THRESHOLD, fuzzy_best_match
 
-# Fixed value: neighbours used to impute a missing medicine cost.
-IMPUTE_NEIGHBOURS = 3
+from ..fixed import IMPUTE_NEIGHBOURS
 
 
 def medicine_mapping(medicine_prices: DataFrame, trade_names: DataFrame, row_order: str,
