@@ -8,7 +8,6 @@ expressions, so the work grows with the tables. The oracle SQL in
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F

@@ -10,7 +10,7 @@ from ..operators import joins as J
 from ..operators import nested as N
 from ..plans import mart
 from . import frames as fr
-from .sql import CTE, LAB_COST, MED_COST, STAYS, with_
+from .sql import MED_COST, STAYS, with_
 
 
 def _t(spark, sf_dir):

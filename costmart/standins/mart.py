@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..catalog import register
 from ..plans import mart
 from . import frames as fr
-from .sql import CTE, FACT_WITH, STAYS, with_
+from .sql import CTE, FACT_WITH, with_
 
 FACT_COLS = ("patient_id, admission_id, stay_id, icu_admit_date, icu_discharge_date, total_icu_days, "
              "hospital_expire_flag, survived, lab_tests_cost, medicine_cost, total_cost")

@@ -48,3 +48,29 @@ def test_docs_to_json_renders_nested_groups(spark):
     js = {r.json for r in S.docs_to_json(g, ["company", "employees"]).collect()}
     assert js == {'{"company":"a","employees":[{"emp":1,"company":"a"},{"emp":2,"company":"a"}]}',
                   '{"company":"b","employees":[{"emp":3,"company":"b"}]}'}
+
+
+def test_etl_job_from_raw_csv_matches_typed_build(spark, sf_dir):
+    """The batch job reads every raw table as headered all-text CSV; its fact must agree
+    with the fact built from typed frames (ids come back as text)."""
+    from costmart.plans import jobs
+
+    t = fr.Tables(spark, sf_dir)
+    raw = fr.raw_hospital(t)
+    base = scratch_path(spark, "raw-csv")
+    paths = {}
+    for name, df in raw.items():
+        paths[name] = f"{base}/{name}"
+        S.sink_csv(df, paths[name])
+    out = jobs.etl_job(spark, paths, scratch_path(spark, "mart-from-csv"))
+    fact_csv = spark.read.parquet(out["fact_icustay"])
+    fact_typed = mart.fact_stay_cost(raw["admissions"], raw["icustays"], raw["prescriptions"], raw["drug_price"],
+                                     raw["lab_events"], raw["lab_items"], raw["lab_price"])
+    key = ["stay_id", "lab_tests_cost", "medicine_cost", "total_cost", "survived"]
+    a = {tuple(r) for r in fact_csv.select(F.col("stay_id").cast("long"), *key[1:]).collect()}
+    b = {tuple(r) for r in fact_typed.select(*key).collect()}
+    assert a == b
+    assert spark.read.parquet(out["dim_date"]).count() == mart.dim_date(fact_typed).count()
+    assert set(jobs.WAREHOUSE_COLUMNS) == set(out)
+    for name, cols in jobs.WAREHOUSE_COLUMNS.items():
+        assert set(cols) <= set(spark.read.parquet(out[name]).columns), name
