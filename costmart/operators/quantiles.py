@@ -121,10 +121,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Seque
         lo, hi = F.floor(h), F.ceil(h)
         vlo, vhi = F.element_at("_m", lo.cast("long")), F.element_at("_m", hi.cast("long"))
         cols.append(F.when(lo == hi, vlo).otherwise((hi - h) * vlo + (h - lo) * vhi).alias(name))
-    result = out.select(*gkeys, *cols)
+    # one row per group: materialise it, then release what this function cached
+    result = out.select(*gkeys, *cols).checkpoint(eager=True)
+    stats.unpersist()
     if cache_input:
-        # one row per group: materialise it, then release the cached column
-        result = result.checkpoint(eager=True)
         src.unpersist()
-        stats.unpersist()
     return result if keys else result.drop("_g")

@@ -80,8 +80,13 @@ def _long(df: DataFrame, report: str, label: Column, stats: dict[str, Column]) -
 def cost_reports(mart: DataFrame, bins: int = 30, top_drg: int = 10) -> DataFrame:
     """The nine summaries: describe, stay-length histogram, mean cost by unit type,
     stays per month, mean cost by outcome, correlations, DRG stats (top by mean),
-    mean cost by age band (all bands), labour vs supply shares."""
-    m = mart.persist()  # read by nine aggregates
+    mean cost by age band (all bands), labour vs supply shares.
+
+    Runs eagerly: the mart is cached while the nine aggregates read it, the
+    (small) result is materialised by a reliable checkpoint, then the cache
+    is released.
+    """
+    m = mart.persist()  # read by nine aggregates; released once the small result is written
     desc = A.describe_numeric(m, NUMERIC)
     desc_long = reduce(lambda a, b: a.unionByName(b), [
         desc.select(F.lit("describe").alias("report"), F.lit(c).alias("label"), F.col("statistic").alias("stat"),
@@ -109,4 +114,6 @@ def cost_reports(mart: DataFrame, bins: int = 30, top_drg: int = 10) -> DataFram
               {"labor_sum": F.col("labor_cost_sum"), "supply_sum": F.col("supply_cost_sum"),
                "labor_pct": F.col("labor_cost_pct"), "supply_pct": F.col("supply_cost_pct")}),
     ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    report = reduce(lambda a, b: a.unionByName(b), parts).checkpoint(eager=True)
+    m.unpersist()
+    return report
