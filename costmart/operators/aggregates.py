@@ -10,11 +10,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+# Money accumulates in a decimal: exact, so sums do not depend on partitioning; 10 decimals keep
+# imputed and redrawn costs (not rounded to cents) equal to their double values.
+MONEY = "decimal(28,10)"
 
 
 def money_sum(c: str | Column) -> Column:
-    """Sum money in ``decimal(18,2)`` (result independent of partitioning), returned as double."""
+    """Sum money in ``MONEY`` decimal (result independent of partitioning), returned as double."""
     col = F.col(c) if isinstance(c, str) else c
     return F.sum(col.cast(MONEY)).cast("double")
 
@@ -154,7 +156,7 @@ def share_of_total(df: DataFrame, cols: Sequence[str], by: Sequence[str] | None
                    money: bool = False) -> DataFrame:
     """Sums of ``cols`` and each one's percentage of their combined sum (per group if ``by``).
 
-    ``money`` sums in ``decimal(18,2)`` (exact, independent of partitioning).
+    ``money`` sums in the ``MONEY`` decimal (exact, independent of partitioning).
     """
     sums = [(money_sum(c) if money else F.sum(F.col(c).cast("double"))).alias(f"{c}_sum") for c in cols]
     out = df.groupBy(*by).agg(*sums) if by else df.agg(*sums)

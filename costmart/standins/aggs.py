@@ -29,7 +29,7 @@ def q_distinct_project(spark, sf_dir):
 
 
 @register("sum_by_key", """
-select l_orderkey, cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as medicine_cost
+select l_orderkey, cast(sum(cast(l_extendedprice as decimal(28,10))) as double) as medicine_cost
 from lineitem group by l_orderkey""")
 def q_sum_by_key(spark, sf_dir):
     return A.sum_by_key(_t(spark, sf_dir).lineitem, ["l_orderkey"], "l_extendedprice", "medicine_cost")

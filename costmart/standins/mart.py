@@ -107,7 +107,7 @@ _RX_NORM = """rxn as (select * replace (lower(trim(drug)) as drug) from prescrip
 FACT_EVENT_SQL = with_("lab_items", "lab_price", "drug_price", "lab_events", extra=(
     CTE["prescriptions"].replace("prescriptions as (", "prescriptions_s as ("),
     _RX_NORM, _modal_sql("rxn", "drug"),
-    """priced_items as (select li.itemid, cast(lp.price as decimal(18,2)) as price from lab_items li
+    """priced_items as (select li.itemid, cast(lp.price as decimal(28,10)) as price from lab_items li
                      join lab_price lp on lower(trim(li.label)) = lower(trim(lp.label)))""",
     """labe as (select o_custkey as patient_id, e.hadm_id as admission_id, e.charttime as event_date,
                   cast(e.itemid as varchar) as lab_item_id, cast(e.itemid as varchar) as source_code,
@@ -120,7 +120,7 @@ FACT_EVENT_SQL = with_("lab_items", "lab_price", "drug_price", "lab_events", ext
            from lab_events e join orders on e.hadm_id = o_orderkey left join priced_items pi on e.itemid = pi.itemid)""",
     f"""mede as (select o_custkey as patient_id, r.hadm_id as admission_id, r.starttime as event_date,
                   cast(null as varchar) as lab_item_id, {_resolved_sql('drug')} as source_code,
-                  cast(coalesce(cast(dp.cost as decimal(18,2)), 0) as double) as cost,
+                  cast(coalesce(cast(dp.cost as decimal(28,10)), 0) as double) as cost,
                   sha256(concat_ws('|', 'MED', cast(r.l_orderkey as varchar), cast(r.l_linenumber as varchar),
                                    cast(r.l_partkey as varchar), cast(r.l_suppkey as varchar))) as event_id,
                   'MED' as event_type, cast(null as varchar) as location_id, cast(null as varchar) as med_id,
@@ -144,7 +144,7 @@ def q_fact_cost_event(spark, sf_dir):
 
 
 @register("reconcile_fact", FACT_WITH + """
-, medl as (select p.hadm_id, cast(sum(cast(d.cost as decimal(18,2))) as double) as rebuilt_medicine_cost
+, medl as (select p.hadm_id, cast(sum(cast(d.cost as decimal(28,10))) as double) as rebuilt_medicine_cost
            from prescriptions p left join drug_price d on lower(trim(p.drug)) = lower(trim(d.drug)) group by p.hadm_id),
 rebuilt as (select s.stay_id, coalesce(medl.rebuilt_medicine_cost, 0.0) as rebuilt_medicine_cost
             from stays s left join medl on s.admission_id = medl.hadm_id),

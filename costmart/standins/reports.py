@@ -90,8 +90,8 @@ drg as (select drg_category, avg(total_cost) as mean, median(total_cost) as medi
         from mart2 where drg_category is not null group by 1 order by mean desc, drg_category limit 10),
 labs as (select * from (values ('child', 0), ('adult', 1), ('senior', 2), ('elderly', 3)) v(age_group, o)),
 age as (select age_group, avg(total_cost) as mean from mart2 where age_group is not null group by 1),
-sh as (select cast(sum(cast(labor_cost as decimal(18,2))) as double) as a,
-              cast(sum(cast(supply_cost as decimal(18,2))) as double) as b from mart2)
+sh as (select cast(sum(cast(labor_cost as decimal(28,10))) as double) as a,
+              cast(sum(cast(supply_cost as decimal(28,10))) as double) as b from mart2)
 select 'describe' as report, 'x' as label, 'x' as stat, 0.0 as value where false
 union all
 {_describe(NUM)}

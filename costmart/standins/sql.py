@@ -74,19 +74,19 @@ STAYS = """stays as (
   from admissions a join icustays i on a.hadm_id = i.hadm_id)"""
 
 MED_COST = """med as (
-  select p.hadm_id, cast(sum(cast(d.cost as decimal(18,2))) as double) as medicine_cost
+  select p.hadm_id, cast(sum(cast(d.cost as decimal(28,10))) as double) as medicine_cost
   from prescriptions p join drug_price d on lower(trim(p.drug)) = lower(trim(d.drug)) group by p.hadm_id)"""
 
 LAB_COST = """lab as (
-  select e.hadm_id, cast(sum(cast(lp.price as decimal(18,2))) as double) as lab_tests_cost
+  select e.hadm_id, cast(sum(cast(lp.price as decimal(28,10))) as double) as lab_tests_cost
   from lab_events e join lab_items li on e.itemid = li.itemid
        join lab_price lp on lower(trim(li.label)) = lower(trim(lp.label))
   group by e.hadm_id)"""
 
 FACT = """fact as (
   select s.*, coalesce(lab.lab_tests_cost, 0.0) as lab_tests_cost, coalesce(med.medicine_cost, 0.0) as medicine_cost,
-         cast(cast(coalesce(lab.lab_tests_cost, 0.0) as decimal(18,2))
-              + cast(coalesce(med.medicine_cost, 0.0) as decimal(18,2)) as double) as total_cost
+         cast(cast(coalesce(lab.lab_tests_cost, 0.0) as decimal(28,10))
+              + cast(coalesce(med.medicine_cost, 0.0) as decimal(28,10)) as double) as total_cost
   from stays s left join med on s.admission_id = med.hadm_id left join lab on s.admission_id = lab.hadm_id)"""
 
 

@@ -1,0 +1,6 @@
+"""Streaming: nothing to build.
+
+The reference has no stream source, watermark, window, state or late-data
+handling; every load is a full batch truncate-and-load (SURVEY §2.9). The
+batch jobs live in ``costmart.plans.jobs``.
+"""
