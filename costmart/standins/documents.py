@@ -156,3 +156,12 @@ def q_company_graph_queries(spark, sf_dir):
                            "top_claims", "p_id", "m")
     return _union([_tag(e, "employees", "company", None), _tag(v, "vendors", "agent", "employeeName"),
                    _tag(p, "policies", "company", "category"), _tag(k, "top_claims", "company", "category")])
+
+
+@register("vendors_by_company_flat", DOC_CTES + """
+select distinct AGENT_ID as company, unnest(arr) as vendor_no from ds""")
+def q_vendors_by_company_flat(spark, sf_dir):
+    """The vendor sets per company flattened to distinct (company, vendor) rows."""
+    t = fr.Tables(spark, sf_dir)
+    flat = CO.vendors_by_company_flat(insurance_docs(t), vendor_docs(t), "vendor_no")
+    return flat.select("company", "vendor_no")

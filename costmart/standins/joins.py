@@ -160,3 +160,20 @@ def q_lookup_either_column(spark, sf_dir):
              .distinct())
     ref = p.select("p_partkey", "p_name", "p_brand", "p_retailprice")
     return J.lookup_either_column(keys, "drug", ref, ["p_name", "p_brand"], "p_partkey")
+
+
+@register("join_star_one_row_per_key", with_("patients", "admissions", "icustays", extra=(STAYS,)) + """
+, dp as (select distinct p.subject_id as patient_id, p.gender, a.race, p.anchor_year as birth_year, a.marital_status,
+                p.anchor_age as age from patients p left join admissions a on p.subject_id = a.subject_id),
+dp1 as (select * exclude (rn) from (
+          select *, row_number() over (partition by patient_id order by gender nulls first, race nulls first,
+                                        birth_year nulls first, marital_status nulls first, age nulls first) as rn
+          from dp) where rn = 1)
+select s.stay_id, s.patient_id, dp1.gender, dp1.race, dp1.birth_year, dp1.marital_status, dp1.age
+from stays s left join dp1 on s.patient_id = dp1.patient_id""")
+def q_join_star_one_row_per_key(spark, sf_dir):
+    """Stays joined to the patient dimension with its fan-out removed (first row per patient)."""
+    t = _t(spark, sf_dir)
+    s = mart.stays(fr.admissions(t), fr.icustays(t)).select("stay_id", "patient_id")
+    dim = mart.dim_patient(fr.patients(t), fr.admissions(t))
+    return J.join_star(s, [(dim, "patient_id", "patient_id")], one_row_per_dim_key=True)
