@@ -41,8 +41,8 @@ def stay_mart(fact: DataFrame, dim_patient: DataFrame, dim_admission: DataFrame,
     f = fact.withColumns({"_admit_day": F.col("icu_admit_date").cast("date"),
                           "_disch_day": F.col("icu_discharge_date").cast("date")})
     dd = dim_date
-    df = join_star(f, [(dim_patient, "patient_id", "patient_id"), (dim_admission, "admission_id", "admission_id"),
-                       (dim_icu_unit, "stay_id", "unit_id"),
+    # dimensions with one row per stay first, so their joins see stays, not fanned-out rows
+    df = join_star(f, [(dim_icu_unit, "stay_id", "unit_id"),
                        (suffix_columns(dd, "_adm"), "_admit_day", "calendar_date_adm"),
                        (suffix_columns(dd, "_dis"), "_disch_day", "calendar_date_dis")],
                    one_row_per_dim_key=one_row_per_dim_key).drop("_admit_day", "_disch_day")
@@ -62,6 +62,9 @@ def stay_mart(fact: DataFrame, dim_patient: DataFrame, dim_admission: DataFrame,
     nurses, patients = parse_ratio("nurse_patient_ratio")
     df = (df.join(wages, "State", "left").join(ratios, "State", "left")
             .withColumns({"icu_nurses": nurses, "icu_patients": patients}))
+    # the dimensions that may repeat a key (several race or DRG rows) last
+    df = join_star(df, [(dim_patient, "patient_id", "patient_id"), (dim_admission, "admission_id", "admission_id")],
+                   one_row_per_dim_key=one_row_per_dim_key)
     return df.withColumns({
         "age_group": bin_labels("age"),
         "admit_month": month_period("calendar_date_adm"),
