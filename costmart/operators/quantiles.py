@@ -15,7 +15,7 @@ narrowed pass by pass:
 3. once an interval holds at most ``small`` rows (or one value), its
    values are collected (bounded) and the rank is read off.
 
-Passes shrink intervals ~``buckets``-fold, so 1e12 rows need about three.
+Passes shrink intervals ~``buckets``-fold, so 1e12 rows need two.
 The driver reads one scalar per pass (how many targets remain open).
 Targets are joined to rows on the group key (a broadcast of the target
 table when its row count, known from the group count, is small; else a
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 
 BUCKETS = 4096
-SMALL = 50_000
+SMALL = 2_000_000  # values collected (sorted) per interval at the end: at most 16 MB
 MAX_PASSES = 64
 # Largest target table (groups x ranks) joined to the rows by broadcast.
 MAX_BROADCAST_TARGETS = 1_000_000
