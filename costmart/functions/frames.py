@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .columns import DEFAULT_CODE, code_tokens, hashed_id
+from .columns import DEFAULT_CODE, WHITESPACE_RUN, code_tokens, hashed_id
 
 from ..fixed import DEFAULT_LAB_PRICES
 
@@ -127,13 +127,13 @@ def resolve_code(df: DataFrame, name: str, codes: str, modal: DataFrame, modal_n
     """One code per row from a free-text code list.
 
     One token -> that token; several (or none) -> the name's modal code,
-    else the first token; null/blank/unmapped-empty -> ``default``.
+    else the first token; null, whitespace-only or unmapped-empty -> ``default``.
     ``modal`` is one row per name (see ``operators.windows.modal_value``).
     """
     m = modal.select(F.col(modal_name).alias("_m_name"), F.col(modal_code).alias("_m_code"))
     toks = code_tokens(codes)
     joined = df.join(m, df[name].eqNullSafe(m["_m_name"]), "left")
-    blank = F.col(codes).isNull() | (F.trim(F.col(codes)) == F.lit(""))
+    blank = F.col(codes).isNull() | (F.regexp_replace(F.col(codes), WHITESPACE_RUN, "") == F.lit(""))
     resolved = (F.when(blank, F.lit(default))
                  .when(F.size(toks) == F.lit(1), F.get(toks, 0))
                  .otherwise(F.coalesce(F.col("_m_code"), F.get(toks, 0), F.lit(default))))

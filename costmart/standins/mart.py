@@ -78,7 +78,7 @@ modal as (select drug_name, tok as most_freq_gsn
 
 def _resolved_sql(name: str) -> str:
     toks = _TOKS.format(c="gsn")
-    return f"""case when gsn is null or trim(gsn) = '' then '00000'
+    return f"""case when gsn is null or regexp_replace(gsn, '[ \\t\\n\\x0B\\f\\r]+', '', 'g') = '' then '00000'
             when len({toks}) = 1 then ({toks})[1]
             else coalesce(modal.most_freq_gsn, ({toks})[1], '00000') end"""
 
