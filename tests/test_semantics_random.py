@@ -57,3 +57,48 @@ def test_code_resolution_semantics(spark, rows):
     got = [r.code for r in FR.resolve_code(df, "drug", "gsn", modal_df, "drug_name", "code", "code")
            .orderBy("i").collect()]
     assert got == want
+
+
+def py_extract_count(size, name):
+    if size is not None:
+        return float(size)
+    if name is not None and "tab" in name.lower():
+        m = re.search(r"(\d+)", name)
+        if m:
+            return float(int(m.group(1)))
+    return None
+
+
+def py_band(age):
+    if age is None:
+        return None
+    for lo, hi, lab in zip(C.AGE_EDGES[:-1], C.AGE_EDGES[1:], C.AGE_LABELS):
+        if lo < age <= hi:
+            return lab
+    return None
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 60)),
+                          st.one_of(st.none(), st.text(alphabet="TaBb 0123x:", max_size=10)),
+                          st.one_of(st.none(), st.integers(-5, 1100))), min_size=1, max_size=40))
+def test_count_band_ratio_semantics(spark, rows):
+    df = spark.createDataFrame([(i, s, n, a) for i, (s, n, a) in enumerate(rows)],
+                               "i int, size int, name string, age int")
+    nurses, patients = C.parse_ratio("name")
+    out = df.select("i", C.extract_count("size", "name").alias("pc"), C.bin_labels("age").alias("band"),
+                    nurses.alias("a"), patients.alias("b")).orderBy("i").collect()
+    for r, (s, n, a) in zip(out, rows):
+        assert r.pc == py_extract_count(s, n)
+        assert r.band == py_band(a)
+        if n is None:
+            assert (r.a, r.b) == (None, None)
+        else:
+            parts = n.split(":")
+
+            def num(x):
+                try:
+                    return float(x.strip())
+                except ValueError:
+                    return None
+            assert (r.a, r.b) == (num(parts[0]), num(parts[1]) if len(parts) > 1 else None)
