@@ -6,55 +6,22 @@ Prints one line per query: rows, schema and order-insensitive value match.
 
 from __future__ import annotations
 
-import datetime as dt
-import decimal
-import math
 import os
 import sys
 import time
 
-import duckdb
-
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from costmart.catalog import ORACLE_SQL, QUERIES  # noqa: E402
 from costmart.session import build_session  # noqa: E402
-from costmart.standins.frames import TABLES  # noqa: E402
-
-
-def norm(v):
-    if v is None:
-        return None
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return float(f"{v:.9g}")
-    if isinstance(v, decimal.Decimal):
-        return float(f"{float(v):.9g}")
-    if isinstance(v, (dt.datetime, dt.date)):
-        return v.isoformat()
-    if isinstance(v, (list, tuple)):
-        return tuple(norm(x) for x in v)
-    if isinstance(v, dict):
-        return tuple(sorted((k, norm(x)) for k, x in v.items()))
-    if hasattr(v, "asDict"):
-        return norm(v.asDict())
-    return v
-
-
-def canon(cols, rows):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    out = [tuple(norm(r[i]) for i in order) for r in rows]
-    return sorted(out, key=repr)
+from tests.compare import canon, duck  # noqa: E402
 
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or sorted(QUERIES)
     spark = build_session("local[8]", 8)
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
+    con = duck(sf_dir)
     bad = 0
     for name in names:
         t0 = time.time()
