@@ -9,9 +9,9 @@ empty and x or y empty -> 100; otherwise the largest of
 ``100 - 100·(p + |x|) / (2s + p + |x|)`` and the same with y, where
 ``indel = |x| + |y| - 2·LCS(x, y)``.
 
-No pair list is ever built whole. Candidates come from three equi joins
-on features, each pruned by prefix filtering (rarest features first, by
-their frequency over both sides), which is exact for a threshold: a pair
+No pair list is ever built whole. Candidates come from equi joins on three
+kinds of features, each pruned by prefix filtering (rarest features first,
+by their frequency over both sides), which is exact for a threshold: a pair
 scoring at least ``threshold`` always shares a feature in the probed
 prefixes.
 
@@ -27,10 +27,12 @@ prefixes.
 * character route: pairs too short for the bigram bound share a character
   (LCS >= (1-δ)(a+b)/2), prefix-filtered the same way.
 
-Scores are computed with native higher-order functions (the LCS as a
-dynamic-programming row folded over characters), then the best choice per
+Scores are native expressions computed once per distinct candidate pair:
+the LCS is the bit-parallel recurrence on 64-bit longs for texts up to 62
+characters (a dynamic-programming row fold beyond), and it is skipped when
+its upper bound cannot beat the intersection ratios. The best choice per
 text is a partially aggregated ``min_by`` (highest score, then the lowest
-choice text).
+choice text); the threshold is applied after it.
 """
 
 from __future__ import annotations
@@ -40,9 +42,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import WHITESPACE_RUN
-
 from ..fixed import MATCH_THRESHOLD
+from ..functions.columns import WHITESPACE_RUN
 
 # Slack for the pruning bounds: 1 - 0.8 is 0.19999999999999996 in binary
 # floating point, and a bound must never cut a pair sitting exactly on it.
