@@ -16,7 +16,8 @@ narrowed pass by pass:
    values are collected (bounded) and the rank is read off.
 
 Passes shrink intervals ~``buckets``-fold, so 1e12 rows need two.
-The driver reads one scalar per pass (how many targets remain open).
+The driver reads one scalar per pass (the largest interval still open); ranks
+sharing an interval share one histogram, so each row is counted once per pass.
 Targets are joined to rows on the group key (a broadcast of the target
 table when its row count, known from the group count, is small; else a
 shuffle join).
