@@ -70,14 +70,14 @@ def _care_unit():
 
 
 def icustays(t: Tables) -> DataFrame:
-    """Finished orders are stays; every 13th admission has a second stay a day later."""
+    """Finished orders are stays; urgent admissions have a second stay a day later."""
     o = t.orders.where(F.col("o_orderstatus") == "F")
     days = (F.col("o_orderkey") % 10).cast("int")
     first = o.select(F.col("o_custkey").alias("subject_id"), F.col("o_orderkey").alias("hadm_id"),
                      F.col("o_orderkey").alias("stay_id"), F.col("o_orderdate").alias("intime"),
                      F.timestamp_add("DAY", days, F.col("o_orderdate")).alias("outtime"),
                      (days.cast("double") + F.lit(0.25)).alias("los"), _care_unit().alias("first_careunit"))
-    second = (o.where(F.col("o_orderkey") % 13 == 0)
+    second = (o.where(F.col("o_orderpriority") == "1-URGENT")
                .select(F.col("o_custkey").alias("subject_id"), F.col("o_orderkey").alias("hadm_id"),
                        (F.col("o_orderkey") + F.lit(1_000_000_000)).alias("stay_id"),
                        F.timestamp_add("DAY", F.lit(1), F.col("o_orderdate")).alias("intime"),
@@ -135,9 +135,9 @@ def lab_items(t: Tables) -> DataFrame:
 
 
 def lab_price(t: Tables) -> DataFrame:
-    """A price per lab label; every 7th label is unpriced."""
-    n = t.nation.where(F.col("n_nationkey") % 7 != 0)
-    return n.select(F.col("n_name").alias("label"), ((F.col("n_nationkey") + 1) * F.lit(0.75)).alias("price"))
+    """A price per lab label; every 7th label's price is missing (it adds nothing to a stay)."""
+    price = F.when(F.col("n_nationkey") % 7 != 0, (F.col("n_nationkey") + 1) * F.lit(0.75))
+    return t.nation.select(F.col("n_name").alias("label"), price.alias("price"))
 
 
 def raw_hospital(t: Tables) -> dict[str, DataFrame]:

@@ -35,7 +35,7 @@ CTE = {
   select o_custkey, o_orderkey, o_orderkey + 1000000000, o_orderdate + to_days(1),
          o_orderdate + to_days(cast(o_orderkey % 10 + 1 as int)),
          cast(o_orderkey % 10 as double) + 0.5, {CARE_UNIT}
-  from orders where o_orderstatus = 'F' and o_orderkey % 13 = 0)""",
+  from orders where o_orderstatus = 'F' and o_orderpriority = '1-URGENT')""",
     "prescriptions": """prescriptions as (
   select l_orderkey as hadm_id,
          case when l_linenumber % 2 = 0 then upper(p_name) else p_name || ' ' end as drug,
@@ -57,7 +57,7 @@ CTE = {
               else 'Other' end as category
   from supplier join nation on s_nationkey = n_nationkey)""",
     "lab_price": """lab_price as (
-  select n_name as label, (n_nationkey + 1) * 0.75 as price from nation where n_nationkey % 7 <> 0)""",
+  select n_name as label, case when n_nationkey % 7 <> 0 then (n_nationkey + 1) * 0.75 end as price from nation)""",
     "nurse_wages": """nurse_wages as (select n_name as "State", cast(40.0 + n_nationkey as double) as hourly_wage from nation)""",
     "nurse_ratios": """nurse_ratios as (
   select ' ' || n_name || ' ' as "State",
