@@ -35,20 +35,29 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2,
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in names:
         fn = QUERIES[name]
         runs = []
-        for i in range(repeat + 1):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:
-                runs.append(time.perf_counter() - t0)
+        try:
+            for i in range(repeat + 1):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:
+                    runs.append(time.perf_counter() - t0)
+        except Exception as e:  # noqa: BLE001 - one failing query must not hide the others' numbers
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            print(f"# {name}: FAILED {failed[name]}", file=sys.stderr)
+            continue
         times[name] = round(statistics.median(runs), 3)
         print(f"# {name}: {times[name]}s", file=sys.stderr)
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "headline_total_median", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus,
-                      "repeat": repeat, "spark": spark.version}))
+    out = {"metric": "headline_total_median", "value": round(sum(times.values()), 3), "unit": "sec",
+           "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus,
+           "repeat": repeat, "spark": spark.version}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 
