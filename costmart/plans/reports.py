@@ -70,6 +70,8 @@ def stay_mart(fact: DataFrame, dim_patient: DataFrame, dim_admission: DataFrame,
         "admit_month": month_period("calendar_date_adm"),
         "nurse_hours": nurse_hours("total_icu_days", "icu_patients"),
         "labor_cost": labor_cost("total_icu_days", "icu_patients", "hourly_wage"),
+        # the reference multiplies by the days twice; the single-count form under its own name
+        "labor_cost_hours_only": labor_cost("total_icu_days", "icu_patients", "hourly_wage", as_reference=False),
         "supply_cost": derive_total("lab_tests_cost", "medicine_cost"),
     }).withColumn("total_cost_all", F.col("total_cost") + F.col("labor_cost"))
 

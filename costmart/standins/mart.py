@@ -10,7 +10,7 @@ from . import frames as fr
 from .sql import CTE, FACT_WITH, with_
 
 FACT_COLS = ("patient_id, admission_id, stay_id, icu_admit_date, icu_discharge_date, total_icu_days, "
-             "hospital_expire_flag, survived, lab_tests_cost, medicine_cost, total_cost")
+             "hospital_expire_flag, survived, lab_tests_cost, medicine_cost, total_cost, cost_per_stay")
 
 
 def fact_from(t: fr.Tables):

@@ -50,7 +50,7 @@ mart2 as (
 
 MART_COLS = ["stay_id", "patient_id", "admission_id", "unit_type", "drg_category", "race", "age_group", "date_id_adm",
              "day_of_week_dis", "State", "hourly_wage", "icu_patients", "admit_month"]
-MART_ROUNDED = ["nurse_hours", "labor_cost", "supply_cost", "total_cost_all"]
+MART_ROUNDED = ["nurse_hours", "labor_cost", "labor_cost_hours_only", "supply_cost", "total_cost_all"]
 
 
 def mart_from(spark, sf_dir):
@@ -62,7 +62,8 @@ def mart_from(spark, sf_dir):
 
 @register("stay_mart", MART_CTES + f"""
 select {', '.join('"State"' if c == "State" else c for c in MART_COLS)},
-       round(nurse_hours, 6) as nurse_hours, round(labor_cost, 6) as labor_cost, round(supply_cost, 6) as supply_cost,
+       round(nurse_hours, 6) as nurse_hours, round(labor_cost, 6) as labor_cost,
+       round(nurse_hours * hourly_wage, 6) as labor_cost_hours_only, round(supply_cost, 6) as supply_cost,
        round(total_cost + labor_cost, 6) as total_cost_all
 from mart2""")
 def q_stay_mart(spark, sf_dir):

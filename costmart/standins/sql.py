@@ -83,11 +83,12 @@ LAB_COST = """lab as (
        join lab_price lp on lower(trim(li.label)) = lower(trim(lp.label))
   group by e.hadm_id)"""
 
-FACT = """fact as (
+FACT = """fact0 as (
   select s.*, coalesce(lab.lab_tests_cost, 0.0) as lab_tests_cost, coalesce(med.medicine_cost, 0.0) as medicine_cost,
          cast(cast(coalesce(lab.lab_tests_cost, 0.0) as decimal(28,10))
               + cast(coalesce(med.medicine_cost, 0.0) as decimal(28,10)) as double) as total_cost
-  from stays s left join med on s.admission_id = med.hadm_id left join lab on s.admission_id = lab.hadm_id)"""
+  from stays s left join med on s.admission_id = med.hadm_id left join lab on s.admission_id = lab.hadm_id),
+fact as (select *, total_cost / count(*) over (partition by admission_id) as cost_per_stay from fact0)"""
 
 
 def with_(*names: str, extra: tuple[str, ...] = ()) -> str:
