@@ -174,3 +174,41 @@ def test_exact_quantiles_equal_brute_force(spark):
         assert [round(x, 9) for x in got[g]] == [round(brute(vals, p), 9) for p in probs], g
     one = exact_quantiles(df, "v", [0.5], buckets=8, small=10).first()["q0.5"]
     assert round(one, 9) == round(brute([v for _, v in rows if v is not None], 0.5), 9)
+
+
+def test_ranking_operators_equal_brute_force(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(3000):
+        g = "hot" if rng.random() < 0.34 else rng.choice("abcdefg")
+        amount = None if rng.random() < 0.1 else float(rng.randint(0, 30))  # many ties
+        rows.append((i, g, amount, rng.randint(0, 4)))
+    df = spark.createDataFrame(rows, "id int, g string, amount double, v int")
+    groups = sorted({r[1] for r in rows})
+
+    def top(keep_null):
+        out = {}
+        for g in groups:
+            rs = [r for r in rows if r[1] == g and (keep_null or r[2] is not None)]
+            rs.sort(key=lambda r: (r[2] is None, -(r[2] or 0), r[0]))
+            if rs:
+                out[g] = [r[0] for r in rs[:5]]
+        return out
+
+    for keep in (True, False):
+        got = {}
+        for r in sorted(W.top_k_per_group(df, ["g"], "amount", 5, tie=["id"], keep_null=keep).collect(),
+                        key=lambda r: r["rank"]):
+            got.setdefault(r.g, []).append(r.id)
+        assert got == top(keep)
+    first = {r.g: r.id for r in A.first_per_key(df.select("g", "v", "id"), ["g"], ["v", "id"]).collect()}
+    assert first == {g: min((r[3], r[0]) for r in rows if r[1] == g)[1] for g in groups}
+    modal = {r.g: r.m for r in W.modal_value(df, ["g"], "v", out="m").collect()}
+    want = {}
+    for g in groups:
+        counts = {}
+        for r in rows:
+            if r[1] == g:
+                counts[r[3]] = counts.get(r[3], 0) + 1
+        want[g] = min(counts, key=lambda v: (-counts[v], v))
+    assert modal == want
