@@ -212,3 +212,26 @@ def test_ranking_operators_equal_brute_force(spark):
                 counts[r[3]] = counts.get(r[3], 0) + 1
         want[g] = min(counts, key=lambda v: (-counts[v], v))
     assert modal == want
+
+
+def test_lookup_and_histogram_equal_brute_force(spark):
+    from costmart.operators.joins import lookup_either_column
+
+    rng = random.Random(9)
+    ref = [(i, rng.choice("abcdefgh") + rng.choice("xy"), rng.choice(["ax", "bx", "zz", None])) for i in range(200)]
+    keys = sorted({r[1] for r in ref} | {r[2] for r in ref if r[2]} | {"nope"})
+    rdf = spark.createDataFrame(ref, "ord int, drugs string, name string")
+    kdf = spark.createDataFrame([(k,) for k in keys], "k string")
+    got = {r.k: r.ord for r in lookup_either_column(kdf, "k", rdf, ["drugs", "name"], "ord").collect()}
+    want = {k: min((r[0] for r in ref if r[1] == k or r[2] == k), default=None) for k in keys}
+    assert got == want
+
+    vals = [rng.uniform(-5, 5) for _ in range(997)] + [5.0, -5.0, None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    hist = {r.bin: r.n for r in A.histogram_equal_width(df, "x", 30).collect()}
+    xs = [v for v in vals if v is not None]
+    lo, hi = min(xs), max(xs)
+    want_h = {b: 0 for b in range(1, 31)}
+    for v in xs:
+        want_h[min(int(30 * (v - lo) / (hi - lo)) + 1, 30)] += 1
+    assert hist == want_h and sum(hist.values()) == len(xs)
