@@ -186,11 +186,26 @@ def _prefixes(names: DataFrame, threshold: float) -> dict[str, DataFrame]:
 
 
 def _pairs(lf: DataFrame, rf: DataFrame, d: float | None) -> DataFrame:
+    """Equi join on a feature; with ``d`` also on a geometric length band.
+
+    ``|a - b| <= d(a + b)`` means ``b`` lies in ``[a / r, a * r]`` with
+    ``r = (1 + d) / (1 - d)``. Right texts sit in band ``floor(log_r(b))``;
+    each left text is replicated into the (at most three, widened by one
+    for rounding) bands that interval touches, so length-incompatible pairs
+    are never produced by the join. The exact length test follows.
+    """
     lsel = lf.where(F.col("side") == "L").select(F.col("name").alias("lname"), F.col("l").alias("la"), "f")
     rsel = rf.where(F.col("side") == "R").select(F.col("name").alias("rname"), F.col("l").alias("lb"), "f")
-    j = lsel.join(rsel, "f")
-    if d is not None:
-        j = j.where(F.abs(F.col("la") - F.col("lb")).cast("double") <= (F.col("la") + F.col("lb")) * F.lit(d) + F.lit(EPS))
+    if d is None:
+        return lsel.join(rsel, "f").select("lname", "rname")
+    ln_r = math.log((1.0 + d) / (1.0 - d))
+    band = lambda c: F.floor(F.log(c.cast("double")) / F.lit(ln_r)).cast("int")
+    lo = band(F.col("la") * F.lit((1.0 - d) / (1.0 + d))) - 1
+    hi = band(F.col("la") * F.lit((1.0 + d) / (1.0 - d))) + 1
+    lsel = lsel.withColumn("_band", F.explode(F.sequence(lo, hi)))
+    rsel = rsel.withColumn("_band", band(F.col("lb")))
+    j = lsel.join(rsel, ["f", "_band"])
+    j = j.where(F.abs(F.col("la") - F.col("lb")).cast("double") <= (F.col("la") + F.col("lb")) * F.lit(d) + F.lit(EPS))
     return j.select("lname", "rname")
 
 
