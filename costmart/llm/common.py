@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,6 +19,17 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Name the checkpoint folder, and let Python workers import this package
+    from where the driver has it (a cluster installs it or uses --py-files)."""
+    ensure_checkpoint_dir(spark)
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
