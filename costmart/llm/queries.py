@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii, sharding, toxicity
+from . import bpe, pii, quality, secret_scan, sharding, toxicity
 from .common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.with_score(docs, model).select(
         "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judge(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
