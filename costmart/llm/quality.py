@@ -6,9 +6,9 @@ expectation-maximisation estimates, from the votes alone, the share of good
 texts and for each rule how likely each of its votes (abstaining included) is
 on good and on bad texts. A text's posterior probability of being good, not an all-must-pass filter, decides.
 
-EM reads the table of vote patterns with their counts, at most 3^rules rows at
-any corpus size; one iteration is one aggregate over it, of which the driver
-gets a single row of sums. The estimates start at ``START`` and carry it as a
+All texts are counted by their pattern of votes; those counts, at most 3^rules
+at any corpus size, are all that EM needs and all that the driver sees. The
+estimates start at ``START`` and carry it as a
 prior of ``PRIOR`` texts, which fixes which side is the good one.
 
 Repeated three-word windows are found inside each row: windows are hashed to 64
@@ -43,6 +43,7 @@ FUNCTION_WORDS = ("the", "of", "and", "to", "in", "is", "der", "die", "und", "da
 #: (…, "least", good from, bad below); None: the rule never votes good.
 RULES = (
     ("symbols", "n_symbols", "n_words", "most", 0.02, 0.20),
+    ("symbol_runs", "n_symbol_runs", "n_words", "most", 0.02, 0.10),
     ("function_words", "n_function_words", None, "least", 3, 2),
     ("variety", "n_distinct_words", "n_words", "least", 0.40, 0.25),
     ("duplicate_lines", "n_dup_lines", "n_lines", "most", None, 0.30),
@@ -64,6 +65,7 @@ def figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     counted = split.select(
         "doc_id", size(words).alias("n_words"), F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
         only("#*$%&|<>").alias("n_symbols"), only("A-Z").alias("n_capitals"), only("!").alias("n_bangs"), only(".?").alias("n_stops"),
+        F.length(F.regexp_replace(F.regexp_replace("text", "[#*$%&|<>]+", "#"), "[^#]+", "")).cast("long").alias("n_symbol_runs"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")).alias("lines"),
         size(F.array_intersect(words, F.array(*map(F.lit, FUNCTION_WORDS)))).alias("n_function_words"),
         size(F.array_distinct(words)).alias("n_distinct_words"),
@@ -81,7 +83,7 @@ def figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return starts.select("doc_id", "n_words", "word_chars", "n_symbols", size("lines").alias("n_lines"),
                          (size("lines") - size(F.array_distinct("lines"))).alias("n_dup_lines"),
                          F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"),
-                         "n_capitals", "n_bangs", "n_stops", "n_function_words", "n_distinct_words")
+                         "n_symbol_runs", "n_capitals", "n_bangs", "n_stops", "n_function_words", "n_distinct_words")
 
 
 def vote(rule: Sequence) -> Column:
@@ -109,35 +111,36 @@ def posterior(prior: float, beliefs: Beliefs) -> Column:
     return 1 / (1 + F.exp(-z))
 
 
-def estimate(patterns: DataFrame, rules: Sequence = RULES, rounds: int = 25) -> tuple[float, Beliefs]:
-    """EM over (votes, n)."""
-    prior, beliefs = 0.5, {r[0]: dict(START) for r in rules}
+def estimate(patterns: list[tuple[tuple[int, ...], int]], rules: Sequence = RULES, rounds: int = 100,
+             tolerance: float = 1e-9) -> tuple[float, Beliefs]:
+    """EM over the counted vote patterns [(votes in the order of the rules, n)]."""
+    prior, beliefs = 0.5, [dict(START) for _ in rules]
     for _ in range(rounds):
-        p, n = posterior(prior, beliefs), F.col("n")
-        sums = [F.sum(n).alias("all"), F.sum(n * p).alias("good")]
-        for r in rules:
-            for x, says in ((1, "up"), (-1, "down")):
-                voted = F.col(f"v_{r[0]}") == x
-                sums += [F.sum(F.when(voted, n * w).otherwise(0.0)).alias(f"{r[0]}_{says}_{side}") for side, w in (("good", p), ("bad", 1 - p))]
-        s = patterns.agg(*sums).first()
-        if not s["all"]:
+        good = 0.0
+        got = [{x: [0.0, 0.0] for x in START} for _ in rules]
+        for votes, n in patterns:
+            z = math.log(prior / (1 - prior)) + sum(math.log(b[v][0] / b[v][1]) for v, b in zip(votes, beliefs, strict=True))
+            p = 1 / (1 + math.exp(-z)) if z > -700 else 0.0
+            good += n * p
+            for v, g in zip(votes, got, strict=True):
+                g[v][0] += n * p
+                g[v][1] += n * (1 - p)
+        whole = sum(n for _, n in patterns)
+        mass = (good, whole - good)
+        before, prior = prior, (good + PRIOR / 2) / (whole + PRIOR)
+        beliefs = [{x: tuple((g[x][i] + PRIOR * START[x][i]) / (mass[i] + PRIOR) for i in (0, 1)) for x in START} for g in got]
+        if abs(prior - before) < tolerance:
             break
-        prior = (s["good"] + PRIOR / 2) / (s["all"] + PRIOR)
-        mass = (s["good"], s["all"] - s["good"])
-        for r in rules:
-            got = {x: (s[f"{r[0]}_{says}_good"], s[f"{r[0]}_{says}_bad"]) for x, says in ((1, "up"), (-1, "down"))}
-            got[0] = tuple(max(0.0, mass[i] - got[1][i] - got[-1][i]) for i in (0, 1))
-            beliefs[r[0]] = {x: tuple((got[x][i] + PRIOR * START[x][i]) / (mass[i] + PRIOR) for i in (0, 1)) for x in START}
-    return prior, beliefs
+    return prior, {r[0]: b for r, b in zip(rules, beliefs, strict=True)}
 
 
-def judge(docs: DataFrame, rules: Sequence = RULES, rounds: int = 25, threshold: float = 0.5, min_words: int = 50,
+def judge(docs: DataFrame, rules: Sequence = RULES, rounds: int = 100, threshold: float = 0.5, min_words: int = 50,
           repeat_percent: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The figures, the votes, the posterior, base_failed and kept, per row."""
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     voted = stored(figures(docs, id_col, text_col).select("*", failed.alias("base_failed"), *map(vote, rules)), "quality-votes")
     votes = [f"v_{r[0]}" for r in rules]
-    patterns = stored(voted.where(~F.col("base_failed")).groupBy(*votes).agg(F.count(F.lit(1)).alias("n")), "quality-patterns")
-    prior, beliefs = estimate(patterns, rules, rounds)
+    counted = voted.where(~F.col("base_failed")).groupBy(*votes).agg(F.count(F.lit(1)).alias("n")).orderBy(*votes).collect()
+    prior, beliefs = estimate([(tuple(r)[:-1], r["n"]) for r in counted], rules, rounds)
     return (voted.withColumn("posterior", posterior(prior, beliefs))
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)))
