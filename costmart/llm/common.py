@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..session import ensure_checkpoint_dir, scratch_path
 
@@ -53,7 +53,18 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
 
 
-ID_TEXT = StructType([StructField("doc_id", LongType()), StructField("text", StringType())])
+def wrapped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, doc_id, text, text_key): the whole row as one struct, so that no
+    column name of the caller can clash with an operator's own; nulls in text
+    count as empty, and text_key is a hash of it."""
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return docs.select(whole, F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+
+
+def unwrapped(columns: list[str], changed: dict[str, Column] | None = None) -> list[Column]:
+    """The caller's columns out of ``row``, some of them changed."""
+    return [((changed or {}).get(c, F.col("row").getField(c))).alias(c) for c in columns]
 
 
 def words_of(text: Column) -> Column:

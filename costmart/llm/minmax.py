@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import id_and_text, slices, stored
+from .common import id_and_text, slices, stored, unwrapped, wrapped
 from .components import components
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -182,3 +182,10 @@ def remaining(members: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
     shared = F.array_position(F.zip_with("bands_a", "bands_b", lambda x, y: x == y), True) == F.col("band_a") + 1
     pair = (u["bucket"] == v["bucket"]) & (F.col("c_a") != F.col("c_b")) & (~F.col("outside_b") | (F.col("node_a") < F.col("node_b"))) & near(percent) & shared
     return u.join(v, pair).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs``, all columns: of each component only the rows with the smallest id."""
+    gone = (near_duplicates(docs, words, percent, id_col=id_col, text_col=text_col, **options)
+            .where("not kept").select(F.col("doc_id").alias("g_id")).distinct())
+    return wrapped(docs, id_col, text_col).join(gone, F.col("doc_id") == F.col("g_id"), "left_anti").select(*unwrapped(docs.columns))

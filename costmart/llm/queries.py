@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minmax, pii, quality, secret_scan, sharding, toxicity
+from . import bpe, line_dedup, minmax, pii, quality, secret_scan, sharding, tiling, toxicity
 from .common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,9 +50,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.with_score(docs, model).select(
-        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scored = docs.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), toxicity.scorer(spark, model)(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 @query
@@ -69,3 +68,49 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = tiling.contamination(docs, table(spark, sf_dir, "benchmark"))
+    small = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
+    joined = small.join(found, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_key") == F.col("c_key")), "left")
+    return joined.select("doc_id", F.col("c_key").isNotNull().alias("contaminated"), F.coalesce("max_coverage", F.lit(0.0)).alias("coverage"),
+                         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
+                         F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.mark(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("rewritten", F.col("row").getField("text"), F.lit(""))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(text, 256).alias("text_sha256"))
+
+
+ORACLE_SQL["op10_line_dedup"] = r"""
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i
+  from documents),
+solid as (
+  select doc_id, i, line, row_number() over (partition by doc_id order by i) as j
+  from lines where regexp_matches(line, '[^\x20\x09-\x0D]')),
+windows as (
+  select doc_id, j, i1, i2, i3, row_number() over (partition by l1, l2, l3 order by doc_id, j) as seen
+  from (select doc_id, j, line as l1, i as i1,
+               lead(line) over w as l2, lead(i) over w as i2, lead(line, 2) over w as l3, lead(i, 2) over w as i3
+        from solid window w as (partition by doc_id order by j))
+  where l3 is not null),
+gone as (
+  select distinct doc_id, unnest([i1, i2, i3]) as i from windows where seen > 1),
+counts as (select doc_id, count(*) as n_removed from gone group by doc_id),
+sizes as (select doc_id, count(*) as n_lines from solid group by doc_id),
+rest as (
+  select l.doc_id, string_agg(l.line, chr(10) order by l.i) as text
+  from lines l left join gone g on l.doc_id = g.doc_id and l.i = g.i where g.i is null group by l.doc_id)
+select d.doc_id, coalesce(s.n_lines, 0) as n_lines, coalesce(c.n_removed, 0) as n_removed,
+       sha256(coalesce(r.text, '')) as text_sha256
+from documents d left join sizes s on d.doc_id = s.doc_id left join counts c on d.doc_id = c.doc_id
+left join rest r on d.doc_id = r.doc_id
+"""

@@ -22,7 +22,7 @@ Cases: null and empty texts get the score of a text without any evidence; null
 labels or ids teach nothing; of repeated labels of an id the highest counts;
 without labels of both classes every score is the base rate (or 0.0); rows that
 repeat are each scored; an empty table gives an empty result; other columns are
-kept by ``with_score`` and may have any names.
+kept by ``reject`` and may have any names.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold, id_and_text, map_rows
@@ -312,9 +312,9 @@ def _decoder(logp: Broadcast) -> Decoder:
     return _HELD[1]
 
 
-def with_score(docs: DataFrame, model: Model, name: str = "score", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and the score of each whole text."""
-    sc = docs.sparkSession.sparkContext
+def scorer(spark: SparkSession, model: Model):
+    """A function of a text column that gives its score."""
+    sc = spark.sparkContext
     logp, rest = sc.broadcast(model.logp), sc.broadcast((model.weights, model.coefficients))
 
     @F.pandas_udf("double")
@@ -322,4 +322,9 @@ def with_score(docs: DataFrame, model: Model, name: str = "score", text_col: str
         decoder, judge = _decoder(logp), Model(logp.value, *rest.value)
         return pd.Series([judge.score(decoder.words(t)) for t in texts])
 
-    return docs.withColumn(name, score(F.coalesce(docs[text_col].cast("string"), F.lit(""))))
+    return lambda text: score(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def reject(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, without the rows whose text scores the threshold or more."""
+    return docs.where(scorer(docs.sparkSession, model)(F.col(f"`{text_col}`")) < threshold)
