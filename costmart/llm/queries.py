@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, minmax, pii, quality, secret_scan, sharding, tiling, toxicity
+from . import bpe, line_dedup, maxent, minmax, pii, quality, secret_scan, sharding, tiling, toxicity
 from .common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,8 @@ select d.doc_id, coalesce(s.n_lines, 0) as n_lines, coalesce(c.n_removed, 0) as
 from documents d left join sizes s on d.doc_id = s.doc_id left join counts c on d.doc_id = c.doc_id
 left join rest r on d.doc_id = r.doc_id
 """
+
+
+@query
+def op8_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(table(spark, sf_dir, "documents"))
