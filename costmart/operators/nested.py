@@ -1,13 +1,11 @@
-"""Nested results: whole rows collected per
-key, a document-style lookup, and distinct collections.
-
-A group is never packed into one unbounded array. ``collect_rows`` first
-counts each key (partially aggregated), then splits every group into
-``ceil(n / max_members)`` chunks by a hash of the member's order key and
-collects per (key, chunk). A key holding a third of the table becomes many
-bounded rows spread over many tasks; small groups stay one row. Readers
-treat the rows of one key as one logical array (ordered by ``chunk`` then
-the order key inside each chunk).
+"""Nested results: members of groups, a
+document-style lookup, and distinct values per key.
+
+The grain is the same at every size: one row per (key, member). A group is
+never packed into an array here, so a key that holds a third of a table is
+just many rows, spread over the tasks that hold them. Arrays are built only
+for groups that are bounded already (``operators.windows.collect_ranked``
+after a top-k).
 """
 
 from __future__ import annotations
@@ -17,96 +15,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest array one output row may hold.
-MAX_MEMBERS = 50_000
-
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str], rprefix: str) -> Column:
-    cond = None
+def _same_keys(left: DataFrame, keys: Sequence[str], prefix: str = "_g_") -> Column:
+    cond = F.lit(True)
     for k in keys:
-        c = left[k].eqNullSafe(right[rprefix + k])
-        cond = c if cond is None else cond & c
+        cond = cond & left[k].eqNullSafe(F.col(prefix + k))
     return cond
 
 
-def collect_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
-                 cols: Sequence[str] | None = None, max_members: int = MAX_MEMBERS) -> DataFrame:
-    """Rows of ``df`` grouped by ``keys`` into ``array<struct>`` column ``out``.
-
-    Output: ``keys..., chunk, group_size, out``; members sorted by ``order``
-    within a chunk. Null keys form their own group (document-store rule).
-    """
-    cols = list(cols) if cols is not None else [c for c in df.columns]
-    member = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in cols if c not in order])
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_size"))
-    counts = counts.select(*[F.col(k).alias("_g_" + k) for k in keys], "group_size")
-    sized = df.join(counts, _null_safe_on(df, counts, keys, "_g_"), "inner").drop(*["_g_" + k for k in keys])
-    n_chunks = F.ceil(F.col("group_size") / F.lit(max_members)).cast("long")
-    chunk = F.pmod(F.xxhash64(*[F.col(c) for c in order]), n_chunks).cast("int")
-    return (sized.withColumn("chunk", chunk)
-                 .groupBy(*keys, "chunk", "group_size")
-                 .agg(F.sort_array(F.collect_list(member)).alias(out)))
-
-
-def nested_group(df: DataFrame, keys: Sequence[str], out: str, order: Sequence[str],
-                 cols: Sequence[str] | None = None, limit_groups: int | None = None,
-                 max_members: int = MAX_MEMBERS) -> DataFrame:
-    """Whole rows per key (``$group`` with ``$push: $$ROOT`` / Cypher ``collect``).
-
-    ``limit_groups`` keeps the first n keys in key order, chosen *before*
-    collecting (a top-n on distinct keys, then a semi join).
-    """
-    src = df
-    if limit_groups is not None:
-        first = df.select(*keys).distinct().orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(limit_groups)
-        first = first.select(*[F.col(k).alias("_g_" + k) for k in keys])
-        src = df.join(first, _null_safe_on(df, first, keys, "_g_"), "left_semi")
-    return collect_rows(src, keys, order, out, cols=cols, max_members=max_members)
-
-
-def lookup_nested(left: DataFrame, left_key: str, right: DataFrame, right_key: str, out: str,
-                  order: Sequence[str], max_members: int = MAX_MEMBERS) -> DataFrame:
-    """``$lookup``: each left row gets the array of right rows with an equal key.
-
-    No match -> empty array; null matches null. The right side is grouped
-    once (chunked like ``collect_rows``) and joined by key; a left row whose
-    key matches a chunked group appears once per chunk.
-    """
-    grouped = collect_rows(right, [right_key], order, out, max_members=max_members)
-    grouped = grouped.select(F.col(right_key).alias("_lk"), F.col("chunk").alias(out + "_chunk"), out)
-    joined = left.join(grouped, left[left_key].eqNullSafe(grouped["_lk"]), "left").drop("_lk")
-    empty = F.array().cast(grouped.schema[out].dataType)
-    return joined.withColumn(out, F.coalesce(F.col(out), empty))
-
-
-def collect_distinct(df: DataFrame, keys: Sequence[str], value_cols: Sequence[str], out: str,
-                     max_members: int = MAX_MEMBERS) -> DataFrame:
-    """Distinct values (``$addToSet`` / ``collect(DISTINCT n)``) per key.
+def first_groups(df: DataFrame, keys: Sequence[str], n: int | None) -> DataFrame:
+    """The rows of the first ``n`` keys in key order, nulls first (None: all rows)."""
+    if n is None:
+        return df
+    first = df.select(*keys).distinct().orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(n)
+    first = first.select(*[F.col(k).alias("_g_" + k) for k in keys])
+    return df.join(first, _same_keys(df, keys), "left_semi")
 
-    Duplicates are removed by a shuffle on (keys, value) first, which spreads
-    a hot key over its values; the set is then collected in bounded chunks.
-    """
-    dedup = df.select(*keys, *value_cols).distinct()
-    return collect_rows(dedup, keys, list(value_cols), out, cols=list(value_cols), max_members=max_members)
 
+def nested_group(df: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None,
+                 limit_groups: int | None = None) -> DataFrame:
+    """Whole rows per key (``$group`` with ``$push: $$ROOT`` / Cypher ``collect``):
+    the keys and the members' columns, one row per member. Null is a key like any other."""
+    src = first_groups(df, keys, limit_groups)
+    cols = [c for c in (cols if cols is not None else df.columns) if c not in keys]
+    return src.select(*keys, *cols)
 
-def flatten_groups(nested: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    """Back from chunked arrays to one row per member (for checks and renderers)."""
-    return nested.select(*keys, F.explode(out).alias("_m")).select(*keys, "_m.*")
 
+def lookup_nested(left: DataFrame, left_key: str, right: DataFrame, right_key: str, prefix: str = "",
+                  matched: str = "matched") -> DataFrame:
+    """``$lookup``: one row per left row and matching right row; a left row
+    without a match appears once with ``matched`` false. Null matches null."""
+    r = right.select(F.lit(True).alias("_hit"), F.col(right_key).alias("_lk"), *[F.col(c).alias(prefix + c) for c in right.columns])
+    joined = left.join(r, left[left_key].eqNullSafe(r["_lk"]), "left")
+    return joined.withColumn(matched, F.coalesce("_hit", F.lit(False))).drop("_hit", "_lk")
 
-def summarise_groups(nested: DataFrame, keys: Sequence[str], out: str, id_field: str,
-                     prefix: str | None = None) -> DataFrame:
-    """Per key: member count and id sum / min / max over all chunks.
 
-    A compact, order-free fingerprint of nested groups, used to compare
-    nested results with a flat SQL oracle without shipping whole arrays.
-    """
-    p = prefix if prefix is not None else out
-    ids = F.transform(out, lambda m: m[id_field].cast("long"))
-    n = F.sum(F.size(out)).cast("long")
-    s = F.sum(F.aggregate(ids, F.lit(0).cast("long"), lambda a, x: a + x))
-    return (nested.groupBy(*keys)
-                  .agg(n.alias(f"{p}_n"), s.alias(f"{p}_id_sum"),
-                       F.min(F.array_min(ids)).alias(f"{p}_id_min"), F.max(F.array_max(ids)).alias(f"{p}_id_max"))
-                  .withColumn(f"{p}_id_sum", F.when(F.col(f"{p}_n") > 0, F.col(f"{p}_id_sum"))))
+def collect_distinct(df: DataFrame, keys: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
+    """Distinct values per key (``$addToSet`` / ``collect(DISTINCT n)``), one row each."""
+    return df.select(*keys, *value_cols).distinct()

@@ -8,8 +8,9 @@ Document form: frames ``employee`` (AGENT_ID, ...), ``vendor`` (VENDOR_ID,
 ...). Graph form: node frames with an ``id`` column and edge frames
 ``(src, dst)``; a path pattern is a chain of equi joins.
 
-The first 20 groups (in key order) are chosen before any row is collected;
-groups are collected in bounded chunks (``operators.nested``).
+Results hold one row per (group, member) at any size (``operators.nested``);
+only the top claims, bounded by k, are arrays. The first 20 groups in key
+order are the reference's limit; ``limit=None`` returns all.
 """
 
 from __future__ import annotations
@@ -23,35 +24,34 @@ from ..operators import nested as N
 from ..operators import windows as W
 
 
-def employees_by_company(employee: DataFrame, order: str, limit: int | None = GROUP_LIMIT) -> DataFrame:
-    g = N.nested_group(employee, ["AGENT_ID"], "employees", order=[order], limit_groups=limit)
-    return g.withColumnRenamed("AGENT_ID", "company")
+def employees_by_company(employee: DataFrame, limit: int | None = GROUP_LIMIT) -> DataFrame:
+    """One row per company and employee."""
+    return N.nested_group(employee, ["AGENT_ID"], limit_groups=limit).withColumnRenamed("AGENT_ID", "company")
 
 
-def vendors_by_company(insurance: DataFrame, vendor: DataFrame, order: str,
-                       limit: int | None = GROUP_LIMIT) -> DataFrame:
-    """Policies looked up against vendors, then the *set of looked-up arrays* per company."""
-    src = insurance
-    if limit is not None:
-        first = (insurance.select("AGENT_ID").distinct().orderBy(F.col("AGENT_ID").asc_nulls_first())
-                          .limit(limit).withColumnRenamed("AGENT_ID", "_a"))
-        src = insurance.join(first, insurance["AGENT_ID"].eqNullSafe(first["_a"]), "left_semi")
-    looked = N.lookup_nested(src.select("AGENT_ID", "VENDOR_ID"), "VENDOR_ID", vendor, "VENDOR_ID",
-                             "vendor_info", order=[order])
-    g = N.collect_distinct(looked, ["AGENT_ID"], ["vendor_info"], "vendors")
-    return g.withColumnRenamed("AGENT_ID", "company")
+def vendors_by_company(insurance: DataFrame, vendor: DataFrame, limit: int | None = GROUP_LIMIT) -> DataFrame:
+    """The set of looked-up vendor lists per company, one row per vendor in each.
+
+    ``vendor_ref`` names the list. All references without a vendor give the
+    same empty list, so a company has at most one row with ``matched`` false.
+    References are made distinct before the lookup: the same set, and no
+    policy carries vendors through a shuffle.
+    """
+    src = N.first_groups(insurance.select("AGENT_ID", "VENDOR_ID"), ["AGENT_ID"], limit)
+    refs = N.collect_distinct(src, ["AGENT_ID"], ["VENDOR_ID"]).select(F.col("AGENT_ID").alias("company"), F.col("VENDOR_ID").alias("vendor_ref"))
+    looked = N.lookup_nested(refs, "vendor_ref", vendor, "VENDOR_ID", prefix="v_")
+    return looked.withColumn("vendor_ref", F.when(F.col("matched"), F.col("vendor_ref"))).distinct()
 
 
-def vendors_by_company_flat(insurance: DataFrame, vendor: DataFrame, order: str,
-                            limit: int | None = GROUP_LIMIT) -> DataFrame:
-    """The same with the set flattened to distinct vendors per company."""
-    nested = vendors_by_company(insurance, vendor, order, limit)
-    flat = nested.select("company", F.explode("vendors").alias("_v")).select("company", F.explode("_v.vendor_info").alias("_x"))
-    return flat.select("company", "_x.*").distinct()
+def vendors_by_company_flat(insurance: DataFrame, vendor: DataFrame, limit: int | None = GROUP_LIMIT) -> DataFrame:
+    """The same flattened to distinct vendors per company."""
+    nested = vendors_by_company(insurance, vendor, limit)
+    return nested.where("matched").select("company", *[F.col("v_" + c).alias(c) for c in vendor.columns]).distinct()
 
 
-def policies_by_company_and_type(insurance: DataFrame, order: str, limit: int | None = GROUP_LIMIT) -> DataFrame:
-    g = N.nested_group(insurance, ["AGENT_ID", "INSURANCE_TYPE"], "policies", order=[order], limit_groups=limit)
+def policies_by_company_and_type(insurance: DataFrame, limit: int | None = GROUP_LIMIT) -> DataFrame:
+    """One row per (company, type) and policy."""
+    g = N.nested_group(insurance, ["AGENT_ID", "INSURANCE_TYPE"], limit_groups=limit)
     return g.withColumnRenamed("AGENT_ID", "company").withColumnRenamed("INSURANCE_TYPE", "insurance_type")
 
 
@@ -67,8 +67,7 @@ def top_claims_by_company_and_type(insurance: DataFrame, order: str, k: int = TO
 
 def employees_by_company_graph(employee: DataFrame, limit: int | None = GROUP_LIMIT) -> DataFrame:
     """``MATCH (e:Employee) RETURN e.agentId AS company, collect(e)``."""
-    g = N.nested_group(employee, ["agentId"], "employees", order=["id"], limit_groups=limit)
-    return g.withColumnRenamed("agentId", "company")
+    return N.nested_group(employee, ["agentId"], limit_groups=limit).withColumnRenamed("agentId", "company")
 
 
 def vendors_by_company_graph(employee: DataFrame, has_employee: DataFrame, insurance: DataFrame,
@@ -84,14 +83,8 @@ def vendors_by_company_graph(employee: DataFrame, has_employee: DataFrame, insur
     paths = J.path_two_hop(e, "e_id", has_employee, "src", "dst", insurance.select(F.col("id").alias("i_id")), "i_id",
                            has_vendor, "src", "dst", v, "v_id")
     keys = ["agent", "employeeName"]
-    if limit is not None:
-        first = (paths.select(*keys).distinct()
-                      .orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(limit)
-                      .select(*[F.col(k).alias("_g_" + k) for k in keys]))
-        cond = paths["agent"].eqNullSafe(first["_g_agent"]) & paths["employeeName"].eqNullSafe(first["_g_employeeName"])
-        paths = paths.join(first, cond, "left_semi")
-    vcols = ["v_" + c for c in vendor.columns]
-    return N.collect_distinct(paths, keys, vcols, "vendors")
+    distinct = N.collect_distinct(paths, keys, ["v_" + c for c in vendor.columns])
+    return N.first_groups(distinct, keys, limit)
 
 
 def _policy_paths(insurance: DataFrame, has_employee: DataFrame, employee: DataFrame) -> DataFrame:
@@ -105,7 +98,7 @@ def policies_by_company_and_type_graph(insurance: DataFrame, has_employee: DataF
     """``(p:Insurance)-[HAS_EMPLOYEE]->(e)``: policies per (agentId, insuranceType)."""
     paths = _policy_paths(insurance, has_employee, employee).withColumnRenamed("p_insuranceType", "category")
     pcols = [c for c in paths.columns if c.startswith("p_")]
-    return N.nested_group(paths, ["company", "category"], "policies", order=["p_id"], cols=pcols, limit_groups=limit)
+    return N.nested_group(paths, ["company", "category"], cols=pcols, limit_groups=limit)
 
 
 def top_claims_graph(insurance: DataFrame, has_employee: DataFrame, employee: DataFrame,

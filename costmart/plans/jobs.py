@@ -28,6 +28,9 @@ RAW_COLUMNS = {
     "lab_price": ["label", "category", "price"],
 }
 
+# Columns that a raw file may lack: the mart does not read them.
+OPTIONAL_COLUMNS = {"drug_price": ("medicine_name", "package_size"), "lab_price": ("category",)}
+
 # Warehouse tables in load order (dimensions before the fact) with their column order.
 WAREHOUSE_COLUMNS = {
     "dim_patient": ["patient_id", "gender", "race", "birth_year", "marital_status", "age"],
@@ -49,9 +52,10 @@ def read_raw_csv(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, Dat
     out = {}
     for name, cols in RAW_COLUMNS.items():
         header = spark.read.option("header", True).csv(paths[name]).columns
-        keep = [c for c in cols if c in header]
-        df = scan_csv_strings(spark, paths[name], header)
-        out[name] = df.select(*keep)
+        lacking = [c for c in cols if c not in header and c not in OPTIONAL_COLUMNS.get(name, ())]
+        if lacking:
+            raise ValueError(f"{paths[name]}: raw table {name} lacks columns {lacking}")
+        out[name] = scan_csv_strings(spark, paths[name], header).select(*[c for c in cols if c in header])
     return out
 
 

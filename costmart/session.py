@@ -67,8 +67,9 @@ def apply_core_conf(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; only when it is unset (local tests)
-    do we create one under the system temp folder.
+    A cluster names a shared folder there. Only a local master, where driver
+    and executors are one process, gets one under the system temp folder when
+    it is unset; any other master without the setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -76,6 +77,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="costmart-ckpt-")
     sc.setCheckpointDir(local)
     return local

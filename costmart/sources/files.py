@@ -19,9 +19,13 @@ def string_schema(columns: Sequence[str]) -> StructType:
 
 
 def scan_csv_strings(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Headered CSV, every column text; quoted fields may hold commas."""
+    """Headered CSV, every column text; quoted fields may hold commas.
+
+    Each file's header is held against ``columns``: a folder whose files order
+    their columns differently fails instead of being read under wrong names.
+    """
     return (spark.read.schema(string_schema(columns))
-                 .option("header", True).option("quote", '"').option("escape", '"')
+                 .option("header", True).option("enforceSchema", False).option("quote", '"').option("escape", '"')
                  .option("mode", "PERMISSIVE").csv(path))
 
 
@@ -86,8 +90,9 @@ def docs_to_json(df: DataFrame, cols: Sequence[str] | None = None, out: str = "j
     """Render rows (nested arrays and structs included) as JSON text.
 
     Ids are expected as text already; timestamps are written in ISO-8601
-    (with the zone offset for zoned timestamps, without for local ones).
+    (with the zone offset for zoned timestamps, without for local ones); null
+    fields are written as null.
     """
     cols = list(cols) if cols else df.columns
-    opts = {"timestampFormat": ts_format, "timestampNTZFormat": ts_ntz_format}
+    opts = {"timestampFormat": ts_format, "timestampNTZFormat": ts_ntz_format, "ignoreNullFields": "false"}
     return df.select(F.to_json(F.struct(*cols), opts).alias(out))

@@ -6,9 +6,8 @@ the customer key with every 13th null), vendors are suppliers (every 17th
 has a null id). Graph: Employee = customer, Insurance = order, Vendor =
 supplier, HAS_EMPLOYEE = order -> customer, HAS_VENDOR = line -> supplier.
 
-Each registered result is one row per returned group holding the query
-name, the group key and a fingerprint of the collected members (count, id
-sum / min / max), so nested output is compared with a flat oracle.
+Each registered result is one row per returned group and member (top claims
+with their rank), compared as whole rows with a flat oracle.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..catalog import register
-from ..operators import nested as N
 from ..plans import companies as CO
 from . import frames as fr
 
@@ -45,66 +43,81 @@ def insurance_docs(t):
                     F.col("o_orderpriority").alias("INSURANCE_TYPE"), F.expr(CLAIM).alias("CLAIM_AMOUNT"))
 
 
-def _tag(df, query, company, category, prefix="m"):
+def _members(df, query, company, category, member, name=None, amount=None, rank=None):
+    """Registered form: one row per group member."""
     return df.select(F.lit(query).alias("query"), F.col(company).alias("company"),
                      (F.col(category) if category else F.lit(None).cast("string")).alias("category"),
-                     f"{prefix}_n", f"{prefix}_id_sum", f"{prefix}_id_min", f"{prefix}_id_max")
+                     F.col(member).cast("long").alias("member"), (F.col(name) if name else F.lit(None)).cast("string").alias("name"),
+                     (F.col(amount) if amount else F.lit(None)).cast("double").alias("amount"),
+                     (F.col(rank) if rank else F.lit(None)).cast("int").alias("rank"))
+
+
+def _ranked(df, keys, fields):
+    """Top-k arrays unpacked with their place."""
+    members = df.select(*keys, F.posexplode("top_claims").alias("_pos", "_m"))
+    return members.select(*keys, (F.col("_pos") + 1).alias("rank"), *[F.col("_m").getField(f).alias(f) for f in fields])
 
 
 def _union(parts):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-SUMMARY = "count({id}) as m_n, cast(sum({id}) as bigint) as m_id_sum, min({id}) as m_id_min, max({id}) as m_id_max"
-
-DOC_CTES = f"""with emp as (select cast(c_nationkey as varchar) as AGENT_ID, c_custkey as emp_no from customer),
-ven as (select s_suppkey as vendor_no, {VENDOR_ID} as VENDOR_ID from supplier),
+def doc_ctes(limit):
+    """The stand-ins as CTEs; ``limit``: text that ends a query for the first groups."""
+    return f"""with emp as (select cast(c_nationkey as varchar) as AGENT_ID, c_custkey as emp_no, c_name as name from customer),
+ven as (select s_suppkey as vendor_no, {VENDOR_ID} as VENDOR_ID, s_name as name from supplier),
 ins as (select o_orderkey as policy_no, cast(c_nationkey as varchar) as AGENT_ID, {VENDOR_REF} as VENDOR_ID,
                o_orderpriority as INSURANCE_TYPE, {CLAIM} as CLAIM_AMOUNT
         from orders join customer on o_custkey = c_custkey),
-ge as (select distinct AGENT_ID from emp order by AGENT_ID nulls first limit 20),
-gi as (select distinct AGENT_ID from ins order by AGENT_ID nulls first limit 20),
+ge as (select distinct AGENT_ID from emp order by AGENT_ID nulls first {limit}),
+gi as (select distinct AGENT_ID from ins order by AGENT_ID nulls first {limit}),
 gp as (select distinct AGENT_ID, INSURANCE_TYPE from ins
-       order by AGENT_ID nulls first, INSURANCE_TYPE nulls first limit 20),
-lk as (select i.policy_no, i.AGENT_ID,
-              coalesce(list(v.vendor_no order by v.vendor_no) filter (where v.vendor_no is not null), []) as arr
+       order by AGENT_ID nulls first, INSURANCE_TYPE nulls first {limit}),
+lk as (select distinct i.AGENT_ID, case when v.vendor_no is null then null else i.VENDOR_ID end as ref, v.vendor_no, v.name
        from ins i left join ven v on i.VENDOR_ID is not distinct from v.VENDOR_ID
-       where i.AGENT_ID in (select AGENT_ID from gi) group by i.policy_no, i.AGENT_ID),
-ds as (select distinct AGENT_ID, arr from lk),
+       where i.AGENT_ID in (select AGENT_ID from gi)),
 top as (select * from (select *, row_number() over (partition by AGENT_ID, INSURANCE_TYPE
                                                     order by CLAIM_AMOUNT desc nulls last, policy_no) as rk from ins)
         where rk <= 5)
 """
 
-DOC_SQL = DOC_CTES + f"""
-select 'employees' as query, AGENT_ID as company, cast(null as varchar) as category, {SUMMARY.format(id='emp_no')}
-from emp where AGENT_ID in (select AGENT_ID from ge) group by AGENT_ID
+
+def doc_sql(limit):
+    return doc_ctes(limit) + """
+select 'employees' as query, AGENT_ID as company, cast(null as varchar) as category, cast(emp_no as bigint) as member, name,
+       cast(null as double) as amount, cast(null as integer) as rank
+from emp where AGENT_ID in (select AGENT_ID from ge)
 union all
-select 'vendors', AGENT_ID, null, cast(sum(len(arr)) as bigint),
-       case when sum(len(arr)) > 0 then cast(sum(list_sum(arr)) as bigint) end, min(list_min(arr)), max(list_max(arr))
-from ds group by AGENT_ID
+select 'vendors', AGENT_ID, ref, cast(vendor_no as bigint), name, null, null from lk
 union all
-select 'policies', AGENT_ID, INSURANCE_TYPE, {SUMMARY.format(id='policy_no')}
-from ins where (AGENT_ID, INSURANCE_TYPE) in (select (AGENT_ID, INSURANCE_TYPE) from gp) group by AGENT_ID, INSURANCE_TYPE
+select 'policies', AGENT_ID, INSURANCE_TYPE, cast(policy_no as bigint), null, CLAIM_AMOUNT, null
+from ins where (AGENT_ID, INSURANCE_TYPE) in (select (AGENT_ID, INSURANCE_TYPE) from gp)
 union all
-select 'top_claims', AGENT_ID, INSURANCE_TYPE, {SUMMARY.format(id='policy_no')} from top group by AGENT_ID, INSURANCE_TYPE
+select 'top_claims', AGENT_ID, INSURANCE_TYPE, cast(policy_no as bigint), null, CLAIM_AMOUNT, cast(rk as integer) from top
 """
 
 
-@register("company_doc_queries", DOC_SQL)
-def q_company_doc_queries(spark, sf_dir):
+def _doc_queries(spark, sf_dir, **limit):
     t = fr.Tables(spark, sf_dir)
     emp, ven, ins = employee_docs(t), vendor_docs(t), insurance_docs(t)
-    e = N.summarise_groups(CO.employees_by_company(emp, "emp_no"), ["company"], "employees", "emp_no", "m")
-    v_nested = CO.vendors_by_company(ins, ven, "vendor_no")
-    v_arrays = v_nested.select("company", F.explode("vendors").alias("_s")).select("company", F.col("_s.vendor_info").alias("arr"))
-    v = N.summarise_groups(v_arrays, ["company"], "arr", "vendor_no", "m")
-    p = N.summarise_groups(CO.policies_by_company_and_type(ins, "policy_no"), ["company", "insurance_type"],
-                           "policies", "policy_no", "m")
-    k = N.summarise_groups(CO.top_claims_by_company_and_type(ins, "policy_no"), ["company", "insurance_type"],
-                           "top_claims", "policy_no", "m")
-    return _union([_tag(e, "employees", "company", None), _tag(v, "vendors", "company", None),
-                   _tag(p, "policies", "company", "insurance_type"), _tag(k, "top_claims", "company", "insurance_type")])
+    v = CO.vendors_by_company(ins, ven, **limit)
+    p = CO.policies_by_company_and_type(ins, **limit)
+    k = _ranked(CO.top_claims_by_company_and_type(ins, "policy_no"), ["company", "insurance_type"], ["policy_no", "CLAIM_AMOUNT"])
+    return _union([_members(CO.employees_by_company(emp, **limit), "employees", "company", None, "emp_no", "name"),
+                   _members(v, "vendors", "company", "vendor_ref", "v_vendor_no", "v_name"),
+                   _members(p, "policies", "company", "insurance_type", "policy_no", amount="CLAIM_AMOUNT"),
+                   _members(k, "top_claims", "company", "insurance_type", "policy_no", amount="CLAIM_AMOUNT", rank="rank")])
+
+
+@register("company_doc_queries", doc_sql("limit 20"))
+def q_company_doc_queries(spark, sf_dir):
+    return _doc_queries(spark, sf_dir)
+
+
+@register("company_doc_queries_all", doc_sql(""))
+def q_company_doc_queries_all(spark, sf_dir):
+    """Every group, without the reference's limit."""
+    return _doc_queries(spark, sf_dir, limit=None)
 
 
 # ---------------------------------------------------------------- graph form
@@ -120,48 +133,58 @@ def graph_frames(t):
     return employee, insurance, vendor, has_employee, has_vendor
 
 
-GRAPH_SQL = f"""with emp as (select c_custkey as id, cast(c_nationkey as varchar) as agentId, c_name as agentName from customer),
+def graph_sql(limit):
+    return f"""with emp as (select c_custkey as id, cast(c_nationkey as varchar) as agentId, c_name as agentName from customer),
 pol as (select o_orderkey as id, o_orderpriority as insuranceType, {CLAIM} as claimAmount, o_custkey as emp_id from orders),
-ge as (select distinct agentId from emp order by agentId nulls first limit 20),
-vp as (select distinct e.agentId as agent, e.agentName as employeeName, l_suppkey as vendor_id
+ge as (select distinct agentId from emp order by agentId nulls first {limit}),
+vp as (select distinct e.agentId as agent, e.agentName as employeeName, l_suppkey as vendor_id, s_name as name
        from emp e join orders on o_custkey = e.id join lineitem on l_orderkey = o_orderkey join supplier on l_suppkey = s_suppkey),
-gv as (select distinct agent, employeeName from vp order by agent nulls first, employeeName nulls first limit 20),
+gv as (select distinct agent, employeeName from vp order by agent nulls first, employeeName nulls first {limit}),
 pp as (select p.*, e.agentId as company from pol p join emp e on p.emp_id = e.id),
-gp as (select distinct company, insuranceType from pp order by company nulls first, insuranceType nulls first limit 20),
+gp as (select distinct company, insuranceType from pp order by company nulls first, insuranceType nulls first {limit}),
 top as (select * from (select *, row_number() over (partition by company, insuranceType
                                                     order by claimAmount desc, id) as rk
                        from pp where claimAmount is not null) where rk <= 5)
-select 'employees' as query, agentId as company, cast(null as varchar) as category, {SUMMARY.format(id='id')}
-from emp where agentId in (select agentId from ge) group by agentId
+select 'employees' as query, agentId as company, cast(null as varchar) as category, cast(id as bigint) as member, agentName as name,
+       cast(null as double) as amount, cast(null as integer) as rank
+from emp where agentId in (select agentId from ge)
 union all
-select 'vendors', agent, employeeName, {SUMMARY.format(id='vendor_id')}
-from vp where (agent, employeeName) in (select (agent, employeeName) from gv) group by agent, employeeName
+select 'vendors', agent, employeeName, cast(vendor_id as bigint), name, null, null
+from vp where (agent, employeeName) in (select (agent, employeeName) from gv)
 union all
-select 'policies', company, insuranceType, {SUMMARY.format(id='id')}
-from pp where (company, insuranceType) in (select (company, insuranceType) from gp) group by company, insuranceType
+select 'policies', company, insuranceType, cast(id as bigint), null, claimAmount, null
+from pp where (company, insuranceType) in (select (company, insuranceType) from gp)
 union all
-select 'top_claims', company, insuranceType, {SUMMARY.format(id='id')} from top group by company, insuranceType
+select 'top_claims', company, insuranceType, cast(id as bigint), null, claimAmount, cast(rk as integer) from top
 """
 
 
-@register("company_graph_queries", GRAPH_SQL)
-def q_company_graph_queries(spark, sf_dir):
+def _graph_queries(spark, sf_dir, **limit):
     employee, insurance, vendor, has_employee, has_vendor = graph_frames(fr.Tables(spark, sf_dir))
-    e = N.summarise_groups(CO.employees_by_company_graph(employee), ["company"], "employees", "id", "m")
-    v = N.summarise_groups(CO.vendors_by_company_graph(employee, has_employee, insurance, has_vendor, vendor),
-                           ["agent", "employeeName"], "vendors", "v_id", "m")
-    p = N.summarise_groups(CO.policies_by_company_and_type_graph(insurance, has_employee, employee),
-                           ["company", "category"], "policies", "p_id", "m")
-    k = N.summarise_groups(CO.top_claims_graph(insurance, has_employee, employee), ["company", "category"],
-                           "top_claims", "p_id", "m")
-    return _union([_tag(e, "employees", "company", None), _tag(v, "vendors", "agent", "employeeName"),
-                   _tag(p, "policies", "company", "category"), _tag(k, "top_claims", "company", "category")])
-
-
-@register("vendors_by_company_flat", DOC_CTES + """
-select distinct AGENT_ID as company, unnest(arr) as vendor_no from ds""")
+    v = CO.vendors_by_company_graph(employee, has_employee, insurance, has_vendor, vendor, **limit)
+    p = CO.policies_by_company_and_type_graph(insurance, has_employee, employee, **limit)
+    k = _ranked(CO.top_claims_graph(insurance, has_employee, employee), ["company", "category"], ["p_id", "p_claimAmount"])
+    return _union([_members(CO.employees_by_company_graph(employee, **limit), "employees", "company", None, "id", "agentName"),
+                   _members(v, "vendors", "agent", "employeeName", "v_id", "v_name"),
+                   _members(p, "policies", "company", "category", "p_id", amount="p_claimAmount"),
+                   _members(k, "top_claims", "company", "category", "p_id", amount="p_claimAmount", rank="rank")])
+
+
+@register("company_graph_queries", graph_sql("limit 20"))
+def q_company_graph_queries(spark, sf_dir):
+    return _graph_queries(spark, sf_dir)
+
+
+@register("company_graph_queries_all", graph_sql(""))
+def q_company_graph_queries_all(spark, sf_dir):
+    """Every group, without the reference's limit."""
+    return _graph_queries(spark, sf_dir, limit=None)
+
+
+@register("vendors_by_company_flat", doc_ctes("") + """
+select distinct AGENT_ID as company, vendor_no from lk where vendor_no is not null""")
 def q_vendors_by_company_flat(spark, sf_dir):
-    """The vendor sets per company flattened to distinct (company, vendor) rows."""
+    """The vendor sets of all companies flattened to distinct (company, vendor) rows."""
     t = fr.Tables(spark, sf_dir)
-    flat = CO.vendors_by_company_flat(insurance_docs(t), vendor_docs(t), "vendor_no")
+    flat = CO.vendors_by_company_flat(insurance_docs(t), vendor_docs(t), limit=None)
     return flat.select("company", "vendor_no")

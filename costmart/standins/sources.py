@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import register
+from ..plans import companies
 from ..session import scratch_path
 from ..sources import files as S
+from . import documents
 from . import frames as fr
 
 
@@ -76,14 +78,32 @@ def q_sink_csv(spark, sf_dir):
 
 @register("docs_to_json", """
 select o_orderkey, cast(o_orderkey as varchar) as id_text, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000') as date_text,
-       o_orderpriority as priority_text
+       case when o_orderkey % 7 <> 0 then o_orderpriority end as priority_text, o_orderkey % 7 = 0 as null_written
 from orders""")
 def q_docs_to_json(spark, sf_dir):
-    """Orders rendered as JSON documents (id as text, ISO timestamps); fields read back from the text."""
+    """Orders rendered as JSON documents (id as text, ISO timestamps, nulls kept); fields read back from the text."""
     o = fr.Tables(spark, sf_dir).orders.select(F.col("o_orderkey").cast("string").alias("_id"), "o_orderdate",
-                                               "o_orderpriority", "o_orderkey")
+                                               F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority")).alias("o_orderpriority"))
     docs = S.docs_to_json(o, ["_id", "o_orderdate", "o_orderpriority"], out="doc")
     return docs.select(F.get_json_object("doc", "$._id").cast("long").alias("o_orderkey"),
                        F.get_json_object("doc", "$._id").alias("id_text"),
                        F.get_json_object("doc", "$.o_orderdate").alias("date_text"),
-                       F.get_json_object("doc", "$.o_orderpriority").alias("priority_text"))
+                       F.get_json_object("doc", "$.o_orderpriority").alias("priority_text"),
+                       F.col("doc").contains('"o_orderpriority":null').alias("null_written"))
+
+
+@register("docs_to_json_nested", documents.doc_ctes("") + """
+select AGENT_ID as company, INSURANCE_TYPE as insurance_type, count(*) as members,
+       count(*) filter (where CLAIM_AMOUNT is null) as null_claims,
+       max(policy_no) filter (where rk = 1) as first_policy, max(VENDOR_ID) filter (where rk = 1) as first_vendor
+from top group by all""")
+def q_docs_to_json_nested(spark, sf_dir):
+    """The top-claim groups rendered as nested documents, null claims included."""
+    top = companies.top_claims_by_company_and_type(documents.insurance_docs(fr.Tables(spark, sf_dir)), "policy_no", k=5)
+    docs = S.docs_to_json(top, out="doc")
+    field = lambda path: F.get_json_object("doc", path)
+    return docs.select(field("$.company").alias("company"), field("$.insurance_type").alias("insurance_type"),
+                       F.regexp_count("doc", F.lit('"_id":')).cast("long").alias("members"),
+                       F.regexp_count("doc", F.lit('"CLAIM_AMOUNT":null')).cast("long").alias("null_claims"),
+                       field("$.top_claims[0].policy_no").cast("long").alias("first_policy"),
+                       field("$.top_claims[0].VENDOR_ID").alias("first_vendor"))

@@ -1,5 +1,6 @@
 """Edge cases on tiny invented rows (FIXTURES.md §5)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from costmart.functions import columns as C
@@ -82,16 +83,19 @@ def test_top5_keeps_null_last_and_breaks_ties_by_id(spark):
 def test_lookup_null_matches_null(spark):
     pol = spark.createDataFrame([(1, None), (2, "v1"), (3, "v9")], "pid int, vid string")
     ven = spark.createDataFrame([(10, None), (11, "v1")], "vno int, vid string")
-    out = N.lookup_nested(pol, "vid", ven, "vid", "info", order=["vno"]).orderBy("pid").collect()
-    assert [[m.vno for m in r.info] for r in out] == [[10], [11], []]
-
-
-def test_chunked_groups_hold_every_member(spark):
-    df = spark.range(0, 1000).select((F.col("id") % 3).alias("k"), F.col("id"))
-    g = N.nested_group(df, ["k"], "m", order=["id"], max_members=40)
-    assert g.agg(F.max(F.size("m"))).first()[0] <= 60
-    s = {r.k: (r.m_n, r.m_id_sum) for r in N.summarise_groups(g, ["k"], "m", "id").collect()}
-    assert s == {k: (len(range(k, 1000, 3)), sum(range(k, 1000, 3))) for k in range(3)}
+    out = N.lookup_nested(pol, "vid", ven, "vid", "v_").orderBy("pid").collect()
+    assert [(r.pid, r.v_vno, r.matched) for r in out] == [(1, 10, True), (2, 11, True), (3, None, False)]
+
+
+@pytest.mark.parametrize("n", [10, 1000])
+def test_groups_have_one_row_per_member_at_any_size(spark, n):
+    df = spark.range(0, n).select((F.col("id") % 3).alias("k"), F.col("id"))
+    g = N.nested_group(df, ["k"])
+    assert g.columns == ["k", "id"] and sorted((r.k, r.id) for r in g.collect()) == sorted((i % 3, i) for i in range(n))
+    left = spark.createDataFrame([(1, 0), (2, 5)], "x int, lk int")
+    looked = N.lookup_nested(left, "lk", df, "k")
+    assert sorted((r.x, r.id, r.matched) for r in looked.collect() if r.matched) == [(1, i, True) for i in range(0, n, 3)]
+    assert [(r.x, r.id) for r in looked.collect() if not r.matched] == [(2, None)]
 
 
 def test_stay_cost_rules(spark):

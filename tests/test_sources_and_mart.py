@@ -40,14 +40,31 @@ def test_truncate_load_requires_every_target_column(spark):
         S.sink_table_truncate_load(df, "jdbc:none", "public.dim_patient", ["patient_id", "gender", "race"])
 
 
-def test_docs_to_json_renders_nested_groups(spark):
-    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "company string, emp int")
-    from costmart.operators.nested import nested_group
-
-    g = nested_group(df, ["company"], "employees", order=["emp"])
-    js = {r.json for r in S.docs_to_json(g, ["company", "employees"]).collect()}
-    assert js == {'{"company":"a","employees":[{"emp":1,"company":"a"},{"emp":2,"company":"a"}]}',
-                  '{"company":"b","employees":[{"emp":3,"company":"b"}]}'}
+def test_docs_to_json_renders_nested_groups_and_nulls(spark):
+    df = spark.createDataFrame([("a", 1, 5.0), ("a", 2, None), ("b", 3, None)], "company string, emp int, claim double")
+    from costmart.operators.windows import collect_ranked, top_k_per_group
+
+    g = collect_ranked(top_k_per_group(df, ["company"], "claim", 2, tie=["emp"]), ["company"], "rank", ["emp", "claim"], "top")
+    js = {r.json for r in S.docs_to_json(g, ["company", "top"]).collect()}
+    assert js == {'{"company":"a","top":[{"emp":1,"claim":5.0},{"emp":2,"claim":null}]}',
+                  '{"company":"b","top":[{"emp":3,"claim":null}]}'}
+
+
+def test_csv_files_with_other_column_order_fail(spark):
+    path = scratch_path(spark, "csv-order")
+    spark.createDataFrame([("h1", "heparin")], "hadm_id string, drug string").write.option("header", True).csv(path)
+    spark.createDataFrame([("aspirin", "h2")], "drug string, hadm_id string").write.mode("append").option("header", True).csv(path)
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        S.scan_csv_strings(spark, path, ["hadm_id", "drug"]).collect()
+
+
+def test_raw_tables_need_their_columns(spark):
+    from costmart.plans import jobs
+
+    path = scratch_path(spark, "raw-lacking")
+    spark.createDataFrame([("1",)], "subject_id string").write.option("header", True).csv(path)
+    with pytest.raises(ValueError, match="patients lacks columns"):
+        jobs.read_raw_csv(spark, {n: path for n in jobs.RAW_COLUMNS})
 
 
 def test_etl_job_from_raw_csv_matches_typed_build(spark, sf_dir):
