@@ -70,14 +70,20 @@ def cap_upper(c: ColumnOrName, limit: float = COST_CAP) -> Column:
     return F.when(col > F.lit(limit), F.lit(limit)).otherwise(col)
 
 
+def hash_number(*keys: ColumnOrName, seed: int = 42, digits: int = 15) -> Column:
+    """A repeatable whole number below ``16 ** digits`` from key columns: the first
+    hex digits of the MD5 of ``key|...|seed`` (any SQL engine computes the same)."""
+    text = F.concat_ws("|", *[_c(k).cast("string") for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("long")
+
+
 def uniform_hash(*keys: ColumnOrName, seed: int = 42) -> Column:
     """Repeatable draw in [0, 1) from key columns.
 
     A hash of the key, never ``rand()``: a retried task or a different
     partitioning gives every row the same value again.
     """
-    h = F.xxhash64(*[_c(k) for k in keys], F.lit(seed))
-    return F.pmod(h, F.lit(1 << 20)).cast("double") / F.lit(float(1 << 20))
+    return hash_number(*keys, seed=seed, digits=5).cast("double") / F.lit(float(1 << 20))
 
 
 def redraw_capped(c: ColumnOrName, key: Sequence[ColumnOrName], cap: float = COST_CAP,
@@ -98,10 +104,10 @@ def extract_count(size: ColumnOrName, name: ColumnOrName, word: str = TABLET_WOR
 
 def bin_labels(c: ColumnOrName, edges: Sequence[float] = AGE_EDGES,
                labels: Sequence[str] = AGE_LABELS) -> Column:
-    """Right-closed bins ``(e[i], e[i+1]] -> labels[i]``; outside or null -> null."""
+    """Right-closed bins ``(e[i], e[i+1]] -> labels[i]``; outside, null or malformed text -> null."""
     if len(edges) != len(labels) + 1:
         raise ValueError("need one more edge than labels")
-    col = _c(c)
+    col = _c(c).try_cast("double")
     expr = None
     for lo, hi, lab in zip(edges[:-1], edges[1:], labels):
         cond = (col > F.lit(lo)) & (col <= F.lit(hi))

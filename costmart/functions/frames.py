@@ -14,10 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..fixed import DEFAULT_LAB_PRICES
-from .columns import DEFAULT_CODE, WHITESPACE_RUN, code_tokens, hashed_id
-
-# Largest choice list assign_random_category numbers in one window and broadcasts.
-MAX_CHOICES = 100_000
+from ..session import materialize
+from .columns import DEFAULT_CODE, WHITESPACE_RUN, code_tokens, hash_number, hashed_id
 
 
 def project_rename(df: DataFrame, mapping: Mapping[str, str | Column]) -> DataFrame:
@@ -56,17 +54,19 @@ def const_columns(df: DataFrame, spec: Mapping[str, tuple[object, str]]) -> Data
     return df.withColumns({k: F.lit(v).cast(t) for k, (v, t) in spec.items()})
 
 
+def to_day(df: DataFrame, col: str) -> Column:
+    """A date from a date, timestamp or text column; malformed text gives null."""
+    return F.try_to_date(F.col(col)) if dict(df.dtypes)[col] == "string" else F.col(col).cast("date")
+
+
 def date_parts(df: DataFrame, col: str, out_date: str = "calendar_date") -> DataFrame:
     """Calendar attributes of a timestamp/date/text column.
 
     ``date_id`` ``yyyyMMdd``, ``year`` and ``month`` as text, ``quarter`` as
     int, ``day_of_week`` as the English weekday name.
     """
-    src = F.col(col)
-    dtype = dict(df.dtypes)[col]
-    as_date = F.try_to_date(src) if dtype == "string" else src.cast("date")
     d = F.col(out_date)
-    return (df.withColumn(out_date, as_date)
+    return (df.withColumn(out_date, to_day(df, col))
               .withColumns({
                   "date_id": F.date_format(d, "yyyyMMdd"),
                   "year": F.date_format(d, "yyyy"),
@@ -80,21 +80,23 @@ def assign_random_category(df: DataFrame, key: Sequence[str], choices: DataFrame
                            out: str, seed: int = 42) -> DataFrame:
     """Give every row a repeatable pseudo-random member of ``choices[choice_col]``.
 
-    Distinct choices are numbered in sorted order; each row picks
-    ``pmod(hash(key, seed), n)``. The pick is an equi join on that number,
-    so no array of choices is ever built on the driver; only the scalar
-    ``n`` is read back. ``choices`` is a bounded list (e.g. states): it is
-    numbered in one window and broadcast, both behind a size check.
+    Distinct choices are numbered in sorted order; each row picks the number
+    ``hash(key, seed) mod n`` (``hash_number``). The pick is an equi join on
+    that number, so no array of choices is ever built on the driver; only the
+    scalar ``n`` is read back. Any number of choices works; a small list is
+    broadcast by Spark's byte threshold.
     """
     opts = choices.select(F.col(choice_col).alias(out)).where(F.col(out).isNotNull()).distinct()
     n = opts.count()
     if n == 0:
         return df.withColumn(out, F.lit(None).cast("string"))
-    if n > MAX_CHOICES:
-        raise ValueError(f"{n} choices: assign_random_category expects a bounded list (<= {MAX_CHOICES})")
-    opts = opts.withColumn("_ord", F.row_number().over(Window.orderBy(out)) - 1)
-    ordinal = F.pmod(F.xxhash64(*[F.col(k) for k in key], F.lit(seed)), F.lit(n))
-    return df.withColumn("_ord", ordinal).join(F.broadcast(opts), "_ord", "left").drop("_ord")
+    numbered = number_choices(opts, out)
+    return df.withColumn("_ord", hash_number(*key, seed=seed) % F.lit(n)).join(numbered, "_ord", "left").drop("_ord")
+
+
+def number_choices(opts: DataFrame, col: str) -> DataFrame:
+    """Distinct values numbered from 0 in order, as a table of known size."""
+    return materialize(opts.withColumn("_ord", F.row_number().over(Window.orderBy(col)).cast("long") - 1), "choices")
 
 
 def defaults_frame(spark: SparkSession, defaults=DEFAULT_LAB_PRICES,

@@ -1,6 +1,7 @@
-"""Aggregations: all are hash aggregates with a partial
-(map-side) step before the shuffle, so a hot key costs one partial row per
-map task instead of a third of the table in one reducer.
+"""Aggregations: all have a partial (map-side) step before the
+shuffle, so a hot key costs one partial row per map task instead of a third
+of the table in one reducer. Sums, counts and extremes are hash aggregates;
+``first_per_key`` orders structs, which Spark plans as a sort aggregate.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def group_stats(df: DataFrame, keys: Sequence[str], col: str,
     """mean / median / count (non-null values) / rows (``size``) / sum / min / max / std per group.
 
     ``drop_null_keys`` reproduces pandas, which drops null group keys.
-    The median is exact (``percentile``, linear interpolation).
+    The median is exact (``exact_quantiles``, linear interpolation).
     """
     src = df
     if drop_null_keys:

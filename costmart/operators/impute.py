@@ -9,12 +9,13 @@ Exact and shuffle-based, with no pair list and no single global sort:
 
 1. donors are reduced to one row per distinct feature value holding its k
    lowest-key donors (a rank filter, limited per group before the shuffle);
-2. distinct values are range-bucketed by approximate quantiles (the only
-   values read back are the bucket bounds);
+2. distinct values are written once and range-bucketed by approximate
+   quantiles, as many buckets as their number asks for (the only values read
+   back are that number and the bucket bounds);
 3. inside a bucket, a window over values supplies the k nearest donor
    values on each side (``lag``/``lead ... IGNORE NULLS``); a bucket's
-   outside neighbours come from a table of every bucket's k first and k
-   last donor values (at most 2k rows per bucket);
+   outside neighbours come from the k first and k last donor values of the k
+   nearest buckets with donors on either side;
 4. the k nearest of those candidates give the value's imputation, joined
    back to the rows by value (an equi join).
 """
@@ -24,6 +25,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
+# Bucket bounds are literals of one expression.
+MAX_BUCKETS = 1024
+
 
 def _bounds(values: DataFrame, col: str, buckets: int) -> list[float]:
     if buckets <= 1:
@@ -34,7 +40,7 @@ def _bounds(values: DataFrame, col: str, buckets: int) -> list[float]:
 
 
 def knn_impute(df: DataFrame, target: str, feature: str, key: str, k: int = 3,
-               buckets: int = 64, out: str | None = None) -> DataFrame:
+               buckets: int | None = None, out: str | None = None, values_per_bucket: int = 20_000) -> DataFrame:
     """``df`` with ``target`` (or ``out``) imputed from the k nearest donors by ``feature``."""
     out = out or target
     t, f = F.col(target).cast("double"), F.col(feature).cast("double")
@@ -51,6 +57,9 @@ def knn_impute(df: DataFrame, target: str, feature: str, key: str, k: int = 3,
     values = (per_value.join(wanted.withColumn("recipient", F.lit(True)), "v", "full_outer")
                        .withColumn("recipient", F.coalesce("recipient", F.lit(False))))
 
+    values = materialize(values, "knn-values")
+    if buckets is None:  # one window task for every so many distinct values, up to what one plan can name
+        buckets = min(MAX_BUCKETS, 1 + values.count() // values_per_bucket)
     bounds = _bounds(values, "v", buckets)
     bexpr = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("v"))) if bounds else F.lit(0)
     values = values.withColumn("bucket", bexpr.cast("int"))
@@ -71,17 +80,18 @@ def knn_impute(df: DataFrame, target: str, feature: str, key: str, k: int = 3,
                .agg(F.flatten(F.collect_list(F.when(F.col("r_up") <= k, F.col("es")))).alias("first_es"),
                     F.flatten(F.collect_list(F.when(F.col("r_dn") <= k, F.col("es")))).alias("last_es")))
     all_b = values.select("bucket").distinct().join(edges, "bucket", "left")
-    wb = Window.orderBy("bucket")
-    below = F.flatten(F.collect_list("last_es").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
-    above = F.flatten(F.collect_list("first_es").over(wb.rowsBetween(1, Window.unboundedFollowing)))
-    near_edges = all_b.select("bucket", below.alias("below_es"), above.alias("above_es"))
+    # of the buckets before and after, only the k nearest that hold donors matter: each has one value at least
+    wb = "ORDER BY bucket"  # one row per bucket
+    near = lambda fn, c: F.flatten(F.filter(F.array(*[F.expr(f"{fn}({c}, {i}) IGNORE NULLS OVER ({wb})") for i in range(1, k + 1)]),
+                                            lambda x: x.isNotNull()))
+    near_edges = all_b.select("bucket", near("lag", "last_es").alias("below_es"), near("lead", "first_es").alias("above_es"))
 
     # within a bucket: the k nearest donor values below and above each value
     wv = "PARTITION BY bucket ORDER BY v"
     lags = [F.expr(f"lag(es, {i}) IGNORE NULLS OVER ({wv})") for i in range(1, k + 1)]
     leads = [F.expr(f"lead(es, {i}) IGNORE NULLS OVER ({wv})") for i in range(1, k + 1)]
     local = values.select("v", "bucket", "recipient", "es", F.array(*lags).alias("lag_es"), F.array(*leads).alias("lead_es"))
-    rec = local.where("recipient").join(F.broadcast(near_edges), "bucket", "left")  # one row per bucket
+    rec = local.where("recipient").join(F.broadcast(near_edges), "bucket", "left")  # at most MAX_BUCKETS rows
 
     def nonnull(c):
         return F.coalesce(c, F.array().cast(f"array<{entry_type}>"))

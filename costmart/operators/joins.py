@@ -3,9 +3,8 @@ paths as joins through edge tables, and the either-of-two-columns lookup.
 
 No join here carries a broadcast hint on a side that grows with the data:
 Spark's own size check (``autoBroadcastJoinThreshold`` on plan statistics,
-re-checked by AQE on runtime shuffle sizes) decides, and a sort-merge join
-with AQE skew splitting is the way beyond it. ``broadcast_if_small`` is the
-explicit form for callers that want a hint behind a proven row bound.
+re-checked by AQE on runtime shuffle sizes) decides by bytes, and a sort-merge
+join with AQE skew splitting is the way beyond it.
 """
 
 from __future__ import annotations
@@ -18,12 +17,6 @@ from pyspark.sql import functions as F
 from ..functions.frames import suffix_columns
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only when ``df`` has at most ``max_rows`` rows (checked by a bounded count)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join_left_using(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     return left.join(right, on=[on] if isinstance(on, str) else list(on), how="left")
 

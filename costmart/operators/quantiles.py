@@ -12,15 +12,15 @@ narrowed pass by pass:
    bucket's exact min / max; a running sum over the target's buckets finds
    the bucket holding the rank, whose [min, max] becomes the new interval
    (bucketing is monotonic, so that range holds exactly that bucket's rows);
-3. once an interval holds at most ``small`` rows (or one value), its
-   values are collected (bounded) and the rank is read off.
-
-Passes shrink intervals ~``buckets``-fold, so 1e12 rows need two.
-The driver reads one scalar per pass (the largest interval still open); ranks
-sharing an interval share one histogram, so each row is counted once per pass.
-Targets are joined to rows on the group key (a broadcast of the target
-table when its row count, known from the group count, is small; else a
-shuffle join).
+3. an interval of one value (min = max) is the answer. No values are ever
+   collected, at any size, and there is no limit of passes: an interval's two
+   ends never share a bucket, so each pass makes it smaller.
+
+Passes shrink intervals ~``buckets``-fold: 1e12 evenly spread values take four.
+The driver reads one scalar per pass (how many targets are open); ranks sharing
+an interval share one histogram, so each row is counted once per pass. Targets
+are few rows in a small Parquet table, which Spark broadcasts by its byte
+threshold; beyond that they join by a shuffle on the group key.
 """
 
 from __future__ import annotations
@@ -32,25 +32,20 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 
 BUCKETS = 4096
-SMALL = 2_000_000  # values collected (sorted) per interval at the end: at most 16 MB
-MAX_PASSES = 64
-# Largest target table (groups x ranks) joined to the rows by broadcast.
-MAX_BROADCAST_TARGETS = 1_000_000
 
 
-def _join_targets(src: DataFrame, targets: DataFrame, keys: Sequence[str], broadcast: bool) -> DataFrame:
-    t = F.broadcast(targets) if broadcast else targets
-    t = t.select(*[F.col(k).alias("_t_" + k) for k in keys], *[c for c in targets.columns if c not in keys])
+def _join_targets(src: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    t = targets.select(*[F.col(k).alias("_t_" + k) for k in keys], *[c for c in targets.columns if c not in keys])
     cond = reduce(lambda a, b: a & b, [src[k].eqNullSafe(t["_t_" + k]) for k in keys])
     j = src.join(t, cond, "inner").drop(*["_t_" + k for k in keys])
     return j.where((F.col("_x") >= F.col("_a")) & (F.col("_x") <= F.col("_b")))
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[str] = (),
-                    names: Sequence[str] | None = None, buckets: int = BUCKETS, small: int = SMALL,
-                    max_passes: int = MAX_PASSES, cache_input: bool = True) -> DataFrame:
+                    names: Sequence[str] | None = None, buckets: int = BUCKETS, cache_input: bool = True) -> DataFrame:
     """``keys..., <name per prob>``: exact quantiles of ``col`` per group (nulls ignored).
 
     Interpolation matches Spark's ``percentile``: position ``h = p(n-1)``,
@@ -68,26 +63,25 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Seque
     # one row per group, read by every later step: computed once
     stats = (src.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
                 .persist(StorageLevel.MEMORY_AND_DISK))
-    info = stats.agg(F.count(F.lit(1)).alias("groups"), F.max("_n").alias("nmax")).first()
-    # the target table has at most 2 * len(probs) rows per group: broadcast it when that is small
-    bcast = info["groups"] * 2 * len(probs) <= MAX_BROADCAST_TARGETS
     pos = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
     ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(h), F.ceil(h)) for h in pos])))
     targets = (stats.select(*gkeys, F.explode(ranks).alias("_r"), "_lo", "_hi", "_n")
                     .select(*gkeys, F.col("_r").cast("long").alias("_r"), F.col("_lo").alias("_a"),
                             F.col("_hi").alias("_b"), F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_cnt")))
 
-    open_ = (F.col("_a") < F.col("_b")) & (F.col("_cnt") > F.lit(small))
+    open_ = F.col("_a") < F.col("_b")
     probe_cols = [*gkeys, "_a", "_b", "_below"]
-    largest_open = info["nmax"] or 0
-    for _ in range(max_passes):
-        if largest_open <= small:
-            break
+    while True:
+        # an iterative loop: cut the lineage each pass (a small table in the shared folder)
+        targets = materialize(targets, "quantile-targets")
         active = targets.where(open_)
+        if active.isEmpty():
+            break
         # ranks sharing an interval share one histogram: each row is counted once per pass
         probes = active.select(*probe_cols).distinct()
-        j = _join_targets(src, probes, gkeys, bcast)
-        bucket = F.least(F.floor((F.col("_x") - F.col("_a")) / (F.col("_b") - F.col("_a")) * F.lit(buckets)),
+        j = _join_targets(src, probes, gkeys)
+        half = lambda c: F.col(c) / 2  # noqa: E731  (the whole range may overflow)
+        bucket = F.least(F.floor((half("_x") - half("_a")) / (half("_b") - half("_a")) * F.lit(buckets)),
                          F.lit(buckets - 1)).cast("int")
         h = (j.groupBy(*probe_cols, bucket.alias("_k"))
               .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")))
@@ -97,22 +91,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Seque
         hit = hit.where((F.col("_start") <= F.col("_r")) & (F.col("_r") < F.col("_start") + F.col("_c")))
         narrowed = hit.select(*gkeys, "_r", F.col("_bmin").alias("_a"), F.col("_bmax").alias("_b"),
                               F.col("_start").alias("_below"), F.col("_c").alias("_cnt"))
-        # an iterative loop: cut the lineage each pass (reliable checkpoint, shared folder)
-        targets = targets.where(~open_).unionByName(narrowed).checkpoint(eager=True)
-        largest_open = targets.where(open_).agg(F.max("_cnt")).first()[0] or 0
-
-    if largest_open > small:
-        # never fall through to collecting an interval larger than `small`
-        raise RuntimeError(f"exact_quantiles: an interval still holds {largest_open} rows after {max_passes} passes")
-    done = targets.where(F.col("_a") == F.col("_b")).select(*gkeys, "_r", F.col("_a").alias("_v"))
-    rest = targets.where(F.col("_a") < F.col("_b"))
-    # each remaining interval holds at most `small` rows: collect it once, sorted
-    rest_probes = rest.select(*probe_cols).distinct()
-    sorted_vals = (_join_targets(src, rest_probes, gkeys, bcast)
-                   .groupBy(*probe_cols).agg(F.sort_array(F.collect_list("_x")).alias("_xs")))
-    vals = (rest.select(*probe_cols, "_r").join(sorted_vals, probe_cols)
-                .select(*gkeys, "_r", F.element_at("_xs", (F.col("_r") - F.col("_below") + 1).cast("int")).alias("_v")))
-    values = done.unionByName(vals)
+        targets = targets.where(~open_).unionByName(narrowed)
+    values = targets.select(*gkeys, "_r", F.col("_a").alias("_v"))
 
     by_rank = values.groupBy(*gkeys).agg(F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_m"))
     out = stats.join(by_rank, gkeys, "left")
@@ -123,7 +103,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Seque
         vlo, vhi = F.element_at("_m", lo.cast("long")), F.element_at("_m", hi.cast("long"))
         cols.append(F.when(lo == hi, vlo).otherwise((hi - h) * vlo + (h - lo) * vhi).alias(name))
     # one row per group: materialise it, then release what this function cached
-    result = out.select(*gkeys, *cols).checkpoint(eager=True)
+    result = materialize(out.select(*gkeys, *cols), "quantiles")
     stats.unpersist()
     if cache_input:
         src.unpersist()

@@ -9,7 +9,9 @@ empty and x or y empty -> 100; otherwise the largest of
 ``100 - 100·(p + |x|) / (2s + p + |x|)`` and the same with y, where
 ``indel = |x| + |y| - 2·LCS(x, y)``.
 
-No pair list is ever built whole. Candidates come from equi joins on three
+Names and their token sets are written once and read by every route. Names
+that the token route matches in full leave before the letters are looked at.
+Candidates come from equi joins on three
 kinds of features, each pruned by prefix filtering (rarest features first,
 by their frequency over both sides), which is exact for a threshold: a pair
 scoring at least ``threshold`` always shares a feature in the probed
@@ -27,6 +29,10 @@ prefixes.
 * character route: pairs too short for the bigram bound share a character
   (LCS >= (1-δ)(a+b)/2), prefix-filtered the same way.
 
+The bound on candidates is only as good as the rarest features: names that
+all share their rare bigrams (one template with running numbers) still meet
+each other.
+
 Scores are native expressions computed once per distinct candidate pair:
 the LCS is the bit-parallel recurrence on 64-bit longs for texts up to 62
 characters (a dynamic-programming row fold beyond), and it is skipped when
@@ -44,6 +50,10 @@ from pyspark.sql import functions as F
 
 from ..fixed import MATCH_THRESHOLD
 from ..functions.columns import WHITESPACE_RUN
+from ..session import materialize
+
+# Falling thresholds of a join without one; the last admits any shared character.
+STEPS = (80.0, 67.0, 50.0, 30.0, 1e-6)
 
 # Slack for the pruning bounds: 1 - 0.8 is 0.19999999999999996 in binary
 # floating point, and a bound must never cut a pair sitting exactly on it.
@@ -138,8 +148,11 @@ def _chars(text: Column) -> Column:
     return _numbered(F.transform(F.sequence(F.lit(1), F.length(text)), lambda k: F.substr(text, k, F.lit(1))))
 
 
-def _prefixes(names: DataFrame, threshold: float) -> dict[str, DataFrame]:
-    """Feature rows ``(side, name, f)`` for every route: full sets and rare-first prefixes."""
+def _prefixes(names: DataFrame, threshold: float, routes: str) -> dict[str, DataFrame]:
+    """Feature rows ``(side, name, f)`` of the routes: full sets and rare-first prefixes.
+
+    Below a threshold of about 67 the bigram bound is empty; then the character
+    route covers all lengths."""
     d = 1.0 - threshold / 100.0
     tok_budget = 2.0 * d / (1.0 + d)                      # share of l the non-shared tokens may weigh
     bi_coef = (0.5 - 1.5 * d) * 2.0 / (1.0 + d)           # kept bigrams >= bi_coef * l - 1
@@ -147,16 +160,16 @@ def _prefixes(names: DataFrame, threshold: float) -> dict[str, DataFrame]:
     ch_coef = (1.0 - d) / (1.0 + d)                       # shared characters >= ch_coef * l
 
     base = names.select("side", "name", "toks", "l")
-    feats = {
-        "tok": base.select("side", "name", "l", F.explode("toks").alias("f"))
-                   .withColumn("w", F.length("f") + 1),
-        "bi": base.where(F.size("toks") > 0).select("side", "name", "l", F.explode(_bigrams(F.col("toks"))).alias("f")),
-    }
+    feats = {}
+    if routes != "letters":
+        feats["tok"] = base.select("side", "name", "l", F.explode("toks").alias("f")).withColumn("w", F.length("f") + 1)
+    if routes != "tokens" and short_sum is not None:
+        feats["bi"] = base.where(F.size("toks") > 0).select("side", "name", "l", F.explode(_bigrams(F.col("toks"))).alias("f"))
     chars_src = base.where(F.col("l") > 0)
     if short_sum is not None:
         chars_src = chars_src.where(F.col("l") <= F.lit(short_sum))
-    feats["ch"] = chars_src.select("side", "name", "l",
-                                   F.explode(_chars(F.array_join("toks", " "))).alias("f"))
+    if routes != "tokens":
+        feats["ch"] = chars_src.select("side", "name", "l", F.explode(_chars(F.array_join("toks", " "))).alias("f"))
     out = {}
     for kind, fr in feats.items():
         if kind != "tok":
@@ -209,32 +222,37 @@ def _pairs(lf: DataFrame, rf: DataFrame, d: float | None) -> DataFrame:
     return j.select("lname", "rname")
 
 
-def candidate_pairs(left_names: DataFrame, right_names: DataFrame, threshold: float) -> DataFrame:
-    """Distinct (lname, rname) pairs that can score ``>= threshold`` (a superset of them)."""
+def tokenised(left_names: DataFrame, right_names: DataFrame) -> DataFrame:
+    """Both sides' distinct names with their token sets, written once."""
+    return materialize(left_names.select(F.lit("L").alias("side"), "name")
+                       .unionByName(right_names.select(F.lit("R").alias("side"), "name")).distinct()
+                       .withColumn("toks", token_set("name"))
+                       .withColumn("l", F.length(F.array_join("toks", " "))), "fuzzy-names")
+
+
+def candidate_pairs(names: DataFrame, threshold: float, routes: str = "all") -> DataFrame:
+    """Distinct (lname, rname) pairs that can score ``>= threshold`` (a superset of them).
+
+    ``names`` is a ``tokenised`` table; ``routes``: "tokens" (the ratios on the
+    intersection and the 100 case), "letters" (the LCS ratio) or "all"."""
     d = 1.0 - threshold / 100.0
-    names = (left_names.select(F.lit("L").alias("side"), "name")
-             .unionByName(right_names.select(F.lit("R").alias("side"), "name"))
-             .withColumn("toks", token_set("name"))
-             .withColumn("l", F.length(F.array_join("toks", " "))))
-    fx = _prefixes(names, threshold)
-    parts = [_pairs(fx["tok_pref"], fx["tok_all"], None), _pairs(fx["tok_all"], fx["tok_pref"], None),
-             _pairs(fx["bi_pref"], fx["bi_pref"], d), _pairs(fx["ch_pref"], fx["ch_pref"], d)]
+    fx = _prefixes(names, threshold, routes)
+    parts = []
+    if routes != "letters":
+        parts += [_pairs(fx["tok_pref"], fx["tok_all"], None), _pairs(fx["tok_all"], fx["tok_pref"], None)]
+    parts += [_pairs(fx[k], fx[k], d) for k in ("bi_pref", "ch_pref") if k in fx]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     # Scoring is CPU-heavy and its input is small in bytes, so AQE would coalesce it into
-    # very few tasks. One hash exchange on the left name with an explicit partition count
-    # (kept by AQE) spreads it, and also serves the dedupe and the best-per-name aggregate.
+    # very few tasks. One exchange by pair with an explicit partition count (kept by AQE)
+    # spreads it, a name with many candidates too, and serves the dedupe.
     n = int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return out.repartition(n, "lname").dropDuplicates(["lname", "rname"])
+    return out.repartition(n, "lname", "rname").dropDuplicates(["lname", "rname"])
 
 
-def best_match_names(left_names: DataFrame, right_names: DataFrame,
-                     threshold: float = MATCH_THRESHOLD) -> DataFrame:
-    """``(name, match, score)`` for each distinct left name; no choice scoring >= threshold -> null."""
-    if threshold is None or threshold <= 0:
-        raise ValueError("an exact similarity join needs a positive threshold")
-    cand = candidate_pairs(left_names, right_names, threshold)
+def _best(names: DataFrame, threshold: float, routes: str) -> DataFrame:
+    cand = candidate_pairs(names, threshold, routes)
     scored = score_pairs(cand.withColumn("ta", token_set("lname")).withColumn("tb", token_set("rname")), "ta", "tb")
     # The threshold is applied to the best score per name, after the aggregate: a filter on
     # the pair score alone would only reference the candidate columns, and Catalyst would
@@ -242,13 +260,54 @@ def best_match_names(left_names: DataFrame, right_names: DataFrame,
     best = scored.groupBy("lname").agg(
         F.min_by(F.struct(F.col("rname").alias("match"), F.col("score").alias("score")),
                  F.struct((-F.col("score")).alias("neg"), F.col("rname").alias("r"))).alias("b"))
-    best = (best.select(F.col("lname").alias("name"), "b.match", "b.score")
-                .where(F.col("score") >= F.lit(float(threshold))))
-    return left_names.select("name").join(best, "name", "left")
+    return best.select(F.col("lname").alias("name"), "b.match", "b.score").where(F.col("score") >= F.lit(float(threshold)))
+
+
+def _without(names: DataFrame, done: DataFrame) -> DataFrame:
+    gone = done.select(F.col("name").alias("_d"))
+    return names.join(gone, (F.col("side") == "L") & (F.col("name") == F.col("_d")), "left_anti")
+
+
+def _matches(names: DataFrame, threshold: float) -> DataFrame:
+    """Best matches >= threshold: names that the token route matches in full
+    (score 100, all ties seen) never meet the letters of other names."""
+    by_token = materialize(_best(names, threshold, "tokens"), "fuzzy-tokens")
+    full = by_token.where(F.col("score") >= 100.0)
+    by_letter = _best(_without(names, full), threshold, "letters")
+    better = F.min_by(F.struct("match", "score"), F.struct((-F.col("score")).alias("neg"), F.col("match").alias("m")))
+    return (by_token.unionByName(by_letter).groupBy("name").agg(better.alias("b")).select("name", "b.match", "b.score"))
+
+
+def best_match_names(left_names: DataFrame, right_names: DataFrame,
+                     threshold: float | None = MATCH_THRESHOLD) -> DataFrame:
+    """``(name, match, score)`` for each distinct left name; no choice scoring >= threshold -> null.
+
+    Without a threshold (None) every name gets its best choice. The join then
+    runs at falling thresholds (``STEPS``), each time for the names that have
+    no match yet; a name that shares no character with any choice scores 0
+    everywhere and gets the lowest text, as all ties do.
+    """
+    if threshold is not None:
+        if threshold <= 0:
+            raise ValueError("the threshold must be positive (None: best match whatever its score)")
+        best = _matches(tokenised(left_names, right_names), threshold)
+        return left_names.select("name").join(best, "name", "left")
+    names, found = tokenised(left_names, right_names), []
+    for step in STEPS:
+        found.append(materialize(_matches(names, step), "fuzzy-step"))
+        names = materialize(_without(names, found[-1]), "fuzzy-left")
+        if names.where("side = 'L'").isEmpty():
+            break
+    best = found[0]
+    for f in found[1:]:
+        best = best.unionByName(f)
+    lowest = right_names.agg(F.min("name")).first()[0]
+    rest = names.where("side = 'L'").select("name", F.lit(lowest).cast("string").alias("match"), F.when(F.lit(lowest).isNotNull(), 0.0).alias("score"))
+    return left_names.select("name").join(best.unionByName(rest), "name", "left")
 
 
 def fuzzy_best_match(left: DataFrame, left_col: str, right: DataFrame, right_col: str,
-                     threshold: float = MATCH_THRESHOLD, match_col: str = "match",
+                     threshold: float | None = MATCH_THRESHOLD, match_col: str = "match",
                      score_col: str = "match_score") -> DataFrame:
     """Every ``left`` row with its best ``right[right_col]`` by token-set ratio.
 

@@ -9,8 +9,9 @@ read from tablet names. Lab prices: each fee category is matched to lab
 item labels; items take the matched price (first per label), and a
 missing or zero price falls back to its category default.
 
-Both matchers use the token-set ratio with threshold 80 (an exact
-similarity join, ``operators.similarity``).
+Matches are by token-set ratio (an exact similarity join,
+``operators.similarity``): medicine names take the best trade name whatever its
+score, the two later matchers need 80.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ from ..operators.similarity import MATCH_THRESHOLD, fuzzy_best_match
 
 
 def medicine_mapping(medicine_prices: DataFrame, trade_names: DataFrame, row_order: str,
-                     threshold: float = MATCH_THRESHOLD) -> DataFrame:
-    """Medicine price rows with the active ingredients of their best-matching trade name.
+                     threshold: float | None = None) -> DataFrame:
+    """Medicine price rows with the active ingredients of their best-matching trade name,
+    however low its score (``threshold`` None, as in the reference's first loop).
 
     ``medicine_prices``: Medication_Name, Package_Size, Max_Consumer_VAT_Price
     (+ ``row_order``); ``trade_names``: brand_name, active_ingredients

@@ -19,13 +19,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import AGE_LABELS, bin_labels, derive_total, labor_cost, month_period, nurse_hours, parse_ratio
-from ..functions.frames import assign_random_category, suffix_columns
+from ..functions.frames import assign_random_category, number_choices, suffix_columns, to_day
 from ..operators import aggregates as A
-from ..operators.joins import broadcast_if_small, join_star
+from ..operators.joins import join_star
 
 NUMERIC = ("total_icu_days", "lab_tests_cost", "medicine_cost", "total_cost")
-# Largest staffing table (rows per state) joined by broadcast.
-MAX_STATES = 10_000
+# What the reports read of the mart.
+REPORT_COLUMNS = (*NUMERIC, "unit_type", "admit_month", "survived", "drg_category", "age_group", "labor_cost", "supply_cost")
 
 
 def stay_mart(fact: DataFrame, dim_patient: DataFrame, dim_admission: DataFrame, dim_icu_unit: DataFrame,
@@ -38,8 +38,7 @@ def stay_mart(fact: DataFrame, dim_patient: DataFrame, dim_admission: DataFrame,
     pseudo-random state (hash of the stay id), or ``state_pick`` (an integer
     column: the ordinal of the state among the sorted distinct states).
     """
-    f = fact.withColumns({"_admit_day": F.col("icu_admit_date").cast("date"),
-                          "_disch_day": F.col("icu_discharge_date").cast("date")})
+    f = fact.withColumns({"_admit_day": to_day(fact, "icu_admit_date"), "_disch_day": to_day(fact, "icu_discharge_date")})
     dd = dim_date
     # dimensions with one row per stay first, so their joins see stays, not fanned-out rows
     df = join_star(f, [(dim_icu_unit, "stay_id", "unit_id"),
@@ -51,14 +50,11 @@ def stay_mart(fact: DataFrame, dim_patient: DataFrame, dim_admission: DataFrame,
     else:
         states = nurse_wages.select("State").where(F.col("State").isNotNull()).distinct()
         n = states.count()
-        if n > MAX_STATES:
-            raise ValueError(f"{n} states: expected a bounded state list (<= {MAX_STATES})")
-        states = states.withColumn("_ord", F.row_number().over(Window.orderBy("State")) - 1)
-        df = df.withColumn("_ord", F.pmod(state_pick, F.lit(n))).join(F.broadcast(states), "_ord", "left").drop("_ord")
-    # staffing tables are one row per state: broadcast only behind a row-count check
-    wages = broadcast_if_small(nurse_wages.select("State", "hourly_wage"), MAX_STATES)
-    ratios = broadcast_if_small(nurse_ratios.select(F.trim(F.col("State")).alias("State"), "nurse_patient_ratio"),
-                                MAX_STATES)
+        df = (df.withColumn("_ord", F.pmod(state_pick.cast("long"), F.lit(n)))
+                .join(number_choices(states, "State"), "_ord", "left").drop("_ord"))
+    # staffing tables are one row per state: Spark broadcasts them by its byte threshold
+    wages = nurse_wages.select("State", "hourly_wage")
+    ratios = nurse_ratios.select(F.trim(F.col("State")).alias("State"), "nurse_patient_ratio")
     nurses, patients = parse_ratio("nurse_patient_ratio")
     df = (df.join(wages, "State", "left").join(ratios, "State", "left")
             .withColumns({"icu_nurses": nurses, "icu_patients": patients}))
@@ -77,9 +73,9 @@ def stay_mart(fact: DataFrame, dim_patient: DataFrame, dim_admission: DataFrame,
 
 
 def _long(df: DataFrame, report: str, label: Column, stats: dict[str, Column]) -> DataFrame:
-    parts = [df.select(F.lit(report).alias("report"), label.cast("string").alias("label"), F.lit(s).alias("stat"),
-                       v.cast("double").alias("value")) for s, v in stats.items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """(report, label, stat, value): all statistics of a row unpivoted at once, so ``df`` is read once."""
+    pairs = F.array(*[F.struct(F.lit(s).alias("stat"), v.cast("double").alias("value")) for s, v in stats.items()])
+    return df.select(F.lit(report).alias("report"), label.cast("string").alias("label"), F.explode(pairs).alias("_p")).select("report", "label", "_p.*")
 
 
 def cost_reports(mart: DataFrame, bins: int = 30, top_drg: int = 10) -> DataFrame:
@@ -91,11 +87,11 @@ def cost_reports(mart: DataFrame, bins: int = 30, top_drg: int = 10) -> DataFram
     (small) result is materialised by a reliable checkpoint, then the cache
     is released.
     """
-    m = mart.persist()  # read by nine aggregates; released once the small result is written
+    m = mart.select(*REPORT_COLUMNS).persist()  # read by nine aggregates; released once the small result is written
     desc = A.describe_numeric(m, NUMERIC)
-    desc_long = reduce(lambda a, b: a.unionByName(b), [
-        desc.select(F.lit("describe").alias("report"), F.lit(c).alias("label"), F.col("statistic").alias("stat"),
-                    F.col(c).cast("double").alias("value")) for c in NUMERIC])
+    cells = F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).cast("double").alias("value")) for c in NUMERIC])
+    desc_long = (desc.select(F.col("statistic").alias("stat"), F.explode(cells).alias("_c"))
+                     .select(F.lit("describe").alias("report"), F.col("_c.label").alias("label"), "stat", F.col("_c.value").alias("value")))
     hist = A.histogram_equal_width(m, "total_icu_days", bins)
     unit = A.group_stats(m, ["unit_type"], "total_cost", stats=("mean",))
     month = A.group_stats(m, ["admit_month"], "total_cost", stats=("rows",))

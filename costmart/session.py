@@ -90,3 +90,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/costmart-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Lineage ends there, and the files' size is known to the planner: a small
+    result is broadcast by Spark's own byte threshold, a large one is not.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import register
 from ..operators import similarity as SIM
+from ..session import materialize
 from . import frames as fr
 from .sql import CTE
 
@@ -116,14 +117,47 @@ def medicine_prices(t):
                            "else cast(round(p_retailprice / 3, 2) as string) end").alias("Max_Consumer_VAT_Price"))
 
 
+MED_NAME = "p_name || ' ' || cast(p_size as varchar) || case when p_partkey % 2 = 0 then ' tab' else ' ml' end"
+BRAND = "case when p_partkey % 2 = 0 then upper(p_name) else p_name || ' ' end"
+NORM = "lower(regexp_replace({c}, '^" + WS + "|" + WS + "$', '', 'g'))"
+
+#: The mapping as CTEs: every pair scored, the best whatever its score.
+MAPPING_CTES = brute_force_best_sql(f"select distinct {NORM.format(c=MED_NAME)} as name from part",
+                                    f"select distinct {NORM.format(c=BRAND)} as name from part", 0.0) + f"""
+, tn as (select * from (select p_partkey, {NORM.format(c=BRAND)} as brand,
+                               lower(p_type) || ' ' || split_part(p_name, ' ', 2) as active_ingredients,
+                               row_number() over (partition by {NORM.format(c=BRAND)} order by p_partkey) as rn from part) where rn = 1),
+mapping as (
+  select p.p_partkey, p.med as medicine_name, best.rname as matched_drug,
+         case when p.p_partkey % 7 = 0 then 'n/a' when p.p_partkey % 5 = 0 then null else cast(p_size as varchar) end as package_size,
+         best.score as match_score,
+         case when p.p_partkey % 11 = 0 then 'bad' when p.p_partkey % 13 = 0 then null
+              else cast(round(p_retailprice / 3, 2) as varchar) end as cost,
+         tn.active_ingredients as drugs
+  from (select *, {MED_NAME} as med from part) p left join best on best.lname = {NORM.format(c="med")}
+       left join tn on tn.brand = best.rname)"""
+
+
+@register("medicine_mapping", "with " + MAPPING_CTES + """
+select p_partkey, medicine_name, matched_drug, package_size, round(match_score, 6) as match_score, try_cast(cost as double) as cost, drugs
+from mapping""")
+def q_medicine_mapping(spark, sf_dir):
+    """Medicine price rows matched to trade names for their ingredients."""
+    from ..plans import pricing as PR
+
+    t = fr.Tables(spark, sf_dir)
+    out = PR.medicine_mapping(medicine_prices(t), trade_names(t), "p_partkey")
+    return out.withColumns({"match_score": F.round("match_score", 6), "cost": F.expr("try_cast(cost as double)")})
+
+
 @register("drug_price_list")
 def q_drug_price_list(spark, sf_dir):
-    """Prescribed drugs priced through both matchers, imputation, cap and redraw (rows-only:
-    the redraw is a Spark hash; each step has its own oracle-checked query)."""
+    """Prescribed drugs priced through both matchers, imputation, cap and redraw (each step has its own
+    SQL-checked query)."""
     from ..plans import pricing as PR
 
     t = fr.Tables(spark, sf_dir)
-    mapping = PR.medicine_mapping(medicine_prices(t), trade_names(t), "p_partkey").checkpoint(eager=True)
+    mapping = materialize(PR.medicine_mapping(medicine_prices(t), trade_names(t), "p_partkey"), "medicine-mapping")
     return PR.drug_price_list(fr.prescriptions(t), mapping, "p_partkey")
 
 
@@ -156,12 +190,3 @@ def q_lab_price_list(spark, sf_dir):
 
     t = fr.Tables(spark, sf_dir)
     return PR.lab_price_list(fr.lab_items(t), lab_fees(t), "itemid", "n_nationkey")
-
-
-@register("medicine_mapping")
-def q_medicine_mapping(spark, sf_dir):
-    """Medicine price rows matched to trade names for their ingredients (rows-only)."""
-    from ..plans import pricing as PR
-
-    t = fr.Tables(spark, sf_dir)
-    return PR.medicine_mapping(medicine_prices(t), trade_names(t), "p_partkey")

@@ -140,16 +140,28 @@ def q_cap_upper(spark, sf_dir):
     return o.select("o_orderkey", C.cap_upper(F.expr(NULLED_PRICE), 400000.0).alias("capped"))
 
 
-@register("redraw_capped")
+def md5_number_sql(keys, digits, seed=42):
+    """The same whole number as ``functions.columns.hash_number``."""
+    return f"cast('0x' || substr(md5(concat_ws('|', {keys}, '{seed}')), 1, {digits}) as bigint)"
+
+
+@register("redraw_capped", f"""
+with c as (select o_orderkey, case when {NULLED_PRICE} > 400000 then 400000.0 else {NULLED_PRICE} end as capped from orders)
+select o_orderkey, capped, case when capped = 400000 then
+       cast(100000 as double) + cast(300000 as double) * ({md5_number_sql('cast(o_orderkey as varchar)', 5)} / cast(1048576 as double))
+       else capped end as cost from c""")
 def q_redraw_capped(spark, sf_dir):
-    """Capped prices redrawn in [100000, 400000) by a hash of the order key (checked by tests)."""
+    """Capped prices redrawn in [100000, 400000) by a hash of the order key."""
     o = _t(spark, sf_dir).orders
     capped = C.cap_upper(F.expr(NULLED_PRICE), 400000.0)
     return o.select("o_orderkey", capped.alias("capped"),
                     C.redraw_capped(capped, ["o_orderkey"], 400000.0, 100000.0, 400000.0).alias("cost"))
 
 
-@register("assign_random_category")
+@register("assign_random_category", with_("nurse_wages") + f"""
+, s as (select "State", row_number() over (order by "State") - 1 as n from (select distinct "State" from nurse_wages where "State" is not null))
+select o_orderkey, s."State" from orders
+join s on s.n = {md5_number_sql('cast(o_orderkey as varchar)', 15)} % (select count(*) from s)""")
 def q_assign_random_category(spark, sf_dir):
     """Every stay gets a repeatable pseudo-random state (nation name)."""
     t = _t(spark, sf_dir)
