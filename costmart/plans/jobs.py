@@ -29,7 +29,8 @@ RAW_COLUMNS = {
 }
 
 # Columns that a raw file may lack: the mart does not read them.
-OPTIONAL_COLUMNS = {"drug_price": ("medicine_name", "package_size"), "lab_price": ("category",)}
+OPTIONAL_COLUMNS = {"prescriptions": ("subject_id", "gsn", "starttime"), "lab_events": ("subject_id", "charttime"),
+                    "lab_items": ("category",), "drug_price": ("medicine_name", "package_size"), "lab_price": ("category",)}
 
 # Warehouse tables in load order (dimensions before the fact) with their column order.
 WAREHOUSE_COLUMNS = {

@@ -98,6 +98,14 @@ def test_groups_have_one_row_per_member_at_any_size(spark, n):
     assert [(r.x, r.id) for r in looked.collect() if not r.matched] == [(2, None)]
 
 
+def test_malformed_text_dates_and_ages_give_null(spark):
+    fact = spark.createDataFrame([("2150-01-01 10:00:00", "2150-01-03"), ("not a date", None), ("2150-13-40", "")],
+                                 "icu_admit_date string, icu_discharge_date string")
+    assert sorted(str(r.calendar_date) for r in mart.dim_date(fact).collect()) == ["2150-01-01", "2150-01-03"]
+    ages = spark.createDataFrame([("17",), ("x",), (None,), ("70",)], "age string").select(C.bin_labels("age").alias("b"))
+    assert [r.b for r in ages.collect()] == ["child", None, None, "elderly"]
+
+
 def test_stay_cost_rules(spark):
     adm = spark.createDataFrame([("a1", "0"), ("a2", "1")], "hadm_id string, hospital_expire_flag string")
     icu = spark.createDataFrame([("p1", "a1", "s1", "2150-01-01 10:00:00", "2150-01-03 10:00:00", "2.0", "MICU (MICU)"),

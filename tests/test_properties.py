@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from costmart.catalog import QUERIES
@@ -46,13 +48,14 @@ def test_best_match_equals_brute_force(spark):
     rng = random.Random(7)
     left = sorted({rand_name(rng) for _ in range(150)})
     right = sorted({rand_name(rng) for _ in range(120)})
-    for threshold in (80.0, 70.0, 90.0):
+    left += ["zzz", "zz yy", "", "axxxxxxxxxxxxxxxxxxxxxxxxxx"]  # no shared character, no token, a low score
+    for threshold in (80.0, 70.0, 90.0, None):
         want = {}
         for a in left:
             best = None
             for b in right:
                 s = py_ratio(a, b)
-                if s >= threshold and (best is None or s > best[1] or (s == best[1] and b < best[0])):
+                if s >= (threshold or 0) and (best is None or s > best[1] or (s == best[1] and b < best[0])):
                     best = (b, s)
             want[a] = best
         ldf = spark.createDataFrame([(n,) for n in left], "name string")
@@ -143,6 +146,41 @@ def test_no_python_udf_cross_join_or_nested_loop(spark, sf_dir):
         assert not any(b in plan for b in bad), (name, [b for b in bad if b in plan])
 
 
+@pytest.mark.parametrize("name", ["cost_reports", "describe_numeric", "group_stats", "drug_price_list", "medicine_mapping"])
+def test_plans_before_materialisation(spark, sf_dir, name, tmp_path):
+    """Every plan a query runs, those it writes or collects on the way included (from the event stream of executions)."""
+    seen = []
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    QUERIES[name](spark, sf_dir).collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    executions = store.executionsList()
+    for i in range(executions.size()):
+        e = executions.apply(i)
+        if e.executionId() >= before:
+            seen.append(e.physicalPlanDescription())
+    assert len(seen) > 1
+    bad = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "collect_list(_x")
+    assert not any(b in plan for plan in seen for b in bad)
+
+
+def test_code_lookup_does_not_shuffle_events_on_drug_names(spark, sf_dir):
+    plan = _plan(QUERIES["fact_cost_event"](spark, sf_dir))
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan  # exchanges are those of the small tables' own aggregates
+
+
+def test_fact_reads_orders_for_stays_once(spark, sf_dir):
+    from costmart.plans import mart
+    from costmart.standins import frames as fr
+
+    t = fr.Tables(spark, sf_dir)
+    stays_only = _plan(mart.stays(fr.admissions(t), fr.icustays(t))).count("orders.parquet")
+    whole = mart.fact_stay_cost(fr.admissions(t), fr.icustays(t), fr.prescriptions(t), fr.drug_price(t),
+                                fr.lab_events(t), fr.lab_items(t), fr.lab_price(t))
+    others = sum(_plan(d).count("orders.parquet") for d in (fr.prescriptions(t), fr.lab_events(t)))
+    assert _plan(whole).count("orders.parquet") <= stays_only + others
+
+
 def test_scan_prunes_columns_and_pushes_filters(spark, sf_dir):
     plan = _plan(QUERIES["scan_parquet"](spark, sf_dir))
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in plan
