@@ -64,7 +64,7 @@ def main() -> None:
     keys = re.findall(r"^\| (?:(\d+) \| )?`([a-z_]+)`", sec, re.M)
     lines = ["# Coverage of SURVEY §2", "",
              "Generated by `python scripts/coverage.py`. Check: **SQL** = DuckDB oracle compared on rows, names, types",
-             "and values at sf0.01; **rows** = rows-only (Spark-hash draws; property tests cover the values).", "",
+             "and values at sf0.01; **rows** = rows-only (each step of that pipeline has its own SQL-checked query).", "",
              "| # | key | library | registered query | check |", "|---|---|---|---|---|"]
     seen = set()
     for num, key in keys:
