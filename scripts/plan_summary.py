@@ -16,7 +16,8 @@ from costmart.catalog import QUERIES  # noqa: E402
 from costmart.session import build_session  # noqa: E402
 
 SHOW = ["fact_stay_cost", "top_k_per_group", "nested_group", "lookup_either_column", "modal_value",
-        "fuzzy_best_match", "knn_impute", "path_two_hop", "scan_parquet"]
+        "fuzzy_best_match", "knn_impute", "path_two_hop", "scan_parquet", "fact_cost_event", "stay_mart",
+        "cost_reports", "drug_price_list"]
 KEEP = re.compile(r"(Exchange|Join|Aggregate|WindowGroupLimit|Window |Scan|Filter|Generate|Union|Sort |TakeOrdered)")
 
 
@@ -39,11 +40,18 @@ def main() -> None:
     spark = build_session("local[8]", 16)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     print(f"# Condensed physical plans ({sf_dir}, AQE off, 16 shuffle partitions)\n")
+    print("Queries that write small tables on the way show those plans too, in the order in which they ran.\n")
+    store = spark._jsparkSession.sharedState().statusStore()
     for name in SHOW:
+        before = store.executionsCount()
         df = QUERIES[name](spark, sf_dir)
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plans = [df._jdf.queryExecution().executedPlan().toString()]
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        ran = store.executionsList()
+        ran = [e.physicalPlanDescription().split("\n\n")[0] for e in map(ran.apply, range(ran.size())) if e.executionId() >= before]
         print(f"## `{name}`\n\n```text")
-        print("\n".join(condense(plan)))
+        for plan in [*ran[:6], *plans]:
+            print("\n".join(condense(plan)[:60]) + "\n")
         print("```\n")
     spark.stop()
 
