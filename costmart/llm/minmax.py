@@ -12,9 +12,10 @@ band is looked at. Buckets of a band are not expanded into pairs: each member
 is first compared with the bucket's smallest id only. After the components of
 those links, only pairs of different components can still add anything. So in
 buckets that still hold several components, the members outside the first's
-component are compared with all members of other components, each pair once
-(in the first band that it shares). A bucket inside one component costs
-nothing more. Every link is confirmed on the full sets.
+component meet members of other components in an exact prefix and positional
+filter on their rarest shingles, which passes few pairs that are no links. A
+bucket inside one component costs nothing more. Every link is confirmed on the
+full sets.
 
 Cases: null and empty texts have no set, no link and stay their own component;
 a text with fewer words than a shingle is one shingle of all its words; rows
@@ -36,6 +37,7 @@ from xxhash import xxh3_64_intdigest
 from .common import id_and_text, slices, stored, unwrapped, wrapped
 from .components import components
 
+COUNTS = 1 << 20
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 SIGNED = "doc_id long, n long, key_hi long, key_lo long, bands array<long>"
 
@@ -152,11 +154,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, hashes:
         labels = None
     else:
         sizes = nodes.select("node", "n")
-        reps = texts.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+        reps = texts.where("doc_id is not null").join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
         first = (members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"), F.col("n").alias("n_b")).distinct()
                  .join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a").where(near(percent)).select("a", "b"))
         links = stored(confirm(first, reps, words, percent), "minmax-links")
-        rest = remaining(members, nodes, components(links), percent)
+        rest = remaining(members, components(links), reps, words, percent)
         more = confirm(stored(rest, "minmax-rest"), reps, words, percent)
         labels = components(links.unionByName(more))
     labelled = classes.withColumn("component_id", F.col("node")).drop("node") if labels is None else (
@@ -167,21 +169,60 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, hashes:
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
-def remaining(members: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and have not
-    been compared, each once."""
+def remaining(members: DataFrame, labels: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that can still be links.
+
+    Taken are the members of buckets that hold several components, each with
+    the rarest shingles of its set: two sets of the similarity must have one of
+    them in common (prefix filter), and the shingles up to the first common one
+    must not be too many (positional filter). Any common order of shingles is
+    exact; theirs is by a hashed count, of fixed size, among these members.
+    """
     of = lambda c, name: labels.select(F.col("node").alias(c), F.col("component").alias(name))
     placed = (members.join(of("node", "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
               .join(of("head", "h"), "head", "left").withColumn("h", F.coalesce("h", "head")))
     open_ = placed.groupBy("bucket").agg(F.max((F.col("c") != F.col("h")).cast("int")).alias("o")).where("o = 1").select("bucket")
-    inside = stored(placed.join(open_, "bucket").join(nodes.select("node", "bands"), "node")
-                    .select("bucket", "band", "node", "n", "bands", "c", (F.col("c") != F.col("h")).alias("outside"), (F.col("node") == F.col("head")).alias("first")),
-                    "minmax-open")
-    u = inside.where("outside").select("bucket", *(F.col(c).alias(f"{c}_a") for c in ("band", "node", "n", "bands", "c")))
-    v = inside.where("not first").select("bucket", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "bands", "c", "outside")))
-    shared = F.array_position(F.zip_with("bands_a", "bands_b", lambda x, y: x == y), True) == F.col("band_a") + 1
-    pair = (u["bucket"] == v["bucket"]) & (F.col("c_a") != F.col("c_b")) & (~F.col("outside_b") | (F.col("node_a") < F.col("node_b"))) & near(percent) & shared
-    return u.join(v, pair).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    inside = stored(placed.join(open_, "bucket").groupBy("node", "c").agg(F.max((F.col("c") != F.col("h")).cast("int")).alias("outside")), "minmax-open")
+    texts = stored(reps.join(inside.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), "minmax-open-texts")
+    rank = texts.sparkSession.sparkContext.broadcast(hashed_counts(texts, words))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 4_000_000):
+                firsts, n = [], []
+                for text in part.column("text").to_pylist():
+                    s = shingle_set(text, words)
+                    n.append(len(s))
+                    keep = len(s) + 1 - -(-percent * len(s) // 100)
+                    firsts.append(s[np.lexsort((s, rank.value[(s & np.uint64(COUNTS - 1)).astype(np.int64)]))][:keep].view(np.int64).tolist())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))], names=["node", "n", "firsts"])
+
+    prefixes = stored(texts.mapInArrow(run, "node long, n long, firsts array<long>").join(inside, "node"), "minmax-prefixes")
+    tokens = prefixes.select("node", "n", "c", "outside", F.posexplode("firsts").alias("at", "token"))
+    u = tokens.where("outside = 1").select("token", *(F.col(x).alias(f"{x}_a") for x in ("node", "n", "c", "at")))
+    v = tokens.select("token", *(F.col(x).alias(f"{x}_b") for x in ("node", "n", "c", "outside", "at")))
+    # the common shingles are at most those from here on
+    reach = (100 + percent) * F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= percent * (F.col("n_a") + F.col("n_b"))
+    once = (F.col("outside_b") == 0) | (F.col("node_a") < F.col("node_b"))
+    pairs = u.join(v, (u["token"] == v["token"]) & (F.col("c_a") != F.col("c_b")) & once & near(percent) & reach)
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def hashed_counts(texts: DataFrame, words: int) -> np.ndarray:
+    """How many sets hold a shingle, by the shingle's last bits (COUNTS numbers at any size)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTS, np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                s = shingle_set(text, words)
+                np.add.at(total, (s & np.uint64(COUNTS - 1)).astype(np.int64), 1)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["cell", "k"])
+
+    rows = texts.select("text").mapInArrow(run, "cell long, k long").groupBy("cell").agg(F.sum("k").alias("k")).toArrow()
+    out = np.zeros(COUNTS, np.int64)
+    out[rows.column("cell").to_numpy()] = rows.column("k").to_numpy()
+    return out
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
