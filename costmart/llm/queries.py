@@ -119,3 +119,29 @@ left join rest r on d.doc_id = r.doc_id
 @query
 def op8_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op6_minmax_dedup"] = r"""
+with recursive texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingles as (
+  select distinct doc_id, unnest(case when len(w) = 1 then w
+         else list_transform(range(1, len(w)), lambda i: w[i] || chr(10) || w[i + 1]) end) as s
+  from texts where len(w) > 0),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+links as (
+  select x, y from shared join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * c >= 80 * (p.n + q.n - c)),
+both_ways as (select x, y from links union all select y, x from links),
+reach as (
+  select doc_id as node, doc_id as root from documents
+  union
+  select l.y, r.root from reach r join both_ways l on r.node = l.x)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+from documents d left join sizes s on s.doc_id = d.doc_id
+join (select node, min(root) as component_id from reach group by node) c on c.node = d.doc_id
+"""
