@@ -27,6 +27,7 @@ import hashlib
 import heapq
 import json
 import re
+from array import array
 from functools import lru_cache
 from itertools import chain
 
@@ -42,7 +43,7 @@ PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SHORT = 96
 CLASSES = (4, 8, 12, 16, 24, 32, 48, 64, 96)
 ROWS = 16_384
-MEMO = 500_000
+MEMO = 400_000
 NO_RANK = 1 << 30
 
 
@@ -54,6 +55,10 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def packed(ids: tuple[int, ...]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 class RankArrayBPE:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -84,8 +89,9 @@ class RankArrayBPE:
         self.cut_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.pretokens = regex.compile(PRETOKEN).findall
         self.chunks = re.compile(r" (?=\S)").split
-        self.memo: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.added_ids = {t: packed((i,)) for t, i in self.added.items()}
+        self.memo: dict[str, bytes] = dict(self.added_ids)
+        self.old: dict[str, bytes] = {}
 
     def encode_words(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of distinct words: short ones by length class in one matrix each."""
@@ -166,10 +172,11 @@ class RankArrayBPE:
         return [i for i in range(n + 1) if alive[i]]
 
     def learn(self, keys: set[str]) -> None:
-        """Put the ids of these chunks into the memo. When the memo's young half
-        is full it becomes the old one; what is still used is taken over."""
+        """Put the ids of these chunks into the memo, as bytes of 32-bit numbers.
+        When the memo's young half is full it becomes the old one; what is still
+        used is taken over."""
         if len(self.memo) >= MEMO:
-            self.old, self.memo = self.memo, {}
+            self.old, self.memo = self.memo, dict(self.added_ids)
         missing = []
         for k in keys:
             if k not in self.memo:
@@ -179,9 +186,9 @@ class RankArrayBPE:
                     self.memo[k] = ids
         cut = [self.pretokens(k) for k in missing]
         words = list(set(chain.from_iterable(cut)))
-        ids_of = dict(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
+        ids_of = dict(zip(words, (packed(ids) for ids in self.encode_words([w.encode() for w in words])), strict=True))
         for k, parts in zip(missing, cut, strict=True):
-            self.memo[k] = ids_of[parts[0]] if len(parts) == 1 else tuple(chain.from_iterable(map(ids_of.__getitem__, parts)))
+            self.memo[k] = ids_of[parts[0]] if len(parts) == 1 else b"".join(map(ids_of.__getitem__, parts))
 
     def _keys(self, text: str) -> list[str]:
         parts = [text] if self.cut_added is None else self.cut_added.split(text)
@@ -197,11 +204,9 @@ class RankArrayBPE:
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         keys = [self._keys(t) for t in texts]
-        self.learn(set().union(*keys) - self.added.keys())
+        self.learn(set().union(*keys))
         get = self.memo.__getitem__
-        whole = {k: (i,) for k, i in self.added.items()}
-        return [list(chain.from_iterable(whole[k] if k in whole else get(k) for k in ks) if not whole.keys().isdisjoint(ks)
-                     else chain.from_iterable(map(get, ks))) for ks in keys]
+        return [np.frombuffer(b"".join(map(get, ks)), np.int32).tolist() for ks in keys]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_batch([text])[0]

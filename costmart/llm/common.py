@@ -16,13 +16,17 @@ from ..session import ensure_checkpoint_dir, scratch_path
 
 #: Words are runs of other characters than these six (space, \t \n \v \f \r).
 SPACES = " \t\n\x0b\x0c\r"
+#: Rows of an Arrow batch: what a Python worker holds of whole texts at a time.
+BATCH_ROWS = 1000
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Name the checkpoint folder, and let Python workers import this package
-    from where the driver has it (a cluster installs it or uses --py-files)."""
+    """Name the checkpoint folder, keep Arrow batches of whole texts small, and
+    let Python workers import this package from where the driver has it (a
+    cluster installs it or uses --py-files)."""
     ensure_checkpoint_dir(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:

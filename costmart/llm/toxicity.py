@@ -54,7 +54,7 @@ EDGE = ".,;:!?\"'()[]{}<>…“”‘’«»"
 NOISY = re.compile(r"(?=.*[^\W\d_])(?:.*[0-9@$!|+€£*#%&~^=/\\.\-_]|.*(.)\1\1)", re.S)
 SPELT = re.compile(r"[a-z0-9@$!|+]\Z")
 MIN_SPELT = 3
-MEMO = 200_000
+MEMO = 50_000
 PREFIXES = (4, 5, 6)
 
 
