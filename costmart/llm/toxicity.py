@@ -2,10 +2,12 @@
 
 A character language model (4-grams over a-z, a word boundary and one symbol
 for all other letters) is counted over every document. A word that looks
-written around a filter (leetspeak, inner separators, letters spelt out one by
-one, repeated letters) becomes a lattice of what its characters may stand for,
+written around a filter (leetspeak, inner separators, doubled or repeated
+letters), and every run of tokens of up to ``SHORT`` characters (letters spelt
+out, words split in pieces; a piece of more characters is not joined), becomes a lattice of what its characters may stand for,
 each with a channel cost, and a Viterbi search under the language model picks
-the restored text. Words without such signs restore to themselves.
+the restored text; in a run a word may end between any two characters. Words
+without such signs restore to themselves.
 
 The score looks at restored words and their beginnings (so inflected forms
 count): weights are lower confidence bounds of the log odds between toxic and
@@ -51,10 +53,9 @@ STANDS_FOR, DROP_DIGIT, DROP_LEET, DROP_OTHER, BREAK, HALVE, FROM_MANY = 0.7, 6.
 SYMBOLS = 28  # 0 word boundary, 1..26 a..z, 27 any other letter
 ORDER = 4
 EDGE = ".,;:!?\"'()[]{}<>…“”‘’«»"
-NOISY = re.compile(r"(?=.*[^\W\d_])(?:.*[0-9@$!|+€£*#%&~^=/\\.\-_]|.*(.)\1\1)", re.S)
-SPELT = re.compile(r"[a-z0-9@$!|+]\Z")
-MIN_SPELT = 3
-MEMO = 50_000
+NOISY = re.compile(r"(?=.*[^\W\d_])(?:.*[0-9@$!|+€£*#%&~^=/\\.\-_]|.*(.)\1)", re.S)
+SHORT = 3
+MEMO = 200_000
 PREFIXES = (4, 5, 6)
 
 
@@ -137,16 +138,28 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     return out
 
 
+def run_lattice(tokens: list[str]) -> list[list[tuple[str, float]]]:
+    """The tokens' lattices with an optional break between any two characters."""
+    out: list[list[tuple[str, float]]] = []
+    for token in tokens:
+        for i, options in enumerate(lattice(token)):
+            if out:
+                out.append([("", 0.0), (" ", BREAK)] if i else [(" ", 0.0), ("", DROP_OTHER)])
+            out.append(options)
+    return out
+
+
 def viterbi(slots: list[list[tuple[str, float]]], logp) -> str:
     cut = SYMBOLS ** 3
     best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
     for options in slots:
         after: dict[int, tuple[float, tuple]] = {}
+        coded = [(text, cost, [symbol(c) for c in text]) for text, cost in options]
         for state, (score, path) in best.items():
-            for text, cost in options:
+            for text, cost, codes in coded:
                 s, total = state, score - cost
-                for c in text:
-                    k = s * SYMBOLS + symbol(c)
+                for c in codes:
+                    k = s * SYMBOLS + c
                     total += logp[k]
                     s = k % cut
                 if s not in after or total > after[s][0]:
@@ -168,9 +181,10 @@ class Decoder:
         self.memo: dict[str, list[str]] = {}
 
     def restore(self, word: str) -> list[str]:
+        """The words that a noisy word, or a run of tokens with a space between, stands for."""
         found = self.memo.get(word)
         if found is None:
-            found = viterbi(lattice(word), self.logp).split()
+            found = viterbi(run_lattice(word.split(" ")) if " " in word else lattice(word), self.logp).split()
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             if len(word) <= 64:
@@ -183,33 +197,36 @@ class Decoder:
         words = {w.strip(EDGE) for w in set(raw)}
         for w in [w for w in words if NOISY.match(w)]:
             words.update(self.restore(w))
-        single = [i for i, w in enumerate(raw) if len(w) == 1]
-        if len(single) >= MIN_SPELT:
-            for spelt in _runs(single, raw):
-                words.update(self.restore(spelt))
+        for _, _, run in _runs(raw):
+            words.update(self.restore(run))
         words.discard("")
         return words
 
     def restored(self, text: str) -> str:
         """The text with noisy words replaced, for readers of the result."""
-        return " ".join(" ".join(self.restore(c)) if (c := w.strip(EDGE)) and NOISY.match(c) else w for w in text.lower().split())
-
-
-def _runs(single: list[int], raw: list[str]) -> Iterator[str]:
-    """Three or more characters spelt out one by one."""
+        raw, out, at = text.lower().split(), [], 0
+        one = lambda w: self.restore(c) if (c := w.strip(EDGE)) and NOISY.match(c) else [w]
+        for i, j, run in [*_runs(raw), (len(raw), len(raw), "")]:
+            for w in raw[at:i]:
+                out += one(w)
+            if run:
+                # a run read as its own tokens keeps their punctuation
+                out += [x for w in raw[i:j] for x in one(w)] if (found := self.restore(run)) == run.split() else found
+            at = j
+        return " ".join(out)
+
+
+def _runs(raw: list[str]) -> Iterator[tuple[int, int, str]]:
+    """(from, to, tokens without punctuation at their ends) of two or more short tokens with letters."""
     held: list[str] = []
-    last = -2
-    for i in single:
-        ok = SPELT.match(raw[i]) is not None
-        if not ok or i != last + 1:
-            if len(held) >= MIN_SPELT:
-                yield "".join(held)
-            held = []
-        if ok:
-            held.append(raw[i])
-            last = i
-    if len(held) >= MIN_SPELT:
-        yield "".join(held)
+    for i, w in enumerate([*raw, " " * (SHORT + 1)]):
+        c = w.strip(EDGE) or w
+        if len(c) <= SHORT:
+            held.append(c)
+            continue
+        if len(held) > 1 and sum(any(map(str.isalpha, h)) for h in held) > 1:
+            yield i - len(held), i, " ".join(held)
+        held = []
 
 
 def features(words: set[str]) -> set[str]:

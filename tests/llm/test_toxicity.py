@@ -23,6 +23,14 @@ def test_restores_written_around_words(model):
     assert decoder.words("plain words, here.") == {"plain", "words", "here"}
 
 
+def test_restores_doubled_spaced_and_split_words(model):
+    decoder = t.Decoder(model.logp)
+    for text in ("iddiiot", "you are a i d i o t", "i. d. i. o. t.", "such an id iot here", "i d i o t s c u m", "s c u m i d i o t"):
+        assert "idiot" in decoder.words(text), (text, decoder.words(text))
+    assert "stupid" in decoder.words("stuupid") and "scum" in decoder.words("i d i o t s c u m")
+    assert decoder.restored("it is in the house") == "it is in the house"
+
+
 def test_viterbi_is_the_best_path(model):
     logp = memoryview(model.logp)
 
