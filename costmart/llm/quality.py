@@ -140,7 +140,7 @@ def judge(docs: DataFrame, rules: Sequence = RULES, rounds: int = 100, threshold
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     voted = stored(figures(docs, id_col, text_col).select("*", failed.alias("base_failed"), *map(vote, rules)), "quality-votes")
     votes = [f"v_{r[0]}" for r in rules]
-    counted = voted.where(~F.col("base_failed")).groupBy(*votes).agg(F.count(F.lit(1)).alias("n")).orderBy(*votes).collect()
+    counted = voted.groupBy(*votes).agg(F.count(F.lit(1)).alias("n")).orderBy(*votes).collect()
     prior, beliefs = estimate([(tuple(r)[:-1], r["n"]) for r in counted], rules, rounds)
     return (voted.withColumn("posterior", posterior(prior, beliefs))
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)))

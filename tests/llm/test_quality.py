@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -50,6 +51,17 @@ def test_em_recovers_planted_accuracies():
         assert abs(good - (0.9 - 0.05 * j)) < 0.05 and abs(bad - (0.9 - 0.05 * j)) < 0.08
 
 
+def test_estimate_counts_base_failures_too(make_docs):
+    rows = [(i, f"the cat of number{i} and the dog. " * (1 if i % 2 else 9) + "# " * (i % 3 * 9)) for i in range(40)]
+    got = q.judge(make_docs(rows)).collect()
+    votes = [tuple(r[f"v_{x[0]}"] for x in q.RULES) for r in got]
+    prior, beliefs = q.estimate(sorted(Counter(votes).items()))
+    assert any(r["base_failed"] for r in got)
+    for r, v in zip(got, votes):
+        z = math.log(prior / (1 - prior)) + sum(math.log(b[x][0] / b[x][1]) for x, b in zip(v, beliefs.values()))
+        assert abs(r["posterior"] - 1 / (1 + math.exp(-z))) < 1e-9
+
+
 def test_agrees_with_labels_it_has_not_seen(llm, sf_dir):
     base = sf_dir.replace("0.001", "0.01")
     labels = {r["doc_id"]: r["quality"] for r in llm.read.parquet(f"{base}/labels.parquet").collect()}
