@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, maxent, minmax, pii, quality, secret_scan, sharding, tiling, toxicity
+from . import bpe, line_dedup, maxent, minmax, orchard, pii, quality, secret_scan, sharding, tiling, toxicity
 from .common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,46 @@ select d.doc_id, coalesce(s.n, 0) as n_shingles, c.component_id, d.doc_id = c.co
 from documents d left join sizes s on s.doc_id = d.doc_id
 join (select node, min(root) as component_id from reach group by node) c on c.node = d.doc_id
 """
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2).drop("label")
+
+
+def _vector_codes_sql() -> str:
+    """The codebooks of each round, and every part's nearest entry, over (row, part, place in the part, component)."""
+    def nearest(name: str, books: str) -> str:
+        return f"""
+{name} as (
+  select r, p, arg_min(e, d * 1000 + e) as e, min(d) as d
+  from (select x.r, x.p, b.e, sum((x.v - b.v) * (x.v - b.v)) as d from x join {books} b on b.p = x.p and b.j = x.j group by x.r, x.p, b.e)
+  group by r, p)"""
+
+    def means(name: str, books: str, near: str) -> str:
+        return f"""
+{name} as (
+  select b.p, b.e, b.j, coalesce(m.v, b.v) as v
+  from {books} b left join (
+    select n.p, n.e, x.j, cast(floor(cast(sum(x.v) as double) / count(*)) as bigint) as v
+    from {near} n join x on x.r = n.r and x.p = n.p group by n.p, n.e, x.j) m on m.p = b.p and m.e = b.e and m.j = b.j)"""
+
+    return f"""
+with kept as (
+  select vec_id, label, embedding as v, row_number() over (order by vec_id) as r from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+x as (
+  select r, cast(floor((i - 1) / (n / 16)) as bigint) as p, cast((i - 1) % (n / 16) as bigint) as j, cast(floor(256 * cast(c as double)) as bigint) as v
+  from (select r, len(v) as n, unnest(v) as c, generate_subscripts(v, 1) as i from kept)),
+b0 as (select p, r - 1 as e, j, v from x where r <= 64),
+{nearest("n0", "b0")}, {means("b1", "b0", "n0")}, {nearest("n1", "b1")}, {means("b2", "b1", "n1")}, {nearest("n2", "b2")},
+codes as (select r, string_agg(printf('%02x', e), '' order by p) as code, cast(sum(d) as bigint) as error from n2 group by r),
+rows as (select k.vec_id, k.label, c.code, c.error from kept k join codes c on c.r = k.r),
+labels as (select label, cast(sum(error) as bigint) as label_error from rows group by label),
+books as (select sha256(string_agg(cast(v as varchar), ',' order by p, e, j)) as codebooks_sha256 from b2)
+select rows.vec_id, rows.code, rows.error, labels.label_error, books.codebooks_sha256
+from rows join labels on rows.label is not distinct from labels.label, books
+"""
+
+
+ORACLE_SQL["op11_vector_codes"] = _vector_codes_sql()

@@ -16,7 +16,10 @@ COLUMNS = {
     "op8": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     "op9": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op10": ["doc_id", "n_removed"],
+    "op11": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
 }
+#: Queries over other tables than documents: the table and the id of its rows (or groups).
+OVER = {"op11": ("embeddings", "vec_id")}
 
 
 def test_one_query_for_each_operator():
@@ -26,10 +29,12 @@ def test_one_query_for_each_operator():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_one_row_for_each_document(llm, sf_dir, name):
     out = QUERIES[name](llm, sf_dir)
-    wanted = COLUMNS[name.split("_")[0]]
+    op = name.split("_")[0]
+    wanted, (source, key) = COLUMNS[op], OVER.get(op, ("documents", "doc_id"))
     assert out.columns[:len(wanted)] == wanted or set(wanted) <= set(out.columns)
-    ids = sorted(r["doc_id"] for r in llm.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").collect())
-    assert sorted(r["doc_id"] for r in out.collect()) == ids
+    rows = llm.read.parquet(f"{sf_dir}/{source}.parquet").select(key)
+    ids = sorted(r[key] for r in (rows if source == "documents" else rows.distinct()).collect())
+    assert sorted(r[key] for r in out.collect()) == ids
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
