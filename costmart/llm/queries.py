@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, maxent, minmax, orchard, pii, quality, secret_scan, sharding, tiling, toxicity
+from . import bpe, line_dedup, maxent, minmax, orchard, pii, quality, repair, secret_scan, sharding, tiling, toxicity
 from .common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,8 @@ from rows join labels on rows.label is not distinct from labels.label, books
 
 
 ORACLE_SQL["op11_vector_codes"] = _vector_codes_sql()
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digest(repair.damage(table(spark, sf_dir, "conversations")))
