@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, maxent, minmax, orchard, pii, quality, repair, secret_scan, sharding, tiling, toxicity
+from . import bpe, line_dedup, maxent, minmax, ngram_join, orchard, pii, quality, repair, secret_scan, sharding, tiling, toxicity
 from .common import fold, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,14 +121,17 @@ def op8_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(table(spark, sf_dir, "documents"))
 
 
-ORACLE_SQL["op6_minmax_dedup"] = r"""
+def _linked_sql(words: int, columns: str) -> str:
+    """Documents linked by shingles of so many words, by all pairs and reachability."""
+    shingle = " || chr(10) || ".join(f"w[i + {j}]" if j else "w[i]" for j in range(words))
+    return f"""
 with recursive texts as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^\x20\x09-\x0D]+') as w
+                                    '[^\\x20\\x09-\\x0D]+') as w
   from documents),
 shingles as (
-  select distinct doc_id, unnest(case when len(w) = 1 then w
-         else list_transform(range(1, len(w)), lambda i: w[i] || chr(10) || w[i + 1]) end) as s
+  select distinct doc_id, unnest(case when len(w) < {words} then [array_to_string(w, chr(10))]
+         else list_transform(range(1, len(w) - {words - 2}), lambda i: {shingle}) end) as s
   from texts where len(w) > 0),
 sizes as (select doc_id, count(*) as n from shingles group by doc_id),
 shared as (
@@ -141,12 +144,15 @@ reach as (
   select doc_id as node, doc_id as root from documents
   union
   select l.y, r.root from reach r join both_ways l on r.node = l.x)
-select d.doc_id, coalesce(s.n, 0) as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+select {columns}
 from documents d left join sizes s on s.doc_id = d.doc_id
 join (select node, min(root) as component_id from reach group by node) c on c.node = d.doc_id
 """
 
 
+ORACLE_SQL["op6_minmax_dedup"] = _linked_sql(2, "d.doc_id, coalesce(s.n, 0) as n_shingles, c.component_id, d.doc_id = c.component_id as kept")
+
+
 @query
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orchard.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2).drop("label")
@@ -190,6 +196,14 @@ from rows join labels on rows.label is not distinct from labels.label, books
 ORACLE_SQL["op11_vector_codes"] = _vector_codes_sql()
 
 
+@query
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked_groups(table(spark, sf_dir, "documents"), words=5, percent=80)
+
+
+ORACLE_SQL["op12_ngram_join"] = _linked_sql(5, "d.doc_id, coalesce(s.n, 0) as n_shingles, c.component_id")
+
+
 @query
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.digest(repair.damage(table(spark, sf_dir, "conversations")))

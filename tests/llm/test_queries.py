@@ -17,6 +17,7 @@ COLUMNS = {
     "op9": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op10": ["doc_id", "n_removed"],
     "op11": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
+    "op12": ["doc_id", "n_shingles", "component_id"],
     "op13": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
 }
 #: Queries over other tables than documents: the table and the id of its rows (or groups).
