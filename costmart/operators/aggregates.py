@@ -54,7 +54,7 @@ def group_stats(df: DataFrame, keys: Sequence[str], col: str,
         src.select(*keys).distinct()
     if "median" in stats:
         from .quantiles import exact_quantiles
-        med = exact_quantiles(src, col, [0.5], keys, names=["median"], cache_input=not df.is_cached)
+        med = exact_quantiles(src, col, [0.5], keys, names=["median"], write_input=not df.is_cached)
         med = med.select(*[F.col(k).alias("_m_" + k) for k in keys], "median")
         cond = F.lit(True)
         for k in keys:
@@ -100,7 +100,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_x"))
                                             for c in cols])).alias("_s")).select("_s.*")
     qs = {r["_col"]: r for r in exact_quantiles(stacked, "_x", [0.25, 0.5, 0.75], ["_col"],
-                                                names=["q25", "q50", "q75"], cache_input=not df.is_cached).collect()}
+                                                names=["q25", "q50", "q75"], write_input=not df.is_cached).collect()}
     for c in cols:
         r = qs.get(c)
         one = one.withColumns({f"{lab}__{c}": F.lit(r[q] if r else None).cast("double")
@@ -111,30 +111,74 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out.withColumn("stat_order", order)
 
 
+def _bin_of(x: Column, lo: float, hi: float, bins: int) -> Column:
+    return F.least(F.width_bucket(x, F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins)).cast("int")
+
+
+def bin_edges(lo: float | None, hi: float | None) -> tuple[float | None, float | None]:
+    """The range that the bins divide: pandas widens a zero range by 0.1 % each side."""
+    if lo is None or lo != hi:
+        return lo, hi
+    return (lo - 0.001 * abs(lo), hi + 0.001 * abs(hi)) if lo else (-0.001, 0.001)
+
+
+def fold_cells(cells: DataFrame, lo: float, hi: float, bins: int) -> DataFrame:
+    """Histogram cells (_c, _min, _max, ...) with the bin of both ends: those with
+    ``_bin = _last`` lie in one bin, the others are border cells."""
+    return cells.withColumns({"_bin": _bin_of(F.col("_min"), lo, hi, bins), "_last": _bin_of(F.col("_max"), lo, hi, bins)})
+
+
+def list_bins(counts: DataFrame, lo: float | None, hi: float | None, bins: int, others: DataFrame | None = None) -> DataFrame:
+    """(bin, bin_lo, bin_hi, n): all ``bins`` with their edges, empty ones with 0; ``counts`` (bin, n)
+    may have several rows a bin. ``others`` (value, n), non-finite values, follow as bins of their own
+    if there are any: 0 for -infinity, ``bins + 1`` for infinity, ``bins + 2`` for NaN."""
+    spark = counts.sparkSession
+    all_bins = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    width = None if lo is None else (hi - lo) / bins
+    edge = lambda k: F.lit(lo).cast("double") + k * F.lit(width).cast("double")
+    summed = counts.groupBy("bin").agg(F.sum("n").alias("n"))
+    out = (all_bins.join(summed, "bin", "left")
+                   .select("bin", edge(F.col("bin") - 1).alias("bin_lo"), edge(F.col("bin")).alias("bin_hi"),
+                           F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
+    if others is None:
+        return out
+    own = F.when(F.isnan("value"), bins + 2).when(F.col("value") > 0, bins + 1).otherwise(0).cast("int")
+    return out.unionByName(others.select(own.alias("bin"), F.col("value").alias("bin_lo"), F.col("value").alias("bin_hi"), F.col("n").cast("long").alias("n")))
+
+
 def histogram_equal_width(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
-    """``bins`` equal-width bins from min to max (last bin closed), empty bins listed with 0.
+    """``bins`` equal-width bins from the least to the greatest finite value (last bin closed), empty bins
+    listed with 0; infinities and NaN have bins of their own (``list_bins``).
 
-    The min/max are two scalars read back once; the counting is a partially
-    aggregated group-by on the bin number, joined to the full bin list.
+    One scan counts rows by cells of leading bits (``functions.bits``: no bounds needed), with each
+    cell's smallest and largest value, partially aggregated; so the bounds and nearly all counts come from that
+    small table. A cell that a bin's edge cuts is counted exactly from its rows alone: at most
+    ``bins - 1`` cells, read back as ranges that reach the scan as filters.
     """
+    from ..functions.bits import ordered_bits
+    from ..session import materialize
+    from .quantiles import first_cell
+
     x = F.col(col).cast("double")
-    mm = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
-    lo, hi = mm["lo"], mm["hi"]
-    spark = df.sparkSession
-    all_bins = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    finite = ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    cell = F.when(finite, first_cell(ordered_bits(x)))
+    cells = materialize(df.where(x.isNotNull()).groupBy(cell.alias("_cell"), F.when(~finite, x).alias("_own"))
+                          .agg(F.count(F.lit(1)).alias("_c"), F.min(x).alias("_min"), F.max(x).alias("_max")), "histogram-cells")
+    inner = cells.where(F.col("_own").isNull())
+    others = cells.where(F.col("_own").isNotNull()).select(F.col("_own").alias("value"), F.col("_c").alias("n"))
+    lo, hi = bin_edges(*inner.agg(F.min("_min"), F.max("_max")).first())
     if lo is None:
-        return all_bins.withColumns({"bin_lo": F.lit(None).cast("double"), "bin_hi": F.lit(None).cast("double"),
-                                     "n": F.lit(0).cast("long")})
-    if hi == lo:  # pandas widens a zero range by 0.1 % each side
-        lo, hi = lo - 0.001 * abs(lo) if lo else -0.001, hi + 0.001 * abs(hi) if hi else 0.001
-    width = (hi - lo) / bins
-    b = F.least(F.width_bucket(x, F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins)).cast("int")
-    counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return (all_bins.join(counts, "bin", "left")
-                    .select("bin",
-                            (F.lit(lo) + (F.col("bin") - 1) * F.lit(width)).alias("bin_lo"),
-                            (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_hi"),
-                            F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
+        return list_bins(inner.select(F.lit(1).alias("bin"), F.col("_c").alias("n")), None, None, bins, others)
+    folded = fold_cells(inner, lo, hi, bins)
+    counts = folded.where(F.col("_bin") == F.col("_last")).select(F.col("_bin").alias("bin"), F.col("_c").alias("n"))
+    cut = folded.where(F.col("_bin") < F.col("_last")).select("_min", "_max").collect()  # fewer than bins
+    if cut:
+        ranges = F.lit(False)
+        for r in cut:
+            ranges = ranges | ((x >= F.lit(r["_min"])) & (x <= F.lit(r["_max"])))
+        border = df.where(ranges).groupBy(_bin_of(x, lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        counts = counts.unionByName(border)
+    return list_bins(counts, lo, hi, bins, others)
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -1,26 +1,25 @@
 """Exact quantiles (linear interpolation) without gathering a group in one task.
 
 Spark's exact ``percentile`` merges every distinct value of a group in one
-task; a group holding a third of a 100 TB table would not fit. Here, for
-each (group, rank needed) an interval of values known to hold that rank is
-narrowed pass by pass:
-
-1. per group: count, min, max (partially aggregated); the ranks needed
-   are ``floor`` and ``ceil`` of ``p * (n - 1)`` for every probability;
-2. each pass counts the interval's rows per range bucket
-   (``buckets`` groups per target, partially aggregated), with each
-   bucket's exact min / max; a running sum over the target's buckets finds
-   the bucket holding the rank, whose [min, max] becomes the new interval
-   (bucketing is monotonic, so that range holds exactly that bucket's rows);
-3. an interval of one value (min = max) is the answer. No values are ever
-   collected, at any size, and there is no limit of passes: an interval's two
-   ends never share a bucket, so each pass makes it smaller.
-
-Passes shrink intervals ~``buckets``-fold: 1e12 evenly spread values take four.
-The driver reads one scalar per pass (how many targets are open); ranks sharing
-an interval share one histogram, so each row is counted once per pass. Targets
-are few rows in a small Parquet table, which Spark broadcasts by its byte
-threshold; beyond that they join by a shuffle on the group key.
+task; a group holding a third of a 100 TB table would not fit. Here the values
+needed are found by radix selection on order-preserving longs
+(``functions.bits``), a digit at a time from the highest:
+
+1. rows are counted per group and first digit (sign, exponent and eight bits of
+   the fraction), partially aggregated, with each cell's smallest and largest
+   value; sums of counts give the group's size and so the ranks needed, ``floor``
+   and ``ceil`` of ``p * (n - 1)`` for every probability, and a running sum the
+   cell that holds each rank;
+2. the rows of those cells are written once, a small part of the input; each
+   further pass counts them by one more digit, within the cells still open;
+3. a cell of one value (smallest = largest) is the answer. The digits are
+   ``DIGITS``, 64 bits in all: there are at most five passes by construction,
+   whatever the values. NaN and both infinities are values like any other (NaN
+   the greatest, as Spark and SQL order it); the input is read twice.
+
+No values are collected, at any size. The driver reads one scalar per pass (is
+a cell still open). Targets are few rows in a small Parquet table, which Spark
+broadcasts by its byte threshold; beyond that they join by a shuffle.
 """
 
 from __future__ import annotations
@@ -28,83 +27,104 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.bits import from_ordered_bits, ordered_bits
 from ..session import materialize
 
-BUCKETS = 4096
+#: Bits counted by each pass.
+DIGITS = (20, 12, 12, 12, 8)
+#: Bits below the digits of each pass.
+SHIFTS = tuple(64 - sum(DIGITS[:i + 1]) for i in range(len(DIGITS)))
+
+
+def first_cell(image: Column) -> Column:
+    """The first digit of an image: its cell in the first pass."""
+    return F.shiftright(image, SHIFTS[0])
+
+
+def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right["_r_" + c]) for c in cols])
+
+
+def _renamed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(c).alias("_r_" + c if c in cols else c) for c in df.columns])
+
+
+def _join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join on ``cols``, in which nulls are equal."""
+    r = _renamed(right, cols)
+    return left.join(r, _same(left, r, cols), how).drop(*["_r_" + c for c in cols])
+
+
+def count_first(src: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, _cell, _c, _lo, _hi) of (keys, _i): the first pass."""
+    return src.groupBy(*keys, first_cell(F.col("_i")).alias("_cell")).agg(F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_lo"), F.max("_i").alias("_hi"))
+
 
+def quantiles_of_cells(src: DataFrame, cells: DataFrame, probs: Sequence[float], keys: Sequence[str], names: Sequence[str],
+                       also: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(``keys..., <name per prob>``, rows written) from the first pass's ``cells`` of ``src`` (keys, _i).
 
-def _join_targets(src: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    t = targets.select(*[F.col(k).alias("_t_" + k) for k in keys], *[c for c in targets.columns if c not in keys])
-    cond = reduce(lambda a, b: a & b, [src[k].eqNullSafe(t["_t_" + k]) for k in keys])
-    j = src.join(t, cond, "inner").drop(*["_t_" + k for k in keys])
-    return j.where((F.col("_x") >= F.col("_a")) & (F.col("_x") <= F.col("_b")))
+    ``also`` (keys, _cell) names further cells whose rows the caller wants
+    written with those that hold the ranks; the rows come back as (keys, _i, _cell).
+    """
+    keys = list(keys)
+    upto = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    placed = cells.withColumns({"_start": F.sum("_c").over(upto) - F.col("_c"), "_n": F.sum("_c").over(Window.partitionBy(*keys))})
+    pos = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(h), F.ceil(h)) for h in pos])))
+    inside = F.filter(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_c")))
+    targets = materialize(placed.select(*keys, "_n", F.col("_cell").alias("_prefix"), F.col("_start").alias("_below"), "_lo", "_hi",
+                                        F.explode(inside).alias("_rank")), "quantile-targets")
+    rows, level, open_ = None, 0, F.col("_lo") < F.col("_hi")
+    wanted = targets.where(open_).select(*keys, F.col("_prefix").alias("_cell")).distinct()
+    if also is not None:
+        wanted = wanted.unionByName(also.select(*keys, "_cell")).distinct()
+    if also is not None or not targets.where(open_).isEmpty():
+        rows = materialize(_join(src.select(*keys, "_i", first_cell(F.col("_i")).alias("_cell")), wanted, [*keys, "_cell"], "left_semi"), "quantile-rows")
+    while not targets.where(open_).isEmpty():
+        probes = targets.where(open_).select(*keys, "_prefix", "_below").distinct()
+        seen = rows.select(*keys, "_i", F.shiftright("_i", SHIFTS[level]).alias("_prefix"))
+        level += 1
+        digit = F.shiftright("_i", SHIFTS[level]).alias("_cell")
+        counted = _join(seen, probes, [*keys, "_prefix"]).groupBy(*keys, "_prefix", "_below", digit).agg(
+            F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_nlo"), F.max("_i").alias("_nhi"))
+        upto = Window.partitionBy(*keys, "_prefix").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+        counted = counted.withColumn("_start", F.col("_below") + F.sum("_c").over(upto) - F.col("_c")).drop("_below")
+        hit = _join(targets.where(open_).select(*keys, "_n", "_prefix", "_rank"), counted, [*keys, "_prefix"])
+        hit = hit.where((F.col("_start") <= F.col("_rank")) & (F.col("_rank") < F.col("_start") + F.col("_c")))
+        narrowed = hit.select(*keys, "_n", F.col("_cell").alias("_prefix"), F.col("_start").alias("_below"), F.col("_nlo").alias("_lo"),
+                              F.col("_nhi").alias("_hi"), "_rank")
+        targets = materialize(targets.where(~open_).unionByName(narrowed), "quantile-targets")
+    values = F.map_from_entries(F.collect_list(F.struct("_rank", from_ordered_bits(F.col("_lo")))))
+    out = targets.groupBy(*keys, "_n").agg(values.alias("_m"))
+    cols = []
+    for p, name in zip(probs, names, strict=True):
+        h = F.lit(float(p)) * (F.col("_n") - 1)
+        lo, hi = F.floor(h), F.ceil(h)
+        vlo, vhi = F.element_at("_m", lo.cast("long")), F.element_at("_m", hi.cast("long"))
+        cols.append(F.when(vlo.eqNullSafe(vhi), vlo).otherwise((hi - h) * vlo + (h - lo) * vhi).alias(name))
+    return materialize(out.select(*keys, *cols), "quantiles"), rows
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[str] = (),
-                    names: Sequence[str] | None = None, buckets: int = BUCKETS, cache_input: bool = True) -> DataFrame:
+                    names: Sequence[str] | None = None, write_input: bool = True) -> DataFrame:
     """``keys..., <name per prob>``: exact quantiles of ``col`` per group (nulls ignored).
 
     Interpolation matches Spark's ``percentile``: position ``h = p(n-1)``,
     ``(ceil(h) - h) * v[floor(h)] + (h - floor(h)) * v[ceil(h)]``.
-    ``cache_input=False`` when ``df`` is cheap to re-read (derived from a
-    cached frame): each pass then scans it instead of a cached copy.
+    ``write_input=False`` when ``df`` is cheap to read twice (a written table or
+    a cached frame); else its column is written first.
     """
     names = list(names) if names else [f"q{p}" for p in probs]
     gkeys = list(keys) or ["_g"]
     x = F.col(col).cast("double")
     base = df if keys else df.withColumn("_g", F.lit(0))
-    src = base.where(x.isNotNull()).select(*gkeys, x.alias("_x"))
-    if cache_input:
-        src = src.persist(StorageLevel.MEMORY_AND_DISK)
-    # one row per group, read by every later step: computed once
-    stats = (src.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    pos = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
-    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(h), F.ceil(h)) for h in pos])))
-    targets = (stats.select(*gkeys, F.explode(ranks).alias("_r"), "_lo", "_hi", "_n")
-                    .select(*gkeys, F.col("_r").cast("long").alias("_r"), F.col("_lo").alias("_a"),
-                            F.col("_hi").alias("_b"), F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_cnt")))
-
-    open_ = F.col("_a") < F.col("_b")
-    probe_cols = [*gkeys, "_a", "_b", "_below"]
-    while True:
-        # an iterative loop: cut the lineage each pass (a small table in the shared folder)
-        targets = materialize(targets, "quantile-targets")
-        active = targets.where(open_)
-        if active.isEmpty():
-            break
-        # ranks sharing an interval share one histogram: each row is counted once per pass
-        probes = active.select(*probe_cols).distinct()
-        j = _join_targets(src, probes, gkeys)
-        half = lambda c: F.col(c) / 2  # noqa: E731  (the whole range may overflow)
-        bucket = F.least(F.floor((half("_x") - half("_a")) / (half("_b") - half("_a")) * F.lit(buckets)),
-                         F.lit(buckets - 1)).cast("int")
-        h = (j.groupBy(*probe_cols, bucket.alias("_k"))
-              .agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_bmin"), F.max("_x").alias("_bmax")))
-        w = Window.partitionBy(*gkeys, "_a", "_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
-        h = h.withColumn("_start", F.col("_below") + F.sum("_c").over(w) - F.col("_c"))
-        hit = active.select(*probe_cols, "_r").join(h, probe_cols)
-        hit = hit.where((F.col("_start") <= F.col("_r")) & (F.col("_r") < F.col("_start") + F.col("_c")))
-        narrowed = hit.select(*gkeys, "_r", F.col("_bmin").alias("_a"), F.col("_bmax").alias("_b"),
-                              F.col("_start").alias("_below"), F.col("_c").alias("_cnt"))
-        targets = targets.where(~open_).unionByName(narrowed)
-    values = targets.select(*gkeys, "_r", F.col("_a").alias("_v"))
-
-    by_rank = values.groupBy(*gkeys).agg(F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_m"))
-    out = stats.join(by_rank, gkeys, "left")
-    cols = []
-    for p, name in zip(probs, names):
-        h = F.lit(float(p)) * (F.col("_n") - 1)
-        lo, hi = F.floor(h), F.ceil(h)
-        vlo, vhi = F.element_at("_m", lo.cast("long")), F.element_at("_m", hi.cast("long"))
-        cols.append(F.when(lo == hi, vlo).otherwise((hi - h) * vlo + (h - lo) * vhi).alias(name))
-    # one row per group: materialise it, then release what this function cached
-    result = materialize(out.select(*gkeys, *cols), "quantiles")
-    stats.unpersist()
-    if cache_input:
-        src.unpersist()
+    src = base.where(x.isNotNull()).select(*gkeys, ordered_bits(x).alias("_i"))
+    if write_input:
+        src = materialize(src, "quantile-input")
+    cells = materialize(count_first(src, gkeys), "quantile-cells")
+    result, _ = quantiles_of_cells(src, cells, probs, gkeys, names)
     return result if keys else result.drop("_g")

@@ -136,3 +136,77 @@ def q_share_of_total(spark, sf_dir):
     s = A.share_of_total(li, ["l_extendedprice", "tax_amount"])
     return (s.withColumns({"l_extendedprice_sum": F.round("l_extendedprice_sum", 2), "tax_amount_sum": F.round("tax_amount_sum", 2)})
              .transform(lambda d: _round(d, ["l_extendedprice_pct", "tax_amount_pct"])))
+
+
+# A measured column as it comes out of text coercion: "NaN" and "Infinity" are numbers of their own.
+ODD_TEXT = """case when l_linenumber = 7 then 'NaN' when l_linenumber = 6 and l_partkey % 2 = 0 then 'Infinity'
+     when l_linenumber = 6 then '-Infinity' when l_orderkey % 11 = 0 then 'n/a' else cast(l_extendedprice as {text}) end"""
+ODD_SQL = f"o as (select l_returnflag, try_cast({ODD_TEXT.format(text='varchar')} as double) as x, l_quantity as y from lineitem)"
+
+
+def odd_measures(t):
+    li = t.lineitem.select("l_returnflag", F.expr(ODD_TEXT.format(text="string")).alias("raw"), "l_quantity")
+    return li.select("l_returnflag", C.coerce_numeric("raw").alias("x"), F.col("l_quantity").alias("y"))
+
+
+def _told(df, cols):
+    """Each number as a finite value and a word for the others (null: finite)."""
+    for c in cols:
+        x = F.col(c)
+        word = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf")
+        df = df.withColumns({f"{c}_word": word, c: F.when(word.isNull(), F.round(x, 6))})
+    return df
+
+
+def _told_sql(expr, name):
+    word = f"case when isnan({expr}) then 'nan' when {expr} = 'Infinity'::double then 'inf' when {expr} = '-Infinity'::double then '-inf' end"
+    return f"case when isfinite({expr}) then round({expr}, 6) end as {name}, {word} as {name}_word"
+
+
+# DuckDB stops at a variance over infinities, which is NaN.
+_STD = "case when count(*) filter (where not isfinite({c})) > 0 then 'NaN'::double else stddev_samp(case when isfinite({c}) then {c} end) end"
+_MEAN = """case when count(*) filter (where isnan({c})) > 0 or (count(*) filter (where {c} = 'Infinity'::double) > 0 and count(*) filter (where {c} = '-Infinity'::double) > 0)
+     then 'NaN'::double else avg({c}) end"""
+
+
+def _describe_odd_sql():
+    stats = [("count", "cast(count({c}) as double)"), ("mean", _MEAN), ("std", _STD), ("min", "min({c})"), ("25%", "quantile_cont({c}, 0.25)"),
+             ("50%", "quantile_cont({c}, 0.5)"), ("75%", "quantile_cont({c}, 0.75)"), ("max", "max({c})")]
+    one = ",\n".join(f"{f.format(c=c)} as {c}{i}" for i, (_, f) in enumerate(stats) for c in "xy")
+    rows = "\nunion all\n".join(f"select '{n}' as statistic, {_told_sql(f'x{i}', 'x')}, {_told_sql(f'y{i}', 'y')}, {i + 1} as stat_order from s"
+                                for i, (n, _) in enumerate(stats))
+    return f"with {ODD_SQL}, s as (select {one} from o)\n{rows}"
+
+
+@register("describe_numeric_nonfinite", _describe_odd_sql())
+def q_describe_numeric_nonfinite(spark, sf_dir):
+    """describe over a coerced text column that holds NaN and both infinities."""
+    return _told(A.describe_numeric(odd_measures(_t(spark, sf_dir)), ("x", "y")), ("x", "y")).select(
+        "statistic", "x", "x_word", "y", "y_word", "stat_order")
+
+
+@register("group_stats_nonfinite", f"""
+with {ODD_SQL},
+g as (select l_returnflag, {_MEAN.format(c='x')} as a, quantile_cont(x, 0.5) as b, count(x) as count from o group by l_returnflag)
+select l_returnflag, {_told_sql('a', 'mean')}, {_told_sql('b', 'median')}, count from g""")
+def q_group_stats_nonfinite(spark, sf_dir):
+    g = A.group_stats(odd_measures(_t(spark, sf_dir)), ["l_returnflag"], "x")
+    return _told(g, ("mean", "median")).select("l_returnflag", "mean", "mean_word", "median", "median_word", "count")
+
+
+@register("histogram_equal_width_nonfinite", f"""
+with {ODD_SQL},
+f as (select x from o where isfinite(x)),
+mm as (select min(x) as lo, max(x) as hi from f),
+b as (select least(cast(floor(30 * (x - lo) / (hi - lo)) as int) + 1, 30) as bin from f, mm),
+c as (select bin, count(*) as n from b group by bin),
+allb as (select cast(range as int) as bin from range(1, 31)),
+w as (select case when isnan(x) then 32 when x > 0 then 31 else 0 end as bin, case when isnan(x) then 'nan' when x > 0 then 'inf' else '-inf' end as word,
+             count(*) as n from o where x is not null and not isfinite(x) group by all)
+select allb.bin, round(lo + (allb.bin - 1) * ((hi - lo) / 30), 6) as bin_lo, cast(null as varchar) as bin_lo_word, coalesce(c.n, 0) as n
+from allb left join c on allb.bin = c.bin, mm
+union all
+select bin, null, word, n from w""")
+def q_histogram_equal_width_nonfinite(spark, sf_dir):
+    h = A.histogram_equal_width(odd_measures(_t(spark, sf_dir)), "x", 30)
+    return _told(h, ("bin_lo",)).select("bin", "bin_lo", "bin_lo_word", "n")
