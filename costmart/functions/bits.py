@@ -1,7 +1,7 @@
 """Doubles as longs of the same order, in built-in expressions only.
 
 The image of a double x >= 0 is its 64 IEEE 754 bits read as a whole number, that of x < 0 the
-negated bits of -x; so images compare as the numbers do, both zeros have the image 0, and
+bits of -x, inverted; so images compare as the numbers do, both zeros have the image 0, and
 -infinity, infinity and NaN (the greatest, as in Spark's order) are values like any other.
 Leading bits of an image are sign, exponent and first digits of the fraction, which makes them
 cells of a histogram that needs no bounds.
@@ -31,12 +31,12 @@ def ordered_bits(x: Column) -> Column:
     subnormal = (size * F.lit(2.0 ** 537) * F.lit(2.0 ** 537)).cast("long")
     bits = (F.when(x.isNull(), F.lit(None).cast("long")).when(F.isnan(x), F.lit(NAN_BITS)).when(size == F.lit(float("inf")), F.lit(INFINITY_BITS))
              .when(size == 0.0, F.lit(0).cast("long")).when(size < F.lit(_SMALLEST_NORMAL), subnormal).otherwise(normal))
-    return F.when(x < 0.0, -bits).otherwise(bits)
+    return F.when(x < 0.0, F.bitwise_not(bits)).otherwise(bits)
 
 
 def from_ordered_bits(image: Column) -> Column:
     """The double of an image."""
-    bits = F.abs(image)
+    bits = F.when(image < 0, F.bitwise_not(image)).otherwise(image)
     e, fraction = F.shiftright(bits, 52), bits.bitwiseAND(F.lit((1 << 52) - 1)).cast("double")
     size = (F.when(bits > F.lit(INFINITY_BITS), F.lit(float("nan"))).when(bits == F.lit(INFINITY_BITS), F.lit(float("inf")))
              .when(e == 0, fraction * F.lit(5e-324)).otherwise((1.0 + fraction / F.lit(_ONE)) * _power(e - 1023)))

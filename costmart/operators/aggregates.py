@@ -82,6 +82,13 @@ def _stat_rows(stats: DataFrame, cols: Sequence[str], names: Sequence[str]) -> D
     return stats.selectExpr(f"stack({n}, {parts}) as (statistic, {', '.join(cols)})")
 
 
+def moments(c: str) -> list[Column]:
+    """count, mean, std (sample), min and max of a column, named ``<statistic>__<column>``."""
+    x = F.col(c).cast("double")
+    return [F.count(x).cast("double").alias(f"count__{c}"), F.avg(x).alias(f"mean__{c}"),
+            F.stddev_samp(x).alias(f"std__{c}"), F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}")]
+
+
 def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, std (sample), min, 25/50/75 % (exact, linear), max, one row each.
 
@@ -91,12 +98,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     from .quantiles import exact_quantiles
 
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).cast("double").alias(f"count__{c}"), F.avg(x).alias(f"mean__{c}"),
-                 F.stddev_samp(x).alias(f"std__{c}"), F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}")]
-    one = df.agg(*aggs)
+    one = df.agg(*[a for c in cols for a in moments(c)])
     stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_x"))
                                             for c in cols])).alias("_s")).select("_s.*")
     qs = {r["_col"]: r for r in exact_quantiles(stacked, "_x", [0.25, 0.5, 0.75], ["_col"],
@@ -111,7 +113,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out.withColumn("stat_order", order)
 
 
-def _bin_of(x: Column, lo: float, hi: float, bins: int) -> Column:
+def bin_of(x: Column, lo: float, hi: float, bins: int) -> Column:
     return F.least(F.width_bucket(x, F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins)).cast("int")
 
 
@@ -125,7 +127,7 @@ def bin_edges(lo: float | None, hi: float | None) -> tuple[float | None, float |
 def fold_cells(cells: DataFrame, lo: float, hi: float, bins: int) -> DataFrame:
     """Histogram cells (_c, _min, _max, ...) with the bin of both ends: those with
     ``_bin = _last`` lie in one bin, the others are border cells."""
-    return cells.withColumns({"_bin": _bin_of(F.col("_min"), lo, hi, bins), "_last": _bin_of(F.col("_max"), lo, hi, bins)})
+    return cells.withColumns({"_bin": bin_of(F.col("_min"), lo, hi, bins), "_last": bin_of(F.col("_max"), lo, hi, bins)})
 
 
 def list_bins(counts: DataFrame, lo: float | None, hi: float | None, bins: int, others: DataFrame | None = None) -> DataFrame:
@@ -176,22 +178,24 @@ def histogram_equal_width(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
         ranges = F.lit(False)
         for r in cut:
             ranges = ranges | ((x >= F.lit(r["_min"])) & (x <= F.lit(r["_max"])))
-        border = df.where(ranges).groupBy(_bin_of(x, lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        border = df.where(ranges).groupBy(bin_of(x, lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
         counts = counts.unionByName(border)
     return list_bins(counts, lo, hi, bins, others)
 
 
+def corr_complete(a: str, b: str) -> Column:
+    """Pearson correlation over the rows that have both."""
+    xa, xb = F.col(a).cast("double"), F.col(b).cast("double")
+    both = xa.isNotNull() & xb.isNotNull()
+    return F.corr(F.when(both, xa), F.when(both, xb))
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation for every ordered pair, pairwise complete, in one aggregate.
 
     Long form ``(row_col, col_col, corr)``.
     """
-    aggs = []
-    for a in cols:
-        for b in cols:
-            xa, xb = F.col(a).cast("double"), F.col(b).cast("double")
-            both = xa.isNotNull() & xb.isNotNull()
-            aggs.append(F.corr(F.when(both, xa), F.when(both, xb)).alias(f"{a}__{b}"))
+    aggs = [corr_complete(a, b).alias(f"{a}__{b}") for a in cols for b in cols]
     one = df.agg(*aggs)
     pairs = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a in cols for b in cols)
     return one.selectExpr(f"stack({len(cols) ** 2}, {pairs}) as (row_col, col_col, corr)")

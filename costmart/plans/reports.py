@@ -18,10 +18,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bits import from_ordered_bits, ordered_bits
 from ..functions.columns import AGE_LABELS, bin_labels, derive_total, labor_cost, month_period, nurse_hours, parse_ratio
 from ..functions.frames import assign_random_category, number_choices, suffix_columns, to_day
 from ..operators import aggregates as A
 from ..operators.joins import join_star
+from ..operators.quantiles import first_cell, quantiles_of_cells
+from ..session import materialize
 
 NUMERIC = ("total_icu_days", "lab_tests_cost", "medicine_cost", "total_cost")
 # What the reports read of the mart.
@@ -78,43 +81,81 @@ def _long(df: DataFrame, report: str, label: Column, stats: dict[str, Column]) -
     return df.select(F.lit(report).alias("report"), label.cast("string").alias("label"), F.explode(pairs).alias("_p")).select("report", "label", "_p.*")
 
 
+def _finest(m: DataFrame) -> DataFrame:
+    """(report, label, x, _i): the mart's rows once for every report that groups them, with the image of
+    the values whose quantiles are needed (``functions.bits``)."""
+    cost = F.col("total_cost").cast("double")
+    of = [("describe", F.lit(c), F.col(c).cast("double")) for c in NUMERIC]
+    of += [("drg_top_mean", F.col("drg_category"), cost), ("mean_cost_by_unit", F.col("unit_type"), cost),
+           ("stays_per_month", F.date_format("admit_month", "yyyy-MM"), cost), ("mean_cost_by_outcome", F.col("survived"), cost),
+           ("mean_cost_by_age", F.col("age_group"), cost)]
+    entries = F.array(*[F.struct(F.lit(r).alias("report"), label.cast("string").alias("label"), x.alias("x")) for r, label, x in of])
+    rows = m.select(F.explode(entries).alias("_e")).select("_e.*").where(F.col("label").isNotNull())
+    return rows.withColumn("_i", F.when(F.col("report").isin("describe", "drg_top_mean"), ordered_bits(F.col("x"))))
+
+
 def cost_reports(mart: DataFrame, bins: int = 30, top_drg: int = 10) -> DataFrame:
     """The nine summaries: describe, stay-length histogram, mean cost by unit type,
     stays per month, mean cost by outcome, correlations, DRG stats (top by mean),
     mean cost by age band (all bands), labour vs supply shares.
 
-    Runs eagerly: the mart is cached while the nine aggregates read it, the
-    (small) result is materialised by a reliable checkpoint, then the cache
-    is released.
+    Runs eagerly, over the mart's eleven columns written once, in three reads whatever the number of reports:
+    one for the aggregates of the whole mart (moments, correlations, money sums); one
+    for all that groups it, its rows exploded by (report, label) and partially aggregated at once, by cells
+    of leading bits where a quantile or the histogram needs them; one for the rows of
+    those few cells that hold a quantile or are cut by a bin's edge. All else reads small tables.
     """
-    m = mart.select(*REPORT_COLUMNS).persist()  # read by nine aggregates; released once the small result is written
-    desc = A.describe_numeric(m, NUMERIC)
-    cells = F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).cast("double").alias("value")) for c in NUMERIC])
-    desc_long = (desc.select(F.col("statistic").alias("stat"), F.explode(cells).alias("_c"))
-                     .select(F.lit("describe").alias("report"), F.col("_c.label").alias("label"), "stat", F.col("_c.value").alias("value")))
-    hist = A.histogram_equal_width(m, "total_icu_days", bins)
-    unit = A.group_stats(m, ["unit_type"], "total_cost", stats=("mean",))
-    month = A.group_stats(m, ["admit_month"], "total_cost", stats=("rows",))
-    outcome = A.group_stats(m, ["survived"], "total_cost", stats=("mean",))
-    corr = A.corr_matrix(m, NUMERIC)
-    drg = A.group_stats(m, ["drg_category"], "total_cost", stats=("mean", "median", "count"))
-    drg = A.limit_n(drg, top_drg, [F.col("mean").desc(), F.col("drg_category")])
-    age = A.group_mean_all_labels(m, "age_group", "total_cost", AGE_LABELS)
-    share = A.share_of_total(m, ["labor_cost", "supply_cost"], money=True)
+    m = materialize(mart.select(*REPORT_COLUMNS), "mart-columns")
+    corr = [A.corr_complete(a, b).alias(f"corr__{a}__{b}") for i, a in enumerate(NUMERIC) for b in NUMERIC[i:]]
+    money = [A.money_sum(c).alias(c) for c in ("labor_cost", "supply_cost")]
+    whole = materialize(m.agg(*[x for c in NUMERIC for x in A.moments(c)], *corr, *money), "mart-whole")
+
+    finest = _finest(m)
+    grouped = materialize(finest.groupBy("report", "label", first_cell(F.col("_i")).alias("_cell")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("x").alias("_c"), F.sum("x").alias("total"), F.min("_i").alias("_lo"), F.max("_i").alias("_hi")), "mart-grouped")
+    cells = grouped.where(F.col("_cell").isNotNull())
+    stays = (cells.where((F.col("report") == "describe") & (F.col("label") == "total_icu_days"))
+                  .withColumns({"_min": from_ordered_bits(F.col("_lo")), "_max": from_ordered_bits(F.col("_hi"))}))
+    finite = ~F.isnan("_max") & (F.abs("_max") < F.lit(float("inf")))
+    lo, hi = A.bin_edges(*stays.where(finite).agg(F.min("_min"), F.max("_max")).first())
+    folded = A.fold_cells(stays.where(finite), lo, hi, bins) if lo is not None else stays.where(F.lit(False)).withColumns({"_bin": F.lit(1), "_last": F.lit(1)})
+    cut = folded.where(F.col("_bin") < F.col("_last"))
+    src = finest.where(F.col("_i").isNotNull()).select("report", "label", "_i")
+    quart, rows = quantiles_of_cells(src, cells.select("report", "label", "_cell", "_c", "_lo", "_hi"), [0.25, 0.5, 0.75], ["report", "label"],
+                                     ["q25", "q50", "q75"], also=cut)
+
+    border = rows.join(cut.select("report", "label", "_cell"), ["report", "label", "_cell"], "left_semi")
+    x = from_ordered_bits(F.col("_i"))
+    counts = folded.where(F.col("_bin") == F.col("_last")).select(F.col("_bin").alias("bin"), F.col("_c").alias("n"))
+    if lo is not None:
+        counts = counts.unionByName(border.groupBy(A.bin_of(x, lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n")))
+    hist = A.list_bins(counts, lo, hi, bins, stays.where(~finite).select(F.col("_max").alias("value"), F.col("_c").alias("n")))
+
+    sums = grouped.groupBy("report", "label").agg(F.sum("rows").alias("rows"), F.sum("_c").alias("n"), F.sum("total").alias("total"))
+    sums = sums.withColumn("mean", F.try_divide("total", "n"))
+    of = lambda report: sums.where(F.col("report") == report)
+    drg = of("drg_top_mean").join(quart.where(F.col("report") == "drg_top_mean").select(F.col("label").alias("_l"), F.col("q50").alias("median")),
+                                  F.col("label") == F.col("_l"), "left")
+    drg = A.limit_n(drg, top_drg, [F.col("mean").desc(), F.col("label")])
+    ages = m.sparkSession.createDataFrame([(a,) for a in AGE_LABELS], "age string")
+    age = ages.join(of("mean_cost_by_age"), F.col("age") == F.col("label"), "left")
+    total = F.coalesce("labor_cost", F.lit(0.0)) + F.coalesce("supply_cost", F.lit(0.0))
+    share = lambda c: F.try_divide(F.col(c) * F.lit(100.0), total)
+    pairs = {f"{a}|{b}": f"corr__{min((a, b), key=NUMERIC.index)}__{max((a, b), key=NUMERIC.index)}" for a in NUMERIC for b in NUMERIC}
     parts = [
-        desc_long,
+        *[_long(whole, "describe", F.lit(c), {s: F.col(f"{s}__{c}") for s in ("count", "mean", "std", "min", "max")}) for c in NUMERIC],
+        # a column without values has its quartiles listed too
+        _long(m.sparkSession.createDataFrame([(c,) for c in NUMERIC], "c string").join(
+            quart.where(F.col("report") == "describe"), F.col("c") == F.col("label"), "left"),
+              "describe", F.col("c"), {"25%": F.col("q25"), "50%": F.col("q50"), "75%": F.col("q75")}),
         _long(hist, "icu_days_histogram", F.col("bin"), {"n": F.col("n"), "bin_lo": F.col("bin_lo")}),
-        _long(unit, "mean_cost_by_unit", F.col("unit_type"), {"mean": F.col("mean")}),
-        _long(month, "stays_per_month", F.date_format("admit_month", "yyyy-MM"), {"count": F.col("rows")}),
-        _long(outcome, "mean_cost_by_outcome", F.col("survived"), {"mean": F.col("mean")}),
-        _long(corr, "correlation", F.concat_ws("|", "row_col", "col_col"), {"corr": F.col("corr")}),
-        _long(drg, "drg_top_mean", F.col("drg_category"),
-              {"mean": F.col("mean"), "median": F.col("median"), "count": F.col("count")}),
-        _long(age, "mean_cost_by_age", F.col("age_group"), {"mean": F.col("mean")}),
-        _long(share, "labor_supply_share", F.lit("all"),
-              {"labor_sum": F.col("labor_cost_sum"), "supply_sum": F.col("supply_cost_sum"),
-               "labor_pct": F.col("labor_cost_pct"), "supply_pct": F.col("supply_cost_pct")}),
+        _long(of("mean_cost_by_unit"), "mean_cost_by_unit", F.col("label"), {"mean": F.col("mean")}),
+        _long(of("stays_per_month"), "stays_per_month", F.col("label"), {"count": F.col("rows")}),
+        _long(of("mean_cost_by_outcome"), "mean_cost_by_outcome", F.col("label"), {"mean": F.col("mean")}),
+        *[_long(whole, "correlation", F.lit(k), {"corr": F.col(c)}) for k, c in pairs.items()],
+        _long(drg, "drg_top_mean", F.col("label"), {"mean": F.col("mean"), "median": F.col("median"), "count": F.col("n")}),
+        _long(age, "mean_cost_by_age", F.col("age"), {"mean": F.col("mean")}),
+        _long(whole, "labor_supply_share", F.lit("all"), {"labor_sum": F.col("labor_cost"), "supply_sum": F.col("supply_cost"),
+                                                           "labor_pct": share("labor_cost"), "supply_pct": share("supply_cost")}),
     ]
-    report = reduce(lambda a, b: a.unionByName(b), parts).checkpoint(eager=True)
-    m.unpersist()
-    return report
+    return materialize(reduce(lambda a, b: a.unionByName(b), parts), "cost-reports")

@@ -20,7 +20,7 @@ def image(x: float) -> int:
     if x != x:
         return 0x7FF8 << 48
     bits = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
-    return -bits if x < 0 else bits
+    return ~bits if x < 0 else bits
 
 
 def same(a, b):
