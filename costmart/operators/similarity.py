@@ -9,29 +9,29 @@ empty and x or y empty -> 100; otherwise the largest of
 ``100 - 100·(p + |x|) / (2s + p + |x|)`` and the same with y, where
 ``indel = |x| + |y| - 2·LCS(x, y)``.
 
-Names and their token sets are written once and read by every route. Names
-that the token route matches in full leave before the letters are looked at.
-Candidates come from equi joins on three
-kinds of features, each pruned by prefix filtering (rarest features first,
-by their frequency over both sides), which is exact for a threshold: a pair
-scoring at least ``threshold`` always shares a feature in the probed
-prefixes.
-
-* token route (the two ratios on the intersection, and the 100 case): the
+**Own thresholds.** Only the best choice of a name is wanted, so a name looks for
+choices that reach the best score it has already, its own threshold. First every name
+scores a few seeds: choices that share its rarest features, found through at most
+``HEADS`` choices per feature. Then come two equi joins on features in a global
+order, rarest first, each exact for pairs that reach a name's own threshold:
+
+* token join (the two ratios on the intersection, and the 100 case): the
   tokens outside I weigh (length + 1) at most ``2δl/(1+δ)`` of a text of
-  length l (δ = 1 - threshold/100), so I meets the shortest rare-first
-  token prefix heavier than that; prefixes are joined with all tokens.
-* bigram route (the LCS ratio): ``indel <= δ(a+b)`` keeps at least
-  ``(0.5 - 1.5δ)(a+b) - 1`` bigram occurrences of the arranged texts, and
-  those lie in the occurrence-numbered bigrams of " token " for every
-  token, so prefixes of that multiset must meet (lengths filtered by
-  ``|a-b| <= δ(a+b)``).
-* character route: pairs too short for the bigram bound share a character
-  (LCS >= (1-δ)(a+b)/2), prefix-filtered the same way.
-
-The bound on candidates is only as good as the rarest features: names that
-all share their rare bigrams (one template with running numbers) still meet
-each other.
+  length l (δ = 1 - own threshold/100), so I meets the shortest rare-first
+  token prefix heavier than that, of one side or the other.
+* letter join (the LCS ratio), for names still below 100: ``e = indel <= δ(a+b)`` leaves at least
+  ``(a+b)/2 + 1 - 1.5e`` common occurrence-numbered bigrams of " token " for every
+  token (an unmatched character breaks two bigrams of its own text and one of the
+  other), and ``(a+b-e)/2`` common characters. Two prefixes that leave out fewer features
+  than that, but for K - 1, share at least K, so the join key is a set of K features:
+  three or two where the prefixes are short, one elsewhere; bigrams where
+  their bound is of use, else characters. The key also holds a geometric band of lengths and the
+  class of the left name's threshold, which fix K on both sides.
+
+Pairs without a common token are scored only if the characters they have in common
+could reach the own threshold; where thresholds are low, those with the most common
+bigrams first, which raises it for the rest. Names of one template (running numbers) meet only if they share
+several of the rare bigrams that tell them apart, or if nothing better was found.
 
 Scores are native expressions computed once per distinct candidate pair:
 the LCS is the bit-parallel recurrence on 64-bit longs for texts up to 62
@@ -45,15 +45,25 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed import MATCH_THRESHOLD
 from ..functions.columns import WHITESPACE_RUN
 from ..session import materialize
 
-# Falling thresholds of a join without one; the last admits any shared character.
-STEPS = (80.0, 67.0, 50.0, 30.0, 1e-6)
+# Below every positive score: the own threshold of a name without a seed.
+LEAST = 1e-6
+# Choices a feature offers as seeds, and the seeds that a name scores.
+HEADS, SEEDS = 4, 4
+# Pairs of a name with a low own threshold that are scored before the others.
+LIKELY = 12
+# Own thresholds are classed by these floors.
+CLASSES = (100.0, 90.0, 80.0, 67.0, 50.0, 30.0, 0.0)
+# Lengths of one band differ by less than this factor.
+BAND = 1.25
+# At most these many features may be missing from a prefix whose key holds two, or three, of them.
+MISSING = {2: 12, 3: 6}
 
 # Slack for the pruning bounds: 1 - 0.8 is 0.19999999999999996 in binary
 # floating point, and a bound must never cut a pair sitting exactly on it.
@@ -148,162 +158,214 @@ def _chars(text: Column) -> Column:
     return _numbered(F.transform(F.sequence(F.lit(1), F.length(text)), lambda k: F.substr(text, k, F.lit(1))))
 
 
-def _prefixes(names: DataFrame, threshold: float, routes: str) -> dict[str, DataFrame]:
-    """Feature rows ``(side, name, f)`` of the routes: full sets and rare-first prefixes.
-
-    Below a threshold of about 67 the bigram bound is empty; then the character
-    route covers all lengths."""
-    d = 1.0 - threshold / 100.0
-    tok_budget = 2.0 * d / (1.0 + d)                      # share of l the non-shared tokens may weigh
-    bi_coef = (0.5 - 1.5 * d) * 2.0 / (1.0 + d)           # kept bigrams >= bi_coef * l - 1
-    short_sum = math.floor(1.0 / (0.5 - 1.5 * d) + EPS) if 0.5 - 1.5 * d > EPS else None
-    ch_coef = (1.0 - d) / (1.0 + d)                       # shared characters >= ch_coef * l
-
-    base = names.select("side", "name", "toks", "l")
-    feats = {}
-    if routes != "letters":
-        feats["tok"] = base.select("side", "name", "l", F.explode("toks").alias("f")).withColumn("w", F.length("f") + 1)
-    if routes != "tokens" and short_sum is not None:
-        feats["bi"] = base.where(F.size("toks") > 0).select("side", "name", "l", F.explode(_bigrams(F.col("toks"))).alias("f"))
-    chars_src = base.where(F.col("l") > 0)
-    if short_sum is not None:
-        chars_src = chars_src.where(F.col("l") <= F.lit(short_sum))
-    if routes != "tokens":
-        feats["ch"] = chars_src.select("side", "name", "l", F.explode(_chars(F.array_join("toks", " "))).alias("f"))
-    out = {}
-    for kind, fr in feats.items():
-        if kind != "tok":
-            fr = fr.withColumn("w", F.lit(1))
-        freq = fr.groupBy("f").agg(F.count(F.lit(1)).alias("df"))
-        ranked = (fr.join(freq, "f")
-                    .groupBy("side", "name", "l")
-                    .agg(F.array_sort(F.collect_list(F.struct("df", "f", "w"))).alias("fs")))
-        n = F.size("fs")
-        if kind == "tok":
-            # include a token while the weight before it is within the budget
-            cum = F.aggregate("fs", F.array().cast("array<int>"),
-                              lambda acc, e: F.array_append(acc, F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + e["w"]))
-            keep = F.filter(F.arrays_zip(F.col("fs").alias("e"), cum.alias("c")),
-                            lambda z: (z["c"] - z["e"]["w"]).cast("double") <= F.col("l") * F.lit(tok_budget) + F.lit(EPS))
-            pref = F.transform(keep, lambda z: z["e"]["f"])
-        elif kind == "bi":
-            m = F.greatest(F.lit(0), F.ceil(F.col("l") * F.lit(bi_coef) - F.lit(1) - F.lit(EPS)))
-            pref = F.transform(F.slice("fs", 1, F.greatest(n - m + 1, F.lit(1)).cast("int")), lambda e: e["f"])
-        else:
-            m = F.greatest(F.lit(0), F.ceil(F.col("l") * F.lit(ch_coef) - F.lit(EPS)))
-            pref = F.transform(F.slice("fs", 1, F.greatest(n - m + 1, F.lit(1)).cast("int")), lambda e: e["f"])
-        out[kind + "_pref"] = ranked.select("side", "name", "l", F.explode(pref).alias("f"))
-        if kind == "tok":
-            out["tok_all"] = fr.select("side", "name", "l", "f")
-    return out
-
-
-def _pairs(lf: DataFrame, rf: DataFrame, d: float | None) -> DataFrame:
-    """Equi join on a feature; with ``d`` also on a geometric length band.
-
-    ``|a - b| <= d(a + b)`` means ``b`` lies in ``[a / r, a * r]`` with
-    ``r = (1 + d) / (1 - d)``. Right texts sit in band ``floor(log_r(b))``;
-    each left text is replicated into the (at most three, widened by one
-    for rounding) bands that interval touches, so length-incompatible pairs
-    are never produced by the join. The exact length test follows.
-    """
-    lsel = lf.where(F.col("side") == "L").select(F.col("name").alias("lname"), F.col("l").alias("la"), "f")
-    rsel = rf.where(F.col("side") == "R").select(F.col("name").alias("rname"), F.col("l").alias("lb"), "f")
-    if d is None:
-        return lsel.join(rsel, "f").select("lname", "rname")
-    ln_r = math.log((1.0 + d) / (1.0 - d))
-    band = lambda c: F.floor(F.log(c.cast("double")) / F.lit(ln_r)).cast("int")
-    lo = band(F.col("la") * F.lit((1.0 - d) / (1.0 + d))) - 1
-    hi = band(F.col("la") * F.lit((1.0 + d) / (1.0 - d))) + 1
-    lsel = lsel.withColumn("_band", F.explode(F.sequence(lo, hi)))
-    rsel = rsel.withColumn("_band", band(F.col("lb")))
-    j = lsel.join(rsel, ["f", "_band"])
-    j = j.where(F.abs(F.col("la") - F.col("lb")).cast("double") <= (F.col("la") + F.col("lb")) * F.lit(d) + F.lit(EPS))
-    return j.select("lname", "rname")
-
-
-def tokenised(left_names: DataFrame, right_names: DataFrame) -> DataFrame:
-    """Both sides' distinct names with their token sets, written once."""
-    return materialize(left_names.select(F.lit("L").alias("side"), "name")
-                       .unionByName(right_names.select(F.lit("R").alias("side"), "name")).distinct()
-                       .withColumn("toks", token_set("name"))
-                       .withColumn("l", F.length(F.array_join("toks", " "))), "fuzzy-names")
-
-
-def candidate_pairs(names: DataFrame, threshold: float, routes: str = "all") -> DataFrame:
-    """Distinct (lname, rname) pairs that can score ``>= threshold`` (a superset of them).
-
-    ``names`` is a ``tokenised`` table; ``routes``: "tokens" (the ratios on the
-    intersection and the 100 case), "letters" (the LCS ratio) or "all"."""
-    d = 1.0 - threshold / 100.0
-    fx = _prefixes(names, threshold, routes)
-    parts = []
-    if routes != "letters":
-        parts += [_pairs(fx["tok_pref"], fx["tok_all"], None), _pairs(fx["tok_all"], fx["tok_pref"], None)]
-    parts += [_pairs(fx[k], fx[k], d) for k in ("bi_pref", "ch_pref") if k in fx]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    # Scoring is CPU-heavy and its input is small in bytes, so AQE would coalesce it into
-    # very few tasks. One exchange by pair with an explicit partition count (kept by AQE)
-    # spreads it, a name with many candidates too, and serves the dedupe.
-    n = int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return out.repartition(n, "lname", "rname").dropDuplicates(["lname", "rname"])
-
-
-def _best(names: DataFrame, threshold: float, routes: str) -> DataFrame:
-    cand = candidate_pairs(names, threshold, routes)
-    scored = score_pairs(cand.withColumn("ta", token_set("lname")).withColumn("tb", token_set("rname")), "ta", "tb")
-    # The threshold is applied to the best score per name, after the aggregate: a filter on
-    # the pair score alone would only reference the candidate columns, and Catalyst would
-    # push it below the dedupe into every candidate join (scoring duplicates there).
-    best = scored.groupBy("lname").agg(
-        F.min_by(F.struct(F.col("rname").alias("match"), F.col("score").alias("score")),
-                 F.struct((-F.col("score")).alias("neg"), F.col("rname").alias("r"))).alias("b"))
-    return best.select(F.col("lname").alias("name"), "b.match", "b.score").where(F.col("score") >= F.lit(float(threshold)))
-
-
-def _without(names: DataFrame, done: DataFrame) -> DataFrame:
-    gone = done.select(F.col("name").alias("_d"))
-    return names.join(gone, (F.col("side") == "L") & (F.col("name") == F.col("_d")), "left_anti")
-
-
-def _matches(names: DataFrame, threshold: float) -> DataFrame:
-    """Best matches >= threshold: names that the token route matches in full
-    (score 100, all ties seen) never meet the letters of other names."""
-    by_token = materialize(_best(names, threshold, "tokens"), "fuzzy-tokens")
-    full = by_token.where(F.col("score") >= 100.0)
-    by_letter = _best(_without(names, full), threshold, "letters")
-    better = F.min_by(F.struct("match", "score"), F.struct((-F.col("score")).alias("neg"), F.col("match").alias("m")))
-    return (by_token.unionByName(by_letter).groupBy("name").agg(better.alias("b")).select("name", "b.match", "b.score"))
+# Characters counted each for itself; all others are one.
+COUNTED = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def _bag(text: Column) -> Column:
+    """How often each character occurs (``COUNTED``, then all others)."""
+    counts = [F.length(text) - F.length(F.translate(text, c, "")) for c in COUNTED]
+    return F.array(*counts, F.length(F.translate(text, COUNTED, "")))
+
+
+def ranked_names(left_names: DataFrame, right_names: DataFrame) -> DataFrame:
+    """Both sides' distinct names, written once: (side, name, toks, l) with their features rarest first,
+    ``tok`` (f, before: the weight of the rarer tokens), ``bi`` and ``ch``, and their ``bag`` of characters."""
+    base = (left_names.select(F.lit("L").alias("side"), "name").unionByName(right_names.select(F.lit("R").alias("side"), "name")).distinct()
+            .withColumn("toks", token_set("name")).withColumn("l", F.length(F.array_join("toks", " "))))
+    base = base.where(F.col("l") > 0)
+    tagged = lambda kind, arr: F.transform(arr, lambda f: F.struct(F.lit(kind).alias("kind"), f.alias("f")))
+    feats = base.select("side", "name", "toks", "l", F.explode(F.concat(tagged("tok", F.col("toks")), tagged("bi", _bigrams(F.col("toks"))),
+                                                                        tagged("ch", _chars(F.array_join("toks", " "))))).alias("x")).select("side", "name", "toks", "l", "x.*")
+    df = feats.groupBy("kind", "f").agg(F.count(F.lit(1)).alias("df"))
+    of = lambda kind: F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("df", "f")))), lambda e: e["f"])
+    ranked = feats.join(df, ["kind", "f"]).groupBy("side", "name", "toks", "l").agg(of("tok").alias("tok"), of("bi").alias("bi"), of("ch").alias("ch"))
+    before = lambda i: F.aggregate(F.slice("tok", F.lit(1), i), F.lit(0), lambda acc, t: acc + F.length(t) + 1)
+    ranked = ranked.withColumns({"tok": F.transform("tok", lambda t, i: F.struct(t.alias("f"), before(i).alias("before"))),
+                                 "bag": _bag(F.array_join("toks", " "))})
+    return materialize(ranked, "fuzzy-features")
+
+
+def _delta(own: str = "own") -> Column:
+    return F.lit(1.0) - F.col(own) / 100.0
+
+
+def _side(names: DataFrame, side: str) -> DataFrame:
+    return names.where(F.col("side") == side)
+
+
+def seed_pairs(names: DataFrame) -> DataFrame:
+    """At most ``SEEDS`` (lname, rname) per left name: choices that share the most weight of its
+    rarest features, out of at most ``HEADS`` choices of each feature. A guess that loses nothing."""
+    # a feature's weight falls with its place in the order of rarity
+    tokens = F.transform("tok", lambda t, i: F.struct(F.concat(F.lit("t "), t["f"]).alias("f"), ((F.length(t["f"]) + 2) / (1 + i)).alias("w")))
+    pieces = F.transform("bi", lambda g, i: F.struct(F.concat(F.lit("b "), g).alias("f"), (1 / (1 + i)).alias("w")))
+    heads = _side(names, "R").select(F.col("name").alias("rname"), "l", F.explode(F.concat(tokens, pieces)).alias("x")).select("rname", "l", "x.f")
+    w = Window.partitionBy("f").orderBy("l", "rname")
+    heads = heads.withColumn("at", F.row_number().over(w)).where(F.col("at") <= HEADS).select("f", "rname")
+    mine = _side(names, "L").select(F.col("name").alias("lname"), F.explode(F.concat(F.slice(tokens, 1, 8), F.slice(pieces, 1, 8))).alias("x")).select("lname", "x.*")
+    met = mine.join(heads, "f").groupBy("lname", "rname").agg(F.sum("w").alias("w"))
+    best = Window.partitionBy("lname").orderBy(F.col("w").desc(), "rname")
+    return met.withColumn("at", F.row_number().over(best)).where(F.col("at") <= SEEDS).select("lname", "rname")
+
+
+def _classed(own: DataFrame) -> DataFrame:
+    """(name, own, cls): the highest class floor that the own threshold reaches."""
+    cls = F.lit(0.0)
+    for c in reversed(CLASSES):
+        cls = F.when(F.col("own") >= c, F.lit(c)).otherwise(cls)
+    return own.withColumn("cls", cls)
+
+
+def _floor_delta(cls: Column) -> Column:
+    return F.lit(1.0) - F.greatest(cls, F.lit(LEAST)) / 100.0
+
+
+def token_pairs(names: DataFrame, own: DataFrame, classes: list[float]) -> DataFrame:
+    """(lname, rname) that can reach the own threshold by their common tokens."""
+    budget = lambda d: 2.0 * d / (1.0 + d)
+    lt = (_side(names, "L").join(own, "name").select(F.col("name").alias("lname"), "own", "cls", F.col("l").alias("la"), F.explode("tok").alias("t"))
+          .select("lname", "own", "cls", "la", F.col("t.f").alias("f"), F.col("t.before").alias("lbefore")))
+    rt = (_side(names, "R").select(F.col("name").alias("rname"), F.col("l").alias("lb"), F.explode("tok").alias("t"))
+          .select("rname", "lb", F.col("t.f").alias("f"), F.col("t.before").alias("rbefore")))
+    by_left = lt.where(F.col("lbefore") <= F.col("la") * budget(_delta()) + EPS).select("lname", "f").join(rt.select("rname", "f"), "f")
+    placed = rt.withColumn("cls", F.explode(F.array(*[F.lit(c) for c in classes])))
+    placed = placed.where(F.col("rbefore") <= F.col("lb") * budget(_floor_delta(F.col("cls"))) + EPS)
+    by_right = lt.join(placed, ["f", "cls"]).where(F.col("rbefore") <= F.col("lb") * budget(_delta()) + EPS)
+    return by_left.select("lname", "rname").unionByName(by_right.select("lname", "rname"))
+
+
+def _band(length: Column) -> Column:
+    return F.floor(F.log(length) / F.lit(math.log(BAND))).cast("int")
+
+
+def _subsets(prefix: Column, k: Column) -> Column:
+    """Hashes of all sets of k (1, 2 or 3) features of a prefix."""
+    after = lambda arr, i: F.slice(arr, i + 2, F.size(arr))
+    one = F.transform(prefix, lambda f: F.xxhash64(f))
+    two = F.flatten(F.transform(prefix, lambda f, i: F.transform(after(prefix, i), lambda g: F.xxhash64(f, g))))
+    three = F.flatten(F.flatten(F.transform(prefix, lambda f, i: F.transform(
+        after(prefix, i), lambda g, j: F.transform(F.slice(prefix, i + j + 3, F.size(prefix)), lambda h: F.xxhash64(f, g, h))))))
+    return F.when(k == 3, three).when(k == 2, two).otherwise(one)
+
+
+def _letter_keys(rows: DataFrame, missing: Column) -> DataFrame:
+    """``rows`` (l, bi, ch, cls, band, ...) with one row for each ``key``; ``missing(bigrams)`` is how
+    many features of its own a name may lack in the other."""
+    d = _floor_delta(F.col("cls"))
+    low = F.pow(F.lit(BAND), F.col("band"))
+    bigrams = F.lit(2.0) <= (1.0 - 3.0 * d) / (1.0 + d) * low + 1.0
+    rows = rows.withColumns({"_bi": bigrams,
+                             "_kept": F.when(bigrams, (1.0 - 3.0 * d) / (1.0 + d) * low + 1.0).otherwise((1.0 - d) / (1.0 + d) * low),
+                             "_most": F.floor(low * BAND * F.when(bigrams, 4.0 * d / (1.0 + d)).otherwise(2.0 * d / (1.0 + d)) + EPS)})
+    k = F.lit(1)
+    for n, most in MISSING.items():
+        k = F.when((F.col("_most") <= most) & (F.col("_kept") >= n), n).otherwise(k)
+    rows = rows.withColumns({"_k": k, "_feats": F.when(F.col("_bi"), F.col("bi")).otherwise(F.col("ch")), "_missing": missing})
+    prefix = F.slice("_feats", F.lit(1), F.greatest(F.floor(F.col("_missing") + EPS) + F.col("_k"), F.lit(0)).cast("int"))
+    rows = rows.withColumn("_prefix", prefix)
+    return rows.withColumn("key", F.explode(_subsets(F.col("_prefix"), F.col("_k")))).drop("bi", "ch", "_bi", "_kept", "_most", "_k", "_feats", "_missing", "_prefix")
+
+
+def letter_pairs(names: DataFrame, own: DataFrame, classes: list[float], longest: int) -> DataFrame:
+    """(lname, rname) that can reach the own threshold by the LCS ratio."""
+    d = _delta()
+    ratio = (1.0 + d) / F.greatest(1.0 - d, F.lit(1e-12))
+    a = F.col("l").cast("double")
+    left = _side(names, "L").join(own, "name")
+    lo, hi = _band(F.greatest(a / ratio * (1 - 1e-9), F.lit(1.0))), _band(F.least(a * ratio * (1 + 1e-9), F.lit(float(longest))))
+    left = left.where(lo <= hi).select("name", "l", "own", "cls", "bi", "ch", F.explode(F.sequence(lo, hi)).alias("band"))
+    b = F.greatest(F.pow(F.lit(BAND), F.col("band")) * (1 - 1e-9), a / ratio)
+    lk = _letter_keys(left, F.when(F.col("_bi"), a - (0.5 - 1.5 * d) * (a + b)).otherwise(a - (1.0 - d) * (a + b) / 2.0))
+    right = _side(names, "R").select("name", "l", "bi", "ch", _band(a).alias("band"), F.explode(F.array(*[F.lit(c) for c in classes])).alias("cls"))
+    dc = _floor_delta(F.col("cls"))
+    rk = _letter_keys(right, a * F.when(F.col("_bi"), 4.0 * dc / (1.0 + dc)).otherwise(2.0 * dc / (1.0 + dc)))
+    lk = lk.select(F.col("name").alias("lname"), F.col("l").alias("la"), "own", "cls", "band", "key")
+    rk = rk.select(F.col("name").alias("rname"), F.col("l").alias("lb"), "cls", "band", "key")
+    met = lk.join(rk, ["cls", "band", "key"])
+    near = F.abs(F.col("la") - F.col("lb")).cast("double") <= (F.col("la") + F.col("lb")) * d + EPS
+    return met.where(near).select("lname", "rname")
+
+
+def promising(pairs: DataFrame, names: DataFrame, own: DataFrame) -> DataFrame:
+    """(lname, rname, own, bound, shared) of the pairs that can reach the own threshold: their common
+    characters bound the LCS ratio, and their common tokens the other two."""
+    side = lambda s, n, cols: _side(names, s).select(F.col("name").alias(n), *[F.col(c).alias(f"_{c}_{s}") for c in cols])
+    cols = ["l", "toks", "bi", "bag"]
+    met = (pairs.join(side("L", "lname", cols), "lname").join(side("R", "rname", cols), "rname")
+                .join(own.select(F.col("name").alias("lname"), "own"), "lname"))
+    common = F.aggregate(F.zip_with("_bag_L", "_bag_R", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, n: acc + n)
+    la, lb, both = F.col("_l_L"), F.col("_l_R"), F.length(F.array_join(F.array_intersect("_toks_L", "_toks_R"), " "))
+    met = met.withColumn("_s", both)
+    rest = F.least(la, lb) - F.col("_s") - 1  # the lesser of |x| and |y|; negative: one holds the other
+    shared = F.when(F.col("_s") == 0, F.lit(0.0)).when(rest < 0, F.lit(100.0)).otherwise(200.0 * F.col("_s") / (2 * F.col("_s") + 1 + rest))
+    bound = F.greatest(shared, 200.0 * common / (la + lb))
+    met = met.select("lname", "rname", "own", bound.alias("bound"), "_bi_L", "_bi_R").where(F.col("bound") >= F.col("own") - EPS)
+    return met.select("lname", "rname", "own", "bound", F.size(F.array_intersect("_bi_L", "_bi_R")).alias("shared"))
+
+
+def _distinct(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs, spread by an explicit number of partitions: scoring is heavy and its input small in
+    bytes, so AQE would coalesce it into very few tasks."""
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(n, "lname", "rname").dropDuplicates(["lname", "rname"])
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """(name, match, score) of the best-scored choice per left name, the lowest text of equal ones."""
+    scored = score_pairs(pairs.withColumn("ta", token_set("lname")).withColumn("tb", token_set("rname")), "ta", "tb")
+    return _better(scored.select(F.col("lname").alias("name"), F.col("rname").alias("match"), "score"))
+
+
+def _better(found: DataFrame) -> DataFrame:
+    pick = F.min_by(F.struct("match", "score"), F.struct((-F.col("score")).alias("neg"), F.col("match").alias("m")))
+    return found.groupBy("name").agg(pick.alias("b")).select("name", "b.match", "b.score")
+
+
+def _owned(names: DataFrame, best: DataFrame, least: float) -> DataFrame:
+    """(name, own, cls): every left name's best score so far, ``least`` at the least, and its class."""
+    own = _side(names, "L").select("name").join(best.select("name", "score"), "name", "left")
+    return _classed(own.select("name", F.greatest(F.coalesce("score", F.lit(0.0)), F.lit(least)).alias("own")))
 
 
 def best_match_names(left_names: DataFrame, right_names: DataFrame,
                      threshold: float | None = MATCH_THRESHOLD) -> DataFrame:
     """``(name, match, score)`` for each distinct left name; no choice scoring >= threshold -> null.
 
-    Without a threshold (None) every name gets its best choice. The join then
-    runs at falling thresholds (``STEPS``), each time for the names that have
-    no match yet; a name that shares no character with any choice scores 0
-    everywhere and gets the lowest text, as all ties do.
+    Without a threshold (None) every name gets its best choice; a name that
+    shares no character with any choice scores 0 everywhere and gets the lowest
+    text, as all ties do.
     """
-    if threshold is not None:
-        if threshold <= 0:
-            raise ValueError("the threshold must be positive (None: best match whatever its score)")
-        best = _matches(tokenised(left_names, right_names), threshold)
-        return left_names.select("name").join(best, "name", "left")
-    names, found = tokenised(left_names, right_names), []
-    for step in STEPS:
-        found.append(materialize(_matches(names, step), "fuzzy-step"))
-        names = materialize(_without(names, found[-1]), "fuzzy-left")
-        if names.where("side = 'L'").isEmpty():
-            break
-    best = found[0]
-    for f in found[1:]:
-        best = best.unionByName(f)
-    lowest = right_names.agg(F.min("name")).first()[0]
-    rest = names.where("side = 'L'").select("name", F.lit(lowest).cast("string").alias("match"), F.when(F.lit(lowest).isNotNull(), 0.0).alias("score"))
-    return left_names.select("name").join(best.unionByName(rest), "name", "left")
+    if threshold is not None and threshold <= 0:
+        raise ValueError("the threshold must be positive (None: best match whatever its score)")
+    least = float(threshold or LEAST)
+    names = ranked_names(left_names, right_names)
+
+    best = materialize(_best(_distinct(seed_pairs(names))), "fuzzy-seeds")
+    own = _owned(names, best, least)
+    facts = own.select("cls").distinct().unionByName(_side(names, "R").agg((-F.max("l")).cast("double").alias("cls"))).collect()
+    classes = sorted(r[0] for r in facts if r[0] is not None and r[0] >= 0)  # at most len(CLASSES)
+    if classes:
+        longest = max((int(-r[0]) for r in facts if r[0] is not None and r[0] < 0), default=1)
+        letters = [c for c in classes if c < CLASSES[0]]
+        pairs = token_pairs(names, own, classes)
+        if letters:
+            pairs = pairs.unionByName(letter_pairs(names, own.where(F.col("cls") < CLASSES[0]), letters, longest))
+        pairs = promising(_distinct(pairs), names, own)
+        if classes[0] < CLASSES[3]:  # low thresholds admit many pairs: the likeliest first, then what can still beat them
+            pairs = materialize(pairs.withColumn("at", F.row_number().over(
+                Window.partitionBy("lname").orderBy(F.col("shared").desc(), F.col("bound").desc(), "rname"))), "fuzzy-pairs")
+            best = materialize(_better(best.unionByName(_best(pairs.where(F.col("at") <= LIKELY)))), "fuzzy-likely")
+            raised = best.select(F.col("name").alias("lname"), F.col("score").alias("_s"))
+            pairs = pairs.where(F.col("at") > LIKELY).join(raised, "lname", "left").where(F.col("bound") >= F.coalesce("_s", F.lit(0.0)) - EPS)
+        best = materialize(_better(best.unionByName(_best(pairs.select("lname", "rname")))), "fuzzy-best")
+    best = best.where((F.col("score") >= least) & (F.col("score") > 0))
+    out = left_names.select("name").join(best, "name", "left")
+    if threshold is None:
+        lowest = right_names.agg(F.min("name")).first()[0]
+        out = out.select("name", F.coalesce("match", F.lit(lowest).cast("string")).alias("match"),
+                         F.coalesce("score", F.when(F.lit(lowest).isNotNull(), 0.0)).alias("score"))
+    return out
 
 
 def fuzzy_best_match(left: DataFrame, left_col: str, right: DataFrame, right_col: str,
