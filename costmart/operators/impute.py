@@ -9,13 +9,14 @@ Exact and shuffle-based, with no pair list and no single global sort:
 
 1. donors are reduced to one row per distinct feature value holding its k
    lowest-key donors (a rank filter, limited per group before the shuffle);
-2. distinct values are written once and range-bucketed by approximate
-   quantiles, as many buckets as their number asks for (the only values read
-   back are that number and the bucket bounds);
-3. inside a bucket, a window over values supplies the k nearest donor
-   values on each side (``lag``/``lead ... IGNORE NULLS``); a bucket's
-   outside neighbours come from the k first and k last donor values of the k
-   nearest buckets with donors on either side;
+2. distinct values are dealt into ranges by Spark's range partitioning, one for
+   every ``values_per_bucket`` of them however many there are, and written once
+   with the number of their range (the driver reads back their count alone);
+3. inside a range, a window over values supplies the k nearest donor
+   values on each side (``lag``/``lead ... IGNORE NULLS``); across its borders
+   the k first and k last donor values of every range are carried on: a window over one
+   row per range gives each the borders of the k nearest ranges with donors on
+   either side, a table that is written, so Spark joins it by its known size;
 4. the k nearest of those candidates give the value's imputation, joined
    back to the rows by value (an equi join).
 """
@@ -27,18 +28,6 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# Bucket bounds are literals of one expression.
-MAX_BUCKETS = 1024
-
-
-def _bounds(values: DataFrame, col: str, buckets: int) -> list[float]:
-    if buckets <= 1:
-        return []
-    probs = [i / buckets for i in range(1, buckets)]
-    qs = values.approxQuantile(col, probs, 0.001)
-    return sorted(set(q for q in qs if q is not None))
-
-
 def knn_impute(df: DataFrame, target: str, feature: str, key: str, k: int = 3,
                buckets: int | None = None, out: str | None = None, values_per_bucket: int = 20_000) -> DataFrame:
     """``df`` with ``target`` (or ``out``) imputed from the k nearest donors by ``feature``."""
@@ -58,11 +47,9 @@ def knn_impute(df: DataFrame, target: str, feature: str, key: str, k: int = 3,
                        .withColumn("recipient", F.coalesce("recipient", F.lit(False))))
 
     values = materialize(values, "knn-values")
-    if buckets is None:  # one window task for every so many distinct values, up to what one plan can name
-        buckets = min(MAX_BUCKETS, 1 + values.count() // values_per_bucket)
-    bounds = _bounds(values, "v", buckets)
-    bexpr = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("v"))) if bounds else F.lit(0)
-    values = values.withColumn("bucket", bexpr.cast("int"))
+    if buckets is None:  # one window task for every so many distinct values
+        buckets = 1 + values.count() // values_per_bucket
+    values = materialize(values.repartitionByRange(buckets, "v").withColumn("bucket", F.spark_partition_id()), "knn-ranges")
 
     # every donor value as a list of (value, key, target) donor entries
     entries = F.transform("ds", lambda d: F.struct(F.col("v").alias("feature"), d["key"].alias("key"),
@@ -84,14 +71,14 @@ def knn_impute(df: DataFrame, target: str, feature: str, key: str, k: int = 3,
     wb = "ORDER BY bucket"  # one row per bucket
     near = lambda fn, c: F.flatten(F.filter(F.array(*[F.expr(f"{fn}({c}, {i}) IGNORE NULLS OVER ({wb})") for i in range(1, k + 1)]),
                                             lambda x: x.isNotNull()))
-    near_edges = all_b.select("bucket", near("lag", "last_es").alias("below_es"), near("lead", "first_es").alias("above_es"))
+    near_edges = materialize(all_b.select("bucket", near("lag", "last_es").alias("below_es"), near("lead", "first_es").alias("above_es")), "knn-borders")
 
     # within a bucket: the k nearest donor values below and above each value
     wv = "PARTITION BY bucket ORDER BY v"
     lags = [F.expr(f"lag(es, {i}) IGNORE NULLS OVER ({wv})") for i in range(1, k + 1)]
     leads = [F.expr(f"lead(es, {i}) IGNORE NULLS OVER ({wv})") for i in range(1, k + 1)]
     local = values.select("v", "bucket", "recipient", "es", F.array(*lags).alias("lag_es"), F.array(*leads).alias("lead_es"))
-    rec = local.where("recipient").join(F.broadcast(near_edges), "bucket", "left")  # at most MAX_BUCKETS rows
+    rec = local.where("recipient").join(near_edges, "bucket", "left")
 
     def nonnull(c):
         return F.coalesce(c, F.array().cast(f"array<{entry_type}>"))

@@ -90,6 +90,22 @@ def test_knn_equals_brute_force(spark):
         assert {k: round(v, 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()}
 
 
+def test_knn_has_no_bucket_limit_and_no_literal_bounds(spark):
+    """2,500 ranges, most of them with donors on one side only, against brute force on a sample of recipients."""
+    rng = random.Random(4)
+    rows = [(i, i / 7 + (0.01 if i % 3 else 0.0), None if i % 5 else float(rng.randint(1, 1000))) for i in range(5000)]
+    rows += [(9000 + i, 2000.0 + i / 3, None) for i in range(300)]  # ranges without donors
+    df = spark.createDataFrame(rows, "k int, size double, cost double")
+    out = knn_impute(df, "cost", "size", "k", buckets=2500)
+    assert len(_plan(out)) < 20_000  # no bounds in it
+    got = {r.k: r.cost for r in out.collect()}
+    donors = [(s, k, c) for k, s, c in rows if c is not None]
+    for k, s, c in rows[::37] + rows[-300::50]:
+        near = sorted(donors, key=lambda d: (abs(d[0] - s), d[1]))[:3]
+        want = c if c is not None else sum(d[2] for d in near) / 3
+        assert round(got[k], 9) == round(want, 9), k
+
+
 def test_redraw_range_and_repeatability(spark):
     df = spark.range(0, 5000).select("id", F.when(F.col("id") % 3 == 0, 400.0).otherwise(F.col("id") / 100).alias("c"))
     out = df.select("id", "c", C.redraw_capped("c", ["id"]).alias("x"))
