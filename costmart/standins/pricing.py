@@ -99,30 +99,30 @@ def q_knn_impute(spark, sf_dir):
     return out.withColumn("cost", F.round("cost", 6))
 
 
-LINE_COST = "case when l_linenumber % 2 = 0 then null else l_extendedprice end"
-LINE_SIZE = "case when l_orderkey % 97 = 3 then null else l_orderkey * 8 + l_linenumber end"
+ORDER_COST = "case when o_orderkey % 2 = 0 then null else cast(o_custkey as double) end"
+ORDER_SIZE = "case when o_orderkey % 97 = 3 then null else o_totalprice end"
 
 
 @register("knn_impute_many_values", f"""
-with x as (select l_orderkey, l_linenumber, cast({LINE_SIZE} as double) as size, {LINE_COST} as cost from lineitem),
-d as (select size, l_orderkey * 8 + l_linenumber as key, cost from x where cost is not null and size is not null),
-cm as (select avg(cost) as m from x),
+with x as (select o_orderkey as k, {ORDER_SIZE} as size, {ORDER_COST} as cost from orders),
+d as (select size, k, cost, row_number() over (order by size, k) as rn from x where cost is not null and size is not null),
 w as (select distinct size from x where cost is null and size is not null),
-a as (select * from (select w.size as place, d.*, row_number() over (partition by w.size order by abs(d.size - w.size), d.key) as rn
-      from w join d on d.size between w.size - 400 and w.size + 400) where rn <= 3),
-i as (select place, avg(cost) as cost, count(*) as n from a group by place)
-select x.l_orderkey, x.l_linenumber, round(coalesce(x.cost, i.cost, cm.m), 6) as cost
-from x left join i on x.size = i.place and i.n = 3, cm""")
+p as (select size, recipient, sum(donor) over (order by size, donor desc rows unbounded preceding) as c
+      from (select size, 1 as donor, false as recipient from d union all select size, 0, true from w)),
+a as (select p.size as place, d.cost, row_number() over (partition by p.size order by abs(d.size - p.size), d.k) as nearest
+      from p join d on p.recipient and d.rn between p.c - 12 and p.c + 12),
+i as (select place, avg(cost) as cost from a where nearest <= 3 group by place),
+cm as (select avg(cost) as m from x)
+select x.k as o_orderkey, round(coalesce(x.cost, i.cost, cm.m), 6) as cost
+from x left join i on x.size = i.place, cm""")
 def q_knn_impute_many_values(spark, sf_dir):
-    """Line prices, nearly all with a size of their own, imputed from the 3 nearest lines; the SQL looks 400
-    sizes to either side, in which every line has more than 3 donors."""
+    """Every other order's number imputed from the 3 orders nearest in price, nearly all of a price of their
+    own, dealt into ranges of 2,000 prices (the SQL ranks the 12 donors on either side)."""
     from ..operators.impute import knn_impute
 
-    li = fr.Tables(spark, sf_dir).lineitem
-    x = li.select("l_orderkey", "l_linenumber", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("key"),
-                  F.expr(f"cast({LINE_SIZE} as double)").alias("size"), F.expr(LINE_COST).alias("cost"))
-    out = knn_impute(x, "cost", "size", "key", k=3, values_per_bucket=2_000)
-    return out.select("l_orderkey", "l_linenumber", F.round("cost", 6).alias("cost"))
+    x = fr.Tables(spark, sf_dir).orders.select(F.col("o_orderkey"), F.expr(ORDER_SIZE).alias("size"), F.expr(ORDER_COST).alias("cost"))
+    out = knn_impute(x, "cost", "size", "o_orderkey", k=3, values_per_bucket=2_000)
+    return out.select("o_orderkey", F.round("cost", 6).alias("cost"))
 
 
 def trade_names(t):
