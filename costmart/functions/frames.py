@@ -151,3 +151,29 @@ def surrogate_id(df: DataFrame, keys: Sequence[str] | None = None, out: str = "e
     if keys:
         return df.withColumn(out, hashed_id(*keys))
     return df.withColumn(out, F.monotonically_increasing_id().cast("string"))
+
+
+def numbered_id(df: DataFrame, order: Sequence[str], out: str = "row_id", partitions: int | None = None) -> DataFrame:
+    """Gapless numbers 1..n in the order of ``order`` (nulls first), then of the other columns, so the
+    same rows get the same numbers under any partitioning; rows equal in all columns take theirs in any order.
+
+    Rows are dealt into ranges and sorted within them, written once with their place
+    (``monotonically_increasing_id``: range and position), and shifted by the sizes of the ranges
+    before theirs, one count per range: no window over the rows, and no range of equal keys, as a row's
+    number in the input is the last key.
+    """
+    names = df.columns
+    others = [f.name for f in df.schema.fields if f.name not in order and not _unordered(f.dataType.simpleString())]
+    keys = [F.col(c).asc_nulls_first() for c in [*order, *others, "_tie"]]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                           .drop("_tie").withColumn("_at", F.monotonically_increasing_id()), "numbered-rows")
+    placed = placed.withColumns({"_range": F.shiftright("_at", 33), "_place": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))  # one row per range
+    starts = materialize(sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_start")), "numbered-starts")
+    return placed.join(starts, "_range").select(*names, (F.col("_start") + F.col("_place") + 1).alias(out))
+
+
+def _unordered(type_name: str) -> bool:
+    return "map<" in type_name or "variant" in type_name

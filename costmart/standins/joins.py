@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from ..catalog import register
 from ..functions import frames as FR
+from ..operators import bucketed as B
 from ..operators import joins as J
 from ..operators import nested as N
 from ..plans import mart
+from ..session import scratch_path
 from . import frames as fr
 from .sql import MED_COST, STAYS, with_
 
@@ -91,6 +93,22 @@ def q_join_star(spark, sf_dir):
     return out.select("o_orderkey", "o_totalprice", "c_name", "n_name", "r_name")
 
 
+@register("join_star_bucketed", """
+select o.o_orderkey, o.o_totalprice, c.c_name, c.c_nationkey, l.l_linenumber, l.l_extendedprice, p.total_quantity
+from orders o left join customer c on o.o_custkey = c.c_custkey left join lineitem l on o.o_orderkey = l.l_orderkey
+     left join (select l_orderkey, sum(l_quantity) as total_quantity from lineitem group by l_orderkey) p on o.o_orderkey = p.l_orderkey""")
+def q_join_star_bucketed(spark, sf_dir):
+    """Orders with their customer (another key), lines (fan-out) and totals, from tables in buckets of the order key."""
+    t = _t(spark, sf_dir)
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")
+    totals = t.lineitem.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("total_quantity"))
+    dims = [("customer", t.customer.select("c_custkey", "c_name", "c_nationkey"), "o_custkey", "c_custkey"),
+            ("lines", lines, "o_orderkey", "l_orderkey"), ("totals", totals, "o_orderkey", "l_orderkey")]
+    tables = B.write_star(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), dims, "o_orderkey", scratch_path(spark, "star"), 8)
+    out = B.join_star_bucketed(spark, tables, [(d[0], d[2]) for d in dims], "o_orderkey")
+    return out.drop("o_custkey")
+
+
 NATION_LK = "case when n_nationkey = 3 then null else n_nationkey end"
 SUPP_LK = "case when s_suppkey % 17 = 0 then null else s_nationkey end"
 

@@ -286,6 +286,14 @@ def q_surrogate_id(spark, sf_dir):
     return FR.surrogate_id(o, ["o_orderkey", "o_custkey"]).select("o_orderkey", "event_id")
 
 
+@register("surrogate_id_numbered", """
+select row_number() over (order by o_orderdate nulls first, o_orderpriority nulls first, o_orderkey) as row_id, o_orderkey, o_orderdate
+from orders""")
+def q_surrogate_id_numbered(spark, sf_dir):
+    o = _t(spark, sf_dir).orders.select("o_orderdate", "o_orderpriority", "o_orderkey")
+    return FR.numbered_id(o, ["o_orderdate", "o_orderpriority", "o_orderkey"]).select("row_id", "o_orderkey", "o_orderdate")
+
+
 @register("suffix_columns", """
 select n_nationkey as n_nationkey_adm, n_name as n_name_adm, n_regionkey as n_regionkey_adm from nation""")
 def q_suffix_columns(spark, sf_dir):
