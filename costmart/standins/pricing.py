@@ -8,6 +8,7 @@ from ..catalog import register
 from ..operators import similarity as SIM
 from ..session import materialize
 from . import frames as fr
+from .scalars import md5_number_sql
 from .sql import CTE
 
 CTE_LAB_ITEMS = CTE["lab_items"]
@@ -176,15 +177,46 @@ def q_medicine_mapping(spark, sf_dir):
     return out.withColumns({"match_score": F.round("match_score", 6), "cost": F.expr("try_cast(cost as double)")})
 
 
-@register("drug_price_list")
+def _drug_price_sql():
+    """Both matchers by all pairs, the first price row of either name, the 3 nearest package sizes, cap,
+    redraw, size from tablet names, first spelling of each drug."""
+    norm = lambda c: NORM.format(c=c)
+    match = brute_force_best_sql("select distinct drug as name from drugs", """select drugs as name from mp where drugs is not null
+              union select medicine_name from mp where medicine_name is not null""", 80.0)
+    return f"""with {CTE['prescriptions']},
+mp as (with {MAPPING_CTES}
+  select p_partkey, {norm('drugs')} as drugs, {norm('medicine_name')} as medicine_name, package_size, cost from mapping),
+drugs as (select raw_drug, {norm('raw_drug')} as drug from (select distinct drug as raw_drug from prescriptions where drug is not null)),
+matched as (with {match} select lname, rname from best),
+either as (select drugs as name, p_partkey, medicine_name, package_size, cost from mp union all select medicine_name, p_partkey, medicine_name, package_size, cost from mp),
+first as (select * from (select *, row_number() over (partition by name order by p_partkey) as rn from either where name is not null) where rn = 1),
+priced as (select d.raw_drug, d.drug, f.medicine_name, try_cast(f.package_size as double) as package_size, try_cast(f.cost as double) as cost
+           from drugs d left join matched m on d.drug = m.lname left join first f on m.rname = f.name),
+donors as (select * from priced where cost is not null and package_size is not null),
+imputed as (
+  select p.*, coalesce(p.cost, n.cost, (select avg(cost) from priced)) as filled
+  from priced p left join (
+    select raw_drug, avg(cost) as cost from (
+      select w.raw_drug, d.cost, row_number() over (partition by w.raw_drug order by abs(d.package_size - w.package_size), d.raw_drug) as rn
+      from priced w join donors d on w.cost is null and w.package_size is not null) where rn <= 3 group by raw_drug) n on n.raw_drug = p.raw_drug),
+redrawn as (
+  select *, case when filled >= 400 then cast(100 as double) + cast(300 as double) * ({md5_number_sql('drug', 5)} / cast(1048576 as double))
+                 else filled end as price from imputed),
+sized as (
+  select raw_drug, drug, medicine_name, coalesce(package_size, case when contains(lower(medicine_name), 'tab')
+         then cast(try_cast(regexp_extract(medicine_name, '(\\d+)', 1) as int) as double) end) as package_size, price from redrawn)
+select drug, medicine_name, package_size, round(price, 6) as cost
+from (select *, row_number() over (partition by drug order by raw_drug) as rn from sized) where rn = 1"""
+
+
+@register("drug_price_list", _drug_price_sql())
 def q_drug_price_list(spark, sf_dir):
-    """Prescribed drugs priced through both matchers, imputation, cap and redraw (each step has its own
-    SQL-checked query)."""
+    """Prescribed drugs priced through both matchers, imputation, cap and redraw."""
     from ..plans import pricing as PR
 
     t = fr.Tables(spark, sf_dir)
     mapping = materialize(PR.medicine_mapping(medicine_prices(t), trade_names(t), "p_partkey"), "medicine-mapping")
-    return PR.drug_price_list(fr.prescriptions(t), mapping, "p_partkey")
+    return PR.drug_price_list(fr.prescriptions(t), mapping, "p_partkey").withColumn("cost", F.round("cost", 6))
 
 
 FEE_CATEGORY = """case n_nationkey % 3 when 0 then lower(n_name) when 1 then replace(lower(n_name), '_', ' ')
