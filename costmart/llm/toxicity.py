@@ -6,8 +6,9 @@ written around a filter (leetspeak, inner separators, doubled or repeated
 letters), and every run of tokens of up to ``SHORT`` characters (letters spelt
 out, words split in pieces; a piece of more characters is not joined), becomes a lattice of what its characters may stand for,
 each with a channel cost, and a Viterbi search under the language model picks
-the restored text; in a run a word may end between any two characters. Words
-without such signs restore to themselves.
+the restored text; in a run a word may end between any two characters. A word or
+run may lack letters if it holds signs for them (``@$$``, ``4$$``, ``@ $ $``); digits alone are
+a number. Words without such signs restore to themselves.
 
 The score looks at restored words and their beginnings (so inflected forms
 count): weights are lower confidence bounds of the log odds between toxic and
@@ -22,7 +23,7 @@ model's table has 28^4 entries at any corpus size. Whole texts are scored.
 
 Cases: null and empty texts get the score of a text without any evidence; null
 labels or ids teach nothing; of repeated labels of an id the highest counts;
-without labels of both classes every score is the base rate (or 0.0); rows that
+without labels of both classes every score is 0.0; rows that
 repeat are each scored; an empty table gives an empty result; other columns are
 kept by ``reject`` and may have any names.
 """
@@ -34,6 +35,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -47,6 +49,8 @@ from .common import fold, id_and_text, map_rows
 #: What a character may stand for besides itself.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l"}
+#: Separators that may stand for a letter too.
+MAYBE = {"#": "h"}
 #: Channel costs in nats.
 STANDS_FOR, DROP_DIGIT, DROP_LEET, DROP_OTHER, BREAK, HALVE, FROM_MANY = 0.7, 6.0, 5.0, 0.5, 4.0, 2.0, 0.7
 
@@ -54,6 +58,9 @@ SYMBOLS = 28  # 0 word boundary, 1..26 a..z, 27 any other letter
 ORDER = 4
 EDGE = ".,;:!?\"'()[]{}<>…“”‘’«»"
 NOISY = re.compile(r"(?=.*[^\W\d_])(?:.*[0-9@$!|+€£*#%&~^=/\\.\-_]|.*(.)\1)", re.S)
+#: A word without letters is leetspeak if it holds signs for letters, digits alone are a number.
+LETTERLESS = re.compile(r"(?=.*[@$!|+€£])[0-9@$!|+€£*#%&~^=/\\.\-_]{2,}\Z", re.S)
+SIGNS = frozenset("@$!|€£")
 SHORT = 3
 MEMO = 200_000
 PREFIXES = (4, 5, 6)
@@ -115,54 +122,90 @@ def log_probabilities(counts: np.ndarray) -> np.ndarray:
 
 # ---- lattice and search
 
+def noisy(word: str) -> bool:
+    return bool(NOISY.match(word) or not word[:1].isalpha() and LETTERLESS.match(word))
+
+
 def symbol(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else (SYMBOLS - 1 if c.isalpha() else 0)
 
 
-def lattice(word: str) -> list[list[tuple[str, float]]]:
+#: (text, cost, symbols of the text)
+Option = tuple[str, float, tuple[int, ...]]
+
+
+def option(text: str, cost: float) -> Option:
+    return text, cost, tuple(symbol(c) for c in text)
+
+
+BREAKS = {"inside": (option("", 0.0), option(" ", BREAK)), "between": (option(" ", 0.0), option("", DROP_OTHER))}
+
+
+@lru_cache(1 << 16)
+def options(c: str, n: int, lettered: bool = True) -> tuple[Option, ...]:
+    """What a run of n (3: more) equal characters may stand for. Beside letters, a
+    repeated sign is likelier mere ornament than in a word without any."""
+    if c in LEET:
+        out = [option("", (DROP_DIGIT if c.isdigit() else DROP_LEET) if n == 1 or not lettered else DROP_OTHER * 2)]
+        for letter in LEET[c]:
+            out.append(option(letter, STANDS_FOR + (n > 1) * FROM_MANY))
+            if n > 1:
+                out.append(option(letter * 2, STANDS_FOR))
+        return tuple(out)
+    if c.isalpha():
+        return ((option(c, 0.0),) if n == 1 else (option(c * 2, 0.0), option(c, HALVE)) if n == 2
+                else (option(c, FROM_MANY), option(c * 2, FROM_MANY)))
+    return option("", DROP_OTHER), option(" ", BREAK), *(option(x, STANDS_FOR) for x in MAYBE.get(c, ""))
+
+
+def lattice(word: str) -> list[tuple[Option, ...]]:
     """For each run of equal characters what it may stand for, with its cost."""
-    out = []
-    for m in re.finditer(r"(.)\1*", word, re.S):
-        c, n = m.group(1), len(m.group())
-        if c in LEET:
-            options = [("", (DROP_DIGIT if c.isdigit() else DROP_LEET) if n == 1 else DROP_OTHER * 2)]
-            for letter in LEET[c]:
-                options.append((letter, STANDS_FOR + (n > 1) * FROM_MANY))
-                if n > 1:
-                    options.append((letter * 2, STANDS_FOR))
-        elif c.isalpha():
-            options = [(c, 0.0)] if n == 1 else [(c * 2, 0.0), (c, HALVE)] if n == 2 else [(c, FROM_MANY), (c * 2, FROM_MANY)]
-        else:
-            options = [("", DROP_OTHER), (" ", BREAK)]
-        out.append(options)
+    out, i, end = [], 0, len(word)
+    lettered = any(map(str.isalpha, word))
+    while i < end:
+        c, j = word[i], i + 1
+        while j < end and word[j] == c:
+            j += 1
+        out.append(options(c, min(j - i, 3), lettered))
+        i = j
     return out
 
 
-def run_lattice(tokens: list[str]) -> list[list[tuple[str, float]]]:
+def run_lattice(tokens: list[str]) -> list[tuple[Option, ...]]:
     """The tokens' lattices with an optional break between any two characters."""
-    out: list[list[tuple[str, float]]] = []
+    out: list[tuple[Option, ...]] = []
     for token in tokens:
-        for i, options in enumerate(lattice(token)):
+        for i, slot in enumerate(lattice(token)):
             if out:
-                out.append([("", 0.0), (" ", BREAK)] if i else [(" ", 0.0), ("", DROP_OTHER)])
-            out.append(options)
+                out.append(BREAKS["inside" if i else "between"])
+            out.append(slot)
     return out
 
 
-def viterbi(slots: list[list[tuple[str, float]]], logp) -> str:
+def viterbi(slots: list[tuple[Option, ...]], logp) -> str:
     cut = SYMBOLS ** 3
     best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
-    for options in slots:
-        after: dict[int, tuple[float, tuple]] = {}
-        coded = [(text, cost, [symbol(c) for c in text]) for text, cost in options]
+    for slot in slots:
+        if len(slot) == 1 and len(slot[0][2]) == 1:  # a letter that stands for itself: states stay apart or the better one stays
+            (text, cost, (c,)), = slot
+            after: dict[int, tuple[float, tuple]] = {}
+            for state, (score, path) in best.items():
+                k = state * SYMBOLS + c
+                s, total = k % cut, score - cost + logp[k]
+                if s not in after or total > after[s][0]:
+                    after[s] = (total, (path, text))
+            best = after
+            continue
+        after = {}
         for state, (score, path) in best.items():
-            for text, cost, codes in coded:
+            for text, cost, codes in slot:
                 s, total = state, score - cost
                 for c in codes:
                     k = s * SYMBOLS + c
                     total += logp[k]
                     s = k % cut
-                if s not in after or total > after[s][0]:
+                held = after.get(s)
+                if held is None or total > held[0]:
                     after[s] = (total, (path, text) if text else path)
         best = after
     end = max(best.items(), key=lambda kv: (kv[1][0] + logp[kv[0] * SYMBOLS], kv[0]))[1][1]
@@ -195,7 +238,7 @@ class Decoder:
         """The distinct words of a text, cleaned, with the restored forms of noisy ones."""
         raw = text.lower().split()
         words = {w.strip(EDGE) for w in set(raw)}
-        for w in [w for w in words if NOISY.match(w)]:
+        for w in [w for w in words if noisy(w)]:
             words.update(self.restore(w))
         for _, _, run in _runs(raw):
             words.update(self.restore(run))
@@ -205,7 +248,7 @@ class Decoder:
     def restored(self, text: str) -> str:
         """The text with noisy words replaced, for readers of the result."""
         raw, out, at = text.lower().split(), [], 0
-        one = lambda w: self.restore(c) if (c := w.strip(EDGE)) and NOISY.match(c) else [w]
+        one = lambda w: self.restore(c) if (c := w.strip(EDGE)) and noisy(c) else [w]
         for i, j, run in [*_runs(raw), (len(raw), len(raw), "")]:
             for w in raw[at:i]:
                 out += one(w)
@@ -217,16 +260,24 @@ class Decoder:
 
 
 def _runs(raw: list[str]) -> Iterator[tuple[int, int, str]]:
-    """(from, to, tokens without punctuation at their ends) of two or more short tokens with letters."""
+    """(from, to, tokens without punctuation at their ends) of two or more short tokens that may be letters."""
+    short = {w: c for w in set(raw) if len(c := w.strip(EDGE) or w) <= SHORT}
     held: list[str] = []
-    for i, w in enumerate([*raw, " " * (SHORT + 1)]):
-        c = w.strip(EDGE) or w
-        if len(c) <= SHORT:
+    for i, w in enumerate([*raw, None]):
+        c = short.get(w)
+        if c is not None:
             held.append(c)
-            continue
-        if len(held) > 1 and sum(any(map(str.isalpha, h)) for h in held) > 1:
-            yield i - len(held), i, " ".join(held)
-        held = []
+        elif held:
+            if len(held) > 1 and _spelt(held):
+                yield i - len(held), i, " ".join(held)
+            held = []
+
+
+def _spelt(tokens: list[str]) -> bool:
+    """Two tokens that hold a letter or a sign for one, or one letter among three or more single characters."""
+    if sum(1 for t in tokens if t.isalpha() or not SIGNS.isdisjoint(t) or any(map(str.isalpha, t))) > 1:
+        return True
+    return len(tokens) > 2 and all(len(t) == 1 for t in tokens) and any(map(str.isalpha, tokens))
 
 
 def features(words: set[str]) -> set[str]:

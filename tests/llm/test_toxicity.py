@@ -39,7 +39,7 @@ def test_viterbi_is_the_best_path(model):
             if i == len(slots):
                 yield score + logp[state * t.SYMBOLS], text
                 return
-            for piece, cost in slots[i]:
+            for piece, cost, _ in slots[i]:
                 s, total = state, score - cost
                 for c in piece:
                     k = s * t.SYMBOLS + t.symbol(c)
@@ -93,3 +93,17 @@ def test_odd_rows_and_empty_tables(make_docs, odd, llm, model):
     assert t.reject(make_docs([]), model).count() == 0
     none = llm.createDataFrame([(None, 1), (1, None)], "doc_id long, toxic int")
     assert t.train(make_docs([]), none).weights == {}
+
+
+def test_words_and_runs_without_letters_are_restored():
+    text = b"the pass is a mass of gas and an ass sits on it with a lass " * 50 + b"what a shit list of idiot hits " * 50
+    decoder = t.Decoder(t.log_probabilities(t.gram_counts(text)))
+    for noisy, plain in (("@$$", "ass"), ("4$$", "ass"), ("$#!+", "shit"), ("@ $ $", "ass"), ("1 d 1 0 7", "idiot"), ("an 1d10t", "idiot")):
+        assert plain in decoder.words(f"it is {noisy}, truly"), noisy
+    assert decoder.words("455 2023 12 34 56 --- 1.5") == {"455", "2023", "12", "34", "56", "---", "1.5"}
+
+
+def test_all_labels_of_one_class_score_nothing(make_docs, llm):
+    docs = make_docs([(i, "bad worm") for i in range(40)])
+    model = t.train(docs, llm.createDataFrame([(i, 1) for i in range(40)], "doc_id long, toxic int"))
+    assert [r["s"] for r in docs.select(t.scorer(llm, model)(F.col("text")).alias("s")).distinct().collect()] == [0.0]
