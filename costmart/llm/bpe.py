@@ -39,11 +39,12 @@ from .common import id_and_text, map_rows
 
 #: Fixed value: the byte-level pre-tokenisation pattern of the vocabulary files.
 PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Words of more bytes than this use the heap; rows of one matrix; chunks in each half of the memo.
+#: Words of more bytes than this use the heap; rows of one matrix.
 SHORT = 96
 CLASSES = (4, 8, 12, 16, 24, 32, 48, 64, 96)
 ROWS = 16_384
-MEMO = 400_000
+#: Chunks of more characters are not remembered; bytes that a half of the memo may hold, and that an entry costs besides its own.
+LONGEST, HALF_BYTES, ENTRY_BYTES = 64, 80_000_000, 160
 NO_RANK = 1 << 30
 
 
@@ -92,6 +93,8 @@ class RankArrayBPE:
         self.added_ids = {t: packed((i,)) for t, i in self.added.items()}
         self.memo: dict[str, bytes] = dict(self.added_ids)
         self.old: dict[str, bytes] = {}
+        self.size = 0  # bytes of the memo's young half
+        self.passing: list[str] = []  # long chunks, in the memo for one batch
 
     def encode_words(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of distinct words: short ones by length class in one matrix each."""
@@ -173,10 +176,11 @@ class RankArrayBPE:
 
     def learn(self, keys: set[str]) -> None:
         """Put the ids of these chunks into the memo, as bytes of 32-bit numbers.
-        When the memo's young half is full it becomes the old one; what is still
-        used is taken over."""
-        if len(self.memo) >= MEMO:
-            self.old, self.memo = self.memo, dict(self.added_ids)
+        When the memo's young half is full, by bytes, it becomes the old one; what is
+        still used is taken over. Long chunks (a text without spaces is one) leave
+        after the batch, so the memo's bytes are bounded whatever the texts."""
+        if self.size >= HALF_BYTES:
+            self.old, self.memo, self.size = self.memo, dict(self.added_ids), 0
         missing = []
         for k in keys:
             if k not in self.memo:
@@ -184,11 +188,16 @@ class RankArrayBPE:
                     missing.append(k)
                 else:
                     self.memo[k] = ids
+                    self.size += ENTRY_BYTES + len(k) + len(ids)
         cut = [self.pretokens(k) for k in missing]
         words = list(set(chain.from_iterable(cut)))
         ids_of = dict(zip(words, (packed(ids) for ids in self.encode_words([w.encode() for w in words])), strict=True))
         for k, parts in zip(missing, cut, strict=True):
-            self.memo[k] = ids_of[parts[0]] if len(parts) == 1 else b"".join(map(ids_of.__getitem__, parts))
+            self.memo[k] = ids = ids_of[parts[0]] if len(parts) == 1 else b"".join(map(ids_of.__getitem__, parts))
+            if len(k) > LONGEST:
+                self.passing.append(k)
+            else:
+                self.size += ENTRY_BYTES + len(k) + len(ids)
 
     def _keys(self, text: str) -> list[str]:
         parts = [text] if self.cut_added is None else self.cut_added.split(text)
@@ -206,7 +215,11 @@ class RankArrayBPE:
         keys = [self._keys(t) for t in texts]
         self.learn(set().union(*keys))
         get = self.memo.__getitem__
-        return [np.frombuffer(b"".join(map(get, ks)), np.int32).tolist() for ks in keys]
+        out = [np.frombuffer(b"".join(map(get, ks)), np.int32).tolist() for ks in keys]
+        for k in self.passing:
+            del self.memo[k]
+        self.passing.clear()
+        return out
 
     def encode(self, text: str) -> list[int]:
         return self.encode_batch([text])[0]

@@ -1,10 +1,12 @@
 import hashlib
+import random
 
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from costmart.llm import bpe
 from costmart.llm.bpe import encode_decode, tokenizer
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,3 +56,14 @@ def test_odd_rows_and_empty_table(make_docs, odd):
     assert sorted((r["doc_id"] or -1, r["n_tokens"]) for r in rows) == sorted(
         (i or -1, len(LIBRARY.encode(t or "", add_special_tokens=False).ids)) for i, t in odd)
     assert encode_decode(make_docs([]), PATH).count() == 0
+
+
+def test_memo_is_bounded_by_bytes(monkeypatch):
+    """Texts without spaces, and more short chunks than a half holds; ids stay the library's."""
+    monkeypatch.setattr(bpe, "HALF_BYTES", 200_000)
+    r, own, most = random.Random(4), bpe.RankArrayBPE(PATH), 0
+    for _ in range(30):
+        texts = ["".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(400)) for _ in range(5)] + [" ".join(f"w{r.randint(0, 9999)}" for _ in range(300))]
+        assert own.encode_batch(texts) == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+        most = max(most, sum(bpe.ENTRY_BYTES + len(k) + len(v) for half in (own.memo, own.old) for k, v in half.items()))
+    assert most < 3 * 200_000 and not own.passing and all(len(k) <= bpe.LONGEST for k in own.memo)
