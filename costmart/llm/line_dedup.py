@@ -50,9 +50,10 @@ def later_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def covered(later: DataFrame, size: int = 3) -> DataFrame:
-    """(c_id, c_key, gone): numbers of the solid lines to remove, of texts that lose any."""
-    return later.groupBy(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key")).agg(
-        F.array_distinct(F.flatten(F.collect_list(F.sequence("at", F.col("at") + (size - 1))))).alias("gone"))
+    """(c_id, c_key, gone): numbers of the solid lines to remove, of texts that lose any. The
+    windows of rows that repeat id and text are the same few places, and are merged before they are dealt."""
+    places = F.transform(F.collect_set("at"), lambda a: F.sequence(a, a + (size - 1)))
+    return later.groupBy(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key")).agg(F.array_distinct(F.flatten(places)).alias("gone"))
 
 
 def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:

@@ -50,3 +50,13 @@ def test_hot_passage_overlaps_and_blank_lines(make_docs):
 def test_odd_rows_and_empty_table(make_docs, odd):
     check(make_docs(odd), odd)
     assert line_dedup.dedup(make_docs([])).count() == 0
+
+
+def test_places_of_many_equal_rows_are_merged_early(make_docs):
+    text = "a\nb\nc\nd"
+    docs = make_docs([(None, text)] * 400 + [(1, text)] * 400 + [(2, "other\nlines\nhere")])
+    out = line_dedup.dedup(docs)
+    assert out.count() == 801
+    places = line_dedup.covered(line_dedup.later_windows(docs))
+    assert all(len(r["gone"]) <= 4 for r in places.collect())
+    assert "collect_set" in places._jdf.queryExecution().optimizedPlan().toString()
