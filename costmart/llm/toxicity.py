@@ -222,6 +222,7 @@ class Decoder:
     def __init__(self, logp: np.ndarray):
         self.logp = memoryview(np.ascontiguousarray(logp))
         self.memo: dict[str, list[str]] = {}
+        self.plain: set[str] = set()  # short words known not to be noisy
 
     def restore(self, word: str) -> list[str]:
         """The words that a noisy word, or a run of tokens with a space between, stands for."""
@@ -238,8 +239,13 @@ class Decoder:
         """The distinct words of a text, cleaned, with the restored forms of noisy ones."""
         raw = text.lower().split()
         words = {w.strip(EDGE) for w in set(raw)}
-        for w in [w for w in words if noisy(w)]:
-            words.update(self.restore(w))
+        for w in words - self.plain:
+            if noisy(w):
+                words.update(self.restore(w))
+            elif len(w) <= 64:
+                self.plain.add(w)
+        if len(self.plain) > MEMO:
+            self.plain.clear()
         for _, _, run in _runs(raw):
             words.update(self.restore(run))
         words.discard("")
@@ -294,10 +300,27 @@ class Model:
     logp: np.ndarray
     weights: dict[str, float] = field(default_factory=dict)
     coefficients: tuple[float, ...] = (-math.inf, *[0.0] * 4)
+    known: dict[str, tuple[str, ...]] = field(default_factory=dict, repr=False)  # features of short words that have a weight
+
+    def weighted(self, words: set[str]) -> set[str]:
+        """``features(words)`` that have a weight."""
+        out: set[str] = set()
+        get, has = self.known.get, self.weights.keys()
+        for w in words:
+            found = get(w)
+            if found is None:
+                found = tuple(features({w}) & has)
+                if len(w) <= 64:
+                    self.known[w] = found
+            if found:
+                out.update(found)
+        if len(self.known) > MEMO:
+            self.known.clear()
+        return out
 
     def evidence(self, words: set[str]) -> tuple[float, ...]:
         """Largest weight, its square, the sum of weights, and that in relation to the text's length."""
-        hits = [self.weights[f] for f in features(words) & self.weights.keys()]
+        hits = [self.weights[f] for f in sorted(self.weighted(words))]
         if not hits:
             return (0.0,) * 4
         top, total = max(hits), sum(hits)
@@ -372,6 +395,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, max_labels: int =
 
 
 _HELD: list = []  # of this worker: the table last used and its decoder
+_MODEL: list = []  # and the weights last used with their model
 
 
 def _decoder(logp: Broadcast) -> Decoder:
@@ -387,7 +411,10 @@ def scorer(spark: SparkSession, model: Model):
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        decoder, judge = _decoder(logp), Model(logp.value, *rest.value)
+        decoder = _decoder(logp)
+        if not _MODEL or _MODEL[0] is not rest.value:
+            _MODEL[:] = [rest.value, Model(logp.value, *rest.value)]
+        judge = _MODEL[1]
         return pd.Series([judge.score(decoder.words(t)) for t in texts])
 
     return lambda text: score(F.coalesce(text.cast("string"), F.lit("")))
