@@ -180,6 +180,27 @@ def test_plans_before_materialisation(spark, sf_dir, name, tmp_path):
     assert not any(b in plan for plan in seen for b in bad)
 
 
+def test_cost_reports_reads_the_mart_three_times(spark, sf_dir, monkeypatch):
+    """However many reports: the mart is built once, written once, and its written columns are scanned in three plans."""
+    from costmart.plans import reports
+
+    from costmart.operators import quantiles
+
+    reads, built = [], []
+
+    def watch(df, name, f=reports.materialize):
+        files = df.inputFiles()
+        reads.append(any("mart-columns" in x for x in files))
+        built.append((name, any("lineitem" in x for x in files)))
+        return f(df, name)
+
+    monkeypatch.setattr(reports, "materialize", watch)
+    monkeypatch.setattr(quantiles, "materialize", watch)
+    QUERIES["cost_reports"](spark, sf_dir).collect()
+    assert sum(reads) == 3
+    assert [name for name, of_tables in built if of_tables] == ["mart-columns"]
+
+
 def test_code_lookup_does_not_shuffle_events_on_drug_names(spark, sf_dir):
     plan = _plan(QUERIES["fact_cost_event"](spark, sf_dir))
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan  # exchanges are those of the small tables' own aggregates
