@@ -16,8 +16,8 @@ from ..session import ensure_checkpoint_dir, scratch_path
 
 #: Words are runs of other characters than these six (space, \t \n \v \f \r).
 SPACES = " \t\n\x0b\x0c\r"
-#: Rows of an Arrow batch: what a Python worker holds of whole texts at a time.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch: what a Python worker holds of whole texts at a time (one text at least).
+BATCH_ROWS, BATCH_BYTES = 1000, 32_000_000
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 
 
@@ -27,6 +27,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     cluster installs it or uses --py-files)."""
     ensure_checkpoint_dir(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
