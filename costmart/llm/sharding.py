@@ -1,8 +1,10 @@
 """Histogram sort: exact splitters by counting, then one exchange.
 
-Rows have a sort key of 63 bits: the leading bits hash the text, so equal
-texts lie next to each other, the last ``ID_BITS`` hash the document's id, so
-a text held by a third of all rows still spreads over that many keys. Shards
+Rows have a sort key of 62 bits: the leading bits hash the text, so equal
+texts lie next to each other, the next ``ID_BITS`` hash the document's id, so
+a text held by a third of all rows still spreads over that many keys, and the last
+``ROW_BITS`` hash the row's number in the written table, so rows that repeat id and
+text (null ids with one text above all) spread as well. Shards
 are ranges of keys, and shard j ends where the bytes below reach j/shards of
 the total. No row is sampled or sorted to find those ends: every partition
 counts the exact bytes and rows below the current probes, Spark sums the
@@ -13,12 +15,12 @@ rows each, with the exact number of rows below each. The rows are then
 exchanged once, by these ranges; a row's slot is its place in its range plus
 the rows below that range in the shard.
 
-Bounded on the driver: two counts for each probe, and the probes number
-``FAN`` times the ranges. Only (key, size) is read in a probing round, from a
-narrow table that is written once.
+On the driver: two counts for each probe, as Arrow columns, and the probes number
+``FAN`` times the open ranges, one range for a million rows (1e11 rows: 100,000 ranges,
+narrowed side by side in numpy). Only (key, size) is read in a probing round, from a
+table that is written once.
 
-Cases: a null text has size 8 and crc32 0; rows that repeat id and text have
-the same key and stay in one shard; null ids hash like any value; ties within
+Cases: a null text has size 8 and crc32 0; null ids hash like any value; ties within
 a key are ordered by id, size and crc32, then arbitrarily between equal rows;
 an empty table gives an empty result; other columns pass through ``payload``
 and may have any names.
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-ID_BITS = 24
+ID_BITS, ROW_BITS = 16, 14
 KEY_END = 1 << 62
 FAN = 64
 
@@ -43,8 +45,10 @@ FAN = 64
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", payload: Sequence[str] = ()) -> DataFrame:
     """doc_id, size, text_crc32 and the sort key; with ``payload`` also a struct of those columns."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    top, low = F.xxhash64(text), F.xxhash64(F.col(id_col))
-    key = F.shiftleft(F.shiftrightunsigned(top, 64 - 62 + ID_BITS), ID_BITS).bitwiseOR(F.shiftrightunsigned(low, 64 - ID_BITS))
+    low = ID_BITS + ROW_BITS
+    bits = lambda h, n, at: F.shiftleft(F.shiftrightunsigned(h, 64 - n), at)
+    key = (bits(F.xxhash64(text), 62 - low, low).bitwiseOR(bits(F.xxhash64(F.col(id_col)), ID_BITS, ROW_BITS))
+           .bitwiseOR(bits(F.xxhash64(F.monotonically_increasing_id()), ROW_BITS, 0)))
     out = [F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + F.lit(8)).cast("long").alias("size"),
            F.crc32(text.cast("binary")).alias("text_crc32"), key.alias("sort_key")]
     return docs.select(*out, *([F.struct(*[docs[c] for c in payload]).alias("payload")] if payload else []))
@@ -64,10 +68,10 @@ def count_below(rows: DataFrame, probes: np.ndarray) -> tuple[np.ndarray, np.nda
         yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int64)), pa.array(n[0][cell]), pa.array(n[1][cell])], names=["cell", "bytes", "n"])
 
     counted = (rows.select("sort_key", "size").mapInArrow(run, "cell long, bytes long, n long")
-               .groupBy("cell").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).collect())
+               .groupBy("cell").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).toArrow())
     size, number = np.zeros(len(probes) + 1, np.int64), np.zeros(len(probes) + 1, np.int64)
-    for r in counted:
-        size[r["cell"]], number[r["cell"]] = r["bytes"], r["n"]
+    cell = counted.column("cell").to_numpy()
+    size[cell], number[cell] = counted.column("bytes").to_numpy(), counted.column("n").to_numpy()
     return np.cumsum(size)[:-1], np.cumsum(number)[:-1]
 
 
@@ -91,34 +95,37 @@ def splitters(rows: DataFrame, total: int, n: int, targets: np.ndarray, toleranc
         if not open_.any():
             break
         ends = np.unique(np.stack([lo[open_], hi[open_]], 1), axis=0)
-        probes = np.unique(np.concatenate([_inner(a, b, fan) for a, b in ends.tolist()]))
+        probes = _inner(ends[:, 0], ends[:, 1], fan)
         size, number = count_below(rows, probes)
-        for j in np.flatnonzero(open_):
-            inside = slice(*np.searchsorted(probes, [lo[j] + 1, hi[j]]))
-            k, s, m = probes[inside], size[inside], number[inside]
-            up = int(np.searchsorted(s, targets[j]))  # the first probe with the target's bytes below it
-            if up < len(k):
-                hi[j], below_hi[j], rows_hi[j] = k[up], s[up], m[up]
-            if up:
-                lo[j], below_lo[j], rows_lo[j] = k[up - 1], s[up - 1], m[up - 1]
+        j = np.flatnonzero(open_)
+        first, last = np.searchsorted(probes, lo[j] + 1), np.searchsorted(probes, hi[j])
+        up = np.clip(np.searchsorted(size, targets[j]), first, last)  # the first probe inside with the target's bytes below it
+        down = up[up > first] - 1
+        to, at = j[up > first], j[up < last]
+        lo[to], below_lo[to], rows_lo[to] = probes[down], size[down], number[down]
+        up = up[up < last]
+        hi[at], below_hi[at], rows_hi[at] = probes[up], size[up], number[up]
         fan = FAN
     upper = np.abs(below_hi - targets) < np.abs(targets - below_lo)
     return np.where(upper, hi, lo), np.where(upper, rows_hi, rows_lo)
 
 
-def _inner(a: int, b: int, fan: int) -> np.ndarray:
-    step = max(1, (b - a) // fan)
-    return np.arange(a + step, b, step, dtype=np.int64)
+def _inner(a: np.ndarray, b: np.ndarray, fan: int) -> np.ndarray:
+    """Sorted probes inside each of the open intervals (a, b): every key of a short one."""
+    step = np.maximum(1, (b - a) // fan)
+    n = np.minimum((b - a - 1) // step, 2 * fan)
+    heads = np.cumsum(n) - n
+    return np.unique(np.repeat(a, n) + np.repeat(step, n) * (np.arange(n.sum()) - np.repeat(heads, n) + 1))
 
 
-def histogram_sort(docs: DataFrame, shards: int = 24, tolerance: float = 0.0, rows_per_range: int = 100_000,
+def histogram_sort(docs: DataFrame, shards: int = 24, tolerance: float = 0.0, rows_per_range: int = 1_000_000,
                    id_col: str = "doc_id", text_col: str = "text", payload: Sequence[str] = ()) -> DataFrame:
     """(doc_id, size, text_crc32, sort_key, shard, slot[, payload]).
 
     ``tolerance``: allowed distance of a shard's end from its share, as a part
     of a shard's mean bytes; 0 looks for the nearest whole keys."""
-    full = keyed(docs, id_col, text_col, payload)
-    narrow = stored(full.drop("payload"), "shard-keys")
+    full = stored(keyed(docs, id_col, text_col, payload), "shard-keys")  # once: keys hold the rows' numbers
+    narrow = full.drop("payload")
     total, n = narrow.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
     fine = max(4, -(-n // (shards * rows_per_range)))  # ranges a shard
     at = np.arange(1, shards * fine)
@@ -137,9 +144,8 @@ def histogram_sort(docs: DataFrame, shards: int = 24, tolerance: float = 0.0, ro
             more = [pa.array(r.astype(np.int32)), pa.array((r // fine).astype(np.int32)), pa.array(offset[r])]
             yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, "range", "shard", "offset"])
 
-    source = full if payload else narrow
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema) + ", range int, shard int, offset long"
-    placed = source.mapInArrow(place, schema)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in full.schema) + ", range int, shard int, offset long"
+    placed = full.mapInArrow(place, schema)
     order = Window.partitionBy("range").orderBy("sort_key", "doc_id", "size", "text_crc32")
     return (placed.withColumn("slot", F.col("offset") + F.row_number().over(order) - 1)
             .drop("range", "offset"))

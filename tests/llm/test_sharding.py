@@ -1,6 +1,8 @@
 import zlib
 
-from costmart.llm.sharding import histogram_sort
+import numpy as np
+
+from costmart.llm.sharding import _inner, histogram_sort
 
 
 def check(rows, docs, shards):
@@ -46,3 +48,19 @@ def test_tolerance_saves_rounds_and_stays_near(make_docs):
     rows = histogram_sort(make_docs(docs), shards=5, tolerance=0.05).collect()
     sizes = [sum(r["size"] for r in rows if r["shard"] == s) for s in range(5)]
     assert len(rows) == 500 and max(sizes) - min(sizes) <= 0.1 * sum(sizes) / 5 + 100
+
+
+def test_rows_that_repeat_id_and_text_are_split(make_docs):
+    """A third of the rows one id with one text, another third null ids with one text."""
+    docs = [(7, "one text of one id")] * 400 + [(None, "no id")] * 400 + [(i, f"text {i} " * (i % 9 + 1)) for i in range(400)]
+    rows = histogram_sort(make_docs(docs), shards=6, rows_per_range=50).collect()
+    check(rows, docs, 6)
+    sizes = [sum(r["size"] for r in rows if r["shard"] == s) for s in range(6)]
+    assert max(sizes) - min(sizes) <= 2 * max(r["size"] for r in rows)
+
+
+def test_probes_lie_inside_open_intervals():
+    a, b = np.array([0, 10, 20, 1 << 40]), np.array([1, 12, 90, 1 << 61])
+    probes = _inner(a, b, 64)
+    assert 11 in probes and set(range(21, 90)) <= set(probes.tolist()) and (np.diff(probes) > 0).all()
+    assert all(((a < x) & (x < b)).any() for x in probes.tolist())
