@@ -210,7 +210,7 @@ def seed_pairs(names: DataFrame) -> DataFrame:
 
 
 def _classed(own: DataFrame) -> DataFrame:
-    """(name, own, cls): the highest class floor that the own threshold reaches."""
+    """With ``cls``, the highest class floor that the own threshold ``own`` reaches."""
     cls = F.lit(0.0)
     for c in reversed(CLASSES):
         cls = F.when(F.col("own") >= c, F.lit(c)).otherwise(cls)
@@ -221,10 +221,10 @@ def _floor_delta(cls: Column) -> Column:
     return F.lit(1.0) - F.greatest(cls, F.lit(LEAST)) / 100.0
 
 
-def token_pairs(names: DataFrame, own: DataFrame, classes: list[float]) -> DataFrame:
+def token_pairs(mine: DataFrame, names: DataFrame, classes: list[float]) -> DataFrame:
     """(lname, rname) that can reach the own threshold by their common tokens."""
     budget = lambda d: 2.0 * d / (1.0 + d)
-    lt = (_side(names, "L").join(own, "name").select(F.col("name").alias("lname"), "own", "cls", F.col("l").alias("la"), F.explode("tok").alias("t"))
+    lt = (mine.select(F.col("name").alias("lname"), "own", "cls", F.col("l").alias("la"), F.explode("tok").alias("t"))
           .select("lname", "own", "cls", "la", F.col("t.f").alias("f"), F.col("t.before").alias("lbefore")))
     rt = (_side(names, "R").select(F.col("name").alias("rname"), F.col("l").alias("lb"), F.explode("tok").alias("t"))
           .select("rname", "lb", F.col("t.f").alias("f"), F.col("t.before").alias("rbefore")))
@@ -267,12 +267,11 @@ def _letter_keys(rows: DataFrame, missing: Column) -> DataFrame:
     return rows.withColumn("key", F.explode(_subsets(F.col("_prefix"), F.col("_k")))).drop("bi", "ch", "_bi", "_kept", "_most", "_k", "_feats", "_missing", "_prefix")
 
 
-def letter_pairs(names: DataFrame, own: DataFrame, classes: list[float], longest: int) -> DataFrame:
+def letter_pairs(left: DataFrame, names: DataFrame, classes: list[float], longest: int) -> DataFrame:
     """(lname, rname) that can reach the own threshold by the LCS ratio."""
     d = _delta()
     ratio = (1.0 + d) / F.greatest(1.0 - d, F.lit(1e-12))
     a = F.col("l").cast("double")
-    left = _side(names, "L").join(own, "name")
     lo, hi = _band(F.greatest(a / ratio * (1 - 1e-9), F.lit(1.0))), _band(F.least(a * ratio * (1 + 1e-9), F.lit(float(longest))))
     left = left.where(lo <= hi).select("name", "l", "own", "cls", "bi", "ch", F.explode(F.sequence(lo, hi)).alias("band"))
     b = F.greatest(F.pow(F.lit(BAND), F.col("band")) * (1 - 1e-9), a / ratio)
@@ -287,13 +286,12 @@ def letter_pairs(names: DataFrame, own: DataFrame, classes: list[float], longest
     return met.where(near).select("lname", "rname")
 
 
-def promising(pairs: DataFrame, names: DataFrame, own: DataFrame) -> DataFrame:
+def promising(pairs: DataFrame, mine: DataFrame, names: DataFrame) -> DataFrame:
     """(lname, rname, own, bound, shared) of the pairs that can reach the own threshold: their common
     characters bound the LCS ratio, and their common tokens the other two."""
-    side = lambda s, n, cols: _side(names, s).select(F.col("name").alias(n), *[F.col(c).alias(f"_{c}_{s}") for c in cols])
-    cols = ["l", "toks", "bi", "bag"]
-    met = (pairs.join(side("L", "lname", cols), "lname").join(side("R", "rname", cols), "rname")
-                .join(own.select(F.col("name").alias("lname"), "own"), "lname"))
+    side = lambda s: [F.col(c).alias(f"_{c}_{s}") for c in ("l", "toks", "bi", "bag")]
+    met = (pairs.join(mine.select(F.col("name").alias("lname"), "own", *side("L")), "lname")
+                .join(_side(names, "R").select(F.col("name").alias("rname"), *side("R")), "rname"))
     common = F.aggregate(F.zip_with("_bag_L", "_bag_R", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, n: acc + n)
     la, lb, both = F.col("_l_L"), F.col("_l_R"), F.length(F.array_join(F.array_intersect("_toks_L", "_toks_R"), " "))
     met = met.withColumn("_s", both)
@@ -323,9 +321,9 @@ def _better(found: DataFrame) -> DataFrame:
 
 
 def _owned(names: DataFrame, best: DataFrame, least: float) -> DataFrame:
-    """(name, own, cls): every left name's best score so far, ``least`` at the least, and its class."""
-    own = _side(names, "L").select("name").join(best.select("name", "score"), "name", "left")
-    return _classed(own.select("name", F.greatest(F.coalesce("score", F.lit(0.0)), F.lit(least)).alias("own")))
+    """The left names with their best score so far as ``own``, ``least`` at the least, and its class."""
+    own = _side(names, "L").join(best.select("name", "score"), "name", "left")
+    return _classed(own.withColumn("own", F.greatest(F.coalesce("score", F.lit(0.0)), F.lit(least))).drop("score"))
 
 
 def best_match_names(left_names: DataFrame, right_names: DataFrame,
@@ -341,17 +339,17 @@ def best_match_names(left_names: DataFrame, right_names: DataFrame,
     least = float(threshold or LEAST)
     names = ranked_names(left_names, right_names)
 
-    best = materialize(_best(_distinct(seed_pairs(names))), "fuzzy-seeds")
-    own = _owned(names, best, least)
-    facts = own.select("cls").distinct().unionByName(_side(names, "R").agg((-F.max("l")).cast("double").alias("cls"))).collect()
+    best = materialize(_best(seed_pairs(names)), "fuzzy-seeds")
+    mine = _owned(names, best, least)
+    facts = mine.select("cls").distinct().unionByName(_side(names, "R").agg((-F.max("l")).cast("double").alias("cls"))).collect()
     classes = sorted(r[0] for r in facts if r[0] is not None and r[0] >= 0)  # at most len(CLASSES)
     if classes:
         longest = max((int(-r[0]) for r in facts if r[0] is not None and r[0] < 0), default=1)
         letters = [c for c in classes if c < CLASSES[0]]
-        pairs = token_pairs(names, own, classes)
+        pairs = token_pairs(mine, names, classes)
         if letters:
-            pairs = pairs.unionByName(letter_pairs(names, own.where(F.col("cls") < CLASSES[0]), letters, longest))
-        pairs = promising(_distinct(pairs), names, own)
+            pairs = pairs.unionByName(letter_pairs(mine.where(F.col("cls") < CLASSES[0]), names, letters, longest))
+        pairs = promising(_distinct(pairs), mine, names)
         if classes[0] < CLASSES[3]:  # low thresholds admit many pairs: the likeliest first, then what can still beat them
             pairs = materialize(pairs.withColumn("at", F.row_number().over(
                 Window.partitionBy("lname").orderBy(F.col("shared").desc(), F.col("bound").desc(), "rname"))), "fuzzy-pairs")
