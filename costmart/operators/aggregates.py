@@ -96,13 +96,15 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     (column name as the group); their 3 x len(cols) values are read back as
     scalars and placed beside the one-row aggregate.
     """
+    from ..session import scratch_scope
     from .quantiles import exact_quantiles
 
     one = df.agg(*[a for c in cols for a in moments(c)])
     stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_x"))
                                             for c in cols])).alias("_s")).select("_s.*")
-    qs = {r["_col"]: r for r in exact_quantiles(stacked, "_x", [0.25, 0.5, 0.75], ["_col"],
-                                                names=["q25", "q50", "q75"], write_input=not df.is_cached).collect()}
+    with scratch_scope(df.sparkSession):
+        qs = {r["_col"]: r for r in exact_quantiles(stacked, "_x", [0.25, 0.5, 0.75], ["_col"],
+                                                    names=["q25", "q50", "q75"], write_input=not df.is_cached).collect()}
     for c in cols:
         r = qs.get(c)
         one = one.withColumns({f"{lab}__{c}": F.lit(r[q] if r else None).cast("double")

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.bits import from_ordered_bits, ordered_bits
-from ..session import materialize
+from ..session import materialize, scratch_scope
 
 #: Bits counted by each pass.
 DIGITS = (20, 12, 12, 12, 8)
@@ -64,7 +64,7 @@ def count_first(src: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def quantiles_of_cells(src: DataFrame, cells: DataFrame, probs: Sequence[float], keys: Sequence[str], names: Sequence[str],
-                       also: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+                       also: DataFrame | None = None, keep: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """(``keys..., <name per prob>``, rows written) from the first pass's ``cells`` of ``src`` (keys, _i).
 
     ``also`` (keys, _cell) names further cells whose rows the caller wants
@@ -106,7 +106,7 @@ def quantiles_of_cells(src: DataFrame, cells: DataFrame, probs: Sequence[float],
         lo, hi = F.floor(h), F.ceil(h)
         vlo, vhi = F.element_at("_m", lo.cast("long")), F.element_at("_m", hi.cast("long"))
         cols.append(F.when(vlo.eqNullSafe(vhi), vlo).otherwise((hi - h) * vlo + (h - lo) * vhi).alias(name))
-    return materialize(out.select(*keys, *cols), "quantiles"), rows
+    return materialize(out.select(*keys, *cols), "quantiles", keep=keep), rows
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[str] = (),
@@ -123,8 +123,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Seque
     x = F.col(col).cast("double")
     base = df if keys else df.withColumn("_g", F.lit(0))
     src = base.where(x.isNotNull()).select(*gkeys, ordered_bits(x).alias("_i"))
-    if write_input:
-        src = materialize(src, "quantile-input")
-    cells = materialize(count_first(src, gkeys), "quantile-cells")
-    result, _ = quantiles_of_cells(src, cells, probs, gkeys, names)
+    with scratch_scope(df.sparkSession):
+        if write_input:
+            src = materialize(src, "quantile-input")
+        cells = materialize(count_first(src, gkeys), "quantile-cells")
+        result, _ = quantiles_of_cells(src, cells, probs, gkeys, names, keep=True)
     return result if keys else result.drop("_g")

@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from ..fixed import MATCH_THRESHOLD
 from ..functions.columns import WHITESPACE_RUN
-from ..session import materialize
+from ..session import materialize, scratch_scope
 
 # Below every positive score: the own threshold of a name without a seed.
 LEAST = 1e-6
@@ -326,17 +326,8 @@ def _owned(names: DataFrame, best: DataFrame, least: float) -> DataFrame:
     return _classed(own.withColumn("own", F.greatest(F.coalesce("score", F.lit(0.0)), F.lit(least))).drop("score"))
 
 
-def best_match_names(left_names: DataFrame, right_names: DataFrame,
-                     threshold: float | None = MATCH_THRESHOLD) -> DataFrame:
-    """``(name, match, score)`` for each distinct left name; no choice scoring >= threshold -> null.
-
-    Without a threshold (None) every name gets its best choice; a name that
-    shares no character with any choice scores 0 everywhere and gets the lowest
-    text, as all ties do.
-    """
-    if threshold is not None and threshold <= 0:
-        raise ValueError("the threshold must be positive (None: best match whatever its score)")
-    least = float(threshold or LEAST)
+def _matches(left_names: DataFrame, right_names: DataFrame, least: float) -> DataFrame:
+    """(name, match, score): the best choice of every left name, if it reaches ``least``."""
     names = ranked_names(left_names, right_names)
 
     best = materialize(_best(seed_pairs(names)), "fuzzy-seeds")
@@ -356,7 +347,23 @@ def best_match_names(left_names: DataFrame, right_names: DataFrame,
             best = materialize(_better(best.unionByName(_best(pairs.where(F.col("at") <= LIKELY)))), "fuzzy-likely")
             raised = best.select(F.col("name").alias("lname"), F.col("score").alias("_s"))
             pairs = pairs.where(F.col("at") > LIKELY).join(raised, "lname", "left").where(F.col("bound") >= F.coalesce("_s", F.lit(0.0)) - EPS)
-        best = materialize(_better(best.unionByName(_best(pairs.select("lname", "rname")))), "fuzzy-best")
+        return materialize(_better(best.unionByName(_best(pairs.select("lname", "rname")))), "fuzzy-best", keep=True)
+    return materialize(best, "fuzzy-best", keep=True)
+
+
+def best_match_names(left_names: DataFrame, right_names: DataFrame,
+                     threshold: float | None = MATCH_THRESHOLD) -> DataFrame:
+    """``(name, match, score)`` for each distinct left name; no choice scoring >= threshold -> null.
+
+    Without a threshold (None) every name gets its best choice; a name that
+    shares no character with any choice scores 0 everywhere and gets the lowest
+    text, as all ties do.
+    """
+    if threshold is not None and threshold <= 0:
+        raise ValueError("the threshold must be positive (None: best match whatever its score)")
+    least = float(threshold or LEAST)
+    with scratch_scope(left_names.sparkSession):
+        best = _matches(left_names, right_names, least)
     best = best.where((F.col("score") >= least) & (F.col("score") > 0))
     out = left_names.select("name").join(best, "name", "left")
     if threshold is None:

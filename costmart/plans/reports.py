@@ -24,7 +24,7 @@ from ..functions.frames import assign_random_category, number_choices, suffix_co
 from ..operators import aggregates as A
 from ..operators.joins import join_star
 from ..operators.quantiles import first_cell, quantiles_of_cells
-from ..session import materialize
+from ..session import materialize, scratch_scope
 
 NUMERIC = ("total_icu_days", "lab_tests_cost", "medicine_cost", "total_cost")
 # What the reports read of the mart.
@@ -104,7 +104,13 @@ def cost_reports(mart: DataFrame, bins: int = 30, top_drg: int = 10) -> DataFram
     for all that groups it, its rows exploded by (report, label) and partially aggregated at once, by cells
     of leading bits where a quantile or the histogram needs them; one for the rows of
     those few cells that hold a quantile or are cut by a bin's edge. All else reads small tables.
+    What is written on the way is deleted when the result is.
     """
+    with scratch_scope(mart.sparkSession):
+        return _cost_reports(mart, bins, top_drg)
+
+
+def _cost_reports(mart: DataFrame, bins: int, top_drg: int) -> DataFrame:
     m = materialize(mart.select(*REPORT_COLUMNS), "mart-columns")
     corr = [A.corr_complete(a, b).alias(f"corr__{a}__{b}") for i, a in enumerate(NUMERIC) for b in NUMERIC[i:]]
     money = [A.money_sum(c).alias(c) for c in ("labor_cost", "supply_cost")]
@@ -158,4 +164,4 @@ def cost_reports(mart: DataFrame, bins: int = 30, top_drg: int = 10) -> DataFram
         _long(whole, "labor_supply_share", F.lit("all"), {"labor_sum": F.col("labor_cost"), "supply_sum": F.col("supply_cost"),
                                                            "labor_pct": share("labor_cost"), "supply_pct": share("supply_cost")}),
     ]
-    return materialize(reduce(lambda a, b: a.unionByName(b), parts), "cost-reports")
+    return materialize(reduce(lambda a, b: a.unionByName(b), parts), "cost-reports", keep=True)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -92,13 +94,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/costmart-scratch/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df, name: str):
+_held = threading.local()  # the scopes open in this thread: lists of folders written in each
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Folders that ``materialize`` writes inside are deleted at the end, but those written with
+    ``keep``: they belong to the scope around this one, if there is one. For functions that
+    end with a written result, which need nothing of what led to it."""
+    scopes = _held.__dict__.setdefault("scopes", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def materialize(df, name: str, keep: bool = False):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Lineage ends there, and the files' size is known to the planner: a small
     result is broadcast by Spark's own byte threshold, a large one is not.
+    Inside a ``scratch_scope`` the folder goes with it unless ``keep`` is set.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    scopes = _held.__dict__.get("scopes", [])
+    if len(scopes) > keep:
+        scopes[-1 - keep].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -188,11 +188,11 @@ def test_cost_reports_reads_the_mart_three_times(spark, sf_dir, monkeypatch):
 
     reads, built = [], []
 
-    def watch(df, name, f=reports.materialize):
+    def watch(df, name, f=reports.materialize, **keep):
         files = df.inputFiles()
         reads.append(any("mart-columns" in x for x in files))
         built.append((name, any("lineitem" in x for x in files)))
-        return f(df, name)
+        return f(df, name, **keep)
 
     monkeypatch.setattr(reports, "materialize", watch)
     monkeypatch.setattr(quantiles, "materialize", watch)

@@ -57,7 +57,7 @@ PROBS = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
 @pytest.mark.parametrize("extra", [[INF], [NAN], [INF, -INF, NAN], [INF] * 60 + [NAN] * 60, [-INF] * 200])
 def test_non_finite_values_end_within_the_passes(spark, monkeypatch, extra):
     written = []
-    monkeypatch.setattr(Q, "materialize", lambda df, name, f=Q.materialize: (written.append(name), f(df, name))[1])
+    monkeypatch.setattr(Q, "materialize", lambda df, name, f=Q.materialize, **k: (written.append(name), f(df, name, **k))[1])
     vals = [float(i) for i in range(100)] + extra
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = Q.exact_quantiles(df, "x", PROBS).first()
@@ -80,7 +80,7 @@ def test_any_doubles_with_null_groups(spark, data):
 
 def test_values_that_differ_in_the_last_bit_take_all_passes(spark, monkeypatch):
     written = []
-    monkeypatch.setattr(Q, "materialize", lambda df, name, f=Q.materialize: (written.append(name), f(df, name))[1])
+    monkeypatch.setattr(Q, "materialize", lambda df, name, f=Q.materialize, **k: (written.append(name), f(df, name, **k))[1])
     vals = [math.nextafter(1.0, 2.0) + i * 2**-52 for i in range(300)]
     checked(Q.exact_quantiles(spark.createDataFrame([(v,) for v in vals], "x double"), "x", PROBS).first(), vals, PROBS)
     assert written.count("quantile-targets") == len(Q.DIGITS)

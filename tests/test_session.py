@@ -33,3 +33,35 @@ def test_named_folder_is_used_and_local_gets_one():
     assert ensure_checkpoint_dir(named) == "hdfs:///shared" == named.sparkContext.folder
     local = session("local[4]")
     assert ensure_checkpoint_dir(local) == local.sparkContext.folder
+
+
+def test_scratch_goes_with_its_scope(spark):
+    import os
+
+    from costmart.session import ensure_checkpoint_dir, materialize, scratch_scope
+
+    base = ensure_checkpoint_dir(spark).removeprefix("file:").rstrip("/") + "/costmart-scratch"
+    there = lambda tag: [d for d in os.listdir(base) if d.startswith(tag)]
+    with scratch_scope(spark):
+        materialize(spark.range(3), "outer-gone")
+        with scratch_scope(spark):
+            materialize(spark.range(3), "inner-gone")
+            kept = materialize(spark.range(3), "inner-kept", keep=True)
+        assert not there("inner-gone") and kept.count() == 3
+        last = materialize(kept.selectExpr("id + 1 as id"), "outer-kept", keep=True)
+    assert not there("outer-gone") and not there("inner-kept") and sorted(r.id for r in last.collect()) == [1, 2, 3]
+    assert materialize(spark.range(2), "no-scope").count() == 2
+
+
+def test_reports_leave_only_their_result(spark, sf_dir):
+    import os
+
+    from costmart.catalog import QUERIES
+    from costmart.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).removeprefix("file:").rstrip("/") + "/costmart-scratch"
+    for name, kept in (("cost_reports", {"cost-reports"}), ("describe_numeric", set()), ("fuzzy_best_match", {"fuzzy-best"})):
+        before = set(os.listdir(base))
+        QUERIES[name](spark, sf_dir).collect()
+        new = {d.rsplit("-", 1)[0] for d in set(os.listdir(base)) - before}
+        assert new - {"choices", "priced-items", "gsn-modal"} == kept, name
