@@ -38,7 +38,6 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
@@ -62,7 +61,7 @@ NOISY = re.compile(r"(?=.*[^\W\d_])(?:.*[0-9@$!|+€£*#%&~^=/\\.\-_]|.*(.)\1)",
 LETTERLESS = re.compile(r"(?=.*[@$!|+€£])[0-9@$!|+€£*#%&~^=/\\.\-_]{2,}\Z", re.S)
 SIGNS = frozenset("@$!|€£")
 SHORT = 3
-MEMO = 200_000
+MEMO = 50_000  # words in each half of what a worker remembers, which stays with it between tasks
 PREFIXES = (4, 5, 6)
 
 
@@ -222,17 +221,24 @@ class Decoder:
     def __init__(self, logp: np.ndarray):
         self.logp = memoryview(np.ascontiguousarray(logp))
         self.memo: dict[str, list[str]] = {}
+        self.old: dict[str, list[str]] = {}
         self.plain: set[str] = set()  # short words known not to be noisy
 
+    def keep(self, word: str, found: list[str]) -> None:
+        """Remember; when the young half is full it becomes the old one, and what is still used is taken over."""
+        if len(self.memo) >= MEMO:
+            self.old, self.memo = self.memo, {}
+        self.memo[word] = found
+
     def restore(self, word: str) -> list[str]:
         """The words that a noisy word, or a run of tokens with a space between, stands for."""
         found = self.memo.get(word)
+        if found is None and (found := self.old.get(word)) is not None:
+            self.keep(word, found)
         if found is None:
             found = viterbi(run_lattice(word.split(" ")) if " " in word else lattice(word), self.logp).split()
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
             if len(word) <= 64:
-                self.memo[word] = found
+                self.keep(word, found)
         return found
 
     def words(self, text: str) -> set[str]:
@@ -244,7 +250,7 @@ class Decoder:
                 words.update(self.restore(w))
             elif len(w) <= 64:
                 self.plain.add(w)
-        if len(self.plain) > MEMO:
+        if len(self.plain) > 2 * MEMO:
             self.plain.clear()
         for _, _, run in _runs(raw):
             words.update(self.restore(run))
@@ -300,27 +306,13 @@ class Model:
     logp: np.ndarray
     weights: dict[str, float] = field(default_factory=dict)
     coefficients: tuple[float, ...] = (-math.inf, *[0.0] * 4)
-    known: dict[str, tuple[str, ...]] = field(default_factory=dict, repr=False)  # features of short words that have a weight
-
-    def weighted(self, words: set[str]) -> set[str]:
-        """``features(words)`` that have a weight."""
-        out: set[str] = set()
-        get, has = self.known.get, self.weights.keys()
-        for w in words:
-            found = get(w)
-            if found is None:
-                found = tuple(features({w}) & has)
-                if len(w) <= 64:
-                    self.known[w] = found
-            if found:
-                out.update(found)
-        if len(self.known) > MEMO:
-            self.known.clear()
-        return out
+    def weighted(self, words: set[str]) -> list[str]:
+        """``features(words)`` that have a weight, in order."""
+        return sorted(features(words) & self.weights.keys())
 
     def evidence(self, words: set[str]) -> tuple[float, ...]:
         """Largest weight, its square, the sum of weights, and that in relation to the text's length."""
-        hits = [self.weights[f] for f in sorted(self.weighted(words))]
+        hits = [self.weights[f] for f in self.weighted(words)]
         if not hits:
             return (0.0,) * 4
         top, total = max(hits), sum(hits)
@@ -395,7 +387,6 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, max_labels: int =
 
 
 _HELD: list = []  # of this worker: the table last used and its decoder
-_MODEL: list = []  # and the weights last used with their model
 
 
 def _decoder(logp: Broadcast) -> Decoder:
@@ -409,13 +400,10 @@ def scorer(spark: SparkSession, model: Model):
     sc = spark.sparkContext
     logp, rest = sc.broadcast(model.logp), sc.broadcast((model.weights, model.coefficients))
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        decoder = _decoder(logp)
-        if not _MODEL or _MODEL[0] is not rest.value:
-            _MODEL[:] = [rest.value, Model(logp.value, *rest.value)]
-        judge = _MODEL[1]
-        return pd.Series([judge.score(decoder.words(t)) for t in texts])
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        decoder, judge = _decoder(logp), Model(logp.value, *rest.value)
+        return pa.array([judge.score(decoder.words(t)) for t in texts.to_pylist()], pa.float64())
 
     return lambda text: score(F.coalesce(text.cast("string"), F.lit("")))
 
