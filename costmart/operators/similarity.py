@@ -162,10 +162,10 @@ def _chars(text: Column) -> Column:
 COUNTED = "abcdefghijklmnopqrstuvwxyz0123456789 "
 
 
-def _bag(text: Column) -> Column:
-    """How often each character occurs (``COUNTED``, then all others)."""
-    counts = [F.length(text) - F.length(F.translate(text, c, "")) for c in COUNTED]
-    return F.array(*counts, F.length(F.translate(text, COUNTED, "")))
+def _bag(text: str) -> Column:
+    """How often each character occurs in an SQL text expression (``COUNTED``, then all others)."""
+    counts = [f"length({text}) - length(translate({text}, '{c}', ''))" for c in COUNTED]
+    return F.expr(f"array({', '.join(counts)}, length(translate({text}, '{COUNTED}', '')))")
 
 
 def ranked_names(left_names: DataFrame, right_names: DataFrame) -> DataFrame:
@@ -182,7 +182,7 @@ def ranked_names(left_names: DataFrame, right_names: DataFrame) -> DataFrame:
     ranked = feats.join(df, ["kind", "f"]).groupBy("side", "name", "toks", "l").agg(of("tok").alias("tok"), of("bi").alias("bi"), of("ch").alias("ch"))
     before = lambda i: F.aggregate(F.slice("tok", F.lit(1), i), F.lit(0), lambda acc, t: acc + F.length(t) + 1)
     ranked = ranked.withColumns({"tok": F.transform("tok", lambda t, i: F.struct(t.alias("f"), before(i).alias("before"))),
-                                 "bag": _bag(F.array_join("toks", " "))})
+                                 "text": F.array_join("toks", " ")}).withColumn("bag", _bag("text")).drop("text")
     return materialize(ranked, "fuzzy-features")
 
 
