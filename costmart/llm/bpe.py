@@ -44,7 +44,7 @@ SHORT = 96
 CLASSES = (4, 8, 12, 16, 24, 32, 48, 64, 96)
 ROWS = 16_384
 #: Chunks of more characters are not remembered; bytes that a half of the memo may hold, and that an entry costs besides its own.
-LONGEST, HALF_BYTES, ENTRY_BYTES = 64, 80_000_000, 160
+LONGEST, HALF_BYTES, ENTRY_BYTES = 64, 48_000_000, 240
 NO_RANK = 1 << 30
 
 
