@@ -61,7 +61,7 @@ NOISY = re.compile(r"(?=.*[^\W\d_])(?:.*[0-9@$!|+€£*#%&~^=/\\.\-_]|.*(.)\1)",
 LETTERLESS = re.compile(r"(?=.*[@$!|+€£])[0-9@$!|+€£*#%&~^=/\\.\-_]{2,}\Z", re.S)
 SIGNS = frozenset("@$!|€£")
 SHORT = 3
-MEMO = 50_000  # words in each half of what a worker remembers, which stays with it between tasks
+MEMO = 100_000  # words in each half of what a worker remembers, which stays with it between tasks
 PREFIXES = (4, 5, 6)
 
 
@@ -250,7 +250,7 @@ class Decoder:
                 words.update(self.restore(w))
             elif len(w) <= 64:
                 self.plain.add(w)
-        if len(self.plain) > 2 * MEMO:
+        if len(self.plain) > MEMO:
             self.plain.clear()
         for _, _, run in _runs(raw):
             words.update(self.restore(run))
