@@ -64,12 +64,14 @@ def count_first(src: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def quantiles_of_cells(src: DataFrame, cells: DataFrame, probs: Sequence[float], keys: Sequence[str], names: Sequence[str],
-                       also: DataFrame | None = None, keep: bool = False) -> tuple[DataFrame, DataFrame | None]:
+                       also: DataFrame | None = None, keep: bool = False, weight: str | None = None) -> tuple[DataFrame, DataFrame | None]:
     """(``keys..., <name per prob>``, rows written) from the first pass's ``cells`` of ``src`` (keys, _i).
 
     ``also`` (keys, _cell) names further cells whose rows the caller wants
     written with those that hold the ranks; the rows come back as (keys, _i, _cell).
+    ``weight``: a column of ``src`` with the number of equal rows that each row stands for.
     """
+    weights, number = ([weight], F.sum(weight)) if weight else ([], F.count(F.lit(1)))
     keys = list(keys)
     upto = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
     placed = cells.withColumns({"_start": F.sum("_c").over(upto) - F.col("_c"), "_n": F.sum("_c").over(Window.partitionBy(*keys))})
@@ -83,14 +85,14 @@ def quantiles_of_cells(src: DataFrame, cells: DataFrame, probs: Sequence[float],
     if also is not None:
         wanted = wanted.unionByName(also.select(*keys, "_cell")).distinct()
     if also is not None or not targets.where(open_).isEmpty():
-        rows = materialize(_join(src.select(*keys, "_i", first_cell(F.col("_i")).alias("_cell")), wanted, [*keys, "_cell"], "left_semi"), "quantile-rows")
+        rows = materialize(_join(src.select(*keys, "_i", *weights, first_cell(F.col("_i")).alias("_cell")), wanted, [*keys, "_cell"], "left_semi"), "quantile-rows")
     while not targets.where(open_).isEmpty():
         probes = targets.where(open_).select(*keys, "_prefix", "_below").distinct()
-        seen = rows.select(*keys, "_i", F.shiftright("_i", SHIFTS[level]).alias("_prefix"))
+        seen = rows.select(*keys, "_i", *weights, F.shiftright("_i", SHIFTS[level]).alias("_prefix"))
         level += 1
         digit = F.shiftright("_i", SHIFTS[level]).alias("_cell")
         counted = _join(seen, probes, [*keys, "_prefix"]).groupBy(*keys, "_prefix", "_below", digit).agg(
-            F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_nlo"), F.max("_i").alias("_nhi"))
+            number.alias("_c"), F.min("_i").alias("_nlo"), F.max("_i").alias("_nhi"))
         upto = Window.partitionBy(*keys, "_prefix").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
         counted = counted.withColumn("_start", F.col("_below") + F.sum("_c").over(upto) - F.col("_c")).drop("_below")
         hit = _join(targets.where(open_).select(*keys, "_n", "_prefix", "_rank"), counted, [*keys, "_prefix"])

@@ -13,9 +13,10 @@ table ``(report, label, stat, value)``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.bits import from_ordered_bits, ordered_bits
@@ -82,43 +83,46 @@ def _long(df: DataFrame, report: str, label: Column, stats: dict[str, Column]) -
 
 
 def _finest(m: DataFrame) -> DataFrame:
-    """(report, label, x, _i): the mart's rows once for every report that groups them, with the image of
-    the values whose quantiles are needed (``functions.bits``)."""
+    """(report, label, x, _w, _i): the mart's rows once for every report that groups them, each with the number
+    of mart rows it stands for and the image of the values whose quantiles are needed (``functions.bits``)."""
     cost = F.col("total_cost").cast("double")
     of = [("describe", F.lit(c), F.col(c).cast("double")) for c in NUMERIC]
     of += [("drg_top_mean", F.col("drg_category"), cost), ("mean_cost_by_unit", F.col("unit_type"), cost),
            ("stays_per_month", F.date_format("admit_month", "yyyy-MM"), cost), ("mean_cost_by_outcome", F.col("survived"), cost),
            ("mean_cost_by_age", F.col("age_group"), cost)]
     entries = F.array(*[F.struct(F.lit(r).alias("report"), label.cast("string").alias("label"), x.alias("x")) for r, label, x in of])
-    rows = m.select(F.explode(entries).alias("_e")).select("_e.*").where(F.col("label").isNotNull())
+    rows = m.select("_w", F.explode(entries).alias("_e")).select("_e.*", "_w").where(F.col("label").isNotNull())
     return rows.withColumn("_i", F.when(F.col("report").isin("describe", "drg_top_mean"), ordered_bits(F.col("x"))))
 
 
-def cost_reports(mart: DataFrame, bins: int = 30, top_drg: int = 10) -> DataFrame:
+def cost_reports(mart: DataFrame | Callable[[], DataFrame], bins: int = 30, top_drg: int = 10) -> DataFrame:
     """The nine summaries: describe, stay-length histogram, mean cost by unit type,
     stays per month, mean cost by outcome, correlations, DRG stats (top by mean),
     mean cost by age band (all bands), labour vs supply shares.
 
-    Runs eagerly, over the mart's eleven columns written once, in three reads whatever the number of reports:
+    Runs eagerly, over the mart's eleven columns written once, rows equal in all of them as one with their number
+    (a stay's rows repeat with its patient's and admission's attributes), in three reads whatever the number of reports:
     one for the aggregates of the whole mart (moments, correlations, money sums); one
     for all that groups it, its rows exploded by (report, label) and partially aggregated at once, by cells
     of leading bits where a quantile or the histogram needs them; one for the rows of
     those few cells that hold a quantile or are cut by a bin's edge. All else reads small tables.
-    What is written on the way is deleted when the result is.
+    What is written on the way is deleted when the result is; of a function that makes the mart, what it writes too.
     """
-    with scratch_scope(mart.sparkSession):
-        return _cost_reports(mart, bins, top_drg)
+    with scratch_scope(SparkSession.active() if callable(mart) else mart.sparkSession):
+        return _cost_reports(mart() if callable(mart) else mart, bins, top_drg)
 
 
 def _cost_reports(mart: DataFrame, bins: int, top_drg: int) -> DataFrame:
-    m = materialize(mart.select(*REPORT_COLUMNS), "mart-columns")
+    m = materialize(mart.groupBy(*REPORT_COLUMNS).agg(F.count(F.lit(1)).alias("_w")), "mart-columns")
     corr = [A.corr_complete(a, b).alias(f"corr__{a}__{b}") for i, a in enumerate(NUMERIC) for b in NUMERIC[i:]]
     money = [A.money_sum(c).alias(c) for c in ("labor_cost", "supply_cost")]
-    whole = materialize(m.agg(*[x for c in NUMERIC for x in A.moments(c)], *corr, *money), "mart-whole")
+    every = m.select(*REPORT_COLUMNS, F.explode(F.sequence(F.lit(1).cast("long"), "_w")))
+    whole = materialize(every.agg(*[x for c in NUMERIC for x in A.moments(c)], *corr, *money), "mart-whole")
 
     finest = _finest(m)
     grouped = materialize(finest.groupBy("report", "label", first_cell(F.col("_i")).alias("_cell")).agg(
-        F.count(F.lit(1)).alias("rows"), F.count("x").alias("_c"), F.sum("x").alias("total"), F.min("_i").alias("_lo"), F.max("_i").alias("_hi")), "mart-grouped")
+        F.sum("_w").alias("rows"), F.sum(F.when(F.col("x").isNull(), 0).otherwise(F.col("_w"))).alias("_c"), F.sum(F.col("x") * F.col("_w")).alias("total"),
+        F.min("_i").alias("_lo"), F.max("_i").alias("_hi")), "mart-grouped")
     cells = grouped.where(F.col("_cell").isNotNull())
     stays = (cells.where((F.col("report") == "describe") & (F.col("label") == "total_icu_days"))
                   .withColumns({"_min": from_ordered_bits(F.col("_lo")), "_max": from_ordered_bits(F.col("_hi"))}))
@@ -126,15 +130,15 @@ def _cost_reports(mart: DataFrame, bins: int, top_drg: int) -> DataFrame:
     lo, hi = A.bin_edges(*stays.where(finite).agg(F.min("_min"), F.max("_max")).first())
     folded = A.fold_cells(stays.where(finite), lo, hi, bins) if lo is not None else stays.where(F.lit(False)).withColumns({"_bin": F.lit(1), "_last": F.lit(1)})
     cut = folded.where(F.col("_bin") < F.col("_last"))
-    src = finest.where(F.col("_i").isNotNull()).select("report", "label", "_i")
+    src = finest.where(F.col("_i").isNotNull()).select("report", "label", "_i", "_w")
     quart, rows = quantiles_of_cells(src, cells.select("report", "label", "_cell", "_c", "_lo", "_hi"), [0.25, 0.5, 0.75], ["report", "label"],
-                                     ["q25", "q50", "q75"], also=cut)
+                                     ["q25", "q50", "q75"], also=cut, weight="_w")
 
     border = rows.join(cut.select("report", "label", "_cell"), ["report", "label", "_cell"], "left_semi")
     x = from_ordered_bits(F.col("_i"))
     counts = folded.where(F.col("_bin") == F.col("_last")).select(F.col("_bin").alias("bin"), F.col("_c").alias("n"))
     if lo is not None:
-        counts = counts.unionByName(border.groupBy(A.bin_of(x, lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n")))
+        counts = counts.unionByName(border.groupBy(A.bin_of(x, lo, hi, bins).alias("bin")).agg(F.sum("_w").alias("n")))
     hist = A.list_bins(counts, lo, hi, bins, stays.where(~finite).select(F.col("_max").alias("value"), F.col("_c").alias("n")))
 
     sums = grouped.groupBy("report", "label").agg(F.sum("rows").alias("rows"), F.sum("_c").alias("n"), F.sum("total").alias("total"))

@@ -310,3 +310,23 @@ def test_lookup_and_histogram_equal_brute_force(spark):
     for v in xs:
         want_h[min(int(30 * (v - lo) / (hi - lo)) + 1, 30)] += 1
     assert hist == want_h and sum(hist.values()) == len(xs)
+
+
+def test_reports_write_the_fact_once_and_equal_rows_as_one(spark, sf_dir, monkeypatch):
+    """A mart's rows equal in all that the reports read are written once, with their number."""
+    from costmart.plans import reports
+    from costmart.standins import reports as queries
+
+    written = {}
+
+    def watch(df, name, f=reports.materialize, **keep):
+        out = f(df, name, **keep)
+        written[name] = (out.count(), out.select(*df.columns[:11]).distinct().count(), out.agg({df.columns[-1]: "sum"}).first()[0] if name == "mart-columns" else None)
+        return out
+
+    monkeypatch.setattr(reports, "materialize", watch)
+    monkeypatch.setattr(queries, "materialize", watch)
+    QUERIES["cost_reports"](spark, sf_dir).collect()
+    rows = QUERIES["stay_mart"](spark, sf_dir).count()
+    n, distinct, whole = written["mart-columns"]
+    assert n == distinct < whole == rows and {"fact", "dates"} <= written.keys()
