@@ -51,6 +51,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize, scratch_scope
 from .common import id_and_text, slices, stored
 from .components import components
 from .minmax import GOLD, mix, shingle_set
@@ -113,25 +114,28 @@ class Join:
     def __init__(self, docs: DataFrame, words: int, percent: int, id_col: str, text_col: str):
         self.percent = percent
         texts = id_and_text(docs, id_col, text_col)
-        self.signed = stored(_signed(texts, words, percent), "join-signed")
-        full = self.signed.where("n > 0 and doc_id is not null")
-        whole = stored(full.groupBy("key_hi", "key_lo").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("firsts").alias("firsts")),
-                       "join-classes")
-        self.classes = whole.select("key_hi", "key_lo", "node", "n")
-        entries = whole.select("node", F.explode("firsts").alias("gram"))
-        common = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram")
-        hits = entries.join(common, "gram").groupBy("node").agg(F.count(F.lit(1)).alias("hits"))
-        enough = 1 + F.floor(self.least("n") / 10)
-        left = self.classes.select("node", "n").join(hits, "node").where(F.col("hits") >= enough).select("node").distinct()
-        left = stored(left, "join-left")
-        held = texts.where("doc_id is not null").join(left.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-        sets = stored(_sets(held, words), "join-sets")
-        grams = sets.select("v", "n", F.explode("grams").alias("gram"))
-        counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-        order = F.array_sort(F.collect_list(F.struct("k", "gram")))
-        ranked = grams.join(counts, "gram").groupBy("v", "n").agg(F.transform(order, lambda e: e["gram"]).alias("grams"))
-        ranked = ranked.where(F.size("grams") >= self.least("n"))
-        self.ranked = stored(ranked.select("v", "n", (F.col("n") - F.size("grams")).alias("alone"), "grams"), "join-ranked")
+        with scratch_scope(texts.sparkSession):  # what holds the prefixes goes when the sieve is done, before whole sets are written
+            signed = materialize(_signed(texts, words, percent), "join-signed")
+            self.signed = materialize(signed.drop("firsts"), "join-ids", keep=True)
+            full = signed.where("n > 0 and doc_id is not null")
+            whole = materialize(full.groupBy("key_hi", "key_lo").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"),
+                                                                     F.first("firsts").alias("firsts")), "join-classes")
+            self.classes = materialize(whole.select("key_hi", "key_lo", "node", "n"), "join-class-ids", keep=True)
+            entries = whole.select("node", F.explode("firsts").alias("gram"))
+            common = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gram")
+            hits = entries.join(common, "gram").groupBy("node").agg(F.count(F.lit(1)).alias("hits"))
+            enough = 1 + F.floor(self.least("n") / 10)
+            left = self.classes.select("node", "n").join(hits, "node").where(F.col("hits") >= enough).select("node").distinct()
+            left = materialize(left, "join-left", keep=True)
+        with scratch_scope(texts.sparkSession):
+            held = texts.where("doc_id is not null").join(left.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+            sets = materialize(_sets(held, words), "join-sets")
+            grams = sets.select("v", "n", F.explode("grams").alias("gram"))
+            counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+            order = F.array_sort(F.collect_list(F.struct("k", "gram")))
+            ranked = grams.join(counts, "gram").groupBy("v", "n").agg(F.transform(order, lambda e: e["gram"]).alias("grams"))
+            ranked = ranked.where(F.size("grams") >= self.least("n"))
+            self.ranked = materialize(ranked.select("v", "n", (F.col("n") - F.size("grams")).alias("alone"), "grams"), "join-ranked", keep=True)
 
     def least(self, n: str) -> Column:
         return F.ceil(F.col(n) * self.percent / 100.0 - 1e-9)

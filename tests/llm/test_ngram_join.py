@@ -145,3 +145,19 @@ def test_suffix_filter_never_says_too_little(seed):
 def test_classes(make_docs):
     rows = [(3, "a b c d e f"), (2, "A b c d e f"), (9, "x"), (None, "x"), (4, None)]
     assert found(ngram_join.classes(make_docs(rows))) == [(2, 2, 2), (3, 2, 2), (4, 0, 4), (9, 1, 9), (None, 1, None)]
+
+
+def test_prefixes_and_whole_sets_are_not_left_on_disk(llm, make_docs):
+    import os
+
+    from costmart.llm.ngram_join import Join
+    from costmart.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(llm).removeprefix("file:").rstrip("/") + "/costmart-scratch"
+    os.makedirs(base, exist_ok=True)
+    before = set(os.listdir(base))
+    text = " ".join(f"w{i}" for i in range(40))
+    j = Join(make_docs([(1, text), (2, text + " x"), (3, "a b c d e f g h")]), 5, 80, "doc_id", "text")
+    left = {d.rsplit("-", 1)[0] for d in set(os.listdir(base)) - before}
+    assert left == {"join-ids", "join-class-ids", "join-left", "join-ranked"}
+    assert j.signed.count() == 3 and j.ranked.count() == 2
