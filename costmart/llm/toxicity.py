@@ -35,7 +35,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -137,7 +138,7 @@ def option(text: str, cost: float) -> Option:
     return text, cost, tuple(symbol(c) for c in text)
 
 
-BREAKS = {"inside": (option("", 0.0), option(" ", BREAK)), "between": (option(" ", 0.0), option("", DROP_OTHER))}
+INSIDE, BETWEEN = (option("", 0.0), option(" ", BREAK)), (option(" ", 0.0), option("", DROP_OTHER))
 
 
 @lru_cache(1 << 16)
@@ -170,47 +171,80 @@ def lattice(word: str) -> list[tuple[Option, ...]]:
     return out
 
 
+@lru_cache(1 << 14)
+def token_lattice(token: str) -> tuple[tuple[Option, ...], ...]:
+    """The token's lattice with an optional break between any two characters."""
+    return tuple(chain.from_iterable((INSIDE, slot) for slot in lattice(token)))[1:]
+
+
 def run_lattice(tokens: list[str]) -> list[tuple[Option, ...]]:
-    """The tokens' lattices with an optional break between any two characters."""
+    """The tokens' lattices, which breaks may part or not."""
     out: list[tuple[Option, ...]] = []
     for token in tokens:
-        for i, slot in enumerate(lattice(token)):
-            if out:
-                out.append(BREAKS["inside" if i else "between"])
-            out.append(slot)
+        if out:
+            out.append(BETWEEN)
+        out += token_lattice(token)
     return out
 
 
 def viterbi(slots: list[tuple[Option, ...]], logp) -> str:
     cut = SYMBOLS ** 3
     best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
-    for slot in slots:
-        if len(slot) == 1 and len(slot[0][2]) == 1:  # a letter that stands for itself: states stay apart or the better one stays
+    i, end = 0, len(slots)
+    while i < end:
+        slot = slots[i]
+        i += 1
+        after: dict[int, tuple[float, tuple]] = {}
+        if len(slot) == 1:  # a letter that stands for itself: states stay apart or the better one stays
             (text, cost, (c,)), = slot
-            after: dict[int, tuple[float, tuple]] = {}
+            if len(best) == 1:  # one state: the letters up to the next choice are one step
+                (state, (score, path)), = best.items()
+                k = state * SYMBOLS + c
+                score = score - cost + logp[k]
+                while i < end and len(slots[i]) == 1:
+                    (letter, cost, (c,)), = slots[i]
+                    i += 1
+                    k = k % cut * SYMBOLS + c
+                    score = score - cost + logp[k]
+                    text += letter
+                best = {k % cut: (score, (path, text))}
+                continue
             for state, (score, path) in best.items():
                 k = state * SYMBOLS + c
                 s, total = k % cut, score - cost + logp[k]
                 if s not in after or total > after[s][0]:
                     after[s] = (total, (path, text))
-            best = after
-            continue
-        after = {}
-        for state, (score, path) in best.items():
-            for text, cost, codes in slot:
-                s, total = state, score - cost
-                for c in codes:
-                    k = s * SYMBOLS + c
-                    total += logp[k]
-                    s = k % cut
-                held = after.get(s)
-                if held is None or total > held[0]:
-                    after[s] = (total, (path, text) if text else path)
+        elif i < end and len(slots[i]) == 1 and (slot is INSIDE or slot is BETWEEN):  # most of a run: one step with the letter
+            gap, joint = (BREAK, 0.0) if slot is INSIDE else (0.0, DROP_OTHER)
+            (text, cost, (c,)), = slots[i]
+            i += 1
+            spaced = " " + text
+            for state, (score, path) in best.items():
+                space = state * SYMBOLS
+                k = space + c
+                s, total = k % cut, score - joint - cost + logp[k]
+                if s not in after or total > after[s][0]:
+                    after[s] = (total, (path, text))
+                k = space % cut * SYMBOLS + c
+                s, total = k % cut, score - gap + logp[space] - cost + logp[k]
+                if s not in after or total > after[s][0]:
+                    after[s] = (total, (path, spaced))
+        else:
+            for state, (score, path) in best.items():
+                for text, cost, codes in slot:
+                    s, total = state, score - cost
+                    for c in codes:
+                        k = s * SYMBOLS + c
+                        total += logp[k]
+                        s = k % cut
+                    held = after.get(s)
+                    if held is None or total > held[0]:
+                        after[s] = (total, (path, text) if text else path)
         best = after
-    end = max(best.items(), key=lambda kv: (kv[1][0] + logp[kv[0] * SYMBOLS], kv[0]))[1][1]
+    found = max(best.items(), key=lambda kv: (kv[1][0] + logp[kv[0] * SYMBOLS], kv[0]))[1][1]
     parts = []
-    while end:
-        end, text = end
+    while found:
+        found, text = found
         parts.append(text)
     return "".join(reversed(parts))
 
@@ -244,15 +278,16 @@ class Decoder:
     def words(self, text: str) -> set[str]:
         """The distinct words of a text, cleaned, with the restored forms of noisy ones."""
         raw = text.lower().split()
-        words = {w.strip(EDGE) for w in set(raw)}
+        cores = {w: w.strip(EDGE) for w in set(raw)}
+        words = set(cores.values())
         for w in words - self.plain:
-            if noisy(w):
+            if w in self.memo or w in self.old or noisy(w):
                 words.update(self.restore(w))
             elif len(w) <= 64:
                 self.plain.add(w)
         if len(self.plain) > MEMO:
             self.plain.clear()
-        for _, _, run in _runs(raw):
+        for _, _, run in _runs(raw, cores):
             words.update(self.restore(run))
         words.discard("")
         return words
@@ -261,7 +296,7 @@ class Decoder:
         """The text with noisy words replaced, for readers of the result."""
         raw, out, at = text.lower().split(), [], 0
         one = lambda w: self.restore(c) if (c := w.strip(EDGE)) and noisy(c) else [w]
-        for i, j, run in [*_runs(raw), (len(raw), len(raw), "")]:
+        for i, j, run in [*_runs(raw, {w: w.strip(EDGE) for w in set(raw)}), (len(raw), len(raw), "")]:
             for w in raw[at:i]:
                 out += one(w)
             if run:
@@ -271,12 +306,11 @@ class Decoder:
         return " ".join(out)
 
 
-def _runs(raw: list[str]) -> Iterator[tuple[int, int, str]]:
+def _runs(raw: list[str], cores: dict[str, str]) -> Iterator[tuple[int, int, str]]:
     """(from, to, tokens without punctuation at their ends) of two or more short tokens that may be letters."""
-    short = {w: c for w in set(raw) if len(c := w.strip(EDGE) or w) <= SHORT}
+    short = {w: c or w for w, c in cores.items() if len(c or w) <= SHORT}
     held: list[str] = []
-    for i, w in enumerate([*raw, None]):
-        c = short.get(w)
+    for i, c in enumerate(chain(map(short.get, raw), (None,))):
         if c is not None:
             held.append(c)
         elif held:
@@ -287,8 +321,12 @@ def _runs(raw: list[str]) -> Iterator[tuple[int, int, str]]:
 
 def _spelt(tokens: list[str]) -> bool:
     """Two tokens that hold a letter or a sign for one, or one letter among three or more single characters."""
-    if sum(1 for t in tokens if t.isalpha() or not SIGNS.isdisjoint(t) or any(map(str.isalpha, t))) > 1:
-        return True
+    n = 0
+    for t in tokens:
+        if t.isalpha() or not SIGNS.isdisjoint(t) or any(map(str.isalpha, t)):
+            n += 1
+            if n > 1:
+                return True
     return len(tokens) > 2 and all(len(t) == 1 for t in tokens) and any(map(str.isalpha, tokens))
 
 
@@ -306,9 +344,19 @@ class Model:
     logp: np.ndarray
     weights: dict[str, float] = field(default_factory=dict)
     coefficients: tuple[float, ...] = (-math.inf, *[0.0] * 4)
+
+    @cached_property
+    def lexicon(self) -> tuple[set[str], list[tuple[int, set[str]]]]:
+        """Whole words and, by length, beginnings that have a weight."""
+        return {f[1:] for f in self.weights if f[:1] == "="}, [(n, {f[:n] for f in self.weights if len(f) == n + 1 and f[n] == "~"}) for n in PREFIXES]
+
     def weighted(self, words: set[str]) -> list[str]:
         """``features(words)`` that have a weight, in order."""
-        return sorted(features(words) & self.weights.keys())
+        whole, beginnings = self.lexicon
+        found = {"=" + w for w in words & whole}
+        for n, known in beginnings:
+            found.update(b + "~" for b in known.intersection([w[:n] for w in words if len(w) > n]))
+        return sorted(found)
 
     def evidence(self, words: set[str]) -> tuple[float, ...]:
         """Largest weight, its square, the sum of weights, and that in relation to the text's length."""
