@@ -28,14 +28,13 @@ import heapq
 import json
 import re
 from array import array
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from .common import id_and_text, map_rows
+from .common import held, id_and_text, map_rows
 
 #: Fixed value: the byte-level pre-tokenisation pattern of the vocabulary files.
 PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -231,9 +230,8 @@ class RankArrayBPE:
         return hashlib.sha256(",".join(map(self.texts.__getitem__, ids)).encode()).hexdigest()
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> RankArrayBPE:
-    return RankArrayBPE(path)
+    return held(("bpe", path), lambda: RankArrayBPE(path))
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,4 +253,4 @@ def encode_decode(docs: DataFrame, vocabulary: str, with_ids: bool = False, id_c
                 out["decoded"].append(decoded)
         return out
 
-    return map_rows(id_and_text(docs, id_col, text_col), run, schema)
+    return map_rows(id_and_text(docs, id_col, text_col), run, schema, keeps=True)

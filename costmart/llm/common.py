@@ -78,16 +78,36 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_BREAK))
 
 
-def map_rows(df: DataFrame, fn: Callable, schema: str, chars: int = 4_000_000) -> DataFrame:
+_held: list = []  # of this worker: a key and what is kept for it
+
+
+def held(key: tuple, make: Callable):
+    """What ``make()`` gave for ``key`` in an earlier task of this worker. A worker outlives the
+    operators of a pipeline and keeps one such thing, so theirs don't add up."""
+    if not _held or _held[0] != key:
+        let_go()
+        _held[:] = [key, make()]
+    return _held[1]
+
+
+def let_go() -> None:
+    """Forget what another operator has kept in this worker, and give Arrow's free memory back."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()
+
+
+def map_rows(df: DataFrame, fn: Callable, schema: str, chars: int = 4_000_000, keeps: bool = False) -> DataFrame:
     """``mapInArrow`` where ``fn(columns: dict of Python lists) -> dict of lists``.
 
     Works through each Arrow batch in slices whose ``text`` column holds about
     ``chars`` characters (one whole text at least), so Python holds only one
-    slice of texts besides the batch itself.
+    slice of texts besides the batch itself. ``keeps``: ``fn`` uses ``held``.
     """
     arrow = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            let_go()
         for whole in batches:
             for part in slices(whole, chars):
                 out = fn({n: c.to_pylist() for n, c in zip(part.schema.names, part.columns)})

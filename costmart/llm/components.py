@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
+LINKS_A_FILE = 500_000  # 8 MB
+
 
 def _star(links: DataFrame, larger: bool) -> DataFrame:
     """Links (u > v). Large star: every larger neighbour of u goes to the
@@ -36,7 +38,10 @@ def components(links: DataFrame) -> DataFrame:
     mark = lambda d: tuple(d.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
     now = mark(links)
     while now[0]:
-        links = stored(_star(stored(_star(links, True), "large-star"), False), "small-star")
+        # a step never has more links than before: files by their number, not by that of shuffle partitions
+        files = max(links.sparkSession.sparkContext.defaultParallelism, now[0] // LINKS_A_FILE + 1)
+        for name, larger in (("large-star", True), ("small-star", False)):
+            links = stored(_star(links, larger).coalesce(files), name)
         before, now = now, mark(links)
         if now == before:
             break

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import id_and_text, slices, stored, unwrapped, wrapped
+from .common import id_and_text, let_go, slices, stored, unwrapped, wrapped
 from .components import components
 
 COUNTS = 1 << 20
@@ -93,6 +93,7 @@ class MinMax:
 
 def sign(texts: DataFrame, words: int, hashes: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         scheme = MinMax(hashes, rows)
         for batch in batches:
             for part in slices(batch, 4_000_000):
@@ -116,6 +117,7 @@ def sign(texts: DataFrame, words: int, hashes: int, rows: int) -> DataFrame:
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Those pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         last, held = None, None
         for batch in batches:
             yes = []
@@ -187,6 +189,7 @@ def remaining(members: DataFrame, labels: DataFrame, reps: DataFrame, words: int
     rank = texts.sparkSession.sparkContext.broadcast(hashed_counts(texts, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for part in slices(batch, 4_000_000):
                 firsts, n = [], []
@@ -211,6 +214,7 @@ def remaining(members: DataFrame, labels: DataFrame, reps: DataFrame, words: int
 def hashed_counts(texts: DataFrame, words: int) -> np.ndarray:
     """How many sets hold a shingle, by the shingle's last bits (COUNTS numbers at any size)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         total = np.zeros(COUNTS, np.int64)
         for batch in batches:
             for text in batch.column("text").to_pylist():

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import id_and_text, map_rows, slices, stored, unwrapped, wrapped
+from .common import id_and_text, let_go, map_rows, slices, stored, unwrapped, wrapped
 
 BITMAP = 1 << 23
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -111,6 +111,7 @@ def candidates(texts: DataFrame, sizes: list[int], bitmap: np.ndarray) -> DataFr
     packed = np.packbits(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         marked = np.unpackbits(packed).astype(bool)
         for batch in batches:
             for part in slices(batch, 4_000_000):

@@ -44,7 +44,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, id_and_text, map_rows
+from .common import fold, held, id_and_text, let_go, map_rows
 
 #: What a character may stand for besides itself.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -90,16 +90,17 @@ def gram_counts(text: bytes) -> np.ndarray:
 def count_grams(texts: DataFrame) -> np.ndarray:
     """4-gram counts of all texts; what comes to the driver has a fixed size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         total = np.zeros(SYMBOLS ** ORDER, np.int64)
         for b in batches:
-            held, size = [], 0
+            some, size = [], 0
             for t in b.column("text").to_pylist():
-                held.append(t.encode())
-                size += len(held[-1])
+                some.append(t.encode())
+                size += len(some[-1])
                 if size > 1 << 21:
-                    total += gram_counts(b"\n\n".join(held))
-                    held, size = [], 0
-            total += gram_counts(b"\n\n".join(held))
+                    total += gram_counts(b"\n\n".join(some))
+                    some, size = [], 0
+            total += gram_counts(b"\n\n".join(some))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int64)), pa.array(total[seen])], names=["gram", "n"])
 
@@ -410,7 +411,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, max_labels: int =
         names = list(set().union(*n))
         return {"feature": names} | {f"n{i}": [c[f] for f in names] for i, c in enumerate(n)}
 
-    counts = (map_rows(sample, count, "feature string, n0 long, n1 long, n2 long, n3 long").groupBy("feature")
+    counts = (map_rows(sample, count, "feature string, n0 long, n1 long, n2 long, n3 long", keeps=True).groupBy("feature")
               .agg(*(F.sum(f"n{i}").alias(f"n{i}") for i in range(4))).where(F.expr("n1 + n3") >= min_support))
     rows = {r["feature"]: tuple(r)[1:] for r in counts.collect()}
     totals = rows.pop("", (0, 0, 0, 0))
@@ -426,7 +427,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, max_labels: int =
         seen = [models[half].evidence(decoder.words(text)) for text, half in zip(cols["text"], cols["half"], strict=True)]
         return {"y": cols["y"]} | {f"x{i}": [s[i] for s in seen] for i in range(4)}
 
-    judged = map_rows(sample, judge, "y int, x0 double, x1 double, x2 double, x3 double").toArrow()
+    judged = map_rows(sample, judge, "y int, x0 double, x1 double, x2 double, x3 double", keeps=True).toArrow()
     x = np.column_stack([judged.column(f"x{i}").to_numpy() for i in range(4)])
     y = (judged.column("y").to_numpy() > 0).astype(float)
     order = np.lexsort((*x.T, y))  # the sum of floats must not depend on the order of rows
@@ -434,13 +435,9 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, max_labels: int =
     return model
 
 
-_HELD: list = []  # of this worker: the table last used and its decoder
-
-
 def _decoder(logp: Broadcast) -> Decoder:
-    if not _HELD or _HELD[0] is not logp.value:
-        _HELD[:] = [logp.value, Decoder(logp.value)]
-    return _HELD[1]
+    """This worker's, which holds the table itself: no other can have its id."""
+    return held(("toxicity", id(logp.value)), lambda: Decoder(logp.value))
 
 
 def scorer(spark: SparkSession, model: Model):

@@ -1,7 +1,7 @@
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from costmart.llm.common import BATCH_BYTES, BATCH_ROWS
+from costmart.llm.common import BATCH_BYTES, BATCH_ROWS, _held, held, let_go, map_rows
 
 
 def test_batches_are_bounded_by_rows_and_bytes(llm):
@@ -14,3 +14,16 @@ def test_batches_are_bounded_by_rows_and_bytes(llm):
     for df in (long_, short):
         for r in df.mapInArrow(sizes, "n long, size long").collect():
             assert r["n"] <= BATCH_ROWS and r["size"] <= BATCH_BYTES + 2_000_000
+
+
+def test_a_worker_keeps_the_state_of_one_operator(llm):
+    keep = lambda key: lambda cols: {"n": [held((key,), lambda: [key])[0]] * len(cols["text"])}
+    look = lambda cols: {"n": [str(len(_held))] * len(cols["text"])}
+    rows = llm.range(8).select(F.col("id").cast("string").alias("text")).repartition(4)
+    for key in ("one", "two"):
+        assert {r["n"] for r in map_rows(rows, keep(key), "n string", keeps=True).collect()} == {key}
+    assert {r["n"] for r in map_rows(rows, look, "n string").collect()} == {"0"}
+    first = held(("here", 1), list)
+    assert held(("here", 1), list) is first and held(("here", 2), list) is not first and len(_held) == 2
+    let_go()
+    assert not _held

@@ -99,3 +99,30 @@ def test_components_of_random_links(llm):
         parent[max(i, j)] = min(i, j)
     want = {x: find(x) for x in list(parent) if find(x) != x}
     assert {x["node"]: x["component"] for x in components(llm.createDataFrame(links, "a long, b long")).collect()} == want
+
+
+def test_components_write_files_by_the_number_of_links(llm, monkeypatch):
+    """Files of a step don't grow with the shuffle partitions, and the labels are those of a search."""
+    from costmart.llm import components as c
+
+    files, real = {}, c.stored
+
+    def stored(df, name):
+        out = real(df, name)
+        files.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(c, "stored", stored)
+    names = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: llm.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            llm.conf.set(k, v)
+        links = llm.createDataFrame([(i, i + 3) for i in range(400)], "a long, b long")
+        got = {r["node"]: r["component"] for r in c.components(links).collect()}
+    finally:
+        for k, v in before.items():
+            llm.conf.set(k, v)
+    assert got == {i: i % 3 for i in range(3, 403)}
+    most = llm.sparkContext.defaultParallelism
+    assert most < 40 and files["large-star"] and max(files["large-star"] + files["small-star"]) <= most
