@@ -18,7 +18,12 @@ def test_batches_are_bounded_by_rows_and_bytes(llm):
 
 def test_a_worker_keeps_the_state_of_one_operator(llm):
     keep = lambda key: lambda cols: {"n": [held((key,), lambda: [key])[0]] * len(cols["text"])}
-    look = lambda cols: {"n": [str(len(_held))] * len(cols["text"])}
+
+    def look(cols):
+        from costmart.llm import common  # the worker's, not a copy of the driver's list
+
+        return {"n": [str(len(common._held))] * len(cols["text"])}
+
     rows = llm.range(8).select(F.col("id").cast("string").alias("text")).repartition(4)
     for key in ("one", "two"):
         assert {r["n"] for r in map_rows(rows, keep(key), "n string", keeps=True).collect()} == {key}
