@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
@@ -136,6 +137,61 @@ def test_gradients_match_differences():
         assert abs((up - down) / (2 * step) - g[at]) < 0.05 * abs(g[at]) + 1e-4
 
 
+def windows_of(texts):
+    """All first windows with and without their surroundings, and their labels."""
+    codes, y = [], []
+    for text in texts:
+        a, b, known = s.candidates(text, s.values(text, spans.find(text, spans.SECRET)))
+        codes.append(s.first_windows(text, a, b))
+        y.append(known)
+    codes, y = np.concatenate(codes), np.concatenate(y)
+    return np.concatenate([codes, np.where(codes >= 128, codes, 0)]), np.tile(y, 2)
+
+
+ODD_TEXTS = [t for _, t in corpus(60, 3)] + ["", "x" * 48, "y" * 49 + " ab12cd", "z" * 52, "w" * 55 + " q", "v" * 300 + ' token="abc123"',
+                                              "é" * 9 + "ab12cd", "only a few"]
+
+
+def test_summed_gradients_equal_those_of_windows():
+    net, weight = s.Network.fresh(3), np.array([0.25, 2.0])
+    codes, y = windows_of(ODD_TEXTS)
+    want = [0.0] * 4
+    for k in (0, 1):
+        want = [w + weight[k] * (y == k).sum() * g for w, g in zip(want, net.gradients(codes[y == k], y[y == k].astype(np.float32)))]
+    whole, got = Counter(), [0.0] * 4
+    of = s.Gathered.of(ODD_TEXTS, None, False, whole)
+    alone = whole.copy()
+    for some, *places in of.within(np.arange(len(of.start)), block=512):
+        got = [a + b for a, b in zip(got, net.sums(*places, of.known[some], weight[of.known[some]]))]
+    for known, n, *places in s.by_themselves(alone, block=50):
+        got = [a + b for a, b in zip(got, net.sums(*places, known, n * weight[known]))]
+    assert all(np.allclose(a, b, atol=2e-3 * np.abs(b).max()) for a, b in zip(got, want))
+    parts = [s.Gathered.of(ODD_TEXTS, (1 << 61, 1 << 62), held, alone) for held in (False, True)]
+    assert sum(len(p.start) for p in parts) == len(of.start) and all(len(p.start) for p in parts) and alone == whole
+
+
+def test_every_candidate_counts_not_a_sample(make_docs):
+    """Threshold and precision are those of all held-back candidates, and the network changes with any candidate it learns from."""
+    from pyspark.sql import functions as F
+
+    docs = make_docs(corpus(400))
+    net = s.train(docs.select("text"), sample=20)
+    held = [r["text"] for r in docs.where(F.pmod(F.xxhash64("text"), F.lit(3)) == 0).collect()]
+    codes, y = windows_of(held)
+    z = np.floor(net.raw(codes).astype(float) * s.STEPS) / s.STEPS
+    want = s.Network(*net.parameters())
+    s.settle(want, z, y.astype(float), np.ones(len(z)), np.ones(len(z)), 0.98, 1 / s.STEPS)
+    assert y.sum() > 20 and (net.probability(codes)[y] >= net.threshold).mean() >= 0.98
+    assert abs(want.threshold - net.threshold) < 0.01 and abs(want.precision - net.precision) < 0.01
+    # one more text to learn from, none of whose windows would be drawn
+    drawn = [np.sort(s.window_hash(k))[:20].max() for k in (lambda c, y: (c[~y], c[y]))(*(x[:len(x) // 2] for x in windows_of([t for _, t in corpus(400)])))]
+    more = docs.sparkSession.createDataFrame([(f"{t} {i}",) for i, (_, t) in enumerate(corpus(40, 8))], "text string")
+    more = [r["text"] for r in more.where(F.pmod(F.xxhash64("text"), F.lit(3)) != 0).collect()]
+    more = next(t for t in more if all((s.window_hash(c[:len(c) // 2][y[:len(c) // 2] == k]) > drawn[k]).all() for c, y in [windows_of([t])] for k in (0, 1)))
+    other = s.train(make_docs([*corpus(400), (1000, more)]).select("text"), sample=20)
+    assert np.abs(other.kernel - net.kernel).max() > 0
+
+
 def test_odd_rows_and_empty_table(make_docs, odd):
     rows = s.scan(make_docs(odd)).collect()
     assert sorted(((r["doc_id"] or -1), r["n_assign"] + r["n_access"] + r["n_hex"]) for r in rows) == sorted(((i or -1), len(brute(t or ""))) for i, t in odd)
