@@ -67,3 +67,27 @@ def test_memo_is_bounded_by_bytes(monkeypatch):
         assert own.encode_batch(texts) == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
         most = max(most, sum(bpe.ENTRY_BYTES + len(k) + len(v) for half in (own.memo, own.old) for k, v in half.items()))
     assert most < 3 * 200_000 and not own.passing and all(len(k) <= bpe.LONGEST for k in own.memo)
+
+
+def test_words_of_the_memo_are_not_encoded_again(monkeypatch):
+    """A word found in a chunk of its own is taken from the memo where a later chunk holds it beside others."""
+    own, seen = bpe.RankArrayBPE(PATH), []
+    scan = own._scan
+    monkeypatch.setattr(own, "_scan", lambda words, width: seen.extend(words) or scan(words, width))
+    own.encode_batch(["some unheardofword here, and"])
+    assert b" unheardofword" in seen
+    seen.clear()
+    text = "x unheardofword, y here\n (unheardofword) z"
+    assert own.encode(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert b" unheardofword" not in seen and b"unheardofword" in seen
+
+
+def test_chunks_of_a_batch_cut_as_one_text():
+    """Chunks of several texts are cut together; ids and digests of each text stay the library's."""
+    r, own = random.Random(6), bpe.RankArrayBPE(PATH)
+    for _ in range(40):
+        texts = ["".join(r.choice([" ", " ", "\n", "\t", "\x1f", "\x85", " ", "a", "b1", "é", "漢", "'s", "...", "<|endoftext|>", "٣"]) for _ in range(r.randint(0, 30))) for _ in range(20)]
+        for t, ids in zip(texts, own.encode_arrays(texts), strict=True):
+            want = LIBRARY.encode(t, add_special_tokens=False).ids
+            assert ids.tolist() == want and own.decode(ids) == t
+            assert own.digest(ids) == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
