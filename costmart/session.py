@@ -127,6 +127,34 @@ def scratch_scope(spark: SparkSession):
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession):
+    """Shuffle files of what is written inside go as soon as it is written, not when the driver
+    happens to collect its garbage. For steps whose files would else lie beside those of the next."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if was is None else spark.conf.set(key, was)
+
+
+def broadcast_up_to(df, most: int = 32 << 20):
+    """``df`` with a broadcast hint if its rows take up to ``most`` bytes (a hash table of three times
+    that), counted, not taken from file sizes; else, or with nested columns, as it is. For written lookup
+    tables: without a hint, AQE learns of a small side only when the events are shuffled already."""
+    from pyspark.sql import functions as F
+
+    if any(f.dataType.typeName() in ("array", "map", "struct", "variant", "binary") for f in df.schema.fields):
+        return df
+    wide = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("string", "decimal")]
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() == "string"]
+    each = 8 + 8 * len(wide) + 24 * (len(df.columns) - len(wide))  # a word a column and one of null bits; 16 bytes for a decimal or a text's ends
+    rows, text = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0))).first()
+    return F.broadcast(df) if rows * each + text <= most else df
+
+
 def materialize(df, name: str, keep: bool = False):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 

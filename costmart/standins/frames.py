@@ -86,9 +86,17 @@ def icustays(t: Tables) -> DataFrame:
     return first.unionByName(second)
 
 
-def prescriptions(t: Tables, with_subject: bool = False) -> DataFrame:
-    """Lines as prescriptions; the drug is the part name, written with odd case/padding."""
-    li, p = t.lineitem, t.part.select("p_partkey", "p_name")
+def event_lines(t: Tables) -> DataFrame:
+    """Lines with their order's customer, in the columns that both kinds of events take from them."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    o = t.orders.select("o_orderkey", F.col("o_custkey").alias("subject_id"))
+    return li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner").drop("o_orderkey")
+
+
+def prescriptions(t: Tables, with_subject: bool = False, lines: DataFrame | None = None) -> DataFrame:
+    """Lines as prescriptions; the drug is the part name, written with odd case/padding.
+    ``lines``: ``event_lines`` once they are written; they come with their subject, but have no dose."""
+    li, p = t.lineitem if lines is None else lines, t.part.select("p_partkey", "p_name")
     rx = li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
     cols = [F.col("l_orderkey").alias("hadm_id"),
             F.when(F.col("l_linenumber") % 2 == 0, F.upper("p_name"))
@@ -97,11 +105,11 @@ def prescriptions(t: Tables, with_subject: bool = False) -> DataFrame:
              .otherwise(F.concat(F.col("l_suppkey").cast("string"), F.lit(" ,"),
                                  (F.col("l_partkey") % 3).cast("string"))).alias("gsn"),
             F.col("l_shipdate").alias("starttime"), F.lit("TAB").alias("form_rx"),
-            F.col("l_quantity").cast("string").alias("dose_val_rx"),
+            *([F.col("l_quantity").cast("string").alias("dose_val_rx")] if lines is None else ["subject_id"]),
             F.col("l_linenumber").cast("string").alias("doses_per_24_hrs"), F.lit("PO").alias("route"),
             "l_linenumber", "l_partkey", "l_suppkey"]
     out = rx.select(*cols, "l_orderkey")
-    if with_subject:
+    if with_subject and lines is None:
         o = t.orders.select("o_orderkey", "o_custkey")
         out = out.join(o, out["l_orderkey"] == o["o_orderkey"], "inner").withColumn("subject_id", F.col("o_custkey"))
         out = out.drop("o_orderkey", "o_custkey")
@@ -115,11 +123,13 @@ def drug_price(t: Tables) -> DataFrame:
     return first.where(~F.col("drug").startswith("red")).select("drug", "cost")
 
 
-def lab_events(t: Tables, with_subject: bool = False) -> DataFrame:
-    li = t.lineitem
+def lab_events(t: Tables, with_subject: bool = False, lines: DataFrame | None = None) -> DataFrame:
+    """Lines as lab events; ``lines``: ``event_lines`` once they are written, with their subject."""
+    li = t.lineitem if lines is None else lines
     out = li.select(F.col("l_orderkey").alias("hadm_id"), F.col("l_suppkey").alias("itemid"),
-                    F.col("l_shipdate").alias("charttime"), "l_linenumber", "l_partkey", "l_orderkey")
-    if with_subject:
+                    F.col("l_shipdate").alias("charttime"), "l_linenumber", "l_partkey", "l_orderkey",
+                    *([] if lines is None else ["subject_id"]))
+    if with_subject and lines is None:
         o = t.orders.select("o_orderkey", "o_custkey")
         out = out.join(o, out["l_orderkey"] == o["o_orderkey"], "inner").withColumn("subject_id", F.col("o_custkey"))
         out = out.drop("o_orderkey", "o_custkey")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import register
 from ..plans import mart
+from ..session import materialize, shuffles_released
 from . import frames as fr
 from .sql import CTE, FACT_WITH, with_
 
@@ -134,8 +135,10 @@ FACT_EVENT_SQL = with_("lab_items", "lab_price", "drug_price", "lab_events", ext
 @register("fact_cost_event", FACT_EVENT_SQL + "select * from labe union all select * from mede")
 def q_fact_cost_event(spark, sf_dir):
     t = fr.Tables(spark, sf_dir)
-    lab = fr.lab_events(t, with_subject=True)
-    rx = fr.prescriptions(t, with_subject=True)
+    with shuffles_released(spark):  # lines meet orders once, not for each kind of event and for the codes again
+        lines = materialize(fr.event_lines(t), "event-lines")
+    lab = fr.lab_events(t, with_subject=True, lines=lines)
+    rx = fr.prescriptions(t, with_subject=True, lines=lines)
     ev = mart.fact_cost_event(lab, fr.lab_items(t), fr.lab_price(t), rx, fr.drug_price(t),
                               lab_id=("l_orderkey", "l_linenumber", "l_partkey", "itemid"),
                               rx_id=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))

@@ -206,6 +206,45 @@ def test_code_lookup_does_not_shuffle_events_on_drug_names(spark, sf_dir):
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan  # exchanges are those of the small tables' own aggregates
 
 
+def test_cost_events_are_shuffled_for_parts_alone(spark, sf_dir):
+    """Lines meet orders once, before; price and code tables are broadcast by their counted bytes, whatever file sizes say."""
+    import re
+
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(k, None) for k in names]
+    try:
+        for k in names:
+            spark.conf.set(k, "-1")
+        plan = _plan(QUERIES["fact_cost_event"](spark, sf_dir))
+    finally:
+        for k, v in zip(names, before):
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "orders.parquet" not in plan and "lineitem.parquet" not in plan
+    assert set(re.findall(r"Exchange hashpartitioning\((\w+)#", plan)) == {"l_partkey", "p_partkey"}
+
+
+@pytest.mark.parametrize("most", [32 << 20, 0])
+def test_cost_events_of_repeated_and_null_keys(spark, monkeypatch, most):
+    """The same events whether lookup tables are broadcast or not; repeated keys multiply, null drugs have a code of their own."""
+    from costmart.plans import mart
+    from costmart.session import broadcast_up_to
+
+    monkeypatch.setattr(mart, "broadcast_up_to", lambda df: broadcast_up_to(df, most))
+    lab = spark.createDataFrame([(i, 10, "t", item, i) for i, item in enumerate([1, 2, 3, 9, None])],
+                                "subject_id int, hadm_id int, charttime string, itemid int, labevent_id int")
+    items = spark.createDataFrame([(1, "A"), (1, " a "), (2, "B"), (3, None)], "itemid int, label string")
+    lprice = spark.createDataFrame([("a", 2.5), ("b", None), (None, 9.0)], "label string, price double")
+    rx = spark.createDataFrame([(i, 10, "t", drug, gsn, i) for i, (drug, gsn) in enumerate(
+        [("X ", "12"), ("x", "7,8"), ("x", "12"), (None, "5 6"), (None, "6"), ("y", None)])],
+        "subject_id int, hadm_id int, starttime string, drug string, gsn string, pharmacy_id int")
+    dprice = spark.createDataFrame([("X", 5.0), ("x", 7.0), (None, 3.0)], "drug string, cost double")
+    got = mart.fact_cost_event(lab, items, lprice, rx, dprice).select("event_type", "patient_id", "source_code", "cost").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [("LAB", 0, "1", 2.5)] * 2 + [("LAB", 1, "2", 0.0), ("LAB", 2, "3", 0.0), ("LAB", 3, "9", 0.0), ("LAB", 4, None, 0.0)]
+        + [("MED", i, "12", c) for i in range(3) for c in (5.0, 7.0)]
+        + [("MED", 3, "6", 0.0), ("MED", 4, "6", 0.0), ("MED", 5, "00000", 0.0)], key=str)
+
+
 def test_fact_reads_orders_for_stays_once(spark, sf_dir):
     from costmart.plans import mart
     from costmart.standins import frames as fr

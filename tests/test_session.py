@@ -53,6 +53,40 @@ def test_scratch_goes_with_its_scope(spark):
     assert materialize(spark.range(2), "no-scope").count() == 2
 
 
+def test_shuffles_go_once_written(spark):
+    import time
+
+    from costmart.session import materialize, shuffles_released
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name, None)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in disk.getAllBlocks().mkString(" ").split() if x.startswith("shuffle_")}
+    before = files()
+    with shuffles_released(spark):
+        out = materialize(spark.range(1000).repartition(3, "id").groupBy("id").count(), "released")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and out.count() == 1000
+    assert spark.conf.get(name, None) == was
+
+
+def test_lookup_tables_are_broadcast_by_counted_bytes(spark):
+    from costmart.session import broadcast_up_to
+
+    def hinted(df, most):
+        return "strategy=broadcast" in broadcast_up_to(df, most)._jdf.queryExecution().analyzed().toString()
+
+    keys = spark.range(1000)  # 16 bytes a row
+    assert hinted(keys, 16_000) and not hinted(keys, 15_999)
+    texts = spark.createDataFrame([("é" * 50, 1), (None, 2)], "t string, n int")  # 40 bytes a row and 100 of text
+    assert hinted(texts, 180) and not hinted(texts, 179)
+    assert hinted(texts.limit(0), 0)
+    money = keys.selectExpr("cast(id as decimal(28,10)) as m")
+    assert hinted(money, 32_000) and not hinted(money, 31_999)
+
+
 def test_reports_leave_only_their_result(spark, sf_dir):
     import os
 
